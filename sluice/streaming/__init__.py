@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference has one batch path and no stream, state store or trigger.  Its
+nearest relative of late-data handling is the overlap window (P10), which
+re-reads ``overlap_in_min`` minutes before the last watermark on every batch
+run; that lives in ``sluice.functions.predicates`` and
+``sluice.operators.config``.  Nothing is built here so as not to add
+operators the reference does not have.
+"""
