@@ -1,0 +1,69 @@
+"""Pure helpers: formats, name lists, select lists, slice predicate text."""
+
+import datetime as dt
+
+import pytest
+
+from sluice.functions.keys import split_names, split_sql_list
+from sluice.functions.timefmt import to_spark_format, ts_text, yesterday_end
+from sluice.plans.strategy import ConfigError, DeltaKind, LoadStrategy
+from sluice.sources.jdbc import slice_predicate
+
+
+@pytest.mark.parametrize(
+    "src,expected",
+    [
+        ("YYYY-MM-DD HH24:MI:SS", "yyyy-MM-dd HH:mm:ss"),
+        ("YYYY-MM-DD", "yyyy-MM-dd"),
+        ("YYYY-MM-DD HH24:MI:SS.FF6", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        ("DD/MM/YYYY HH12:MI AM", "dd/MM/yyyy hh:mm a"),
+        ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss"),
+        (None, None),
+    ],
+)
+def test_format_translation(src, expected):
+    assert to_spark_format(src) == expected
+
+
+def test_format_keeps_literal_text():
+    assert to_spark_format("YYYY-MM-DD\"T\"HH24:MI:SS").count("'") >= 2
+
+
+def test_split_names_trims_and_drops_empty():
+    assert split_names(" a, b ,,c ") == ["a", "b", "c"]
+    assert split_names("") == []
+    assert split_names(None) == []
+    assert split_names(["x ", " y"]) == ["x", "y"]
+
+
+def test_split_sql_list_respects_nesting_and_quotes():
+    text = "a, concat(b, ',', c) as d, 'x,y' as e, f"
+    assert split_sql_list(text) == ["a", "concat(b, ',', c) as d", "'x,y' as e", "f"]
+    assert split_sql_list("*") == ["*"]
+    assert split_sql_list("'it''s, here' as q, z") == ["'it''s, here' as q", "z"]
+
+
+def test_ts_text_and_yesterday():
+    assert ts_text(dt.datetime(2024, 1, 2, 3, 4, 5)) == "2024-01-02 03:04:05"
+    assert ts_text(dt.date(2024, 1, 2)) == "2024-01-02 00:00:00"
+    assert yesterday_end(dt.datetime(2024, 1, 20, 9, 30)) == dt.datetime(2024, 1, 19, 23, 59, 59)
+    assert yesterday_end(dt.datetime(2024, 3, 1, 0, 0, 1)) == dt.datetime(2024, 2, 29, 23, 59, 59)
+
+
+def test_strategy_enum():
+    assert LoadStrategy.parse("TL-CDC") is LoadStrategy.TL_CDC
+    assert LoadStrategy.parse(" IO ") is LoadStrategy.IO
+    with pytest.raises(ConfigError):
+        LoadStrategy.parse("TL")  # substring of TL-CDC is not a strategy
+    with pytest.raises(ConfigError):
+        LoadStrategy.parse(None)
+    assert {s for s in LoadStrategy if s.overwrites} == {
+        LoadStrategy.TL_CDC, LoadStrategy.TL_SRC_TGT, LoadStrategy.TL_AGG}
+    assert LoadStrategy.IO_SNAP_DLY.delta is DeltaKind.WINDOW
+    assert len(list(LoadStrategy)) == 9
+
+
+def test_slice_predicate_quotes_and_nulls():
+    p = slice_predicate(["Plant", "Kind"], ["O'Brien", None])
+    assert p == "CAST(\"Plant\" AS VARCHAR(4000)) = 'O''Brien' AND \"Kind\" IS NULL"
+    assert slice_predicate(["a"], ["None"]) == "CAST(\"a\" AS VARCHAR(4000)) = 'None'"
