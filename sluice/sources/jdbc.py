@@ -82,3 +82,42 @@ def read_jdbc_slices(
     """All slices in one DataFrame, one JDBC partition per slice."""
     props = {k: v for k, v in options.items() if k != "url"}
     return spark.read.jdbc(options["url"], table, predicates=predicates, properties=props)
+
+
+def register_jdbc_catalog(spark: SparkSession, name: str, options: dict[str, str],
+                          push_down_aggregate: bool = True) -> None:
+    """Register a DataSource V2 JDBC catalog ``name``.
+
+    Tables read as ``spark.table(f"{name}.{schema}.{table}")`` push filters,
+    projections and - with ``push_down_aggregate`` - ``GROUP BY`` / ``MAX``
+    to the database, so partition discovery (A1) and the TL-AGG aggregate
+    (A3) run at the source as the reference's SQL did
+    (``.explain`` shows ``PushedAggregates`` / ``PushedGroupByExpressions``).
+    """
+    prefix = f"spark.sql.catalog.{name}"
+    spark.conf.set(prefix, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
+    for k, v in options.items():
+        spark.conf.set(f"{prefix}.{k}", v)
+    spark.conf.set(f"{prefix}.pushDownAggregate", str(push_down_aggregate).lower())
+
+
+def sliced_jdbc_source(
+    spark: SparkSession,
+    options: dict[str, str],
+    table: str,
+    keys: DataFrame,
+    columns: list[str],
+    max_slices: int = MAX_SLICES,
+) -> DataFrame:
+    """The source table read as one parallel JDBC partition per slice.
+
+    ``keys`` are the discovered slices (``plans.extract.discover_slices``,
+    ideally over a catalog table so the ``GROUP BY`` runs in the database).
+    The extraction's own filters are applied on top by Spark and pushed into
+    every slice's query.  With no slices, or more than ``max_slices``, the
+    table is read unsliced; the result is the same rows either way.
+    """
+    preds = slice_predicates(keys, columns, max_slices)
+    if not preds:
+        return read_jdbc_table(spark, options, table)
+    return read_jdbc_slices(spark, options, table, preds)
