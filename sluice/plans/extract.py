@@ -44,7 +44,14 @@ from sluice.operators.config import DEFAULT_QUERY_PARAMETER, PLUS_REWRITE
 from sluice.operators.counts import observe_counts, reconcile_gate
 from sluice.operators.dedup import dedup_primary_keys
 from sluice.operators.partitions import aggregate_filter
-from sluice.operators.sinks import EXTRACT_DATE, MAX_RECORDS_PER_FILE, SinkSpec, stamp_extract_date, write_target
+from sluice.operators.sinks import (
+    EXTRACT_DATE,
+    MAX_RECORDS_PER_FILE,
+    SinkSpec,
+    cluster_for_write,
+    stamp_extract_date,
+    write_target,
+)
 from sluice.plans.strategy import ConfigError, DeltaKind, LoadStrategy
 
 
@@ -72,6 +79,7 @@ class ExtractionConfig:
     # Tie-break for the deterministic dedup; empty = remaining columns in order.
     dedup_order: tuple[str, ...] = ()
     max_records_per_file: int = MAX_RECORDS_PER_FILE
+    files_per_partition: int | None = None
 
     @classmethod
     def from_mapping(cls, raw: Mapping[str, Any]) -> "ExtractionConfig":
@@ -231,6 +239,7 @@ def plan_extraction(
             mode="overwrite" if strategy.overwrites else "append",
             partition_by=partition_by,
             max_records_per_file=cfg.max_records_per_file,
+            files_per_partition=cfg.files_per_partition,
         )
     return ExtractionPlan(cfg, pred, filtered, selected, output, sink, stamp, date_col, date_obs)
 
@@ -259,8 +268,13 @@ def run_extraction(
         # slices writes nothing, so the previous target stays.
         return ExtractionResult(cfg, 0, 0, False, read_ts, upper, None, wrote=False)
 
-    output, obs = observe_counts(plan.output, f"counts_{uuid.uuid4().hex}")
-    write_target(output, plan.sink)
+    output, sink = plan.output, plan.sink
+    if sink.files_per_partition and sink.partition_by:
+        # Cluster before observing so the counts stay in the writing stage.
+        output = cluster_for_write(output, sink.partition_by, sink.files_per_partition)
+        sink = replace(sink, files_per_partition=None)
+    output, obs = observe_counts(output, f"counts_{uuid.uuid4().hex}")
+    write_target(output, sink)
     metrics = obs.get
     src = int(metrics.get("src_record_count") or 0)
     tgt = int(metrics.get("target_record_count") or 0)

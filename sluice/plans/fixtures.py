@@ -97,12 +97,18 @@ def scratch_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # sessions without a SparkContext (Spark Connect)
+            base = None
     if not base:
         import tempfile
 
         base = tempfile.mkdtemp(prefix="sluice-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:
+            spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 

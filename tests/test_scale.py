@@ -1,0 +1,86 @@
+"""Scale-shaped checks: hot keys, plan shapes, write clustering, sizing."""
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_mod
+from sluice.operators import partitions
+from sluice.operators.dedup import dedup_primary_keys
+from sluice.operators.sinks import SinkSpec, write_target
+from sluice.plans.sizing import scale_settings
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def hot_lineitem(spark):
+    # A third of all rows share one primary key.
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    hot = F.when(F.col("l_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("l_orderkey"))
+    return li.withColumn("l_orderkey", hot).withColumn(
+        "l_linenumber", F.when(F.col("l_orderkey") == -1, F.lit(1)).otherwise(F.col("l_linenumber")))
+
+
+def test_dedup_with_a_hot_key_matches_brute_force(spark, hot_lineitem):
+    from pyspark.sql import Window as W
+
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+             "l_returnflag", "l_linestatus"]
+    keys = ["l_orderkey", "l_linenumber"]
+    got = dedup_primary_keys(hot_lineitem, keys, order)
+    w = W.partitionBy(*keys).orderBy(*order)
+    brute = hot_lineitem.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    assert got.exceptAll(brute.select(*got.columns)).count() == 0
+    assert brute.select(*got.columns).exceptAll(got).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan  # combined map-side before the shuffle
+
+
+def test_discovery_with_a_hot_value_is_partially_aggregated(spark, hot_lineitem):
+    keys = partitions.discover_partitions(hot_lineitem, ["l_orderkey"])
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") >= 2
+    assert keys.where("l_orderkey = '-1'").count() == 1
+
+
+def test_no_registered_query_uses_a_cross_or_nested_loop_join(spark):
+    for name, fn in entry_mod.queries().items():
+        plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_salted_clustering_bounds_files_per_value(spark, scratch, hot_lineitem):
+    path = scratch("clustered")
+    rows = hot_lineitem.select("l_orderkey", "l_returnflag").repartition(16)
+    write_target(rows, SinkSpec(path, "overwrite", ["l_returnflag"], max_records_per_file=10**9,
+                                files_per_partition=2))
+    local = path[len("file:"):] if path.startswith("file:") else path
+    for d in glob.glob(os.path.join(local, "l_returnflag=*")):
+        assert len(glob.glob(os.path.join(d, "*.parquet"))) <= 2
+    assert spark.read.parquet(path).count() == hot_lineitem.count()
+
+
+def test_scale_settings_sizes_partitions():
+    s = scale_settings(100 * 1024 ** 4, executors=1000, cores_per_executor=4)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert s["spark.sql.adaptive.enabled"] == "true"
+    small = scale_settings(10 * 1024 ** 2, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_clustered_extraction_counts_exact(spark, scratch):
+    import datetime as dt
+
+    from sluice.plans.extract import ExtractionConfig, run_extraction
+
+    lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    cfg = ExtractionConfig.from_mapping(dict(load_strategy="TL-SRC-TGT", target_partition_column="l_returnflag",
+                                             primary_keys="l_orderkey,l_linenumber", target_path=scratch("clu")))
+    from dataclasses import replace
+    cfg = replace(cfg, files_per_partition=2)
+    res = run_extraction(lineitem, cfg, dt.datetime(2024, 1, 20))
+    assert res.src_record_count == lineitem.count()
+    assert res.target_record_count == spark.read.parquet(cfg.target_path).count()
