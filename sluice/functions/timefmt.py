@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Source-dialect datetime tokens (HANA/Oracle style, as written in
+# Source-dialect datetime tokens (SQL-database style, as written in
 # ``cdc_ts_format``) and the Spark datetime pattern each one maps to.  Longer
 # tokens are listed before their prefixes.
 DIALECT_TOKENS = [
