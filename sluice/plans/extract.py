@@ -93,7 +93,7 @@ class ExtractionConfig:
         cdc = raw.get("cdc_column")
         if cdc is not None:
             cdc = str(cdc).replace("+", PLUS_REWRITE)
-        ts = raw.get("cdc_timestamp")
+        ts = _as_datetime(raw.get("cdc_timestamp"))
         overlap = raw.get("overlap_in_min")
         if ts is not None and overlap is not None and str(overlap).strip():
             try:
@@ -112,7 +112,7 @@ class ExtractionConfig:
             query_parameter=DEFAULT_QUERY_PARAMETER if qp is None else qp,
             cdc_column=cdc,
             cdc_timestamp=ts,
-            to_cdc_timestamp=raw.get("to_cdc_timestamp"),
+            to_cdc_timestamp=_as_datetime(raw.get("to_cdc_timestamp")),
             cdc_ts_format=raw.get("cdc_ts_format"),
             source_partition_column=tuple(split_names(raw.get("source_partition_column"))),
             target_partition_column=tuple(split_names(raw.get("target_partition_column"))),
@@ -130,6 +130,18 @@ class ExtractionConfig:
         return replace(self, target_path=path)
 
 
+def _as_datetime(value):
+    """Config bounds arrive as datetimes (typed control tables) or as text."""
+    if value is None or isinstance(value, _dt.datetime):
+        return value
+    if isinstance(value, _dt.date):
+        return _dt.datetime(value.year, value.month, value.day)
+    text = str(value).strip()
+    if not text or text.upper() in ("NULL", "NONE"):
+        return None
+    return _dt.datetime.fromisoformat(text)
+
+
 def validate(cfg: ExtractionConfig) -> None:
     """Reject configs the reference would half-run and then crash on."""
     s = cfg.load_strategy

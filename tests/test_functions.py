@@ -67,3 +67,12 @@ def test_slice_predicate_quotes_and_nulls():
     p = slice_predicate(["Plant", "Kind"], ["O'Brien", None])
     assert p == "CAST(\"Plant\" AS VARCHAR(4000)) = 'O''Brien' AND \"Kind\" IS NULL"
     assert slice_predicate(["a"], ["None"]) == "CAST(\"a\" AS VARCHAR(4000)) = 'None'"
+
+
+def test_config_bounds_from_text_and_null_text():
+    from sluice.plans.extract import ExtractionConfig
+
+    cfg = ExtractionConfig.from_mapping(dict(load_strategy="IO-SNAP-DLY", cdc_timestamp="2024-01-10 06:00:00",
+                                             to_cdc_timestamp="NULL", overlap_in_min="30"))
+    assert cfg.cdc_timestamp == dt.datetime(2024, 1, 10, 5, 30)
+    assert cfg.to_cdc_timestamp is None

@@ -101,3 +101,19 @@ def test_run_all_strategies(spark, setup, scratch):
     assert hdr2[("c3", "wf-c3")] == 1  # still RUNNING in the header, so it stays latest
     assert hdr2[("c3", "wf-c3-2")] == 1
     assert out2.tables.audit_spec.count() == 11
+
+
+def test_command_line_run(spark, setup, scratch):
+    from sluice.__main__ import main
+
+    config, tables, _ = setup
+    root, out = scratch("ctl"), scratch("ctl2")
+    from sluice.plans.job import write_control_tables
+    write_control_tables(tables, root)
+    summary = main(["--control", root, "--out", out, "--source-root", SF, "--schema", "SRC", "--table", "events",
+                    "--id", "c4", "--workflow-run-id", "wf9", "--job-run-id", "jr9", "--now", "2024-01-20T09:30:00",
+                    "--target-root", scratch("cli-targets")], spark=spark)
+    assert summary["verdict"] == "OK" and summary["is_extracted"]
+    assert summary["next_cdc_ts"] == "2024-01-11 00:00:00"
+    log = spark.read.parquet(f"{out}/watermark_log").collect()
+    assert [r.audit_id for r in log] == ["c4"]
