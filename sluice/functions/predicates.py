@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 from sluice.functions.timefmt import to_spark_format, ts_text, yesterday_end
 from sluice.plans.strategy import ConfigError, DeltaKind, LoadStrategy
 
-Bound = "_dt.datetime | _dt.date | str"
 
 
 def and_all(terms) -> Column | None:
