@@ -22,7 +22,6 @@ from sluice.functions.timefmt import to_spark_format, ts_text, yesterday_end
 from sluice.plans.strategy import ConfigError, DeltaKind, LoadStrategy
 
 
-
 def and_all(terms) -> Column | None:
     """AND of the non-``None`` terms; ``None`` when there is none."""
     live = [t for t in terms if t is not None]
