@@ -31,8 +31,12 @@ def upsert_audit_spec(spec: DataFrame, runs: DataFrame, job_name: str, now: _dt.
     ``runs`` columns: ``audit_id, schema_name, table_name``.
     ``audit_line_job_id = md5(concat(upper(job), upper(schema), upper(table)))``.
     """
-    wanted = runs.select("audit_id", "schema_name", "table_name").withColumn("job_name", F.lit(job_name))
     keys = ["audit_id", "job_name", "schema_name", "table_name"]
+    wanted = (
+        runs.select("audit_id", "schema_name", "table_name")
+        .withColumn("job_name", F.lit(job_name))
+        .dropDuplicates(keys)  # one spec row even when a config is run twice at once
+    )
     new = wanted.join(spec.select(*keys), keys, "left_anti").select(
         F.col("audit_id"),
         job_line_id(F.col("job_name"), F.col("schema_name"), F.col("table_name")).alias("audit_line_job_id"),
@@ -50,15 +54,19 @@ def retire_header(header: DataFrame, current_runs: DataFrame) -> DataFrame:
     are not ``RUNNING``.  The current run, running rows, rows with a null
     status and audit ids not being run now are untouched.
 
-    ``current_runs`` columns: ``audit_id, workflow_run_id`` (one per audit id).
+    ``current_runs`` columns: ``audit_id, workflow_run_id``.  Several current
+    runs of one audit id behave like their updates applied one after another:
+    a row is retired when some current run of its audit id is another run.
+    The runs are folded to one row per audit id first, so the join never
+    multiplies history rows.
     """
-    cur = current_runs.select("audit_id", F.col("workflow_run_id").alias("__cur_run"))
-    joined = header.join(cur, "audit_id", "left")
-    retire = (
-        F.col("__cur_run").isNotNull()
-        & (F.col("workflow_run_id") != F.col("__cur_run"))
-        & (F.col("workflow_header_status") != RUNNING)
+    cur = current_runs.groupBy("audit_id").agg(
+        F.countDistinct("workflow_run_id").alias("__n_cur"),
+        F.max("workflow_run_id").alias("__cur_run"),
     )
+    joined = header.join(cur, "audit_id", "left")
+    other_run = (F.col("__n_cur") > 1) | (F.col("workflow_run_id") != F.col("__cur_run"))
+    retire = F.col("__cur_run").isNotNull() & other_run & (F.col("workflow_header_status") != RUNNING)
     ind = F.when(retire, F.lit(0)).otherwise(F.col("latest_record_ind"))
     return joined.withColumn("latest_record_ind", ind.cast(header.schema["latest_record_ind"].dataType)).select(
         *header.columns
@@ -163,10 +171,17 @@ def upsert_extract_log(
     (``KEEP``).  ``updates`` columns: ``keys + [delta_completion_date]``
     (plus optional ``cdc_column``).  The result has an ``action`` column.
     """
-    u = updates.select(
+    has_cdc = "cdc_column" in updates.columns
+    # Several updates of one key: the newest completion date wins, as the
+    # last of the reference's sequential upserts would.
+    newest = updates.groupBy(*keys).agg(
+        F.max("delta_completion_date").alias("__u_date"),
+        *([F.max_by("cdc_column", "delta_completion_date").alias("__u_cdc")] if has_cdc else []),
+    )
+    u = newest.select(
         *[F.col(k).alias(f"__u_{k}") for k in keys],
-        F.col("delta_completion_date").alias("__u_date"),
-        *([F.col("cdc_column").alias("__u_cdc")] if "cdc_column" in updates.columns else []),
+        F.col("__u_date"),
+        *([F.col("__u_cdc")] if has_cdc else []),
         F.lit(True).alias("__u_hit"),
     )
     l = log.withColumn("__l_hit", F.lit(True))
@@ -188,7 +203,7 @@ def upsert_extract_log(
             value = F.when(in_upd, ts_lit(now)).otherwise(F.col(name))
         elif name == "status":
             value = F.when(in_log, F.col(name)).otherwise(F.lit(status))
-        elif name == "cdc_column" and "cdc_column" in updates.columns:
+        elif name == "cdc_column" and has_cdc:
             value = F.when(in_log, F.col(name)).otherwise(F.col("__u_cdc"))
         else:
             value = F.col(name)

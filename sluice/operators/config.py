@@ -22,6 +22,9 @@ DEFAULT_QUERY_PARAMETER = " 1=1 "
 PLUS_REWRITE = "||' '||"
 
 _SEP = "\u0001"
+# Run requests broadcast to the config table only up to this many (checked
+# with a bounded count before the join).
+MAX_BROADCAST_REQUESTS = 10000
 
 
 def _lookup_key(manual: Column, schema: Column, table: Column, event: Column) -> Column:
@@ -47,16 +50,31 @@ def lookup_configs(configs: DataFrame, requests: DataFrame) -> DataFrame:
             F.col("manual_flag"), F.col("schema_name"), F.col("table_name"), F.col("cloudwatch_event_name")
         ).alias("__req_lookup"),
     )
+    # Run requests are few; they are broadcast when a bounded count proves it,
+    # so a lookup key shared by many configs (one event name for a third of
+    # them) never lands in one shuffle partition.  Beyond the bound the join
+    # is left to AQE (skew-join split of the config side).
+    n_req = req.limit(MAX_BROADCAST_REQUESTS + 1).count()
+    small = n_req <= MAX_BROADCAST_REQUESTS
     keyed = req.where(F.col("__req_lookup").isNotNull())
     matched = active.join(
-        keyed,
+        F.broadcast(keyed) if small else keyed,
         (active["manual_flag"] == keyed["__req_manual"]) & (active["__lookup"] == keyed["__req_lookup"]),
         "inner",
     ).where(F.col("__req_id").isNull() | (F.col("id") == F.col("__req_id")))
+    cols = [c for c in configs.columns] + ["request_id"]
     # Scheduled request without an event name: every active scheduled config.
+    # Its join key has two values, so a shuffled join would put all scheduled
+    # configs in one task; the request side must be broadcast.
     wildcard = req.where(F.col("__req_lookup").isNull() & (F.col("__req_manual") != "Y"))
-    everything = active.join(wildcard, active["manual_flag"] == wildcard["__req_manual"], "inner")
-    cols = [c for c in configs.columns] + ["request_id"]
+    n_wild = wildcard.limit(MAX_BROADCAST_REQUESTS + 1).count() if small else MAX_BROADCAST_REQUESTS + 1
+    if n_wild == 0:
+        return matched.select(*cols)
+    if n_wild > MAX_BROADCAST_REQUESTS:
+        n_wild = wildcard.limit(MAX_BROADCAST_REQUESTS + 1).count()
+        if n_wild > MAX_BROADCAST_REQUESTS:
+            raise ValueError(f"more than {MAX_BROADCAST_REQUESTS} scheduled requests without an event name")
+    everything = active.join(F.broadcast(wildcard), active["manual_flag"] == wildcard["__req_manual"], "inner")
     return matched.select(*cols).unionByName(everything.select(*cols))
 
 

@@ -198,3 +198,27 @@ def test_extracted_flags_counts_zero(spark):
     rows = spark.createDataFrame([(1,), (1,)], "k long")
     got = {r.id: (r.n_rows, r.is_extracted) for r in counts.extracted_flags(cfg, rows, "id", "k").collect()}
     assert got == {1: (2, True), 2: (0, False)}
+
+
+def test_two_current_runs_of_one_config_do_not_multiply_rows(spark):
+    hdr = spark.createDataFrame(
+        [("a", 1, "old", "COMPLETED"), ("a", 1, "x", "STOPPED"), ("a", 1, "y", "RUNNING"), ("b", 1, "z", "COMPLETED")],
+        "audit_id string, latest_record_ind int, workflow_run_id string, workflow_header_status string")
+    cur = spark.createDataFrame([("a", "x"), ("a", "y")], "audit_id string, workflow_run_id string")
+    got = {r.workflow_run_id: r.latest_record_ind for r in audit.retire_header(hdr, cur).collect()}
+    assert audit.retire_header(hdr, cur).count() == 4
+    # x is retired by run y's update; y is running; old by both
+    assert got == {"old": 0, "x": 0, "y": 1, "z": 1}
+
+    runs = spark.createDataFrame([(1, "S", "t"), (1, "S", "t")], "audit_id long, schema_name string, table_name string")
+    spec0 = spark.createDataFrame([], "audit_id long, audit_line_job_id string, job_name string, description string, "
+                                  "schema_name string, table_name string, insert_timestamp timestamp_ntz")
+    assert audit.upsert_audit_spec(spec0, runs, "job", NOW).count() == 1
+
+    log = spark.createDataFrame([("s", "t", dt.date(2024, 1, 1), "COMPLETED", NOW)],
+                                "schema_name string, table_name string, delta_completion_date date, status string, "
+                                "last_update_timestamp timestamp_ntz")
+    upd = spark.createDataFrame([("s", "t", dt.date(2024, 1, 3)), ("s", "t", dt.date(2024, 1, 5))],
+                                "schema_name string, table_name string, delta_completion_date date")
+    out = audit.upsert_extract_log(log, upd, ["schema_name", "table_name"], NOW).collect()
+    assert len(out) == 1 and out[0].delta_completion_date == dt.date(2024, 1, 5) and out[0].action == "UPDATE"
