@@ -54,8 +54,13 @@ def lookup_configs(configs: DataFrame, requests: DataFrame) -> DataFrame:
     # so a lookup key shared by many configs (one event name for a third of
     # them) never lands in one shuffle partition.  Beyond the bound the join
     # is left to AQE (skew-join split of the config side).
-    n_req = req.limit(MAX_BROADCAST_REQUESTS + 1).count()
-    small = n_req <= MAX_BROADCAST_REQUESTS
+    is_wild = F.col("__req_lookup").isNull() & (F.col("__req_manual") != "Y")
+    stats = (
+        req.limit(MAX_BROADCAST_REQUESTS + 1)
+        .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_wild, 1)).alias("w"))
+        .first()
+    )
+    small = stats["n"] <= MAX_BROADCAST_REQUESTS
     keyed = req.where(F.col("__req_lookup").isNotNull())
     matched = active.join(
         F.broadcast(keyed) if small else keyed,
@@ -66,14 +71,12 @@ def lookup_configs(configs: DataFrame, requests: DataFrame) -> DataFrame:
     # Scheduled request without an event name: every active scheduled config.
     # Its join key has two values, so a shuffled join would put all scheduled
     # configs in one task; the request side must be broadcast.
-    wildcard = req.where(F.col("__req_lookup").isNull() & (F.col("__req_manual") != "Y"))
-    n_wild = wildcard.limit(MAX_BROADCAST_REQUESTS + 1).count() if small else MAX_BROADCAST_REQUESTS + 1
+    wildcard = req.where(is_wild)
+    n_wild = stats["w"] if small else wildcard.limit(MAX_BROADCAST_REQUESTS + 1).count()
     if n_wild == 0:
         return matched.select(*cols)
     if n_wild > MAX_BROADCAST_REQUESTS:
-        n_wild = wildcard.limit(MAX_BROADCAST_REQUESTS + 1).count()
-        if n_wild > MAX_BROADCAST_REQUESTS:
-            raise ValueError(f"more than {MAX_BROADCAST_REQUESTS} scheduled requests without an event name")
+        raise ValueError(f"more than {MAX_BROADCAST_REQUESTS} scheduled requests without an event name")
     everything = active.join(F.broadcast(wildcard), active["manual_flag"] == wildcard["__req_manual"], "inner")
     return matched.select(*cols).unionByName(everything.select(*cols))
 
