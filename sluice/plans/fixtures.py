@@ -102,6 +102,11 @@ def scratch_dir(spark: SparkSession) -> str:
         except Exception:  # sessions without a SparkContext (Spark Connect)
             base = None
     if not base:
+        # Only a single-machine session may use a local folder; executors on a
+        # cluster could not see it.
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for sluice's tables")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="sluice-ckpt-")
