@@ -7,8 +7,11 @@
 The run request takes the place of the reference's job arguments; control
 tables are read from ``ROOT`` and their new versions written to ``NEW_ROOT``.
 Sources are Parquet at ``{source-root}/{table}.parquet`` or
-``{source-root}/{schema}/{table}``.  The session comes from the environment
-(``spark-submit`` settings), nothing is hard-wired.
+``{source-root}/{schema}/{table}``, or, with ``--jdbc-url``, the table
+``schema.table`` of a JDBC database (password from the environment variable
+named by ``--jdbc-password-env``; it is never printed).  A config with source
+partition columns is then read as one parallel JDBC partition per slice.
+The session comes from the environment (``spark-submit`` settings).
 """
 
 from __future__ import annotations
@@ -24,7 +27,11 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sluice", description=__doc__.splitlines()[0])
     p.add_argument("--control", required=True)
     p.add_argument("--out", required=True)
-    p.add_argument("--source-root", required=True)
+    p.add_argument("--source-root")
+    p.add_argument("--jdbc-url")
+    p.add_argument("--jdbc-user")
+    p.add_argument("--jdbc-password-env")
+    p.add_argument("--jdbc-driver")
     p.add_argument("--schema")
     p.add_argument("--table")
     p.add_argument("--id")
@@ -37,8 +44,19 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def jdbc_options_from_args(args) -> dict[str, str] | None:
+    if not args.jdbc_url:
+        return None
+    from sluice.sources.jdbc import jdbc_options
+
+    password = os.environ.get(args.jdbc_password_env) if args.jdbc_password_env else None
+    return jdbc_options(args.jdbc_url, user=args.jdbc_user, password=password, driver=args.jdbc_driver)
+
+
 def main(argv: list[str] | None = None, spark=None) -> dict:
     args = _parser().parse_args(argv)
+    if not args.source_root and not args.jdbc_url:
+        raise SystemExit("one of --source-root or --jdbc-url is required")
     from pyspark.sql import SparkSession
 
     from sluice.plans.job import read_control_tables, run_requests, write_control_tables
@@ -52,7 +70,19 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         "cloudwatch_event_name string, workflow_run_id string, job_run_id string",
     )
 
+    jdbc = jdbc_options_from_args(args)
+
     def source_for(cfg):
+        if jdbc is not None:
+            from sluice.plans.extract import discover_slices
+            from sluice.sources.jdbc import read_jdbc_table, sliced_jdbc_source
+
+            table = f"{cfg.schema_name}.{cfg.table_name}"
+            whole = read_jdbc_table(spark, jdbc, table)
+            if not cfg.source_partition_column:
+                return whole
+            keys = discover_slices(whole, cfg, now)
+            return sliced_jdbc_source(spark, jdbc, table, keys, list(cfg.source_partition_column))
         flat = os.path.join(args.source_root, f"{cfg.table_name}.parquet")
         if os.path.exists(flat):
             return spark.read.parquet(flat)

@@ -30,3 +30,15 @@ def test_catalog_registration_sets_pushdown(spark):
     jdbc.register_jdbc_catalog(spark, "srcdb", {"url": "jdbc:x://h/db", "fetchsize": "100000"})
     assert spark.conf.get("spark.sql.catalog.srcdb.pushDownAggregate") == "true"
     assert spark.conf.get("spark.sql.catalog.srcdb").endswith("JDBCTableCatalog")
+
+
+def test_cli_jdbc_options_take_password_from_environment(monkeypatch):
+    from sluice.__main__ import _parser, jdbc_options_from_args
+
+    monkeypatch.setenv("SRC_PW", "s3cret")
+    args = _parser().parse_args(["--control", "c", "--out", "o", "--jdbc-url", "jdbc:x://h/db", "--jdbc-user", "u",
+                                 "--jdbc-password-env", "SRC_PW", "--workflow-run-id", "w", "--job-run-id", "j"])
+    opts = jdbc_options_from_args(args)
+    assert opts == {"url": "jdbc:x://h/db", "fetchsize": "100000", "user": "u", "password": "s3cret"}
+    assert jdbc_options_from_args(_parser().parse_args(
+        ["--control", "c", "--out", "o", "--source-root", "/d", "--workflow-run-id", "w", "--job-run-id", "j"])) is None
