@@ -48,3 +48,35 @@ def test_consecutive_daily_windows_neither_overlap_nor_gap(spark):
     expected = events.where((F.col("ts") >= F.lit("2024-01-03").cast("timestamp_ntz")) &
                             (F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"))).count()
     assert len(seen) == expected
+
+
+_DELTA_STRATEGIES = ["IO-SNAP", "IO-CDC", "TL-CDC", "IO-SNAP-DLY", "IO-SNAP-MAX-CDC", "IO-CUSTOM-CDC"]
+
+
+@settings(max_examples=20, deadline=None)
+@given(
+    strategy=st.sampled_from(_DELTA_STRATEGIES),
+    lo=st.datetimes(min_value=dt.datetime(2023, 12, 30), max_value=dt.datetime(2024, 2, 1)),
+    span=st.integers(min_value=0, max_value=5 * 24 * 3600),
+    overlap=st.integers(min_value=0, max_value=600),
+)
+def test_delta_predicate_matches_brute_force(spark, strategy, lo, span, overlap):
+    from sluice.functions.timefmt import yesterday_end
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rows = [(r.event_id, r.ts) for r in events.select("event_id", "ts").collect()]
+    hi = lo + dt.timedelta(seconds=span)
+    cfg = ExtractionConfig.from_mapping(dict(load_strategy=strategy, select_columns="event_id", cdc_column="ts",
+                                             cdc_timestamp=lo, to_cdc_timestamp=hi, cdc_ts_format=FMT,
+                                             overlap_in_min=str(overlap)))
+    low = lo - dt.timedelta(minutes=overlap)
+    rule = {
+        "IO-SNAP": lambda t: t == low,
+        "IO-CDC": lambda t: t >= low,
+        "TL-CDC": lambda t: t >= low,
+        "IO-SNAP-DLY": lambda t: low <= t <= hi,
+        "IO-SNAP-MAX-CDC": lambda t: low <= t <= yesterday_end(NOW),
+        "IO-CUSTOM-CDC": lambda t: low <= t <= yesterday_end(NOW),
+    }[strategy]
+    got = {r.event_id for r in plan_extraction(events, cfg, NOW).selected.collect()}
+    assert got == {i for i, t in rows if rule(t)}
