@@ -70,14 +70,14 @@ def lookup_configs(configs: DataFrame, requests: DataFrame) -> DataFrame:
     cols = [c for c in configs.columns] + ["request_id"]
     # Scheduled request without an event name: every active scheduled config.
     # Its join key has two values, so a shuffled join would put all scheduled
-    # configs in one task; the request side must be broadcast.
+    # configs in one task; the request side is broadcast when the bounded
+    # count allows it, and otherwise joined exactly by AQE's plan.
     wildcard = req.where(is_wild)
     n_wild = stats["w"] if small else wildcard.limit(MAX_BROADCAST_REQUESTS + 1).count()
     if n_wild == 0:
         return matched.select(*cols)
-    if n_wild > MAX_BROADCAST_REQUESTS:
-        raise ValueError(f"more than {MAX_BROADCAST_REQUESTS} scheduled requests without an event name")
-    everything = active.join(F.broadcast(wildcard), active["manual_flag"] == wildcard["__req_manual"], "inner")
+    side = F.broadcast(wildcard) if n_wild <= MAX_BROADCAST_REQUESTS else wildcard
+    everything = active.join(side, active["manual_flag"] == wildcard["__req_manual"], "inner")
     return matched.select(*cols).unionByName(everything.select(*cols))
 
 
