@@ -247,18 +247,26 @@ def dedup_primary_keys(spark, sf):
 
 
 def reconcile_counts(spark, sf):
-    """A5 + R1: a real extraction run (dedup, write) whose read and write
-    counts are observed in the writing pass, then reconciled."""
+    """A5 + C7 + C10 + R1: a real extraction run (dedup, write) whose read and
+    write counts are observed in the writing pass, stored on the run's audit
+    header row, read back from it and reconciled."""
     cfg = ExtractionConfig.from_mapping(
-        dict(load_strategy="IO-CUSTOM-CDC", primary_keys="l_orderkey,l_linenumber",
+        dict(id="lineitem", load_strategy="IO-CUSTOM-CDC", primary_keys="l_orderkey,l_linenumber",
              target_path=scratch_path(spark, "reconcile"))
     )
     result = run_extraction(read_table(spark, sf, "lineitem"), cfg, NOW)
-    frame = spark.createDataFrame(
-        [(result.src_record_count, result.target_record_count)],
-        "src_record_count long, target_record_count long",
+    header = spark.createDataFrame(
+        [("lineitem", NOW, 1, "run-1", "RUNNING", NOW, 0, 0)],
+        "audit_id string, insert_timestamp timestamp_ntz, latest_record_ind int, workflow_run_id string, "
+        "workflow_header_status string, workflow_start_ts timestamp_ntz, src_record_count long, "
+        "target_record_count long",
     )
-    return counts.reconcile_counts(frame)
+    run = spark.createDataFrame(
+        [("lineitem", "run-1", result.src_record_count, result.target_record_count)],
+        "audit_id string, workflow_run_id string, src_record_count long, target_record_count long",
+    )
+    stored = audit.header_counts(audit.set_header_counts(header, run), run)
+    return counts.reconcile_counts(stored).select("src_record_count", "target_record_count", "counts_match")
 
 
 def extracted_flag(spark, sf):
@@ -424,10 +432,13 @@ def audit_spec_upsert(spark, sf):
 
 
 def audit_retire_latest(spark, sf):
-    """The newest run per audit id is current; older non-running rows retire."""
+    """C5 + C6: the newest run per audit id is the current run; the older
+    rows are retired first, then the current runs are appended."""
     header = audit_header_from_orders(read_table(spark, sf, "orders"))
     current = header.groupBy("audit_id").agg(F.max("workflow_run_id").alias("workflow_run_id"))
-    out = audit.retire_header(header, current)
+    history = header.join(current, ["audit_id", "workflow_run_id"], "left_anti")
+    runs = header.join(current, ["audit_id", "workflow_run_id"], "left_semi")
+    out = audit.append_header(audit.retire_header(history, current), runs, NOW)
     return out.select(
         "audit_id",
         F.col("workflow_run_id").alias("run_id"),
