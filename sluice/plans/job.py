@@ -16,6 +16,7 @@ be overwritten while it is being read.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, fields
 from typing import Callable
 
@@ -87,9 +88,14 @@ def run_requests(
     job_name: str,
     now: _dt.datetime,
     target_path_for: Callable[[ExtractionConfig], str] | None = None,
+    max_parallel: int = 1,
 ) -> JobOutcome:
     """Run every request that matches exactly one active config.
 
+    With ``max_parallel > 1`` the per-config extractions are submitted from
+    that many threads, so independent tables load side by side on the
+    cluster (Spark accepts jobs from several threads of one session).
+
     ``requests`` columns: ``request_id, manual_flag, schema_name, table_name,
     config_id, cloudwatch_event_name, workflow_run_id, job_run_id``.
     ``source_for`` returns the source DataFrame of a config (Parquet, or a
@@ -152,15 +158,26 @@ def run_requests(
     # One extraction per config.
     results: dict = {}
     errors: dict = {}
-    for r in to_extract:
-        raw = r.asDict()
+
+    def extract_one(r):
         try:
-            cfg = ExtractionConfig.from_mapping(raw)
+            cfg = ExtractionConfig.from_mapping(r.asDict())
             if target_path_for is not None:
                 cfg = cfg.with_path(target_path_for(cfg))
-            results[r["id"]] = run_extraction(source_for(cfg), cfg, now)
+            return r["id"], run_extraction(source_for(cfg), cfg, now), None
         except Exception as exc:  # every failure leaves a restart row (fixes #17)
-            errors[r["id"]] = f"{type(exc).__name__}: {exc}"
+            return r["id"], None, f"{type(exc).__name__}: {exc}"
+
+    if max_parallel > 1 and len(to_extract) > 1:
+        with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+            outcomes = list(pool.map(extract_one, to_extract))
+    else:
+        outcomes = [extract_one(r) for r in to_extract]
+    for cid, res, err in outcomes:
+        if err is None:
+            results[cid] = res
+        else:
+            errors[cid] = err
 
     # Restart rows for failures.
     failed = [r for r in to_extract if r["id"] in errors]

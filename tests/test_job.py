@@ -60,7 +60,8 @@ def test_run_all_strategies(spark, setup, scratch):
             return spark.read.parquet(f"{SF}/events.parquet").withColumn("event_date", F.to_date("ts"))
         return spark.read.parquet(f"{SF}/{cfg.table_name}.parquet")
 
-    out = run_requests(spark, tables, reqs, source_for, "job", NOW, target_path_for=lambda c: f"{root}/{c.id}")
+    out = run_requests(spark, tables, reqs, source_for, "job", NOW, target_path_for=lambda c: f"{root}/{c.id}",
+                       max_parallel=4)
     runs = {r.request_id: r for r in out.runs.collect()}
     assert runs["r-missing"].verdict == "MISSING" and runs["r-missing"].id is None
     assert runs["r-c11"].exit_flag == "Y" and runs["r-c11"].is_extracted is False
