@@ -61,7 +61,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     from sluice.plans.job import read_control_tables, run_requests, write_control_tables
 
-    spark = spark or SparkSession.builder.appName("sluice").getOrCreate()
+    spark = spark or (
+        SparkSession.builder.appName("sluice").config("spark.ui.enabled", "false").getOrCreate()
+    )
     now = _dt.datetime.fromisoformat(args.now) if args.now else _dt.datetime.now().replace(microsecond=0)
     manual = "N" if args.event else "Y"
     request = spark.createDataFrame(
