@@ -96,11 +96,15 @@ def scratch_dir(spark: SparkSession) -> str:
     when the session has none - local tests - is a temporary folder set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        try:
-            base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # sessions without a SparkContext (Spark Connect)
-            base = None
+    try:
+        sc_dir = spark.sparkContext.getCheckpointDir()
+        if base and not sc_dir:
+            # set on the session after the context started: register it so
+            # DataFrame.checkpoint() writes there too
+            spark.sparkContext.setCheckpointDir(base)
+    except Exception:  # sessions without a SparkContext (Spark Connect)
+        sc_dir = None
+    base = base or sc_dir
     if not base:
         # Only a single-machine session may use a local folder; executors on a
         # cluster could not see it.

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import audit, config as cfgops, counts, restart, watermark
 from sluice.plans.extract import ExtractionConfig, ExtractionResult, run_extraction
+from sluice.plans.fixtures import scratch_dir
 from sluice.sources import control
 
 RUNNING = "RUNNING"
@@ -119,6 +120,10 @@ def run_requests(
     runs = runs.join(
         line_ids.withColumnRenamed("audit_id", "id"), ["id", "schema_name", "table_name"], "left"
     )
+    # Every later step reads the runs; a reliable checkpoint (in the shared
+    # spark.checkpoint.dir) computes the lookup once and keeps it fixed.
+    scratch_dir(spark)
+    runs = runs.checkpoint(eager=True)
 
     # Header.
     current = runs.select(F.col("id").alias("audit_id"), "workflow_run_id")
