@@ -43,7 +43,7 @@ from sluice.functions.predicates import (
 from sluice.operators.config import DEFAULT_QUERY_PARAMETER, PLUS_REWRITE
 from sluice.operators.counts import observe_counts, reconcile_gate
 from sluice.operators.dedup import dedup_primary_keys
-from sluice.operators.partitions import aggregate_filter
+from sluice.operators.partitions import aggregate_filter, restrict_to_partitions
 from sluice.operators.sinks import (
     EXTRACT_DATE,
     MAX_RECORDS_PER_FILE,
@@ -209,14 +209,24 @@ def plan_extraction(
     cfg: ExtractionConfig,
     now: _dt.datetime,
     observe_partition_date: bool = False,
+    slices: DataFrame | None = None,
 ) -> ExtractionPlan:
     """Compose the lazy plan.  With ``observe_partition_date`` an
     ``IO-SNAP-MAX-CDC`` partitioned run also observes its newest partition
     date (A7) on the scan; partitioned runs have no shuffle, so scan and
-    write share one stage and the metric is exact."""
+    write share one stage and the metric is exact.
+
+    ``slices`` (string keys over ``source_partition_column``, as
+    :func:`discover_slices` returns them) restricts a partitioned run to those
+    slices, e.g. to re-extract only some partitions; null-safe semi-join (A2).
+    """
     validate(cfg)
     pred = row_predicate(source, cfg, now)
     filtered = source if pred is None else source.where(pred)
+    if slices is not None:
+        if not cfg.source_partition_column:
+            raise ConfigError("slices need source_partition_column")
+        filtered = restrict_to_partitions(filtered, slices, list(cfg.source_partition_column))
     strategy = cfg.load_strategy
     date_col = None
     date_obs = None
@@ -261,6 +271,7 @@ def run_extraction(
     cfg: ExtractionConfig,
     now: _dt.datetime,
     read_ts: _dt.datetime | None = None,
+    slices: DataFrame | None = None,
 ) -> ExtractionResult:
     """Plan, write once, and report counts observed in the same pass.
 
@@ -268,7 +279,7 @@ def run_extraction(
     so rows committed during the read are picked up by the next run.
     """
     read_ts = read_ts or now
-    plan = plan_extraction(source, cfg, now, observe_partition_date=True)
+    plan = plan_extraction(source, cfg, now, observe_partition_date=True, slices=slices)
     if plan.sink is None:
         raise ConfigError("config has no target path")
     strategy = cfg.load_strategy

@@ -98,3 +98,19 @@ def test_max_cdc_observes_newest_partition_date(spark, scratch):
     res = run_extraction(events, cfg, NOW)
     assert res.max_partition_date == dt.date(2024, 1, 19)
     assert res.counts_match and res.src_record_count == spark.read.parquet(cfg.target_path).count()
+
+
+def test_reload_chosen_slices_only(spark, scratch):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    path = scratch("slices")
+    cfg = ExtractionConfig.from_mapping(dict(load_strategy="IO-CDC", select_columns="event_id, event_type",
+                                             cdc_column="ts", cdc_timestamp=dt.datetime(2024, 1, 15),
+                                             cdc_ts_format=FMT, source_partition_column="event_type",
+                                             target_path=path))
+    chosen = spark.createDataFrame([("view",), ("error",)], "event_type string")
+    res = run_extraction(events, cfg, NOW, slices=chosen)
+    expected = events.where((F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+                            & F.col("event_type").isin("view", "error")).count()
+    assert res.src_record_count == res.target_record_count == expected
+    back = spark.read.parquet(path)
+    assert {r.event_type for r in back.select("event_type").distinct().collect()} == {"view", "error"}
