@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 from sluice.functions.keys import job_line_id
 from sluice.functions.timefmt import ts_lit
 
-# Fixed value: description stored with every audit spec row.
+# The description stored with every audit spec row, the status
+# that keeps a header or line row latest, and the status of a new
+# extraction-log row.
 SPEC_DESCRIPTION = "Ingesting into S3 raw"
 RUNNING = "RUNNING"
+COMPLETED = "COMPLETED"
 
 
 def upsert_audit_spec(spec: DataFrame, runs: DataFrame, job_name: str, now: _dt.datetime) -> DataFrame:
@@ -162,7 +165,7 @@ def upsert_extract_log(
     updates: DataFrame,
     keys: list[str],
     now: _dt.datetime,
-    status: str = "COMPLETED",
+    status: str = COMPLETED,
 ) -> DataFrame:
     """R2: merge the newest completion dates into the extraction log.
 

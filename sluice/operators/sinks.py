@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 
 from sluice.functions.timefmt import stamp_text
 
+# The stamp column's name and the reference's cap of 10000 rows
+# per output file.
 EXTRACT_DATE = "EXTRACT_DATE"
-# Fixed value: the reference caps every output file at 10000 rows.
 MAX_RECORDS_PER_FILE = 10000
 
 
