@@ -51,13 +51,18 @@ def quote_literal(value) -> str:
 
 
 def slice_predicate(columns: list[str], values: Iterable) -> str:
-    """``"K1" = 'v1' AND "K2" IS NULL`` for one slice."""
+    """``"K1" = 'v1' AND "K2" IS NULL`` for one slice.
+
+    The column stays bare (no cast around it) so the database can use its
+    indexes or partitions for each slice; the text literal is converted to the
+    column's type by the database, as the reference's slices relied on.
+    """
     terms = []
     for c, v in zip(columns, values):
         if v is None:
             terms.append(f"{quote_identifier(c)} IS NULL")
         else:
-            terms.append(f"CAST({quote_identifier(c)} AS VARCHAR(4000)) = {quote_literal(v)}")
+            terms.append(f"{quote_identifier(c)} = {quote_literal(v)}")
     return " AND ".join(terms)
 
 

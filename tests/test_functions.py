@@ -65,8 +65,8 @@ def test_strategy_enum():
 
 def test_slice_predicate_quotes_and_nulls():
     p = slice_predicate(["Plant", "Kind"], ["O'Brien", None])
-    assert p == "CAST(\"Plant\" AS VARCHAR(4000)) = 'O''Brien' AND \"Kind\" IS NULL"
-    assert slice_predicate(["a"], ["None"]) == "CAST(\"a\" AS VARCHAR(4000)) = 'None'"
+    assert p == "\"Plant\" = 'O''Brien' AND \"Kind\" IS NULL"
+    assert slice_predicate(["a"], ["None"]) == "\"a\" = 'None'"
 
 
 def test_config_bounds_from_text_and_null_text():
