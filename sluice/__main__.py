@@ -32,6 +32,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password-env")
     p.add_argument("--jdbc-driver")
+    p.add_argument("--jdbc-partitions", type=int, default=8,
+                   help="parallel range reads of an unpartitioned config's delta window")
     p.add_argument("--schema")
     p.add_argument("--table")
     p.add_argument("--id")
@@ -77,12 +79,20 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     def source_for(cfg):
         if jdbc is not None:
             from sluice.plans.extract import discover_slices
-            from sluice.sources.jdbc import read_jdbc_table, sliced_jdbc_source
+            from sluice.sources.jdbc import (
+                read_jdbc_table,
+                read_jdbc_window,
+                sliced_jdbc_source,
+                window_partitioning,
+            )
 
             table = f"{cfg.schema_name}.{cfg.table_name}"
             whole = read_jdbc_table(spark, jdbc, table)
             if not cfg.source_partition_column:
-                return whole
+                window = window_partitioning(cfg, now)
+                if window is None or args.jdbc_partitions <= 1:
+                    return whole
+                return read_jdbc_window(spark, jdbc, table, *window, args.jdbc_partitions)
             keys = discover_slices(whole, cfg, now)
             return sliced_jdbc_source(spark, jdbc, table, keys, list(cfg.source_partition_column))
         flat = os.path.join(args.source_root, f"{cfg.table_name}.parquet")

@@ -126,3 +126,52 @@ def sliced_jdbc_source(
     if not preds:
         return read_jdbc_table(spark, options, table)
     return read_jdbc_slices(spark, options, table, preds)
+
+
+def window_partitioning(cfg, now) -> tuple[str, object, object] | None:
+    """``(column, lower, upper)`` for a parallel range read of a config's
+    delta window, or ``None``.
+
+    Only a plain single watermark column of a strategy with a lower bound
+    qualifies; the upper end is the window's end, or ``now`` for an open
+    window.  Spark's first and last range partitions are open-ended, so the
+    ranges only spread the read; the extraction's own filter keeps the
+    result exact.
+    """
+    from sluice.functions.predicates import delta_applies, upper_bound_used
+    from sluice.plans.strategy import DeltaKind
+
+    col = (cfg.cdc_column or "").strip()
+    if not col or any(ch in col for ch in ",+|( "):
+        return None
+    if not delta_applies(cfg.load_strategy, col, cfg.cdc_timestamp, cfg.cdc_ts_format):
+        return None
+    kind = cfg.load_strategy.delta
+    if kind is DeltaKind.EQUAL:
+        return None
+    upper = upper_bound_used(cfg.load_strategy, cfg.to_cdc_timestamp, now) if kind is not DeltaKind.LOWER else now
+    if upper is None or upper <= cfg.cdc_timestamp:
+        return None
+    return col, cfg.cdc_timestamp, upper
+
+
+def window_read_options(options: dict[str, str], table: str, column: str, lower, upper,
+                        num_partitions: int) -> dict[str, str]:
+    """JDBC options for ``num_partitions`` parallel range reads of ``table``."""
+    fmt = "%Y-%m-%d %H:%M:%S"
+    return dict(
+        options,
+        dbtable=table,
+        partitionColumn=column,
+        lowerBound=lower.strftime(fmt),
+        upperBound=upper.strftime(fmt),
+        numPartitions=str(num_partitions),
+    )
+
+
+def read_jdbc_window(spark: SparkSession, options: dict[str, str], table: str, column: str, lower, upper,
+                     num_partitions: int) -> DataFrame:
+    """S1 in parallel: the table read as ``num_partitions`` ranges of ``column``."""
+    return spark.read.format("jdbc").options(
+        **window_read_options(options, table, column, lower, upper, num_partitions)
+    ).load()

@@ -42,3 +42,28 @@ def test_cli_jdbc_options_take_password_from_environment(monkeypatch):
     assert opts == {"url": "jdbc:x://h/db", "fetchsize": "100000", "user": "u", "password": "s3cret"}
     assert jdbc_options_from_args(_parser().parse_args(
         ["--control", "c", "--out", "o", "--source-root", "/d", "--workflow-run-id", "w", "--job-run-id", "j"])) is None
+
+
+def test_window_partitioning_from_config_bounds():
+    import datetime as dt
+
+    from sluice.plans.extract import ExtractionConfig
+
+    now = dt.datetime(2024, 1, 20, 9, 30)
+    fmt = "YYYY-MM-DD HH24:MI:SS"
+    dly = ExtractionConfig.from_mapping(dict(load_strategy="IO-SNAP-DLY", cdc_column="TS", cdc_ts_format=fmt,
+                                             cdc_timestamp=dt.datetime(2024, 1, 10),
+                                             to_cdc_timestamp=dt.datetime(2024, 1, 10, 23, 59, 59)))
+    assert jdbc.window_partitioning(dly, now) == ("TS", dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 10, 23, 59, 59))
+    cdc = ExtractionConfig.from_mapping(dict(load_strategy="IO-CDC", cdc_column="TS", cdc_ts_format=fmt,
+                                             cdc_timestamp=dt.datetime(2024, 1, 10)))
+    assert jdbc.window_partitioning(cdc, now)[2] == now
+    for raw in (dict(load_strategy="IO-SNAP", cdc_column="TS", cdc_ts_format=fmt, cdc_timestamp=now),
+                dict(load_strategy="IO-CDC", cdc_column="A,B", cdc_ts_format=fmt, cdc_timestamp=now),
+                dict(load_strategy="IO", cdc_column="TS", cdc_ts_format=fmt, cdc_timestamp=now),
+                dict(load_strategy="IO-CDC", cdc_column="TS", cdc_timestamp=now)):
+        assert jdbc.window_partitioning(ExtractionConfig.from_mapping(raw), now) is None
+    opts = jdbc.window_read_options({"url": "jdbc:x"}, "S.T", "TS", dt.datetime(2024, 1, 10),
+                                    dt.datetime(2024, 1, 11), 8)
+    assert opts["partitionColumn"] == "TS" and opts["lowerBound"] == "2024-01-10 00:00:00"
+    assert opts["numPartitions"] == "8" and opts["dbtable"] == "S.T"
