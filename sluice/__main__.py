@@ -23,6 +23,9 @@ import os
 import sys
 
 
+JDBC_CATALOG = "sluice_src"
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sluice", description=__doc__.splitlines()[0])
     p.add_argument("--control", required=True)
@@ -76,9 +79,14 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     jdbc = jdbc_options_from_args(args)
 
+    if jdbc is not None:
+        from sluice.sources.jdbc import register_jdbc_catalog
+
+        register_jdbc_catalog(spark, JDBC_CATALOG, jdbc)
+
     def source_for(cfg):
         if jdbc is not None:
-            from sluice.plans.extract import discover_slices
+            from sluice.plans.extract import Source, discover_slices
             from sluice.sources.jdbc import (
                 read_jdbc_table,
                 read_jdbc_window,
@@ -87,14 +95,17 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
             )
 
             table = f"{cfg.schema_name}.{cfg.table_name}"
-            whole = read_jdbc_table(spark, jdbc, table)
+            # The catalog table pushes GROUP BY and MAX into the database:
+            # discovery and TL-AGG's aggregate never stream the table.
+            catalog_table = spark.table(f"{JDBC_CATALOG}.{table}")
             if not cfg.source_partition_column:
                 window = window_partitioning(cfg, now)
                 if window is None or args.jdbc_partitions <= 1:
-                    return whole
-                return read_jdbc_window(spark, jdbc, table, *window, args.jdbc_partitions)
-            keys = discover_slices(whole, cfg, now)
-            return sliced_jdbc_source(spark, jdbc, table, keys, list(cfg.source_partition_column))
+                    return Source(read_jdbc_table(spark, jdbc, table), catalog_table)
+                return Source(read_jdbc_window(spark, jdbc, table, *window, args.jdbc_partitions), catalog_table)
+            keys = discover_slices(catalog_table, cfg, now)
+            rows = sliced_jdbc_source(spark, jdbc, table, keys, list(cfg.source_partition_column))
+            return Source(rows, catalog_table)
         flat = os.path.join(args.source_root, f"{cfg.table_name}.parquet")
         if os.path.exists(flat):
             return spark.read.parquet(flat)

@@ -186,8 +186,24 @@ class ExtractionResult:
         return s != 0 and t != 0 and s == t
 
 
-def row_predicate(source: DataFrame, cfg: ExtractionConfig, now: _dt.datetime) -> Column | None:
-    """P2 AND the strategy's delta term (P3-P9) AND, for TL-AGG, A3."""
+@dataclass(frozen=True)
+class Source:
+    """A source for one config: ``rows`` are read for the extraction;
+    ``aggregates`` (optional) answers TL-AGG's scalar aggregate, e.g. a JDBC
+    catalog table that pushes ``MAX`` into the database."""
+
+    rows: DataFrame
+    aggregates: DataFrame | None = None
+
+
+def row_predicate(
+    source: DataFrame,
+    cfg: ExtractionConfig,
+    now: _dt.datetime,
+    agg_source: DataFrame | None = None,
+) -> Column | None:
+    """P2 AND the strategy's delta term (P3-P9) AND, for TL-AGG, A3 (computed
+    over ``agg_source`` when given, else over ``source``)."""
     static = static_predicate(cfg.query_parameter)
     delta = delta_predicate(
         source,
@@ -200,7 +216,13 @@ def row_predicate(source: DataFrame, cfg: ExtractionConfig, now: _dt.datetime) -
     )
     agg = None
     if cfg.load_strategy.delta is DeltaKind.AGGREGATE:
-        agg = aggregate_filter(source, cfg.agg_column, cfg.agg_column_function, cfg.agg_operation, static)
+        agg = aggregate_filter(
+            source if agg_source is None else agg_source,
+            cfg.agg_column,
+            cfg.agg_column_function,
+            cfg.agg_operation,
+            static,
+        )
     return and_all([static, delta, agg])
 
 
@@ -210,6 +232,7 @@ def plan_extraction(
     now: _dt.datetime,
     observe_partition_date: bool = False,
     slices: DataFrame | None = None,
+    agg_source: DataFrame | None = None,
 ) -> ExtractionPlan:
     """Compose the lazy plan.  With ``observe_partition_date`` an
     ``IO-SNAP-MAX-CDC`` partitioned run also observes its newest partition
@@ -221,7 +244,7 @@ def plan_extraction(
     slices, e.g. to re-extract only some partitions; null-safe semi-join (A2).
     """
     validate(cfg)
-    pred = row_predicate(source, cfg, now)
+    pred = row_predicate(source, cfg, now, agg_source)
     filtered = source if pred is None else source.where(pred)
     if slices is not None:
         if not cfg.source_partition_column:
@@ -272,6 +295,7 @@ def run_extraction(
     now: _dt.datetime,
     read_ts: _dt.datetime | None = None,
     slices: DataFrame | None = None,
+    agg_source: DataFrame | None = None,
 ) -> ExtractionResult:
     """Plan, write once, and report counts observed in the same pass.
 
@@ -279,7 +303,7 @@ def run_extraction(
     so rows committed during the read are picked up by the next run.
     """
     read_ts = read_ts or now
-    plan = plan_extraction(source, cfg, now, observe_partition_date=True, slices=slices)
+    plan = plan_extraction(source, cfg, now, observe_partition_date=True, slices=slices, agg_source=agg_source)
     if plan.sink is None:
         raise ConfigError("config has no target path")
     strategy = cfg.load_strategy
@@ -334,7 +358,9 @@ def result_row(spark: SparkSession, result: ExtractionResult, now: _dt.datetime)
     return df.withColumn("gate", reconcile_gate(F.col("src_record_count"), F.col("target_record_count")))
 
 
-def discover_slices(source: DataFrame, cfg: ExtractionConfig, now: _dt.datetime) -> DataFrame:
+def discover_slices(
+    source: DataFrame, cfg: ExtractionConfig, now: _dt.datetime, agg_source: DataFrame | None = None
+) -> DataFrame:
     """A1/A4: the distinct partition keys (as strings) the extraction covers.
 
     Same predicate as the extraction (``TL-SRC-TGT`` has no delta term;
@@ -344,4 +370,4 @@ def discover_slices(source: DataFrame, cfg: ExtractionConfig, now: _dt.datetime)
 
     agg = cfg.agg_column if cfg.load_strategy is LoadStrategy.TL_AGG else None
     cols = partition_key_columns(list(cfg.source_partition_column), agg)
-    return discover_partitions(source, cols, row_predicate(source, cfg, now))
+    return discover_partitions(source, cols, row_predicate(source, cfg, now, agg_source))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import audit, config as cfgops, counts, restart, watermark
-from sluice.plans.extract import ExtractionConfig, ExtractionResult, run_extraction
+from sluice.plans.extract import ExtractionConfig, ExtractionResult, Source, run_extraction
 from sluice.plans.fixtures import scratch_dir
 from sluice.operators.audit import RUNNING
 from sluice.sources import control
@@ -99,7 +99,8 @@ def run_requests(
     ``requests`` columns: ``request_id, manual_flag, schema_name, table_name,
     config_id, cloudwatch_event_name, workflow_run_id, job_run_id``.
     ``source_for`` returns the source DataFrame of a config (Parquet, or a
-    JDBC table whose filters Spark pushes down).
+    JDBC table whose filters Spark pushes down), or a ``Source`` pairing the
+    rows with a frame for TL-AGG's aggregate.
     """
     matches = cfgops.lookup_configs(tables.config, requests.drop("workflow_run_id", "job_run_id"))
     verdicts = cfgops.check_requests(requests, matches)  # C2
@@ -168,7 +169,12 @@ def run_requests(
             cfg = ExtractionConfig.from_mapping(r.asDict())
             if target_path_for is not None:
                 cfg = cfg.with_path(target_path_for(cfg))
-            return r["id"], run_extraction(source_for(cfg), cfg, now), None
+            src = source_for(cfg)
+            if isinstance(src, Source):
+                res = run_extraction(src.rows, cfg, now, agg_source=src.aggregates)
+            else:
+                res = run_extraction(src, cfg, now)
+            return r["id"], res, None
         except Exception as exc:  # every failure leaves a restart row (fixes #17)
             return r["id"], None, f"{type(exc).__name__}: {exc}"
 

@@ -114,3 +114,15 @@ def test_reload_chosen_slices_only(spark, scratch):
     assert res.src_record_count == res.target_record_count == expected
     back = spark.read.parquet(path)
     assert {r.event_type for r in back.select("event_type").distinct().collect()} == {"view", "error"}
+
+
+def test_tl_agg_aggregate_from_a_separate_source(spark, scratch):
+    # The aggregate frame decides the threshold; rows come from the row frame.
+    lineitem = spark.read.parquet(f"{SF}/lineitem.parquet")
+    cfg = ExtractionConfig.from_mapping(dict(load_strategy="TL-AGG", select_columns="l_orderkey, l_shipdate",
+                                             agg_column="l_shipdate", agg_column_function="max", agg_operation="=",
+                                             target_path=scratch("agg")))
+    older = lineitem.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    res = run_extraction(lineitem, cfg, NOW, agg_source=older)
+    newest_old = older.agg(F.max("l_shipdate")).first()[0]
+    assert res.src_record_count == lineitem.where(F.col("l_shipdate") == newest_old).count() > 0
