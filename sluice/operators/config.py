@@ -13,6 +13,8 @@ nested loop:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,30 @@ from pyspark.sql import functions as F
 # watermark column, as the reference's config step applies them.
 DEFAULT_QUERY_PARAMETER = " 1=1 "
 PLUS_REWRITE = "||' '||"
+# Fixed value: the scheme the reference puts in front of a bare bucket name.
+BUCKET_SCHEME = "s3://"
+_HAS_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+
+
+def target_path_text(bucket: str | None, prefix: str | None) -> str | None:
+    """``{bucket}/{prefix}``; a bare bucket name gets the reference's scheme,
+    a URI or an absolute path is kept as given."""
+    if not bucket or not prefix:
+        return None
+    b = str(bucket).rstrip("/")
+    if not re.match(_HAS_SCHEME, b) and not b.startswith("/"):
+        b = BUCKET_SCHEME + b
+    return f"{b}/{str(prefix).strip('/')}"
+
+
+def target_path_column(bucket: Column, prefix: Column) -> Column:
+    """Column form of :func:`target_path_text`."""
+    b = F.regexp_replace(bucket, "/+$", "")
+    b = F.when(b.rlike(_HAS_SCHEME) | b.startswith("/"), b).otherwise(F.concat(F.lit(BUCKET_SCHEME), b))
+    p = F.regexp_replace(prefix, "^/+|/+$", "")
+    return F.when(bucket.isNull() | prefix.isNull() | (bucket == "") | (prefix == ""), F.lit(None)).otherwise(
+        F.concat(b, F.lit("/"), p)
+    )
 
 _SEP = "\u0001"
 # Run requests broadcast to the config table only up to this many (checked
@@ -142,5 +168,5 @@ def normalise_configs(configs: DataFrame) -> DataFrame:
             ).otherwise(F.col("cdc_timestamp")),
         )
     if "curate_bucket" in cols and "curate_prefix" in cols:
-        out = out.withColumn("target_path", F.concat_ws("/", F.col("curate_bucket"), F.col("curate_prefix")))
+        out = out.withColumn("target_path", target_path_column(F.col("curate_bucket"), F.col("curate_prefix")))
     return out

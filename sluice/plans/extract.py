@@ -40,7 +40,7 @@ from sluice.functions.predicates import (
     static_predicate,
     upper_bound_used,
 )
-from sluice.operators.config import DEFAULT_QUERY_PARAMETER, PLUS_REWRITE
+from sluice.operators.config import DEFAULT_QUERY_PARAMETER, PLUS_REWRITE, target_path_text
 from sluice.operators.counts import observe_counts, reconcile_gate
 from sluice.operators.dedup import dedup_primary_keys
 from sluice.operators.partitions import aggregate_filter, restrict_to_partitions
@@ -102,9 +102,7 @@ class ExtractionConfig:
                 minutes = None
             if minutes is not None:
                 ts = ts - _dt.timedelta(minutes=minutes)
-        path = raw.get("target_path")
-        if path is None and raw.get("curate_bucket") and raw.get("curate_prefix"):
-            path = f"{raw['curate_bucket']}/{raw['curate_prefix']}"
+        path = raw.get("target_path") or target_path_text(raw.get("curate_bucket"), raw.get("curate_prefix"))
         return cls(
             load_strategy=strategy,
             id=raw.get("id"),

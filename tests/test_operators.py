@@ -222,3 +222,16 @@ def test_two_current_runs_of_one_config_do_not_multiply_rows(spark):
                                 "schema_name string, table_name string, delta_completion_date date")
     out = audit.upsert_extract_log(log, upd, ["schema_name", "table_name"], NOW).collect()
     assert len(out) == 1 and out[0].delta_completion_date == dt.date(2024, 1, 5) and out[0].action == "UPDATE"
+
+
+def test_target_path_rules_agree(spark):
+    from sluice.operators.config import target_path_text
+
+    cases = [("bucket", "raw/t1"), ("s3a://b", "/p/"), ("/data/out", "t"), ("file:/tmp/x/", "y"), (None, "p"), ("b", "")]
+    df = spark.createDataFrame(cases, "curate_bucket string, curate_prefix string")
+    got = [r.target_path for r in cfgops.normalise_configs(df).collect()]
+    assert got == [target_path_text(b, p) for b, p in cases]
+    assert got[:4] == ["s3://bucket/raw/t1", "s3a://b/p", "/data/out/t", "file:/tmp/x/y"]
+    assert got[4] is None and got[5] is None
+    assert ExtractionConfig.from_mapping(dict(load_strategy="IO", curate_bucket="bucket",
+                                              curate_prefix="raw/t1")).target_path == "s3://bucket/raw/t1"
