@@ -19,6 +19,15 @@ Layout:
 """
 
 from sluice.plans.strategy import LoadStrategy
-from sluice.plans.extract import ExtractionConfig, plan_extraction, run_extraction
+from sluice.plans.extract import ExtractionConfig, Source, plan_extraction, run_extraction
+from sluice.plans.job import ControlTables, run_requests
 
-__all__ = ["LoadStrategy", "ExtractionConfig", "plan_extraction", "run_extraction"]
+__all__ = [
+    "LoadStrategy",
+    "ExtractionConfig",
+    "Source",
+    "plan_extraction",
+    "run_extraction",
+    "ControlTables",
+    "run_requests",
+]
