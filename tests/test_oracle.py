@@ -30,3 +30,22 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()
     assert len(rows) == 1 and rows[0].counts_match
+
+
+TIME_SENSITIVE = ["delta_closed_window", "delta_multi_column", "delta_plus_composite", "overlap_shift",
+                  "partition_discovery_date", "advance_watermark", "config_normalise", "sink_append_extract_date"]
+
+
+@pytest.mark.parametrize("name", TIME_SENSITIVE)
+def test_results_do_not_depend_on_session_zone_or_ansi(spark, con, name):
+    old_tz = spark.conf.get("spark.sql.session.timeZone")
+    old_ansi = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        df = entry_mod.queries()[name](spark, SF)
+        problems, _, _ = compare(df, con, entry_mod.oracle_sql()[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old_tz)
+        spark.conf.set("spark.sql.ansi.enabled", old_ansi)
+    assert not problems, problems
