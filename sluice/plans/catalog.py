@@ -29,8 +29,8 @@ from sluice.plans.fixtures import (
     audit_header_from_orders,
     audit_lines_from_orders,
     derived_configs,
-    scratch_path,
 )
+from sluice.plans.scratch import scratch_path
 from sluice.sources.parquet import read_table
 
 dt = _dt.datetime

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sluice.operators.watermark import advance_watermark
 from sluice.plans.extract import ExtractionConfig, result_row, run_extraction
-from sluice.plans.fixtures import FMT, NOW, scratch_path
+from sluice.plans.fixtures import FMT, NOW
+from sluice.plans.scratch import scratch_path
 from sluice.sources.parquet import read_table
 
 

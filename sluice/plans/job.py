@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import audit, config as cfgops, counts, restart, watermark
 from sluice.plans.extract import ExtractionConfig, ExtractionResult, Source, run_extraction
-from sluice.plans.fixtures import scratch_dir
+from sluice.plans.scratch import scratch_dir
 from sluice.operators.audit import RUNNING
 from sluice.sources import control
 

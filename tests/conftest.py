@@ -34,6 +34,6 @@ def spark():
 
 @pytest.fixture
 def scratch(spark):
-    from sluice.plans.fixtures import scratch_path
+    from sluice.plans.scratch import scratch_path
 
     return lambda label="t": scratch_path(spark, label)
