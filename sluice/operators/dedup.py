@@ -38,7 +38,8 @@ def dedup_primary_keys(
     """One row per ``keys``.
 
     ``order_by`` names the tie-break columns, compared first; the remaining
-    non-key columns follow in schema order, so the choice is total.  With
+    non-key columns follow in schema order, so the choice is total.  Values
+    compare as in Spark's ascending sort (a null sorts first).  With
     ``count_source`` an extra ``__source_rows`` column carries how many input
     rows each output row stands for, so the source count can be observed
     after the shuffle, in the stage that writes (see ``operators.counts``).

@@ -48,7 +48,7 @@ COMPARISONS = {
 def partition_key_columns(columns: str | list[str] | None, agg_column: str | None = None) -> list[str]:
     """Source partition columns, with the TL-AGG column appended (A4)."""
     cols = split_names(columns)
-    if agg_column and agg_column.strip():
+    if agg_column and agg_column.strip() and agg_column.strip() not in cols:
         cols = cols + [agg_column.strip()]
     return cols
 

@@ -235,3 +235,9 @@ def test_target_path_rules_agree(spark):
     assert got[4] is None and got[5] is None
     assert ExtractionConfig.from_mapping(dict(load_strategy="IO", curate_bucket="bucket",
                                               curate_prefix="raw/t1")).target_path == "s3://bucket/raw/t1"
+
+
+def test_tl_agg_column_already_a_partition_column():
+    assert partitions.partition_key_columns("a, d", "d") == ["a", "d"]
+    assert partitions.partition_key_columns("a", " d ") == ["a", "d"]
+    assert partitions.partition_key_columns(None, None) == []
