@@ -93,9 +93,10 @@ def aggregate_filter(
         raise ConfigError(f"unsupported agg_operation {agg_operation!r}")
     if not agg_column or not agg_column.strip():
         raise ConfigError("TL-AGG needs agg_column")
+    col = agg_column.strip()
     scope = source if static is None else source.where(static)
-    value = scope.select(fn(F.col(agg_column)).alias("v")).scalar()
-    return op(F.col(agg_column), value)
+    value = scope.select(fn(F.col(col)).alias("v")).scalar()
+    return op(F.col(col), value)
 
 
 def max_partition_date(keys: DataFrame, column: str) -> DataFrame:
