@@ -23,6 +23,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.timefmt import ts_lit
 from sluice.operators import audit, config as cfgops, counts, restart, watermark
 from sluice.plans.extract import ExtractionConfig, ExtractionResult, Source, run_extraction
 from sluice.plans.scratch import scratch_dir
@@ -131,7 +132,7 @@ def run_requests(
     header = audit.append_header(
         header,
         current.withColumn("workflow_header_status", F.lit(RUNNING)).withColumn(
-            "workflow_start_ts", F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+            "workflow_start_ts", ts_lit(now)
         ),
         now,
     )
@@ -140,7 +141,7 @@ def run_requests(
     line_runs = runs.select(
         F.col("id").alias("audit_id"),
         "audit_line_job_id",
-        F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz").alias("job_start_ts"),
+        ts_lit(now).alias("job_start_ts"),
         "job_run_id",
         F.lit(RUNNING).alias("job_status"),
     )
