@@ -24,6 +24,10 @@ import sys
 
 
 JDBC_CATALOG = "sluice_src"
+REQUEST_SCHEMA = (
+    "request_id string, manual_flag string, schema_name string, table_name string, config_id string, "
+    "cloudwatch_event_name string, workflow_run_id string, job_run_id string"
+)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -41,8 +45,11 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--table")
     p.add_argument("--id")
     p.add_argument("--event")
-    p.add_argument("--workflow-run-id", required=True)
-    p.add_argument("--job-run-id", required=True)
+    p.add_argument("--workflow-run-id")
+    p.add_argument("--job-run-id")
+    p.add_argument("--requests", help="JSON-lines file of run requests (one object per line, same fields "
+                                      "as the single-request options) run in one application")
+    p.add_argument("--parallel", type=int, default=1, help="concurrent extractions for --requests")
     p.add_argument("--job-name", default="sluice-extract")
     p.add_argument("--now")
     p.add_argument("--target-root")
@@ -70,12 +77,16 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         SparkSession.builder.appName("sluice").config("spark.ui.enabled", "false").getOrCreate()
     )
     now = _dt.datetime.fromisoformat(args.now) if args.now else _dt.datetime.now().replace(microsecond=0)
-    manual = "N" if args.event else "Y"
-    request = spark.createDataFrame(
-        [("cli", manual, args.schema, args.table, args.id, args.event, args.workflow_run_id, args.job_run_id)],
-        "request_id string, manual_flag string, schema_name string, table_name string, config_id string, "
-        "cloudwatch_event_name string, workflow_run_id string, job_run_id string",
-    )
+    if args.requests:
+        request = spark.read.schema(REQUEST_SCHEMA).json(args.requests)
+    else:
+        if not (args.workflow_run_id and args.job_run_id):
+            raise SystemExit("--workflow-run-id and --job-run-id are required for a single request")
+        manual = "N" if args.event else "Y"
+        request = spark.createDataFrame(
+            [("cli", manual, args.schema, args.table, args.id, args.event, args.workflow_run_id, args.job_run_id)],
+            REQUEST_SCHEMA,
+        )
 
     jdbc = jdbc_options_from_args(args)
 
@@ -113,15 +124,31 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     target_for = (lambda c: f"{args.target_root.rstrip('/')}/{c.id}") if args.target_root else None
     outcome = run_requests(
-        spark, read_control_tables(spark, args.control), request, source_for, args.job_name, now, target_for
+        spark,
+        read_control_tables(spark, args.control),
+        request,
+        source_for,
+        args.job_name,
+        now,
+        target_for,
+        max_parallel=args.parallel,
     )
     write_control_tables(outcome.tables, args.out)
-    row = outcome.runs.first().asDict()
-    summary = {k: (v.isoformat(sep=" ") if isinstance(v, (_dt.datetime, _dt.date)) else v) for k, v in row.items()}
-    print(json.dumps(summary))
-    return summary
+    summaries = []
+    for row in outcome.runs.collect():  # one row per request
+        d = row.asDict()
+        summaries.append({k: (v.isoformat(sep=" ") if isinstance(v, (_dt.datetime, _dt.date)) else v)
+                          for k, v in d.items()})
+    for summary in summaries:
+        print(json.dumps(summary))
+    return summaries[0] if len(summaries) == 1 else {"runs": summaries}
+
+
+def _ok(summary: dict) -> bool:
+    return summary.get("verdict") == "OK" and not summary.get("error")
 
 
 if __name__ == "__main__":
     result = main()
-    sys.exit(0 if result.get("verdict") == "OK" and not result.get("error") else 1)
+    runs = result.get("runs", [result])
+    sys.exit(0 if all(_ok(r) for r in runs) else 1)

@@ -120,3 +120,29 @@ def test_command_line_run(spark, setup, scratch):
     assert summary["next_cdc_ts"] == "2024-01-11 00:00:00"
     log = spark.read.parquet(f"{out}/watermark_log").collect()
     assert [r.audit_id for r in log] == ["c4"]
+
+
+def test_command_line_many_requests(spark, setup, scratch):
+    import json
+    import os
+
+    from sluice.__main__ import main
+    from sluice.plans.job import write_control_tables
+
+    config, tables, _ = setup
+    root, out = scratch("ctlm"), scratch("ctlm2")
+    write_control_tables(tables, root)
+    req_dir = scratch("reqs")
+    local = req_dir[len("file:"):] if req_dir.startswith("file:") else req_dir
+    os.makedirs(local, exist_ok=True)
+    with open(os.path.join(local, "requests.json"), "w") as f:
+        for cid, table in (("c3", "events"), ("c8", "events"), ("c2", "orders")):
+            f.write(json.dumps(dict(request_id=f"r-{cid}", manual_flag="Y", schema_name="SRC", table_name=table,
+                                    config_id=cid, workflow_run_id=f"wf-{cid}", job_run_id=f"jr-{cid}")) + "\n")
+    result = main(["--control", root, "--out", out, "--source-root", SF, "--requests",
+                   os.path.join(local, "requests.json"), "--parallel", "3", "--now", "2024-01-20T09:30:00",
+                   "--target-root", scratch("cli-many")], spark=spark)
+    runs = {r["request_id"]: r for r in result["runs"]}
+    assert set(runs) == {"r-c3", "r-c8", "r-c2"}
+    assert all(r["verdict"] == "OK" and r["is_extracted"] for r in runs.values())
+    assert sorted(r.audit_id for r in spark.read.parquet(f"{out}/watermark_log").collect()) == ["c2", "c3", "c8"]
