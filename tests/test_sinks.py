@@ -144,3 +144,14 @@ def test_partitioned_tl_agg_equals_unpartitioned(spark, scratch):
     from sluice.plans.extract import discover_slices
     keys = discover_slices(lineitem, sliced_cfg, NOW)
     assert keys.columns == ["l_linestatus", "l_shipdate"]  # A4: the aggregate column joins the keys
+
+
+def test_counts_of_a_plan_folded_to_empty(spark, scratch):
+    # `1=0` lets Catalyst replace the scan with an empty relation; the
+    # observation must still report (0, 0) instead of waiting forever.
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    for extra in ({}, {"primary_keys": "event_id"}):
+        cfg = ExtractionConfig.from_mapping(dict(load_strategy="TL-SRC-TGT", select_columns="event_id",
+                                                 query_parameter="1=0", target_path=scratch("folded"), **extra))
+        res = run_extraction(events, cfg, NOW)
+        assert (res.src_record_count, res.target_record_count, res.is_extracted) == (0, 0, False)
