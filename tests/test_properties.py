@@ -80,3 +80,44 @@ def test_delta_predicate_matches_brute_force(spark, strategy, lo, span, overlap)
     }[strategy]
     got = {r.event_id for r in plan_extraction(events, cfg, NOW).selected.collect()}
     assert got == {i for i, t in rows if rule(t)}
+
+
+def test_watermark_advance_matches_a_model_of_the_rules(spark):
+    import random
+
+    from sluice.operators.watermark import advance_watermark
+
+    rng = random.Random(11)
+    names = ["IO", "IO-SNAP", "IO-CDC", "TL-CDC", "IO-SNAP-DLY", "IO-SNAP-MAX-CDC", "IO-CUSTOM-CDC", "TL-SRC-TGT",
+             "TL-AGG"]
+    rows = []
+    for i in range(150):
+        lo = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rng.randrange(0, 400 * 86400))
+        hi = lo + dt.timedelta(seconds=rng.randrange(0, 3 * 86400))
+        mx = dt.date(2024, 2, 27) + dt.timedelta(days=rng.randrange(0, 400)) if rng.random() < 0.8 else None
+        rows.append((str(i), rng.choice(names), lo, hi, mx, rng.random() < 0.5, rng.random() < 0.9))
+    now = dt.datetime(2024, 3, 1, 9, 30)
+    df = spark.createDataFrame(rows, "id string, load_strategy string, cdc_timestamp timestamp_ntz, "
+                                     "to_cdc_timestamp timestamp_ntz, max_value date, gate boolean, is_extracted boolean")
+    got = {r.id: (r.next_cdc_ts, r.next_to_ts) for r in advance_watermark(df, now).collect()}
+    day = dt.timedelta(days=1)
+
+    def midnight(d):
+        return dt.datetime(d.year, d.month, d.day)
+
+    def model(s, lo, hi, mx, gate, extracted):
+        if not extracted:
+            return (None, None)
+        if s == "IO-SNAP":
+            return (lo + day, None)
+        if s == "IO-SNAP-DLY":
+            return (midnight(hi + day), hi + day)
+        if s in ("IO-CDC", "TL-CDC"):
+            return (now, None)
+        if s == "IO-SNAP-MAX-CDC" and gate and mx is not None:
+            return (midnight(mx + day), midnight(mx + day) + dt.timedelta(seconds=86399))
+        if s == "IO-CUSTOM-CDC" and gate:
+            return (midnight(now), midnight(now) + dt.timedelta(seconds=86399))
+        return (None, None)
+
+    assert all(got[r[0]] == model(*r[1:]) for r in rows)
