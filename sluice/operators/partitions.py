@@ -83,8 +83,15 @@ def aggregate_filter(
     agg_function: str,
     agg_operation: str,
     static: Column | None = None,
+    materialize: bool = False,
 ) -> Column:
-    """A3: ``agg_column <op> (select fn(agg_column) from source where static)``."""
+    """A3: ``agg_column <op> (select fn(agg_column) from source where static)``.
+
+    With ``materialize`` the one-row aggregate is computed once into a
+    reliable checkpoint (``spark.checkpoint.dir``), for runs that evaluate the
+    filter in more than one action; the subquery then reads that row instead
+    of scanning the source again.
+    """
     fn = AGG_FUNCTIONS.get(str(agg_function or "").strip().lower())
     op = COMPARISONS.get(str(agg_operation or "").strip())
     if fn is None:
@@ -95,8 +102,13 @@ def aggregate_filter(
         raise ConfigError("TL-AGG needs agg_column")
     col = agg_column.strip()
     scope = source if static is None else source.where(static)
-    value = scope.select(fn(F.col(col)).alias("v")).scalar()
-    return op(F.col(col), value)
+    one_row = scope.select(fn(F.col(col)).alias("v"))
+    if materialize:
+        from sluice.plans.scratch import scratch_dir
+
+        scratch_dir(source.sparkSession)
+        one_row = one_row.checkpoint(eager=True)
+    return op(F.col(col), one_row.scalar())
 
 
 def max_partition_date(keys: DataFrame, column: str) -> DataFrame:

@@ -199,6 +199,7 @@ def row_predicate(
     cfg: ExtractionConfig,
     now: _dt.datetime,
     agg_source: DataFrame | None = None,
+    materialize_aggregate: bool = False,
 ) -> Column | None:
     """P2 AND the strategy's delta term (P3-P9) AND, for TL-AGG, A3 (computed
     over ``agg_source`` when given, else over ``source``)."""
@@ -220,6 +221,7 @@ def row_predicate(
             cfg.agg_column_function,
             cfg.agg_operation,
             static,
+            materialize=materialize_aggregate,
         )
     return and_all([static, delta, agg])
 
@@ -231,6 +233,7 @@ def plan_extraction(
     observe_partition_date: bool = False,
     slices: DataFrame | None = None,
     agg_source: DataFrame | None = None,
+    materialize_aggregate: bool = False,
 ) -> ExtractionPlan:
     """Compose the lazy plan.  With ``observe_partition_date`` an
     ``IO-SNAP-MAX-CDC`` partitioned run also observes its newest partition
@@ -242,7 +245,7 @@ def plan_extraction(
     slices, e.g. to re-extract only some partitions; null-safe semi-join (A2).
     """
     validate(cfg)
-    pred = row_predicate(source, cfg, now, agg_source)
+    pred = row_predicate(source, cfg, now, agg_source, materialize_aggregate)
     filtered = source if pred is None else source.where(pred)
     if slices is not None:
         if not cfg.source_partition_column:
@@ -301,14 +304,25 @@ def run_extraction(
     so rows committed during the read are picked up by the next run.
     """
     read_ts = read_ts or now
-    plan = plan_extraction(source, cfg, now, observe_partition_date=True, slices=slices, agg_source=agg_source)
+    strategy = cfg.load_strategy
+    partitioned = bool(cfg.source_partition_column)
+    # A partitioned truncate-and-load checks for rows before writing: two
+    # actions, so TL-AGG's one-row aggregate is computed once for both.
+    two_actions = partitioned and strategy.overwrites
+    plan = plan_extraction(
+        source,
+        cfg,
+        now,
+        observe_partition_date=True,
+        slices=slices,
+        agg_source=agg_source,
+        materialize_aggregate=two_actions and strategy is LoadStrategy.TL_AGG,
+    )
     if plan.sink is None:
         raise ConfigError("config has no target path")
-    strategy = cfg.load_strategy
     upper = upper_bound_used(strategy, cfg.to_cdc_timestamp, now)
 
-    partitioned = bool(cfg.source_partition_column)
-    if partitioned and strategy.overwrites and plan.selected.isEmpty():
+    if two_actions and plan.selected.isEmpty():
         # Kept from the reference: a partitioned truncate-and-load with no
         # slices writes nothing, so the previous target stays.
         return ExtractionResult(cfg, 0, 0, False, read_ts, upper, None, wrote=False)

@@ -241,3 +241,13 @@ def test_tl_agg_column_already_a_partition_column():
     assert partitions.partition_key_columns("a, d", "d") == ["a", "d"]
     assert partitions.partition_key_columns("a", " d ") == ["a", "d"]
     assert partitions.partition_key_columns(None, None) == []
+
+
+def test_materialized_aggregate_filter_matches_lazy(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    static = F.col("l_returnflag") == "N"
+    lazy = partitions.aggregate_filter(li, "l_shipdate", "max", "=", static)
+    eager = partitions.aggregate_filter(li, "l_shipdate", "max", "=", static, materialize=True)
+    a = li.where(static & lazy).select("l_orderkey", "l_linenumber")
+    b = li.where(static & eager).select("l_orderkey", "l_linenumber")
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
