@@ -122,9 +122,22 @@ def set_header_counts(
 
 
 def header_counts(header: DataFrame, runs: DataFrame) -> DataFrame:
-    """The counts on the latest header row of each run (feeds R1)."""
-    latest = header.where(F.col("latest_record_ind") == 1).select(
-        "audit_id", "workflow_run_id", "src_record_count", "target_record_count"
+    """The counts on the latest header row of each run (feeds R1).
+
+    Several latest rows for one run (a rerun under the same run id) are
+    folded to one, keeping the newest counts, so each run gets one row.
+    """
+    if "insert_timestamp" in header.columns:
+        def newest(c):
+            return F.max_by(c, "insert_timestamp").alias(c)
+    else:
+        def newest(c):
+            return F.max(c).alias(c)
+
+    latest = (
+        header.where(F.col("latest_record_ind") == 1)
+        .groupBy("audit_id", "workflow_run_id")
+        .agg(newest("src_record_count"), newest("target_record_count"))
     )
     return runs.select("audit_id", "workflow_run_id").join(latest, ["audit_id", "workflow_run_id"], "left")
 

@@ -251,3 +251,13 @@ def test_materialized_aggregate_filter_matches_lazy(spark):
     a = li.where(static & lazy).select("l_orderkey", "l_linenumber")
     b = li.where(static & eager).select("l_orderkey", "l_linenumber")
     assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+
+
+def test_header_counts_one_row_per_run(spark):
+    hdr = spark.createDataFrame(
+        [("a", "r1", 1, 5, 5, dt.datetime(2024, 1, 1)), ("a", "r1", 1, 7, 6, dt.datetime(2024, 1, 2))],
+        "audit_id string, workflow_run_id string, latest_record_ind int, src_record_count long, "
+        "target_record_count long, insert_timestamp timestamp_ntz")
+    runs = spark.createDataFrame([("a", "r1")], "audit_id string, workflow_run_id string")
+    rows = audit.header_counts(hdr, runs).collect()
+    assert [(r.src_record_count, r.target_record_count) for r in rows] == [(7, 6)]
