@@ -103,10 +103,10 @@ def set_header_counts(
     ``counts`` columns: ``keys + [src_record_count, target_record_count]``.
     Rows of other runs keep their counts.
     """
-    c = counts.select(
-        *keys,
-        F.col("src_record_count").alias("__src"),
-        F.col("target_record_count").alias("__tgt"),
+    # one counts row per run, so the join never multiplies header rows
+    c = counts.groupBy(*keys).agg(
+        F.max("src_record_count").alias("__src"),
+        F.max("target_record_count").alias("__tgt"),
     )
     joined = header.join(c, list(keys), "left")
     hit = F.col("__src").isNotNull() & (F.col("latest_record_ind") == 1)

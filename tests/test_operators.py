@@ -261,3 +261,11 @@ def test_header_counts_one_row_per_run(spark):
     runs = spark.createDataFrame([("a", "r1")], "audit_id string, workflow_run_id string")
     rows = audit.header_counts(hdr, runs).collect()
     assert [(r.src_record_count, r.target_record_count) for r in rows] == [(7, 6)]
+
+
+def test_set_header_counts_with_duplicate_count_rows(spark):
+    hdr = spark.createDataFrame([("a", "r1", 1, 0, 0)], "audit_id string, workflow_run_id string, "
+                                "latest_record_ind int, src_record_count long, target_record_count long")
+    c = spark.createDataFrame([("a", "r1", 4, 4), ("a", "r1", 4, 4)], "audit_id string, workflow_run_id string, "
+                              "src_record_count long, target_record_count long")
+    assert [tuple(r) for r in audit.set_header_counts(hdr, c).collect()] == [("a", "r1", 1, 4, 4)]
