@@ -47,12 +47,18 @@ def test_discovery_with_a_hot_value_is_partially_aggregated(spark, hot_lineitem)
 
 
 def test_no_registered_query_uses_a_cross_or_nested_loop_join(spark):
-    # Run each query first so that AQE's final plan (what actually ran) is checked.
+    # Run each query first so that AQE's final plan (what actually ran) is
+    # checked.  Also: whatever goes through a single partition is a partial
+    # aggregate (one row per task), never raw rows.
     for name, fn in entry_mod.queries().items():
         df = fn(spark, "/root/testdata/sf0.001")
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                assert "partial_" in lines[i + 1], (name, lines[i + 1])
 
 
 def test_salted_clustering_bounds_files_per_value(spark, scratch, hot_lineitem):
