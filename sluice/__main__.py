@@ -1,4 +1,4 @@
-"""Command line: run one request against versioned control tables.
+"""Command line: run extraction requests against versioned control tables.
 
     python -m sluice --control ROOT --out NEW_ROOT --source-root DIR \\
         (--schema S --table T [--id ID] | --event NAME) \\
