@@ -1 +1,11 @@
-"""Operators for preparing training data, each a Spark job over whole tables."""
+"""Operators for preparing training data, each a Spark job over whole tables.
+
+The functions that run inside tasks are pickled by value, so executors need
+numpy and pyarrow but not this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from sluice.llm import mixing, sharding
+from sluice.llm import mixing, neardup, sharding
 
 QUERIES = {
     "op1_pareto_mix": mixing.op1_pareto_mix,
+    "op4_minhash_near_dup": neardup.op4_minhash_near_dup,
     "op9_histogram_shards": sharding.op9_histogram_shards,
 }
 
 ORACLE = {
     "op1_pareto_mix": mixing.ORACLE,
+    "op4_minhash_near_dup": neardup.ORACLE,
     "op9_histogram_shards": sharding.ORACLE,
 }
