@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sluice.llm import langid, mixing, neardup, sharding
+from sluice.llm import langid, mixing, neardup, sharding, toxicity
 
 QUERIES = {
     "op1_pareto_mix": mixing.op1_pareto_mix,
     "op4_minhash_near_dup": neardup.op4_minhash_near_dup,
     "op8_language_id": langid.op8_language_id,
     "op9_histogram_shards": sharding.op9_histogram_shards,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE = {
