@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sluice.llm import langid, mixing, neardup, sharding, toxicity
+from sluice.llm import langid, mixing, neardup, pii, sharding, toxicity
 
 QUERIES = {
     "op1_pareto_mix": mixing.op1_pareto_mix,
+    "op3_personal_data": pii.op3_personal_data,
     "op4_minhash_near_dup": neardup.op4_minhash_near_dup,
     "op8_language_id": langid.op8_language_id,
     "op9_histogram_shards": sharding.op9_histogram_shards,
