@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from sluice.llm import langid, mixing, neardup, pii, sharding, toxicity
+from sluice.llm import embeddings, langid, mixing, neardup, pii, sharding, toxicity
 
 QUERIES = {
     "op1_pareto_mix": mixing.op1_pareto_mix,
     "op3_personal_data": pii.op3_personal_data,
     "op4_minhash_near_dup": neardup.op4_minhash_near_dup,
+    "op7_embedding_links": embeddings.op7_embedding_links,
     "op8_language_id": langid.op8_language_id,
     "op9_histogram_shards": sharding.op9_histogram_shards,
     "op10_toxicity": toxicity.op10_toxicity,
@@ -16,5 +17,6 @@ QUERIES = {
 ORACLE = {
     "op1_pareto_mix": mixing.ORACLE,
     "op4_minhash_near_dup": neardup.ORACLE,
+    "op7_embedding_links": embeddings.ORACLE,
     "op9_histogram_shards": sharding.ORACLE,
 }
