@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sluice.llm import embeddings, langid, mixing, neardup, pii, sharding, toxicity
+from sluice.llm import contamination, embeddings, langid, mixing, neardup, pii, sharding, toxicity
 
 QUERIES = {
     "op1_pareto_mix": mixing.op1_pareto_mix,
+    "op2_bm25_decontamination": contamination.op2_bm25_decontamination,
     "op3_personal_data": pii.op3_personal_data,
     "op4_minhash_near_dup": neardup.op4_minhash_near_dup,
     "op7_embedding_links": embeddings.op7_embedding_links,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_pareto_mix": mixing.ORACLE,
+    "op2_bm25_decontamination": contamination.ORACLE,
     "op4_minhash_near_dup": neardup.ORACLE,
     "op7_embedding_links": embeddings.ORACLE,
     "op9_histogram_shards": sharding.ORACLE,

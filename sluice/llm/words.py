@@ -1,7 +1,7 @@
 """Words of whole texts as 64-bit hashes, computed over Arrow buffers with numpy.
 
-A word is a run of bytes other than space and the controls tab to return; the
-letters A-Z are lower-cased.  Long texts are hashed in slices that end between
+A word is a run of bytes between gaps (space and the controls tab to return,
+or all ASCII punctuation besides); the letters A-Z are lower-cased.  Long texts are hashed in slices that end between
 words, so memory follows the slice, not the text.
 """
 
@@ -14,8 +14,12 @@ import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: For words without punctuation: every ASCII byte but letters and digits is a gap.
+PUNCTUATION = np.ones(256, dtype=bool)
+PUNCTUATION[128:] = PUNCTUATION[ord("0") : ord("9") + 1] = False
+PUNCTUATION[ord("A") : ord("Z") + 1] = PUNCTUATION[ord("a") : ord("z") + 1] = False
 _FOLD = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _FOLD[ord("A") : ord("Z") + 1] += np.uint64(32)
 
@@ -57,9 +61,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _words_of(data: np.ndarray, bounds: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, first bytes and past-last bytes of the words; no word crosses a bound."""
-    solid = ~_SPACE[data]
+    solid = ~gap[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     inner = bounds[(bounds > 0) & (bounds < len(data))]
@@ -76,16 +80,16 @@ def _words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix((run[ends] - run[starts]) * down[starts]), starts, ends
 
 
-def _long(data: np.ndarray) -> Iterator[np.ndarray]:
-    """Slices of one long text that end after white space where there is any."""
+def _long(data: np.ndarray, gap: np.ndarray) -> Iterator[np.ndarray]:
+    """Slices of one long text that end after a gap between words where there is any."""
     at = 0
     while at < len(data):
         end = at + SLICE_BYTES
         if end < len(data):
-            gaps = np.flatnonzero(_SPACE[data[at:end]])
+            gaps = np.flatnonzero(gap[data[at:end]])
             while not len(gaps) and end < len(data):
                 end += SLICE_BYTES
-                gaps = np.flatnonzero(_SPACE[data[at:end]])
+                gaps = np.flatnonzero(gap[data[at:end]])
             end = at + int(gaps[-1]) + 1 if len(gaps) and end < len(data) else min(end, len(data))
         yield data[at:end]
         at = end
@@ -115,17 +119,17 @@ def row_slices(offsets: np.ndarray, budget: int = SLICE_BYTES) -> Iterator[tuple
         lo = hi
 
 
-def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def word_hashes(column: pa.Array, gap: np.ndarray = SPACE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per range of rows: its first row, the word hashes, and each row's bounds in them."""
     offsets, data = buffers(column)
     for lo, hi in row_slices(offsets):
         part = data[offsets[lo] : offsets[hi]]
         if hi == lo + 1 and len(part) > SLICE_BYTES:
-            words = np.concatenate([_words_of(x, np.zeros(0, np.int64))[0] for x in _long(part)])
+            words = np.concatenate([_words_of(x, np.zeros(0, np.int64), gap)[0] for x in _long(part, gap)])
             yield lo, words, np.array([0, len(words)])
         elif len(part):
             bounds = offsets[lo : hi + 1] - offsets[lo]
-            words, starts, _ = _words_of(part, bounds)
+            words, starts, _ = _words_of(part, bounds, gap)
             yield lo, words, np.searchsorted(starts, bounds)
         else:
             yield lo, np.zeros(0, np.uint64), np.zeros(hi - lo + 1, np.int64)
