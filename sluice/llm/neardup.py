@@ -12,12 +12,12 @@
    decides: if the chance that it reaches the threshold is below ``miss``, the
    pair is dropped.  Survivors are verified exactly on their full sets.
 4. Verified links make components.  Buckets that still hold several of them
-   get the remaining pairs compared, in tiles of bounded size inside tasks,
-   skipping pairs already in one component; only survivors leave the tile, for
-   the same exact check.
+   get the remaining pairs compared the same two ways, in tiles of bounded size
+   inside tasks, skipping pairs that are already in one component; only the
+   links that join components leave the tile.
 
-No bucket, group or row is capped.  A tile holds at most about ``2 * TILE``
-signatures; a larger bucket is dealt over several tiles.
+No bucket, group or row is capped.  A tile holds about ``2 * TILE`` rows at
+most; a larger bucket is dealt over several tiles.
 
 Defined results: null and empty texts, and texts of white space only, have no
 shingles and link with nothing; rows with a null id are returned with a null
@@ -42,7 +42,7 @@ from sluice.llm.words import mix, shingles, word_hashes
 
 HASHES = 144
 BATCH = 24
-TILE = 1024
+TILE = 512
 #: Chance that banding gives no common bucket to a pair exactly at the threshold.
 BAND_MISS = 1e-4
 #: Odd steps that tell the places of a sequence apart.
@@ -189,28 +189,41 @@ def _verify(k: int, percent: int):
     return run
 
 
-def _tiles(rows: int, rule):
+def _tiles(k: int, percent: int, rows: int, rule):
+    """Links that join components within one tile; each pair is compared in the first band it shares."""
+
     def run(table: pa.Table) -> pa.Table:
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         part = table.column("part").to_numpy()
-        node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
+        node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy().copy()
         sig = _matrix(table.column("sig").combine_chunks())
-        key = np.int64(table.column("key")[0].as_py())
         bands = _band_keys(sig, rows).view(np.int64)
-        # only the first band in which two signatures agree reports the pair
-        own = (bands == key).argmax(axis=1)
+        own = (bands == np.int64(table.column("key")[0].as_py())).argmax(axis=1)
+        texts, sets = table.column("text").combine_chunks(), {}
+
+        def full(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = np.unique(shingles(next(word_hashes(texts.slice(i, 1)))[1], k))
+            return sets[i]
+
         left, right = np.flatnonzero(part == lo), np.flatnonzero(part == hi)
-        out_a, out_b = [], []
+        out: list[tuple[int, int]] = []
         for i in left:
             js = right[(comp[right] != comp[i]) & ((node[right] > node[i]) if lo == hi else True)]
-            if not len(js):
-                continue
             js = js[_survivors(np.broadcast_to(sig[i], (len(js), HASHES)), sig[js], rule)]
             if own[i]:
                 js = js[~(bands[js][:, : own[i]] == bands[i, : own[i]]).any(axis=1)]
-            out_a.append(np.minimum(node[js], node[i]))
-            out_b.append(np.maximum(node[js], node[i]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
+            for j in js:
+                if comp[i] != comp[j]:
+                    a, b = full(i), full(j)
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * both >= percent * (len(a) + len(b) - both):
+                        out.append((node[i], node[j]))
+                        comp[comp == comp[j]] = comp[i]
+            # the sets of the right side are met again by every row, those of the left are not
+            if lo != hi:
+                sets.pop(i, None)
+        a, b = np.array(out, dtype=np.int64).reshape(-1, 2).T
         return pa.table({"a": a, "b": b})
 
     return run
@@ -259,37 +272,36 @@ def near_duplicates(
         stars.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b").mapInArrow(_prune(rule), "a long, b long")
     )
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs that are links, each checked on the whole texts."""
-        wanted = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "least", "h1", "h2"), "node"))
-        texts = cut(
-            d.join(small_side(wanted.select(F.col("least").alias("doc_id"), "node", "h1", "h2")), "doc_id")
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """(node, text) of the wanted nodes."""
+        wanted = cut(wanted.distinct().join(nodes.select("node", "least", "h1", "h2"), "node"))
+        return cut(
+            d.join(small_side(wanted.withColumnRenamed("least", "doc_id")), "doc_id")
             .mapInArrow(_own_text, "node long, text string")
             .groupBy("node")
             .agg(F.first("text").alias("text"))
         )
-        return cut(
-            pairs.join(texts.toDF("a", "text_a"), "a")
-            .join(texts.toDF("b", "text_b"), "b")
-            .mapInArrow(_verify(words, percent), "a long, b long")
-        )
 
-    links = verified(cut(likely))
+    likely = cut(likely)
+    texts = texts_of(likely.select(F.col("a").alias("node")).union(likely.select("b")))
+    links = cut(
+        likely.join(texts.toDF("a", "text_a"), "a")
+        .join(texts.toDF("b", "text_b"), "b")
+        .mapInArrow(_verify(words, percent), "a long, b long")
+    )
     first = cut(components(links))
     placed = member.join(first, "node", "left").select("key", "node", "members", F.coalesce("root", "node").alias("comp"))
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+    open_ = cut(placed.join(mixed, "key").join(pivots, "key").where("node != pivot"))
     parts = F.ceil(F.col("members") / TILE).cast("int")
-    open_ = (
-        placed.join(mixed, "key")
-        .join(pivots, "key")
-        .where("node != pivot")
+    tiles = (
+        open_.join(sigs, "node")
+        .join(texts_of(open_.select("node")), "node")
         .withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select("key", "node", "comp", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
-        .join(sigs, "node")
+        .select("key", "node", "comp", "sig", "text", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
     )
-    rest = cut(open_.groupBy("key", "lo", "hi").applyInArrow(_tiles(rows, rule), "a long, b long"))
-    links = links.unionByName(verified(rest))
+    links = links.unionByName(cut(tiles.groupBy("key", "lo", "hi").applyInArrow(_tiles(words, percent, rows, rule), "a long, b long")))
     roots = cut(components(links))
     groups = nodes.join(roots, "node", "left").select("h1", "h2", "least", F.coalesce("root", "node").alias("root"))
     named = groups.groupBy("root").agg(F.min("least").alias("component_id")).join(groups, "root").select("h1", "h2", "component_id")
