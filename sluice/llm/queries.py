@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sluice.llm import contamination, embeddings, langid, lm_scoring, mixing, neardup, pii, sharding, toxicity
+from sluice.llm import contamination, embeddings, langid, lm_scoring, mixing, neardup, passages, pii, sharding, toxicity
 
 QUERIES = {
     "op1_pareto_mix": mixing.op1_pareto_mix,
     "op2_bm25_decontamination": contamination.op2_bm25_decontamination,
     "op3_personal_data": pii.op3_personal_data,
     "op4_minhash_near_dup": neardup.op4_minhash_near_dup,
+    "op5_repeated_passages": passages.op5_repeated_passages,
     "op6_cross_entropy_difference": lm_scoring.op6_cross_entropy_difference,
     "op7_embedding_links": embeddings.op7_embedding_links,
     "op8_language_id": langid.op8_language_id,

@@ -144,3 +144,13 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     for i in range(size):
         out = mix(out * _MULT + words[i : len(words) - size + 1 + i])
     return out
+
+
+def block_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k words from each place on, for all places that have k words."""
+    if len(words) < k:
+        return np.zeros(0, np.uint64)
+    up, down = _powers(len(words) + 1)
+    run = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * up[: len(words)], out=run[1:])
+    return mix((run[k:] - run[:-k]) * down[: len(words) - k + 1])
