@@ -30,6 +30,7 @@ are ignored.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -232,6 +233,48 @@ def _find(shared, threshold: float, overlap: float):
     return run
 
 
+def _clean(shared, text: str, threshold: float, overlap: float):
+    def run(batches):
+        index = shared.value
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            for lo, words, bounds in word_hashes(batch.column(text), PUNCTUATION):
+                for row, *_ in leaks_of(index, np.arange(lo, lo + len(bounds) - 1), words, bounds, threshold, overlap):
+                    clean[row] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
+def _indexes(items: DataFrame, index_bytes: int, item_id: str, text: str):
+    """Broadcast indexes of at most about ``index_bytes`` of item text each."""
+    spark = items.sparkSession
+    b = plain_names(items, item_id=item_id, text=text).where("text is not null")
+    size = b.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    passes = -(-size // index_bytes)
+    for k in range(passes):
+        share = b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).collect()
+        index = build_index(sorted(((r.item_id, r.text) for r in share), key=str))
+        if index:
+            yield spark.sparkContext.broadcast(index)
+
+
+def without_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    threshold: float = 0.65,
+    overlap: float = 0.8,
+    index_bytes: int = 32 << 20,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, all columns, into which no item leaks."""
+    for index in _indexes(items, index_bytes, item_id, item_text):
+        docs = docs.mapInArrow(_clean(index, text, threshold, overlap), docs.schema)
+    return docs
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -243,21 +286,11 @@ def find_leaks(
     item_id: str = "item_id",
 ) -> DataFrame:
     """One row per document and leaked item: doc_id, item_id, score, overlap, question_overlap, answer_overlap."""
-    spark = docs.sparkSession
     d = plain_names(docs, doc_id=doc_id, text=text)
-    b = plain_names(items, item_id=item_id, text=text).where("text is not null")
     kind = d.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
-    size = b.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    passes = -(-size // index_bytes)
-    out = spark.createDataFrame([], schema)
-    for k in range(passes):
-        share = b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).collect()
-        index = build_index(sorted(((r.item_id, r.text) for r in share), key=str))
-        if index:
-            found = d.mapInArrow(_find(spark.sparkContext.broadcast(index), threshold, overlap), schema)
-            out = found if k == 0 else out.unionByName(found)
-    return out
+    found = [d.mapInArrow(_find(index, threshold, overlap), schema) for index in _indexes(items, index_bytes, item_id, "text")]
+    return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 
 def op2_bm25_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -233,27 +233,32 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+def _judge(models: LanguageModels, limits: dict, texts: list[str | None]):
+    """Per text: language, score, cross-entropy and whether it is in none of the languages."""
+    entropy, _, n = models.entropies(texts)
+    at, best = np.arange(len(texts)), entropy.argmin(axis=1)
+    logit = -(entropy - entropy[at, best][:, None]) * np.minimum(n, SCORE_CHARS)[:, None]
+    score = 1 / np.exp(logit).sum(axis=1)
+    lettered = np.array([has_letter(t) for t in texts], dtype=bool)
+    limit, z, spread = (np.array([limits.get(x, (np.inf, 0.0, 0.0))[i] for x in models.langs]) for i in range(3))
+    far = entropy[at, best] > limit[best] + z[best] * np.sqrt(spread[best] / np.maximum(n, 1))
+    langs = [models.langs[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
+    return langs, np.where(lettered, score, 0.0), np.where(lettered, entropy[at, best], np.nan), ~lettered | far
+
+
 def _score(shared, limits):
     def run(batches):
         models = LanguageModels.of(shared.value)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            entropy, _, n = models.entropies(texts)
-            best = entropy.argmin(axis=1)
-            at = np.arange(len(texts))
-            logit = -(entropy - entropy[at, best][:, None]) * np.minimum(n, SCORE_CHARS)[:, None]
-            score = 1 / np.exp(logit).sum(axis=1)
-            lettered = np.array([has_letter(t) for t in texts], dtype=bool)
-            limit, z, spread = (np.array([limits.get(x, (np.inf, 0.0, 0.0))[i] for x in models.langs]) for i in range(3))
-            far = entropy[at, best] > limit[best] + z[best] * np.sqrt(spread[best] / np.maximum(n, 1))
+            langs, score, entropy, rejected = _judge(models, limits, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("held_out"),
-                    pa.array([models.langs[b] if ok else UNKNOWN for b, ok in zip(best, lettered)], pa.string()),
-                    pa.array(np.where(lettered, score, 0.0)),
-                    pa.array(np.where(lettered, entropy[at, best], np.nan), from_pandas=True),
-                    pa.array(~lettered | far),
+                    pa.array(langs, pa.string()),
+                    pa.array(score),
+                    pa.array(entropy, from_pandas=True),
+                    pa.array(rejected),
                 ],
                 names=["doc_id", "held_out", "lang_pred", "score", "entropy", "rejected"],
             )
@@ -261,6 +266,15 @@ def _score(shared, limits):
     return run
 
 
+def _keep(shared, limits, text):
+    def run(batches):
+        models = LanguageModels.of(shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(~_judge(models, limits, batch.column(text).to_pylist())[3]))
+
+    return run
+
+
 def _calibrate(shared):
     def run(batches):
         models = LanguageModels.of(shared.value)
@@ -303,31 +317,19 @@ def _limits(rows) -> dict[str, tuple[float, float, float]]:
     return out
 
 
-def identify_languages(
-    docs: DataFrame,
-    sample: int = 600,
-    calibration: int = 200,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    lang: str = "lang",
-) -> DataFrame:
-    """Per row: doc_id, held_out, lang_pred, score (0 to 1), entropy (nats a character), rejected.
+def fit(docs: DataFrame, sample: int, calibration: int):
+    """Models (broadcast) and limits from the labelled rows of (doc_id, text, lang), or None without any.
 
     ``sample`` and ``calibration`` bound, per language and in expectation, the
-    labelled documents that fit the models and their limits; they are chosen
-    by a hash of the id among the rows that are not held out.
+    documents used; they are chosen by a hash of the id among the rows that
+    are not held out.
     """
     spark = docs.sparkSession
-    d = plain_names(docs, doc_id=doc_id, text=text, lang=lang).withColumn("held_out", held_out(F.col("doc_id")))
-    known = d.where("not held_out and lang is not null and text is not null")
+    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     n = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    empty = d.select(
-        "doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"), F.lit(True).alias("rejected")
-    )
     if not n:
-        return empty
+        return None
     place = unit_hash(F.col("doc_id"), F.lit("langid")) * F.create_map(*[F.lit(x) for kv in n.items() for x in kv])[F.col("lang")]
-    counts: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     got = (
         known.where(place < sample)
         .select("lang", "text")
@@ -338,23 +340,49 @@ def identify_languages(
     )
     names = got.column("lang").to_numpy(zero_copy_only=False)
     codes, sums = got.column("code").to_numpy(), got.column("n").to_numpy()
+    counts: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for x in sorted(set(names)):
         mine = names == x
         order = np.argsort(codes[mine])
         counts[x] = (codes[mine][order], sums[mine][order])
     if not counts:
-        return empty
+        return None
     shared = spark.sparkContext.broadcast(dict(vars(LanguageModels(counts))))
     checked = known.where((place >= sample) & (place < sample + calibration) & F.col("lang").isin(list(counts)))
     # where the sample takes every labelled row, nothing is left to calibrate on and nothing is rejected
-    rows = checked.select("lang", "text").mapInArrow(_calibrate(shared), "lang string, entropy double, foreign double, spread double, n double").collect()
-    limits = _limits(rows)
+    rows = checked.select("lang", "text").mapInArrow(_calibrate(shared), "lang string, entropy double, foreign double, spread double, n double")
+    return shared, _limits(rows.collect())
+
+
+def identify_languages(
+    docs: DataFrame,
+    sample: int = 600,
+    calibration: int = 200,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+) -> DataFrame:
+    """Per row: doc_id, held_out, lang_pred, score (0 to 1), entropy (nats a character), rejected."""
+    d = plain_names(docs, doc_id=doc_id, text=text, lang=lang)
+    fitted = fit(d, sample, calibration)
+    d = d.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    if fitted is None:
+        nothing = F.lit(None).cast("double").alias("entropy")
+        return d.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), nothing, F.lit(True).alias("rejected"))
     kind = d.schema["doc_id"].dataType.simpleString()
-    return d.select("doc_id", "text", "held_out").mapInArrow(
-        _score(shared, limits), f"doc_id {kind}, held_out boolean, lang_pred string, score double, entropy double, rejected boolean"
+    return d.mapInArrow(
+        _score(*fitted), f"doc_id {kind}, held_out boolean, lang_pred string, score double, entropy double, rejected boolean"
     )
 
 
+def filter_known(
+    docs: DataFrame, sample: int = 600, calibration: int = 200, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not rejected; without labelled rows nothing is known."""
+    fitted = fit(plain_names(docs, doc_id=doc_id, text=text, lang=lang), sample, calibration)
+    return docs.where(F.lit(False)) if fitted is None else docs.mapInArrow(_keep(*fitted, text), docs.schema)
+
+
 def op8_language_id(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     return identify_languages(docs)

@@ -15,10 +15,10 @@ sorting a source: words are summed per rank bucket (map-side combined), only
 the bucket in which the remainder ends is ordered.
 
 Defined results: a null text has size 0; null sources are a source of their
-own, after all others; documents of size 0 are taken 0 words; repeated rows
-are documents of their own (equal rows are interchangeable); an empty table
-gives an empty result; the result has only the columns listed, so extra input
-columns cannot clash.
+own, after all others; documents of size 0 take 0 words; rows that share id and
+size tie and share their fate, so repeats of a row are taken alike; an empty
+table gives an empty result; the added columns replace input columns of the
+same name.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluice.llm.common import WORD, cut, plain_names, small_side
+from sluice.llm.common import WORD, cut, small_side
 
 RANK_BUCKETS = 4096
 
@@ -41,9 +41,10 @@ def length_level(size: Column) -> Column:
     return F.when(size > 0, F.length(F.bin(size))).otherwise(0).cast("long")
 
 
-def random_number(doc_id: Column, seed: str) -> Column:
-    """Uniform in (0, 1), from the id alone, so reruns agree."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13)
+def random_number(doc_id: Column, size: Column, seed: str) -> Column:
+    """Uniform in (0, 1), from id and size alone, so reruns agree."""
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), size.cast("string"))
+    digits = F.substring(F.md5(name.cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -77,29 +78,28 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], max_times: int)
     )
 
 
-def mix_sources(
-    docs: DataFrame,
-    weights: tuple[float, ...] = (5, 2, 1),
-    max_times: int = 3,
-    seed: str = "mix",
-    doc_id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, copies, taken (words)."""
-    d = plain_names(docs, doc_id=doc_id, text=text, source=source)
-    d = cut(
-        d.select(
-            "doc_id",
-            "source",
-            word_count(F.col("text")).alias("size"),
-            random_number(F.col("doc_id"), seed).alias("u"),
-            F.monotonically_increasing_id().alias("rid"),
-        )
-    )
+def _draw(size: Column, doc_id: Column, seed: str, k: Column) -> Column:
+    """Place in the ranking: random odds over inclusion odds; null for a document that cannot be drawn."""
+    u = random_number(doc_id, size, seed)
+    chance = F.least(F.lit(1.0), k * length_level(size))
+    return F.when(chance >= 1, 0.0).when(chance > 0, (u / (1 - u)) / (chance / (1 - chance)))
+
+
+def _bucket(q: Column) -> Column:
+    return F.floor(q / (1 + q) * RANK_BUCKETS)
+
+
+def mix_plan(docs: DataFrame, weights: tuple[float, ...], max_times: int, seed: str) -> DataFrame:
+    """One row per source: its sizes, and where its ranking ends.
+
+    ``docs`` has (doc_id, source, size).  Columns: source, source_size, target,
+    whole (certain copies), k (inclusion probability per weight level, at most
+    1), last (the last place drawn) and best (the rounding document), both as
+    (q, size), null where nothing is drawn.
+    """
+    d = cut(docs)
     # one row per source and weight level: a few dozen levels at most
-    levels = d.groupBy("source", length_level(F.col("size")).alias("lv")).agg(F.sum("size").alias("words"))
-    levels = cut(levels)
+    levels = cut(d.groupBy("source", length_level(F.col("size")).alias("lv")).agg(F.sum("size").alias("words")))
     sizes = levels.groupBy("source").agg(F.sum("words").alias("source_size"))
     plan = source_targets(sizes, weights, max_times)
     plan = plan.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
@@ -123,20 +123,17 @@ def mix_sources(
         .join(solved.alias("s"), F.col("p.source").eqNullSafe(F.col("s.source")), "left")
         .select("p.*", F.coalesce("s.k", F.lit(0.0)).alias("k"))
     )
-    chance = F.least(F.lit(1.0), F.col("k") * length_level(F.col("size")))
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("chance") / (1 - F.col("chance")))
     ranked = (
         d.alias("d")
         .join(small_side(plan).alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
-        .select("d.*", "source_size", "target", "whole", "rest", chance.alias("chance"))
-        .withColumn("q", F.when(F.col("chance") >= 1, 0.0).when(F.col("chance") > 0, odds))
-        .withColumn("bucket", F.floor(F.col("q") / (1 + F.col("q")) * RANK_BUCKETS))
+        .select("d.source", "size", "rest", _draw(F.col("size"), F.col("doc_id"), seed, F.col("k")).alias("q"))
+        .where("q is not null")
+        .withColumn("bucket", _bucket(F.col("q")))
     )
     # the bucket of each source in which the rest ends
     order = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ends = (
-        ranked.where("q is not null")
-        .groupBy("source", "bucket")
+    ends = cut(
+        ranked.groupBy("source", "bucket")
         .agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
         .withColumn("upto", F.sum("words").over(order))
         .where("upto > rest")
@@ -144,61 +141,93 @@ def mix_sources(
         .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("cut"))
         .select("source", "cut.bucket", "cut.before")
     )
-    ends = cut(ends)
-    in_rank = W.partitionBy("c.source").orderBy("q", "size", "rid").rowsBetween(W.unboundedPreceding, W.currentRow)
+    # only that bucket is ordered; documents that tie share their fate
+    in_rank = W.partitionBy("c.source").orderBy("q", "size").rangeBetween(W.unboundedPreceding, W.currentRow)
+    fits = F.col("upto") <= F.col("rest")
     last = (
         ranked.alias("c")
         .join(small_side(ends).alias("e"), F.col("c.source").eqNullSafe(F.col("e.source")) & (F.col("c.bucket") == F.col("e.bucket")))
-        .select("c.source", "q", "size", "rid", "rest", "before", (F.col("before") + F.sum("size").over(in_rank)).alias("upto"))
-        .groupBy("source")
+        .select("c.source", "c.bucket", "q", "size", "rest", "before", (F.col("before") + F.sum("size").over(in_rank)).alias("upto"))
+        .groupBy("source", "bucket")
         .agg(
-            F.max(F.when(F.col("upto") <= F.col("rest"), F.struct("q", "size", "rid"))).alias("last"),
-            F.max(F.greatest("before", F.when(F.col("upto") <= F.col("rest"), F.col("upto")).otherwise(F.col("before")))).alias("drawn"),
+            # a bucket of which nothing fits ends before its first place
+            F.coalesce(F.max(F.when(fits, F.struct("q", "size"))), F.struct(F.lit(-1.0).alias("q"), F.lit(0).cast("long").alias("size"))).alias("last"),
+            (F.first("rest") - F.coalesce(F.max(F.when(fits, F.col("upto"))), F.first("before"))).alias("gap"),
         )
     )
-    ends = cut(
-        ends.alias("e").join(last.alias("t"), F.col("e.source").eqNullSafe(F.col("t.source"))).select("e.*", "last", "drawn")
-    )
-    me = F.struct("q", "size", "rid")
-    drawn = (
+    ends = cut(last)
+    off = F.abs(F.col("gap") - F.col("size"))
+    best = (
         ranked.alias("r")
-        .join(small_side(ends).alias("e"), F.col("r.source").eqNullSafe(F.col("e.source")), "left")
-        .select(
-            "r.*",
-            "drawn",
-            F.coalesce(
-                (F.col("r.bucket") < F.col("e.bucket"))
-                | ((F.col("r.bucket") == F.col("e.bucket")) & F.coalesce(me <= F.col("last"), F.lit(False))),
-                F.lit(False),
-            ).alias("extra"),
-        )
+        .join(small_side(ends).alias("e"), F.col("r.source").eqNullSafe(F.col("e.source")))
+        .where(~_drawn(F.col("r.bucket"), F.struct("q", "size"), F.col("e.bucket"), F.col("last")) & (off < F.col("gap")))
+        .groupBy("r.source")
+        .agg(F.min(F.struct(off.alias("off"), F.col("q"), F.col("size"))).alias("b"))
+        .select("source", F.struct("b.q", "b.size").alias("best"))
     )
-    gap = F.col("rest") - F.col("drawn")
-    best = (
-        drawn.where(~F.col("extra") & (F.abs(gap - F.col("size")) < gap) & F.col("q").isNotNull())
-        .groupBy("source")
-        .agg(F.min(F.struct(F.abs(gap - F.col("size")).alias("off"), F.col("q"), F.col("size"), F.col("rid")))["rid"].alias("best"))
+    return cut(
+        plan.alias("p")
+        .join(ends.alias("e"), F.col("p.source").eqNullSafe(F.col("e.source")), "left")
+        .join(best.alias("b"), F.col("p.source").eqNullSafe(F.col("b.source")), "left")
+        .select("p.source", "source_size", "target", "whole", "k", F.col("e.bucket").alias("ends_in"), "last", "best")
+    )
+
+
+def _drawn(bucket: Column, place: Column, ends_in: Column, last: Column) -> Column:
+    """Whether a place lies in the head of the ranking; without an end the whole ranking is drawn."""
+    return F.when(ends_in.isNull(), F.lit(True)).otherwise((bucket < ends_in) | ((bucket == ends_in) & (place <= last)))
+
+
+def with_copies(
+    docs: DataFrame,
+    weights: tuple[float, ...] = (5, 2, 1),
+    max_times: int = 3,
+    seed: str = "mix",
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """``docs`` with size, source_size, target (words of its source) and copies, the times the mix takes it.
+
+    These columns replace input columns of the same name.
+    """
+    size = word_count(F.col(f"`{text}`"))
+    d = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), size.alias("size"))
+    plan = small_side(mix_plan(d, weights, max_times, seed))
+    row = docs.withColumns({"__size": size, "__source": F.col(f"`{source}`")}).drop("size", "source_size", "target", "copies")
+    p = plan.select(F.col("source").alias("__of"), F.struct("source_size", "target", "whole", "k", "ends_in", "last", "best").alias("__plan"))
+    q = _draw(F.col("__size"), F.col(f"`{doc_id}`"), seed, F.col("__plan.k"))
+    place = F.struct(F.col("__q").alias("q"), F.col("__size").alias("size"))
+    extra = F.col("__q").isNotNull() & (
+        _drawn(_bucket(F.col("__q")), place, F.col("__plan.ends_in"), F.col("__plan.last"))
+        | F.coalesce(place == F.col("__plan.best"), F.lit(False))
     )
-    copies = F.col("whole") + F.when(F.col("extra") | F.coalesce(F.col("rid") == F.col("best"), F.lit(False)), 1).otherwise(0)
+    names = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     return (
-        drawn.alias("x")
-        .join(small_side(cut(best)).alias("b"), F.col("x.source").eqNullSafe(F.col("b.source")), "left")
-        .select("doc_id", "x.source", "size", "source_size", "target", copies.cast("long").alias("copies"))
-        .withColumn("taken", F.col("copies") * F.col("size"))
+        row.join(p, F.col("__source").eqNullSafe(F.col("__of")))
+        .withColumn("__q", q)
+        .select(
+            *[F.col(f"`{c}`") for c in names],
+            F.col("__size").alias("size"),
+            "__plan.source_size",
+            "__plan.target",
+            (F.col("__plan.whole") + F.when(extra, 1).otherwise(0)).cast("long").alias("copies"),
+        )
     )
 
 
 def op1_pareto_mix(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = with_copies(docs.select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 ORACLE = """
 with d as (
-  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
-         (('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 13))::bigint::double + 0.5) / 4503599627370496.0 as u
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size
   from documents),
-d2 as (select *, case when size > 0 then length(bin(size)) else 0 end as lv from d),
+d1 as (select *, (('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '') || ':' || size), 1, 13))::bigint::double + 0.5) / 4503599627370496.0 as u from d),
+d2 as (select *, case when size > 0 then length(bin(size)) else 0 end as lv from d1),
 s0 as (select source, sum(size)::bigint as source_size from d group by source),
 s1 as (select *, [5, 2, 1][((row_number() over (order by source collate "binary" nulls last) - 1) % 3 + 1)::int] as weight, source_size * 3 as cap from s0),
 s2 as (select *, cap::double / weight as fill from s1),
@@ -216,8 +245,8 @@ ks as (select source, arg_max(k, lv) as k from l1 where k * lv <= 1 group by sou
 r0 as (select d2.*, source_size, target, whole, rest, least(1.0::double, coalesce(k, 0) * lv) as chance
        from d2 join p on d2.source is not distinct from p.source left join ks on d2.source is not distinct from ks.source),
 r1 as (select *, case when chance >= 1 then 0.0 when chance > 0 then (u / (1 - u)) / (chance / (1 - chance)) end as q from r0),
-r2 as (select *, row_number() over (partition by source order by q, size) as rn,
-              sum(size) over (partition by source order by q, size rows between unbounded preceding and current row) as upto
+r2 as (select *, rank() over (partition by source order by q, size) as rn,
+              sum(size) over (partition by source order by q, size) as upto
        from r1 where q is not null),
 f as (select source, min(rn) as first_over from r2 where upto > rest group by source),
 g as (select r2.*, coalesce(rn < first_over, false) as extra, first_over from r2 left join f on r2.source is not distinct from f.source),

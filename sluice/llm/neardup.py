@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, plain_names, small_side
+from sluice.llm.common import WORD, cut, plain_names, small_side
 from sluice.llm.components import components
 from sluice.llm.words import mix, shingles, word_hashes
 
@@ -117,13 +117,14 @@ def _signatures(k: int, rows: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,
+                    batch.column("text_hash"),
                     pa.array(count),
                     pa.array(seq[:, 0]),
                     pa.array(seq[:, 1]),
                     pa.array([r.tobytes() for r in sig], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, n * keys.shape[1] + 1, keys.shape[1], dtype=np.int32)), flat_keys),
                 ],
-                names=["doc_id", "n_shingles", "h1", "h2", "sig", "bands"],
+                names=["doc_id", "text_hash", "n_shingles", "h1", "h2", "sig", "bands"],
             )
 
     return run
@@ -237,16 +238,16 @@ def near_duplicates(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest id reachable by links), kept.
+    """Per row: doc_id, n_shingles, component_id (smallest id reachable by links), kept, text_hash (xxhash64).
 
     Two texts are linked if the Jaccard similarity of their ``words``-word
     shingle sets is at least ``percent`` / 100, checked in whole numbers.
     """
-    d = plain_names(docs, doc_id=doc_id, text=text)
+    d = plain_names(docs, doc_id=doc_id, text=text).withColumn("text_hash", F.xxhash64("text"))
     id_type = d.schema["doc_id"].dataType.simpleString()
     rows, rule = band_rows(percent), least_matches(percent, miss)
     signed = cut(
-        d.mapInArrow(_signatures(words, rows), f"doc_id {id_type}, n_shingles long, h1 long, h2 long, sig binary, bands array<long>")
+        d.mapInArrow(_signatures(words, rows), f"doc_id {id_type}, text_hash long, n_shingles long, h1 long, h2 long, sig binary, bands array<long>")
     )
     nodes = cut(
         signed.where("n_shingles > 0 and doc_id is not null")
@@ -276,7 +277,7 @@ def near_duplicates(
         """(node, text) of the wanted nodes."""
         wanted = cut(wanted.distinct().join(nodes.select("node", "least", "h1", "h2"), "node"))
         return cut(
-            d.join(small_side(wanted.withColumnRenamed("least", "doc_id")), "doc_id")
+            d.join(small_side(wanted.withColumnRenamed("least", "doc_id"), 1_000_000), "doc_id")
             .mapInArrow(_own_text, "node long, text string")
             .groupBy("node")
             .agg(F.first("text").alias("text"))
@@ -306,16 +307,43 @@ def near_duplicates(
     groups = nodes.join(roots, "node", "left").select("h1", "h2", "least", F.coalesce("root", "node").alias("root"))
     named = groups.groupBy("root").agg(F.min("least").alias("component_id")).join(groups, "root").select("h1", "h2", "component_id")
     return (
-        signed.select("doc_id", "n_shingles", "h1", "h2")
+        signed.select("doc_id", "n_shingles", "h1", "h2", "text_hash")
         .join(named, ["h1", "h2"], "left")
         .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")))
-        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_hash")
     )
 
 
+def one_of_each_group(
+    docs: DataFrame, words: int = 5, percent: int = 80, miss: float = 5e-4, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, but of each group of near-duplicates only the one with the smallest id.
+
+    Of rows of one group that share the smallest id, one stays.  Rows with a
+    null id or without words stay all.
+    """
+    found = cut(near_duplicates(docs, words, percent, miss, doc_id, text))
+    gone = small_side(cut(found.where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__t")).distinct()), 1_000_000)
+    left = docs.join(gone, (docs[doc_id] == gone["__id"]) & (F.xxhash64(docs[text]) == gone["__t"]), "left_anti")
+    again = cut(
+        found.where("kept and doc_id is not null and n_shingles > 0")
+        .groupBy(F.col("doc_id").alias("__id"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("__id")
+    )
+    if again.isEmpty():
+        return left
+    side = small_side(again, 1_000_000)
+    worded = F.coalesce(left[text].rlike(WORD), F.lit(False))
+    repeats = left.where(worded).join(side, left[doc_id] == side["__id"], "left_semi").dropDuplicates([doc_id])
+    single = left.join(side, (left[doc_id] == side["__id"]) & worded, "left_anti")
+    return single.unionByName(repeats)
+
+
 def op4_minhash_near_dup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return near_duplicates(docs)
+    return near_duplicates(docs).drop("text_hash")
 
 
 ORACLE = """
