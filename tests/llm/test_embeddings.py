@@ -1,0 +1,74 @@
+import numpy as np
+
+from sluice.llm.embeddings import embedding_links, possible_pairs, quantise, unit_rows
+
+
+def brute(rows, threshold):
+    ids = [i for i, _ in rows]
+    good = [k for k, (_, v) in enumerate(rows) if v and all(c is not None and np.isfinite(c) for c in v) and any(v)]
+    links, root = {k: 0 for k in range(len(rows))}, list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for n, a in enumerate(good):
+        for b in good[:n]:
+            x, y = np.array(rows[a][1], float), np.array(rows[b][1], float)
+            if len(x) == len(y) and x @ y / np.sqrt(x @ x) / np.sqrt(y @ y) >= threshold:
+                links[a] += 1
+                links[b] += 1
+                p, q = sorted((find(a), find(b)), key=lambda k: ids[k])
+                root[q] = p
+    return sorted((ids[k], links[k], ids[find(k)]) for k in range(len(rows)))
+
+
+def family(seed, n, dim, spread):
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=dim)
+    return [(base + spread * rng.normal(size=dim)).astype(np.float32).astype(float).tolist() for _ in range(n)]
+
+
+def test_links_and_components_equal_brute_force(spark):
+    vectors = family(1, 30, 16, 0.22) + family(2, 30, 16, 0.05) + family(3, 40, 16, 3.0) + family(4, 10, 7, 0.2)
+    vectors += [vectors[0]] * 5 + [[2 * c for c in vectors[1]], None, [], [0.0] * 16, [None] + [1.0] * 15, [float("nan")] + [1.0] * 15, [float("inf")] * 16]
+    rows = [(i * 3, v) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as v", "2 as node", "'x' as links")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_links(df, block=17).collect())
+    assert got == brute(rows, 0.95)
+
+
+def test_bound_never_loses_a_pair():
+    rng = np.random.default_rng(7)
+    for dim in (3, 64, 300):
+        x = unit_rows_of(rng.normal(size=(200, dim)))
+        y = unit_rows_of(np.vstack([x[:100] + 0.3 / np.sqrt(dim) * rng.normal(size=(100, dim)), rng.standard_t(1.5, size=(100, dim))]))
+        for threshold in (0.2, 0.9, 0.95):
+            found = np.zeros((200, 200), bool)
+            for i, j in possible_pairs(x, y, threshold):
+                found[i, j] = True
+            assert not ((x @ y.T >= threshold) & ~found).any()
+            if threshold == 0.95 and dim > 3:
+                assert found.mean() < 0.02
+
+
+def unit_rows_of(x):
+    import pyarrow as pa
+
+    return unit_rows(pa.chunked_array([pa.array(list(x))]))
+
+
+def test_remainder_is_exact():
+    x = unit_rows_of(np.random.default_rng(1).normal(size=(50, 20)))
+    q, scale, rest = quantise(x)
+    assert q.dtype == np.int8
+    assert np.allclose(np.linalg.norm(x - scale[:, None] * q, axis=1), rest)
+
+
+def test_null_ids_repeats_and_empty(spark):
+    v = [1.0, 2.0]
+    df = spark.createDataFrame([(5, v), (5, v), (None, v), (3, [1.0, 2.1]), (None, None)], "vec_id long, embedding array<float>")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_links(df).collect()), key=str)
+    assert got == sorted([(5, 3, 3, False), (5, 3, 3, False), (None, 3, None, True), (3, 3, 3, True), (None, 0, None, True)], key=str)
+    assert embedding_links(df.limit(0)).count() == 0

@@ -1,0 +1,96 @@
+import pytest
+
+from sluice.llm.mixing import source_targets, with_copies
+
+
+def waterfill(sizes, weights, times):
+    """Targets by repeated resharing of the excess, as the rule is worded."""
+    target = {s: 0.0 for s in sizes}
+    names = sorted(target, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, open_ = float(sum(sizes.values())), set(names)
+    while open_ and left > 1e-9:
+        share = left / sum(w[s] for s in open_)
+        left = 0.0
+        for s in list(open_):
+            target[s] += share * w[s]
+            if target[s] >= times * sizes[s]:
+                left += target[s] - times * sizes[s]
+                target[s] = float(times * sizes[s])
+                open_.discard(s)
+    return target
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 100, "b": 100, "c": 100}, {"a": 1, "b": 1000, "c": 10, "d": 3, None: 50}, {"z": 7}, {"a": 0, "b": 10}, {"a": 0}, {"É": 5, "z": 500, "Z": 40},
+])
+def test_targets_follow_the_worded_rule(spark, sizes):
+    df = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, source_size long")
+    got = {r.source: r.target for r in source_targets(df, (5, 2, 1), 3).collect()}
+    want = waterfill(sizes, (5, 2, 1), 3)
+    assert got.keys() == want.keys()
+    for s in got:
+        assert got[s] == pytest.approx(want[s])
+
+
+def make(docs, prose, n=400):
+    rows = [(i, prose(i, 5 + i * 7 % 60), None, ["a", "a", "a", "b", "c", None][i % 6]) for i in range(n)]
+    return docs([*rows, (9001, None, None, "a"), (9002, "", None, "b"), (9003, " \t\n", None, None)])
+
+
+def test_taken_words_meet_targets_with_whole_copies(docs, prose):
+    rows = with_copies(make(docs, prose)).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.source, []).append(r)
+    for s, got in by.items():
+        target, size = got[0].target, got[0].source_size
+        assert size == sum(r.size for r in got)
+        taken = sum(r.copies * r.size for r in got)
+        assert abs(taken - target) <= 0.01 * target + 5
+        whole = int(target / size)
+        assert {r.copies for r in got if r.size} <= {whole, whole + 1} and max(r.copies for r in got) <= 3
+
+
+def test_reruns_agree_and_clashing_columns_are_replaced(docs, prose):
+    d = make(docs, prose)
+    clash = d.selectExpr("*", "'x' as size", "'y' as copies", "1 as target", "2 as q", "3 as rest")
+    first = {(r.doc_id, r.copies) for r in with_copies(d).collect()}
+    again = with_copies(clash.repartition(7))
+    assert {(r.doc_id, r.copies) for r in again.collect()} == first
+    assert again.columns == ["doc_id", "text", "lang", "source", "q", "rest", "size", "source_size", "target", "copies"]
+
+
+def test_longer_documents_are_likelier_and_seeds_differ(docs, prose):
+    d = docs([(i, prose(i, 4 if i % 2 else 64), None, "ab"[i % 3 == 0]) for i in range(3000)])
+    rows = [r for r in with_copies(d).collect() if r.source == "b"]
+    extra = {n: [r.copies for r in rows if r.size == n] for n in (4, 64)}
+    low, high = (sum(x) / len(x) for x in (extra[4], extra[64]))
+    assert high > low
+    other = with_copies(d, seed="other").collect()
+    assert {(r.doc_id, r.copies) for r in other} != {(r.doc_id, r.copies) for r in with_copies(d).collect()}
+
+
+def test_repeated_rows_share_their_fate(docs, prose):
+    d = docs([(i % 50, prose(i % 50, 10 + i % 50), None, "ab"[i % 50 % 2]) for i in range(200)])
+    seen = {}
+    for r in with_copies(d).collect():
+        assert seen.setdefault(r.doc_id, r.copies) == r.copies
+
+
+def test_a_third_of_the_rows_without_id(docs, prose):
+    d = docs([(None if i % 3 == 0 else i, prose(i, 3 + i % 40), None, "ab"[i % 2]) for i in range(600)])
+    rows = with_copies(d).collect()
+    for s in "ab":
+        got = [r for r in rows if r.source == s]
+        # rows without id tie by size, and ties share their fate: off by a group of ties at most
+        assert abs(sum(r.copies * r.size for r in got) - got[0].target) <= 5 * 42
+
+
+def test_empty_table(docs):
+    assert with_copies(docs([])).count() == 0
+
+
+def test_plan_has_no_python(docs, prose, capsys):
+    with_copies(make(docs, prose, 20)).explain()
+    assert "Python" not in (out := capsys.readouterr().out) and "Arrow" not in out
