@@ -160,12 +160,13 @@ class LanguageModels:
             tables.append(by_order)
         self.grams: list[np.ndarray] = []
         self.logp: list[np.ndarray] = []
-        self.back: list[np.ndarray] = []  # of the contexts of order k, log weight of the order below
+        self.contexts: list[np.ndarray] = []
+        self.back: list[np.ndarray] = []  # per context, log weight of the order below
         symbols = len(np.unique(np.concatenate([t[0][0] for t in tables]))) + 1
         lower = np.full((1, n_langs), 1.0 / symbols)
-        contexts = np.zeros(1, dtype=np.int64)
         for k in range(1, ORDER + 1):
             union = np.unique(np.concatenate([t[k - 1][0] for t in tables]))
+            contexts = np.unique(union >> BITS)
             weight = np.ones((len(contexts), n_langs))
             prob = np.zeros((len(union), n_langs))
             for j, t in enumerate(tables):
@@ -177,9 +178,10 @@ class LanguageModels:
             below = np.searchsorted(self.grams[-1], union & ((1 << (BITS * (k - 1))) - 1)) if k > 1 else np.zeros(len(union), np.int64)
             prob += weight[np.searchsorted(contexts, union >> BITS)] * lower[below]
             self.grams.append(union)
+            self.contexts.append(contexts)
             self.logp.append(np.log(prob).astype(np.float32))
             self.back.append(np.log(weight).astype(np.float32))
-            lower, contexts = prob, union
+            lower = prob
         self.floor = np.float32(-np.log(symbols))
 
     @classmethod
@@ -202,7 +204,7 @@ class LanguageModels:
             if not len(left):
                 return out
             if k > 1:
-                ctx = self.grams[k - 2]
+                ctx = self.contexts[k - 1]
                 at = np.minimum(np.searchsorted(ctx, g >> BITS), len(ctx) - 1)
                 known = ctx[at] == g >> BITS
                 out[left[known]] += self.back[k - 1][at[known]]
