@@ -1,0 +1,129 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from sluice.llm import contamination as c
+from sluice.llm.words import PUNCTUATION, word_hashes
+
+
+def words(text):
+    return re.findall(r"(?:[0-9a-z]|[^\x00-\x7F])+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+
+
+def shingle_set(w):
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(docs, items):
+    out = set()
+    for d, text in docs:
+        whole = shingle_set(words(text or ""))
+        for i, item in items:
+            w, q = words(item or ""), words(c.split_item(item or "")[0])
+            s, qs = shingle_set(w), shingle_set(q)
+            if s and (len(s & whole) >= 0.8 * len(s) or (len(q) >= 12 and len(qs & whole) >= 0.8 * len(qs))):
+                out.add((d, i))
+    return out
+
+
+@pytest.fixture
+def world(prose):
+    rnd = random.Random(4)
+    items = [(i, (prose(("q", i), 14 + i % 20) + ". " + prose(("a", i), 4 + i % 9) + ".").capitalize()) for i in range(60)]
+    items += [(100, None), (101, ""), (102, "??"), (103, "two words"), (104, prose("long", 150) + "? " + prose("l2", 30))]
+    docs = []
+    for i in range(150):
+        body = prose(("d", i), 200).split()
+        if i % 3 == 0:
+            copy = rnd.choice(items[:60])[1].split()
+            if i % 2:
+                copy = [x.upper() for x in copy]
+            if i % 9 == 0:
+                copy[len(copy) // 2] = "changed"
+            if i % 4 == 0:
+                copy = copy[: len(copy) // 2]
+            at = rnd.randrange(200)
+            body[at:at] = copy
+        docs.append((i, " ".join(body)))
+    docs += [(200, None), (201, ""), (202, items[3][1]), (203, items[3][1] + "\n" + items[7][1]), (204, "Two, words!"), (205, items[-1][1]), (206, items[-1][1][:400])]
+    docs += [(207, items[3][1].replace(" ", " , ")), (202, items[3][1])]
+    return docs, items
+
+
+def test_leaks_equal_brute_force(spark, docs, world):
+    rows, items = world
+    b = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as doc_id")
+    got = c.find_leaks(docs(rows, item_id=5, score=1), b).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == brute(rows, items)
+    assert sum(r.doc_id == 202 for r in got) == 2 and all(0.65 <= r.score <= 1 + 1e-9 for r in got)
+
+
+def test_several_indexes_give_the_same(spark, docs, world):
+    rows, items = world
+    b = spark.createDataFrame(items, "item_id long, text string")
+    one = {(r.doc_id, r.item_id) for r in c.find_leaks(docs(rows), b).collect()}
+    many = {(r.doc_id, r.item_id) for r in c.find_leaks(docs(rows), b, index_bytes=2000).collect()}
+    assert one == many
+    clean = c.without_leaks(docs(rows), b, index_bytes=2000)
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(d for d, _ in rows if d not in {x for x, _ in one})
+
+
+def test_retrieval_is_complete(world):
+    """Block-max pruning gives exactly the pairs of passage and unit that BM25 over all units gives."""
+    rows, items = world
+    index = c.build_index([(i, t) for i, t in items if t])
+    n, width, step = len(index["part_of"]), len(index["part_of"]) // c.BLOCK + 1, index["window"]
+    impact = np.zeros((len(index["terms"]), n))
+    term_of = index["block_key"] // width
+    for k in range(len(index["block_key"])):
+        at = slice(index["block_first"][k], index["block_first"][k + 1])
+        impact[term_of[k], index["unit"][at]] = index["impact"][at]
+    assert np.allclose(impact.sum(axis=0), 1)
+    threshold = 0.2
+    texts = pa.array([t for _, t in rows])
+    for _, w, bounds in word_hashes(texts, PUNCTUATION):
+        want = set()
+        first = np.cumsum(np.r_[0, np.diff(bounds) // step + 2])
+        for r in range(len(bounds) - 1):
+            x = w[bounds[r] : bounds[r + 1]]
+            for p in range(len(x) // step + 1):
+                t = np.unique(np.flatnonzero(np.isin(index["terms"], x[p * step : (p + 2) * step])))
+                for u in np.flatnonzero(impact[t].sum(axis=0) >= threshold - 1e-9):
+                    want.add((first[r] + p, u))
+        got = set()
+        original = c.retrieve
+
+        def spy(*args):
+            out = original(*args)
+            got.update(zip(out[0].tolist(), out[1].tolist()))
+            return out
+
+        c.retrieve = spy
+        try:
+            list(c.leaks_of(index, np.arange(len(bounds) - 1), w, bounds, threshold, 0.8))
+        finally:
+            c.retrieve = original
+        assert got == want and want
+
+
+def test_split():
+    assert c.split_item("What is it? A thing.") == ("What is it?", "A thing.")
+    assert c.split_item("One. Two. Three") == ("One. Two.", "Three")
+    assert c.split_item("no sentence") == ("no sentence", "")
+
+
+def test_empty_sides(spark, docs):
+    none = spark.createDataFrame([], "item_id long, text string")
+    d = docs([(1, "a b c d e f")])
+    assert c.find_leaks(d, none).count() == 0 and c.without_leaks(d, none).count() == 1
+    assert c.find_leaks(docs([]), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")).count() == 0
+
+
+def test_long_text(spark, docs, prose):
+    item = prose("item", 30)
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = c.find_leaks(docs([(1, prose(1, 300_000) + " " + item + " " + prose(2, 1000)), (2, prose(1, 300_000))]), b)
+    assert [r.doc_id for r in got.collect()] == [1]
