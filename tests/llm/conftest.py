@@ -1,5 +1,7 @@
 import pytest
 
+from made_up import WORDS
+
 
 @pytest.fixture
 def docs(spark):
@@ -17,16 +19,13 @@ def docs(spark):
     return make
 
 
-WORDS = [a + b for a in ("ba", "do", "ki", "lu", "mer", "nos", "pra", "ten", "vi", "zu") for b in ("lan", "mo", "rik", "sa", "tel", "un", "wes", "xo", "yar", "id")]
-
-
 @pytest.fixture
 def prose():
     """Made-up text of n words, the same for the same seed."""
     import random
 
     def make(seed, n, words=WORDS):
-        rnd = random.Random(seed)
+        rnd = random.Random(str(seed))
         return " ".join(rnd.choice(words) for _ in range(n))
 
     return make
