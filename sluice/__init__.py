@@ -15,7 +15,6 @@ Layout:
 * ``operators``  - partition discovery, dedup, counts, sinks, watermark,
                    config, audit and restart operators.
 * ``plans``      - the nine load strategies and the extraction plan.
-* ``streaming``  - intentionally empty; see its docstring.
 """
 
 from sluice.plans.strategy import LoadStrategy

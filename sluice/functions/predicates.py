@@ -11,6 +11,7 @@ is parsed once with ``F.expr``; it is ANDed as a whole Column, so a top-level
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from functools import reduce
 from typing import Callable
 
@@ -18,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.timefmt import to_spark_format, ts_text, yesterday_end
+from sluice.functions.dialect import back_ticked, plain_name, spark_sql
+from sluice.functions.timefmt import leading_date_format, to_spark_format, ts_text, yesterday_end
 from sluice.plans.strategy import ConfigError, DeltaKind, LoadStrategy
 
 
@@ -34,7 +36,7 @@ def static_predicate(query_parameter: str | None) -> Column | None:
     """The configured row filter; ``None`` or blank means no filter."""
     if query_parameter is None or not str(query_parameter).strip():
         return None
-    return F.expr(str(query_parameter))
+    return F.expr(spark_sql(str(query_parameter)))
 
 
 def _plus_to_concat(text: str) -> str:
@@ -54,7 +56,7 @@ def watermark_expression(
     translated ``cdc_ts_format``; the type is resolved against the source
     schema (analysis only, no job).
     """
-    text = _plus_to_concat(cdc_column.strip())
+    text = spark_sql(_plus_to_concat(cdc_column.strip()))
     parts = [p.strip() for p in text.split(",") if p.strip()]
     multi = len(parts) > 1
     expr = F.concat(*[F.expr(p) for p in parts]) if multi else F.expr(parts[0])
@@ -117,6 +119,33 @@ def delta_predicate(
         return None
     expr, lit, multi = watermark_expression(source, str(cdc_column), cdc_ts_format)
     lower = lit(cdc_timestamp)
+    term = _delta_term(strategy, expr, lit, lower, multi, to_cdc_timestamp, now)
+    return and_all([leading_text_bound(source, str(cdc_column), cdc_timestamp, cdc_ts_format), term])
+
+
+def leading_text_bound(source: DataFrame, cdc_column: str, lower, fmt: str | None) -> Column | None:
+    """A bound on the bare first column of a text watermark that the scan can
+    push down, or ``None``.
+
+    Only for formats that begin with year, month and day in full: such text
+    sorts as its date, so a row at or after ``lower`` has a first column at or
+    after the text of ``lower``'s day, or one that holds only the beginning of
+    that text.  The exact predicate implies it.
+    """
+    date_format = leading_date_format(fmt)
+    try:
+        first = plain_name(re.split(r"\|\||\+|,", cdc_column)[0])
+    except ConfigError:
+        return None
+    types = {f.name: f.dataType for f in source.schema.fields}
+    if date_format is None or not isinstance(types.get(first), T.StringType):
+        return None
+    day = _dt.datetime.fromisoformat(ts_text(lower)).strftime(date_format)
+    column = F.col(back_ticked(first))
+    return (column >= F.lit(day)) | column.isin([day[:n] for n in range(1, len(day))])
+
+
+def _delta_term(strategy, expr, lit, lower, multi, to_cdc_timestamp, now) -> Column:
     if multi:
         return expr >= lower
     kind = strategy.delta

@@ -38,33 +38,46 @@ DIALECT_TOKENS = [
     ("PM", "a"),
 ]
 
-_TOKEN_RE = re.compile("|".join(re.escape(t) for t, _ in DIALECT_TOKENS))
+_TOKEN_RE = re.compile("|".join(re.escape(t) for t, _ in DIALECT_TOKENS), re.IGNORECASE)
+_QUOTED_RE = re.compile(r'"([^"]*)"')
 _TOKEN_MAP = dict(DIALECT_TOKENS)
-# A pattern already written for Spark uses lower-case year/day letters.
-_SPARK_STYLE = re.compile(r"yy|dd|HH|mm|ss")
+# Fixed value: what marks a config format as a Spark pattern already.
+SPARK_MARKER = "spark:"
+# Starts of a format under which text sorts as its date, with
+# the pattern of the date part.
+LEADING_DATES = [("YYYY-MM-DD", "%Y-%m-%d"), ("YYYY/MM/DD", "%Y/%m/%d"), ("YYYY.MM.DD", "%Y.%m.%d"), ("YYYYMMDD", "%Y%m%d")]
 
 
 def to_spark_format(fmt: str | None) -> str | None:
     """Translate a source-dialect timestamp format into a Spark pattern.
 
-    ``None`` stays ``None``.  A pattern that already looks like a Spark
-    pattern is returned unchanged.  Literal text between tokens is quoted so
-    that letters such as ``T`` survive.
+    ``None`` stays ``None``.  Tokens match in any case, as in the dialect;
+    double-quoted and other text between them is literal.  A Spark pattern is
+    taken as it is only behind the marker ``spark:``.
     """
     if fmt is None:
         return None
-    if _SPARK_STYLE.search(fmt) and not re.search(r"YYYY|HH24|MI", fmt):
-        return fmt
-    out = []
-    pos = 0
-    for m in _TOKEN_RE.finditer(fmt):
-        if m.start() > pos:
-            out.append(_quote_literal(fmt[pos : m.start()]))
-        out.append(_TOKEN_MAP[m.group(0)])
-        pos = m.end()
-    if pos < len(fmt):
-        out.append(_quote_literal(fmt[pos:]))
-    return "".join(out)
+    if fmt.startswith(SPARK_MARKER):
+        return fmt[len(SPARK_MARKER) :]
+    out, literal, pos = [], "", 0
+    while pos < len(fmt):
+        quoted, token = _QUOTED_RE.match(fmt, pos), _TOKEN_RE.match(fmt, pos)
+        if token:
+            out += [_quote_literal(literal), _TOKEN_MAP[token.group(0).upper()]]
+            literal, pos = "", token.end()
+        elif quoted:
+            literal, pos = literal + quoted.group(1), quoted.end()
+        else:
+            literal, pos = literal + fmt[pos], pos + 1
+    return "".join([*out, _quote_literal(literal)])
+
+
+def leading_date_format(fmt: str | None) -> str | None:
+    """The ``strftime`` pattern of the date a format begins with, if text in it sorts as that date."""
+    for start, pattern in LEADING_DATES:
+        if fmt and fmt.upper().startswith(start):
+            return pattern
+    return None
 
 
 def _quote_literal(text: str) -> str:
@@ -97,10 +110,6 @@ def day_end(col: Column) -> Column:
     return day_start(col) + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
 
 
-def plus_days(col: Column, days: int) -> Column:
-    return col + F.make_dt_interval(F.lit(days))
-
-
 def stamp_text(value: _dt.datetime) -> str:
     """``EXTRACT_DATE`` text, ``%Y-%m-%d %H:%M:%S``."""
     return value.strftime("%Y-%m-%d %H:%M:%S")

@@ -104,9 +104,9 @@ def set_header_counts(
     Rows of other runs keep their counts.
     """
     # one counts row per run, so the join never multiplies header rows
-    c = counts.groupBy(*keys).agg(
-        F.max("src_record_count").alias("__src"),
-        F.max("target_record_count").alias("__tgt"),
+    pair = F.max(F.struct("src_record_count", "target_record_count"))
+    c = counts.groupBy(*keys).agg(pair.alias("__c")).select(
+        *keys, F.col("__c.src_record_count").alias("__src"), F.col("__c.target_record_count").alias("__tgt")
     )
     joined = header.join(c, list(keys), "left")
     hit = F.col("__src").isNotNull() & (F.col("latest_record_ind") == 1)
@@ -127,17 +127,14 @@ def header_counts(header: DataFrame, runs: DataFrame) -> DataFrame:
     Several latest rows for one run (a rerun under the same run id) are
     folded to one, keeping the newest counts, so each run gets one row.
     """
-    if "insert_timestamp" in header.columns:
-        def newest(c):
-            return F.max_by(c, "insert_timestamp").alias(c)
-    else:
-        def newest(c):
-            return F.max(c).alias(c)
-
+    # both counts come from one row: the newest, then the one with the larger counts
+    pair = ["src_record_count", "target_record_count"]
+    order = F.struct(*(c for c in ("insert_timestamp",) if c in header.columns), *pair)
     latest = (
         header.where(F.col("latest_record_ind") == 1)
         .groupBy("audit_id", "workflow_run_id")
-        .agg(newest("src_record_count"), newest("target_record_count"))
+        .agg(F.max_by(F.struct(*pair), order).alias("c"))
+        .select("audit_id", "workflow_run_id", "c.src_record_count", "c.target_record_count")
     )
     return runs.select("audit_id", "workflow_run_id").join(latest, ["audit_id", "workflow_run_id"], "left")
 

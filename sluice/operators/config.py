@@ -7,8 +7,10 @@ nested loop:
 
 * a manual request matches on ``(schema_name, table_name)``, and on ``id``
   when it names one;
-* a scheduled request matches on ``cloudwatch_event_name``; a scheduled
-  request without an event name matches every active scheduled config.
+* a scheduled request matches on ``cloudwatch_event_name``;
+* a scheduled request without an event name matches every active scheduled
+  config; it can only run if there is exactly one, so the configs are counted,
+  not joined to every such request.
 """
 
 from __future__ import annotations
@@ -47,64 +49,47 @@ def target_path_column(bucket: Column, prefix: Column) -> Column:
         F.concat(b, F.lit("/"), p)
     )
 
-_SEP = "\u0001"
-# Run requests broadcast to the config table only up to this many (checked
-# with a bounded count before the join).
-MAX_BROADCAST_REQUESTS = 10000
-
-
-def _lookup_key(manual: Column, schema: Column, table: Column, event: Column) -> Column:
-    return F.when(manual == "Y", F.concat_ws(_SEP, schema, table)).otherwise(event)
-
 
 def lookup_configs(configs: DataFrame, requests: DataFrame) -> DataFrame:
     """Configs matched by run requests.
 
     ``requests`` columns: ``request_id, manual_flag, schema_name, table_name,
     config_id, cloudwatch_event_name`` (the last three may be null).
-    Returns the matched config columns plus ``request_id``.
+    Returns the matched config columns plus ``request_id``.  A scheduled
+    request without an event name has a row only if exactly one active
+    scheduled config exists; ``check_requests`` tells how many there are.
     """
-    active = configs.where(F.col("active_flag") == "Y").withColumn(
-        "__lookup",
-        _lookup_key(F.col("manual_flag"), F.col("schema_name"), F.col("table_name"), F.col("cloudwatch_event_name")),
-    )
+    active = configs.where(F.col("active_flag") == "Y")
     req = requests.select(
-        F.col("request_id"),
-        F.col("manual_flag").alias("__req_manual"),
-        F.col("config_id").alias("__req_id"),
-        _lookup_key(
-            F.col("manual_flag"), F.col("schema_name"), F.col("table_name"), F.col("cloudwatch_event_name")
-        ).alias("__req_lookup"),
+        "request_id",
+        F.col("manual_flag").alias("__manual"),
+        F.col("schema_name").alias("__schema"),
+        F.col("table_name").alias("__table"),
+        F.col("config_id").alias("__id"),
+        F.col("cloudwatch_event_name").alias("__event"),
+    )
+    cols = [*configs.columns, "request_id"]
+    manual = active.where(F.col("manual_flag") == "Y").join(
+        req.where(F.col("__manual") == "Y"),
+        (F.col("schema_name") == F.col("__schema")) & (F.col("table_name") == F.col("__table")),
+    ).where(F.col("__id").isNull() | (F.col("id") == F.col("__id")))
+    scheduled = _scheduled(active).join(
+        req.where((F.col("__manual") != "Y") & F.col("__event").isNotNull()), F.col("cloudwatch_event_name") == F.col("__event")
     )
-    # Run requests are few; they are broadcast when a bounded count proves it,
-    # so a lookup key shared by many configs (one event name for a third of
-    # them) never lands in one shuffle partition.  Beyond the bound the join
-    # is left to AQE (skew-join split of the config side).
-    is_wild = F.col("__req_lookup").isNull() & (F.col("__req_manual") != "Y")
-    stats = (
-        req.limit(MAX_BROADCAST_REQUESTS + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_wild, 1)).alias("w"))
-        .first()
+    wild = req.where((F.col("__manual") != "Y") & F.col("__event").isNull())
+    # at most one row: the only active scheduled config
+    only = (
+        _scheduled(active)
+        .agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*[F.col(c) for c in configs.columns])).alias("c"))
+        .where("n = 1")
+        .select("c.*", F.lit("N").alias("__n"))
     )
-    small = stats["n"] <= MAX_BROADCAST_REQUESTS
-    keyed = req.where(F.col("__req_lookup").isNotNull())
-    matched = active.join(
-        F.broadcast(keyed) if small else keyed,
-        (active["manual_flag"] == keyed["__req_manual"]) & (active["__lookup"] == keyed["__req_lookup"]),
-        "inner",
-    ).where(F.col("__req_id").isNull() | (F.col("id") == F.col("__req_id")))
-    cols = [c for c in configs.columns] + ["request_id"]
-    # Scheduled request without an event name: every active scheduled config.
-    # Its join key has two values, so a shuffled join would put all scheduled
-    # configs in one task; the request side is broadcast when the bounded
-    # count allows it, and otherwise joined exactly by AQE's plan.
-    wildcard = req.where(is_wild)
-    n_wild = stats["w"] if small else wildcard.limit(MAX_BROADCAST_REQUESTS + 1).count()
-    if n_wild == 0:
-        return matched.select(*cols)
-    side = F.broadcast(wildcard) if n_wild <= MAX_BROADCAST_REQUESTS else wildcard
-    everything = active.join(side, active["manual_flag"] == wildcard["__req_manual"], "inner")
-    return matched.select(*cols).unionByName(everything.select(*cols))
+    lone = only.join(wild, F.col("__n") == F.when(F.col("__manual") != "Y", "N"))
+    return manual.select(*cols).unionByName(scheduled.select(*cols)).unionByName(lone.select(*cols))
+
+
+def _scheduled(active: DataFrame) -> DataFrame:
+    return active.where(F.col("manual_flag") == "N")
 
 
 def config_cardinality(configs: DataFrame, request_columns: list[str]) -> DataFrame:
@@ -117,18 +102,24 @@ def config_cardinality(configs: DataFrame, request_columns: list[str]) -> DataFr
     )
 
 
-def check_requests(requests: DataFrame, matches: DataFrame) -> DataFrame:
+def check_requests(requests: DataFrame, matches: DataFrame, configs: DataFrame) -> DataFrame:
     """C2 per request: ``MISSING`` (0), ``OK`` (1) or ``AMBIGUOUS`` (>1).
 
     The reference raises on anything but one match; here every request gets
     its verdict and the caller decides which to run.
     """
     counts = matches.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_configs"))
-    n = F.coalesce(F.col("n_configs"), F.lit(0)).cast("long")
-    return requests.join(counts, "request_id", "left").select(
-        *requests.columns,
-        n.alias("n_configs"),
-        F.when(n == 0, "MISSING").when(n == 1, "OK").otherwise("AMBIGUOUS").alias("verdict"),
+    everything = _scheduled(configs.where(F.col("active_flag") == "Y")).select(F.count(F.lit(1)).alias("n")).scalar()
+    wild = (F.col("manual_flag") != "Y") & F.col("cloudwatch_event_name").isNull()
+    n = F.when(wild, everything).otherwise(F.coalesce(F.col("n_configs"), F.lit(0))).cast("long")
+    return (
+        requests.join(counts, "request_id", "left")
+        .withColumn("n_configs", n)
+        .select(
+            *requests.columns,
+            "n_configs",
+            F.when(F.col("n_configs") == 0, "MISSING").when(F.col("n_configs") == 1, "OK").otherwise("AMBIGUOUS").alias("verdict"),
+        )
     )
 
 

@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 from sluice.operators.dedup import SOURCE_ROWS
 
 
-def observe_counts(rows: DataFrame, name: str, partition_date_column: str | None = None):
+def observe_counts(rows: DataFrame, name: str):
     """Attach an observation to ``rows`` and drop the helper column.
 
     Returns ``(frame, observation)``; after the action the observation holds
-    ``src_record_count``, ``target_record_count`` and, with
-    ``partition_date_column``, ``max_partition_date`` (A7 in the same pass).
+    ``src_record_count`` and ``target_record_count``.
     """
     obs = Observation(name)
     src = F.sum(F.col(SOURCE_ROWS)) if SOURCE_ROWS in rows.columns else F.count(F.lit(1))
@@ -30,8 +29,6 @@ def observe_counts(rows: DataFrame, name: str, partition_date_column: str | None
         F.coalesce(src, F.lit(0)).cast("long").alias("src_record_count"),
         F.count(F.lit(1)).alias("target_record_count"),
     ]
-    if partition_date_column:
-        metrics.append(F.max(F.to_date(F.col(partition_date_column).cast("string"))).alias("max_partition_date"))
     observed = rows.observe(obs, *metrics)
     if SOURCE_ROWS in rows.columns:
         observed = observed.drop(SOURCE_ROWS)

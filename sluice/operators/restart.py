@@ -30,11 +30,13 @@ def restart_gate(
 
     No restart row, or newest row with step ``Extract`` -> ``N`` (run the
     extraction); any other step -> ``Y``.  With several rows for one config
-    the newest ``insert_timestamp`` decides (the reference took an arbitrary
-    one).  ``max_by`` folds each config's rows map-side.
+    the newest ``insert_timestamp`` decides, then the largest ``step_id`` and
+    step name (the reference took an arbitrary one).  ``max_by`` folds each config's rows map-side.
     """
+    # rows of one time stamp are told apart by step, so reruns agree
+    order = ["insert_timestamp", *(c for c in ("step_id", "step_name") if c in restart.columns)]
     newest = restart.groupBy(*[F.col(k) for k in restart_keys]).agg(
-        F.max_by("step_name", "insert_timestamp").alias("__step")
+        F.max_by("step_name", F.struct(*order)).alias("__step")
     )
     cond = None
     for ck, rk in zip(config_keys, restart_keys):

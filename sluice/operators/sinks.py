@@ -1,15 +1,16 @@
 """Target writes (K1-K6) and pinned-schema read-back.
 
-Every load is one ``DataFrameWriter`` call.  Truncate-and-load (``TL-*``) is a
-single ``mode("overwrite")`` write of all slices with static partition
-overwrite, so a failed load never leaves a half-replaced target the way the
-reference's overwrite-first-slice-then-append loop could.
+Every load is one ``DataFrameWriter`` call.  Truncate-and-load (``TL-*``)
+writes all slices to a new folder beside the target and takes the target's
+place only after the write has succeeded, so a failed load leaves the previous
+target as it was.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,14 +60,44 @@ def stamp_extract_date(rows: DataFrame, when: _dt.datetime) -> DataFrame:
     return rows.withColumn(EXTRACT_DATE, F.lit(stamp_text(when)))
 
 
+def _beside(path: str, what: str) -> str:
+    """A hidden sibling of ``path`` (readers of the parent folder skip it)."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}.{what}-{uuid.uuid4().hex}"
+
+
+def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the finished folder ``fresh`` in the place of ``path``.
+
+    The previous folder is set aside first and deleted last; if the new one
+    cannot be moved in, the previous one comes back.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    here, new, aside = (hadoop.Path(p) for p in (path, fresh, _beside(path, "previous")))
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had_one = fs.exists(here)
+    if had_one and not fs.rename(here, aside):
+        raise OSError(f"cannot set aside {path}")
+    if not fs.rename(new, here):
+        if had_one:
+            fs.rename(aside, here)
+        raise OSError(f"cannot move the new load to {path}")
+    if had_one:
+        fs.delete(aside, True)
+
+
 def write_target(rows: DataFrame, spec: SinkSpec) -> None:
-    """K2-K6: one write.  ``overwrite`` replaces the whole target path."""
+    """K2-K6: one write.  ``overwrite`` replaces the whole target path once it is complete."""
+    if spec.mode == "overwrite":
+        fresh = _beside(spec.path, "loading")
+        write_target(rows, replace(spec, path=fresh, mode="errorifexists"))
+        swap_in(rows.sparkSession, fresh, spec.path)
+        return
     if spec.files_per_partition and spec.partition_by:
         rows = cluster_for_write(rows, spec.partition_by, spec.files_per_partition)
     writer = (
         rows.write.mode(spec.mode)
         .option("maxRecordsPerFile", spec.max_records_per_file)
-        .option("partitionOverwriteMode", "static")
     )
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)

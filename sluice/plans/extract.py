@@ -32,7 +32,9 @@ from typing import Any, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sluice.functions.dialect import plain_name, spark_sql
 from sluice.functions.keys import split_names, split_sql_list
 from sluice.functions.predicates import (
     and_all,
@@ -102,6 +104,7 @@ class ExtractionConfig:
                 minutes = None
             if minutes is not None:
                 ts = ts - _dt.timedelta(minutes=minutes)
+        max_records = _whole_number(raw, "max_records_per_file")
         path = raw.get("target_path") or target_path_text(raw.get("curate_bucket"), raw.get("curate_prefix"))
         return cls(
             load_strategy=strategy,
@@ -112,22 +115,42 @@ class ExtractionConfig:
             cdc_timestamp=ts,
             to_cdc_timestamp=_as_datetime(raw.get("to_cdc_timestamp")),
             cdc_ts_format=raw.get("cdc_ts_format"),
-            source_partition_column=tuple(split_names(raw.get("source_partition_column"))),
-            target_partition_column=tuple(split_names(raw.get("target_partition_column"))),
-            primary_keys=tuple(split_names(raw.get("primary_keys"))),
-            agg_column=raw.get("agg_column"),
+            source_partition_column=_names(raw.get("source_partition_column")),
+            target_partition_column=_names(raw.get("target_partition_column")),
+            primary_keys=_names(raw.get("primary_keys")),
+            agg_column=None if raw.get("agg_column") is None else plain_name(str(raw["agg_column"])),
             agg_column_function=raw.get("agg_column_function"),
             agg_operation=raw.get("agg_operation"),
             target_path=path,
             schema_name=raw.get("schema_name"),
             table_name=raw.get("table_name"),
-            dedup_order=tuple(split_names(raw.get("dedup_order"))),
+            dedup_order=_names(raw.get("dedup_order")),
+            max_records_per_file=MAX_RECORDS_PER_FILE if max_records is None else max_records,
+            files_per_partition=_whole_number(raw, "files_per_partition"),
         )
 
     def with_path(self, path: str) -> "ExtractionConfig":
         return replace(self, target_path=path)
 
 
+def _names(value) -> tuple[str, ...]:
+    return tuple(plain_name(n) for n in split_names(value))
+
+
+def _whole_number(raw: Mapping[str, Any], name: str) -> int | None:
+    """A positive whole number of a config row, or ``None`` where it is not set."""
+    value = raw.get(name)
+    if value is None or not str(value).strip():
+        return None
+    try:
+        number = int(str(value).strip())
+    except ValueError:
+        number = 0
+    if number < 1:
+        raise ConfigError(f"{name} must be a positive whole number, not {value!r}")
+    return number
+
+
 def _as_datetime(value):
     """Config bounds arrive as datetimes (typed control tables) or as text."""
     if value is None or isinstance(value, _dt.datetime):
@@ -153,6 +176,19 @@ def validate(cfg: ExtractionConfig) -> None:
         raise ConfigError("IO-SNAP-MAX-CDC needs a single date partition column")
 
 
+def validate_source(source: DataFrame, cfg: ExtractionConfig) -> None:
+    """Reject configs whose columns the source cannot serve, before anything is read."""
+    types = {f.name.lower(): f.dataType for f in source.schema.fields}
+    wanted = cfg.source_partition_column
+    missing = [c for c in wanted if c.lower() not in types]
+    if missing:
+        raise ConfigError(f"source partition columns not in the source: {missing}")
+    if cfg.load_strategy is LoadStrategy.IO_SNAP_MAX_CDC and wanted:
+        kind = types[wanted[0].lower()]
+        if not isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            raise ConfigError(f"IO-SNAP-MAX-CDC needs a date partition column, {wanted[0]!r} is {kind.simpleString()}")
+
+
 @dataclass
 class ExtractionPlan:
     config: ExtractionConfig
@@ -245,6 +281,7 @@ def plan_extraction(
     slices, e.g. to re-extract only some partitions; null-safe semi-join (A2).
     """
     validate(cfg)
+    validate_source(source, cfg)
     pred = row_predicate(source, cfg, now, agg_source, materialize_aggregate)
     filtered = source if pred is None else source.where(pred)
     if slices is not None:
@@ -261,7 +298,7 @@ def plan_extraction(
             filtered = filtered.observe(
                 date_obs, F.max(F.to_date(F.col(date_col).cast("string"))).alias("max_partition_date")
             )
-    selected = filtered.selectExpr(*split_sql_list(cfg.select_columns))
+    selected = filtered.selectExpr(*split_sql_list(spark_sql(cfg.select_columns)))
     partitioned = bool(cfg.source_partition_column)
 
     output = selected

@@ -104,7 +104,7 @@ def run_requests(
     rows with a frame for TL-AGG's aggregate.
     """
     matches = cfgops.lookup_configs(tables.config, requests.drop("workflow_run_id", "job_run_id"))
-    verdicts = cfgops.check_requests(requests, matches)  # C2
+    verdicts = cfgops.check_requests(requests, matches, tables.config)  # C2
     ok = verdicts.where(F.col("verdict") == "OK").select("request_id", "workflow_run_id", "job_run_id")
     runs = matches.join(ok, "request_id", "inner")
 

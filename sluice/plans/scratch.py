@@ -32,7 +32,7 @@ def scratch_dir(spark: SparkSession) -> str:
         # Only a single-machine session may use a local folder; executors on a
         # cluster could not see it.
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for sluice's tables")
         import tempfile
 

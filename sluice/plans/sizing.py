@@ -43,8 +43,3 @@ def scale_settings(
         "spark.sql.sources.partitionOverwriteMode": "static",
         "spark.sql.parquet.filterPushdown": "true",
     }
-
-
-def apply_settings(spark, settings: dict[str, str]) -> None:
-    for k, v in settings.items():
-        spark.conf.set(k, v)

@@ -17,7 +17,12 @@ from sluice.sources.jdbc import slice_predicate
         ("YYYY-MM-DD", "yyyy-MM-dd"),
         ("YYYY-MM-DD HH24:MI:SS.FF6", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
         ("DD/MM/YYYY HH12:MI AM", "dd/MM/yyyy hh:mm a"),
-        ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss"),
+        ("spark:yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss"),
+        ("yyyy-mm-dd hh24:mi:ss", "yyyy-MM-dd HH:mm:ss"),
+        ("yyyymmdd", "yyyyMMdd"),
+        ("Dd-Mon-YYYY", "dd-MMM-yyyy"),
+        ("YYYY-MM-DD\"T\"HH24:MI:SS", "yyyy-MM-dd'T'HH:mm:ss"),
+        ("YYYY\"year\"MM", "yyyy'year'MM"),
         (None, None),
     ],
 )

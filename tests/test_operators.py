@@ -93,10 +93,10 @@ def test_lookup_manual_with_id_and_scheduled_wildcard(spark):
         "request_id string, manual_flag string, schema_name string, table_name string, config_id long, "
         "cloudwatch_event_name string")
     matches = cfgops.lookup_configs(cfg, reqs)
-    by_req = {r.request_id: r.n_configs for r in cfgops.check_requests(reqs, matches).collect()}
+    by_req = {r.request_id: r.n_configs for r in cfgops.check_requests(reqs, matches, cfg).collect()}
     scheduled = cfg.where((F.col("manual_flag") == "N") & (F.col("active_flag") == "Y")).count()
     assert by_req == {"m": 1, "w": scheduled, "none": 0}
-    verdicts = {r.request_id: r.verdict for r in cfgops.check_requests(reqs, matches).collect()}
+    verdicts = {r.request_id: r.verdict for r in cfgops.check_requests(reqs, matches, cfg).collect()}
     assert verdicts["m"] == "OK" and verdicts["none"] == "MISSING"
 
 
