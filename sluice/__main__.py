@@ -49,7 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--job-run-id")
     p.add_argument("--requests", help="JSON-lines file of run requests (one object per line, same fields "
                                       "as the single-request options) run in one application")
-    p.add_argument("--parallel", type=int, default=1, help="concurrent extractions for --requests")
+    p.add_argument("--parallel", type=int, default=None, help="concurrent extractions (default: the session's task slots)")
     p.add_argument("--job-name", default="sluice-extract")
     p.add_argument("--now")
     p.add_argument("--target-root")
@@ -69,6 +69,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     args = _parser().parse_args(argv)
     if not args.source_root and not args.jdbc_url:
         raise SystemExit("one of --source-root or --jdbc-url is required")
+    from pyspark.errors import AnalysisException
     from pyspark.sql import SparkSession
 
     from sluice.plans.job import read_control_tables, run_requests, write_control_tables
@@ -99,6 +100,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         if jdbc is not None:
             from sluice.plans.extract import Source, discover_slices
             from sluice.sources.jdbc import (
+                key_range_partitioning,
                 read_jdbc_table,
                 read_jdbc_window,
                 sliced_jdbc_source,
@@ -111,16 +113,21 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
             catalog_table = spark.table(f"{JDBC_CATALOG}.{table}")
             if not cfg.source_partition_column:
                 window = window_partitioning(cfg, now)
-                if window is None or args.jdbc_partitions <= 1:
+                if args.jdbc_partitions > 1 and window is None:
+                    window = key_range_partitioning(catalog_table, cfg.primary_keys)
+                if args.jdbc_partitions <= 1 or window is None:
                     return Source(read_jdbc_table(spark, jdbc, table), catalog_table)
                 return Source(read_jdbc_window(spark, jdbc, table, *window, args.jdbc_partitions), catalog_table)
             keys = discover_slices(catalog_table, cfg, now)
-            rows = sliced_jdbc_source(spark, jdbc, table, keys, list(cfg.source_partition_column))
+            rows = sliced_jdbc_source(spark, jdbc, table, catalog_table, keys, list(cfg.source_partition_column))
             return Source(rows, catalog_table)
-        flat = os.path.join(args.source_root, f"{cfg.table_name}.parquet")
-        if os.path.exists(flat):
+        flat = f"{args.source_root.rstrip('/')}/{cfg.table_name}.parquet"
+        try:
             return spark.read.parquet(flat)
-        return spark.read.parquet(os.path.join(args.source_root, str(cfg.schema_name), str(cfg.table_name)))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        return spark.read.parquet(f"{args.source_root.rstrip('/')}/{cfg.schema_name}/{cfg.table_name}")
 
     target_for = (lambda c: f"{args.target_root.rstrip('/')}/{c.id}") if args.target_root else None
     outcome = run_requests(
@@ -132,6 +139,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         now,
         target_for,
         max_parallel=args.parallel,
+        persist=lambda tables: write_control_tables(tables, f"{args.out.rstrip('/')}/opened"),
+        journal=f"{args.out.rstrip('/')}/outcomes",
     )
     write_control_tables(outcome.tables, args.out)
     summaries = []

@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions.keys import split_names
 from sluice.functions.timefmt import ts_lit
 from sluice.operators import audit, config as cfgops, counts, partitions, restart, sinks, watermark
 from sluice.plans.extract import (
     ExtractionConfig,
     discover_slices,
     plan_extraction,
+    result_row,
     run_extraction,
 )
 from sluice.plans.fixtures import (
@@ -162,17 +164,53 @@ def partition_discovery_date(spark, sf):
 
 
 def partitioned_extract_nullsafe(spark, sf):
-    """A2: slices joined back null-safe; the null brand slice keeps its rows."""
+    """A2: rows of chosen slices: brands of a few parts, the null brand, and
+    one that no row has."""
     part = read_table(spark, sf, "part").withColumn("brand", F.nullif(F.col("p_brand"), F.lit("Brand#11")))
     cfg = ExtractionConfig.from_mapping(
         dict(load_strategy="TL-SRC-TGT", select_columns="p_partkey, brand", query_parameter="p_size > 10",
              source_partition_column="brand")
     )
-    keys = discover_slices(part, cfg, NOW)
+    some = discover_slices(part.where("p_partkey < 12 and brand is not null"), cfg, NOW)
+    keys = some.unionByName(spark.createDataFrame([(None,), ("Brand#none",)], "brand string"))
     rows = plan_extraction(part, cfg, NOW).selected
     return partitions.restrict_to_partitions(rows, keys, ["brand"])
 
 
+def slices_subset(spark, sf):
+    """S4 + A2: a chosen part of the (flag, status) slices, a null key among
+    them, extracted through the plan's own ``slices``."""
+    lineitem = read_table(spark, sf, "lineitem").withColumn("flag", F.nullif(F.col("l_returnflag"), F.lit("N")))
+    cfg = ExtractionConfig.from_mapping(
+        dict(load_strategy="TL-SRC-TGT", select_columns="l_orderkey, l_linenumber, flag, l_linestatus",
+             query_parameter="l_quantity > 30", source_partition_column="flag, l_linestatus")
+    )
+    chosen = spark.createDataFrame([(None, "O"), ("A", "F")], "flag string, l_linestatus string")
+    return plan_extraction(lineitem, cfg, NOW, slices=chosen).selected
+
+
+def quoted_names(spark, sf):
+    """P1 + P2 + P4: double-quoted source names in every SQL text of a config,
+    and quotes inside a literal."""
+    events = read_table(spark, sf, "events").withColumnRenamed("event_type", "Event Type")
+    cfg = ExtractionConfig.from_mapping(
+        dict(load_strategy="IO-CDC", select_columns='"event_id", "Event Type" as kind, \'a "b" c\' as note, ts',
+             query_parameter='"Event Type" in (\'click\', \'"view"\')', cdc_column='"ts"',
+             cdc_timestamp=dt(2024, 1, 10), cdc_ts_format=FMT)
+    )
+    return plan_extraction(events, cfg, NOW).selected
+
+
+def text_watermark_any_case(spark, sf):
+    """A lower-case source format over a text watermark."""
+    events = read_table(spark, sf, "events").withColumn("wm", F.date_format("ts", "yyyyMMdd HH:mm:ss"))
+    cfg = ExtractionConfig.from_mapping(
+        dict(load_strategy="IO-CDC", select_columns="event_id, wm", cdc_column="wm",
+             cdc_timestamp=dt(2024, 1, 20, 6), cdc_ts_format="yyyymmdd hh24:mi:ss")
+    )
+    return plan_extraction(events, cfg, NOW).selected
+
+
 def tl_agg(spark, sf):
     """A3 (TL-AGG): rows at the maximum ship date of the filtered table."""
     cfg = ExtractionConfig.from_mapping(
@@ -216,14 +254,14 @@ def max_partition_date(spark, sf):
 
 
 def partitioned_equals_whole(spark, sf):
-    """A sliced extraction (discovery + null-safe semi-join, one scan)
-    summarised per slice; equals the unsliced filter."""
+    """A sliced extraction (discovery + null-safe semi-join, one scan) of
+    some of the statuses, summarised per slice."""
     orders = read_table(spark, sf, "orders")
     cfg = ExtractionConfig.from_mapping(
         dict(load_strategy="IO-CDC", select_columns="o_orderkey, o_orderstatus", cdc_column="o_orderdate",
              cdc_timestamp=dt(1998, 1, 1), cdc_ts_format=FMT, source_partition_column="o_orderstatus")
     )
-    keys = discover_slices(orders, cfg, NOW)
+    keys = discover_slices(orders.where("o_orderstatus <> 'O'"), cfg, NOW)
     rows = partitions.restrict_to_partitions(plan_extraction(orders, cfg, NOW).selected, keys, ["o_orderstatus"])
     return rows.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("n_keys")
@@ -247,33 +285,51 @@ def dedup_primary_keys(spark, sf):
 
 
 def reconcile_counts(spark, sf):
-    """A5 + C7 + C10 + R1: a real extraction run (dedup, write) whose read and
-    write counts are observed in the writing pass, stored on the run's audit
-    header row, read back from it and reconciled."""
+    """A5 + C7 + C10 + R1: read and write counts stored on each run's audit
+    header row, read back and reconciled: one real extraction (dedup, write)
+    with counts observed in the writing pass, and one run per order, whose
+    lines are its source rows and whose line numbers are what it wrote."""
     cfg = ExtractionConfig.from_mapping(
         dict(id="lineitem", load_strategy="IO-CUSTOM-CDC", primary_keys="l_orderkey,l_linenumber",
              target_path=scratch_path(spark, "reconcile"))
     )
     result = run_extraction(read_table(spark, sf, "lineitem"), cfg, NOW)
-    header = spark.createDataFrame(
-        [("lineitem", NOW, 1, "run-1", "RUNNING", NOW, 0, 0)],
-        "audit_id string, insert_timestamp timestamp_ntz, latest_record_ind int, workflow_run_id string, "
+    one = spark.createDataFrame(
+        [(-1, NOW, 1, -1, "RUNNING", NOW, 0, 0)],
+        "audit_id long, insert_timestamp timestamp_ntz, latest_record_ind int, workflow_run_id long, "
         "workflow_header_status string, workflow_start_ts timestamp_ntz, src_record_count long, "
         "target_record_count long",
     )
-    run = spark.createDataFrame(
-        [("lineitem", "run-1", result.src_record_count, result.target_record_count)],
-        "audit_id string, workflow_run_id string, src_record_count long, target_record_count long",
+    header = audit_header_from_orders(read_table(spark, sf, "orders")).unionByName(one)
+    per_run = _order_counts(spark, sf).select("workflow_run_id", "src_record_count", "target_record_count")
+    done = spark.createDataFrame(
+        [(-1, result.src_record_count, result.target_record_count)],
+        "workflow_run_id long, src_record_count long, target_record_count long",
+    )
+    header = audit.set_header_counts(header, per_run.unionByName(done), keys=("workflow_run_id",))
+    # an older latest row of the same runs: the newest one counts
+    older = header.where("workflow_run_id % 3 = 0").withColumns(
+        {"insert_timestamp": ts_lit("1990-01-01 00:00:00"), "src_record_count": F.lit(7).cast("long"),
+         "target_record_count": F.lit(7).cast("long")}
+    )
+    stored = audit.header_counts(header.unionByName(older), header)
+    return counts.reconcile_counts(stored).select(
+        F.col("workflow_run_id").alias("run_id"), "src_record_count", "target_record_count", "counts_match"
+    )
+
+
+def _order_counts(spark, sf):
+    """Per order: its lines, and its distinct line numbers."""
+    per_line = read_table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("c"))
+    return per_line.groupBy(F.col("l_orderkey").alias("workflow_run_id")).agg(
+        F.sum("c").cast("long").alias("src_record_count"), F.count(F.lit(1)).alias("target_record_count")
     )
-    stored = audit.header_counts(audit.set_header_counts(header, run), run)
-    return counts.reconcile_counts(stored).select("src_record_count", "target_record_count", "counts_match")
 
 
 def extracted_flag(spark, sf):
     """A6 set-based: rows each config's extraction selects, and the flag."""
     cfg = derived_configs(read_table(spark, sf, "customer")).select("id")
-    orders = read_table(spark, sf, "orders").where(F.col("o_orderdate") >= ts_lit("2000-01-01 00:00:00"))
-    return counts.extracted_flags(cfg, orders, "id", "o_custkey")
+    return counts.extracted_flags(cfg, read_table(spark, sf, "orders"), "id", "o_custkey")
 
 
 # --- sinks (K1-K6) ----------------------------------------------------------
@@ -376,6 +432,35 @@ def config_cardinality(spark, sf):
     return cfgops.config_cardinality(cfg, ["c_nationkey", "c_mktsegment"])
 
 
+def request_verdicts(spark, sf):
+    """C1 + C2: run requests of every shape against all configs - manual by
+    table, manual by id, scheduled by event, scheduled without one, and names
+    that nothing or only a half matches - with their match count and verdict."""
+    customer = read_table(spark, sf, "customer")
+    # a tenth of the configs have no schema, so names must match column by column
+    cfg = derived_configs(customer).withColumn("schema_name", F.when(F.col("id") % 10 != 0, F.col("schema_name")))
+    text = F.lit(None).cast("string")
+    number = F.lit(None).cast("long")
+    shapes = [
+        ("by table", F.lit("Y"), "schema_name", "table_name", number, text),
+        ("by id", F.lit("Y"), "schema_name", "table_name", F.col("id"), text),
+        ("shifted", F.lit("Y"), "table_name", text, number, text),
+        ("event", F.lit("N"), text, text, number, "cloudwatch_event_name"),
+        ("no event", F.lit("N"), text, text, number, text),
+    ]
+    requests = None
+    for name, manual, schema, table, config_id, event in shapes:
+        part = cfg.select(
+            F.concat(F.lit(f"{name} "), F.col("id").cast("string")).alias("request_id"), manual.alias("manual_flag"),
+            (F.col(schema) if isinstance(schema, str) else schema).alias("schema_name"),
+            (F.col(table) if isinstance(table, str) else table).alias("table_name"), config_id.alias("config_id"),
+            (F.col(event) if isinstance(event, str) else event).alias("cloudwatch_event_name"),
+        )
+        requests = part if requests is None else requests.unionByName(part)
+    checked = cfgops.check_requests(requests, cfgops.lookup_configs(cfg, requests), cfg)
+    return checked.select("request_id", "n_configs", "verdict")
+
+
 def config_normalise(spark, sf):
     """C3 + P10 on every config row."""
     cfg = cfgops.normalise_configs(derived_configs(read_table(spark, sf, "customer")))
@@ -396,18 +481,24 @@ def advance_watermark(spark, sf):
 
 
 def watermark_log_append(spark, sf):
-    """Existing log plus the IO-SNAP advances."""
-    cfg = derived_configs(read_table(spark, sf, "customer"))
-    log = cfg.where(F.col("load_strategy").isin("IO-SNAP", "IO-CDC")).select(
+    """An existing log plus the advances of all strategies."""
+    cfg = derived_configs(read_table(spark, sf, "customer")).withColumns(
+        {"max_value": F.to_date("to_cdc_timestamp"), "gate": F.col("id") % 2 == 0, "is_extracted": F.col("id") % 7 != 0}
+    )
+    log = cfg.select(
         F.col("id").alias("audit_id"),
         ts_lit("2024-01-01 00:00:00").alias("insert_timestamp"),
         "cdc_timestamp",
         F.col("cdc_ts_format").alias("cdc_timestamp_fmt"),
         "to_cdc_timestamp",
     )
-    snap = watermark.advance_watermark(cfg.where(F.col("load_strategy") == "IO-SNAP"), NOW)
-    new = watermark.watermark_log_rows(snap, NOW)
-    return watermark.append_watermark_log(log, new).select("audit_id", "cdc_timestamp", "to_cdc_timestamp")
+    new = watermark.watermark_log_rows(watermark.advance_watermark(cfg, NOW), NOW)
+    return watermark.append_watermark_log(log, new)
+
+
+def latest_watermarks(spark, sf):
+    """W6 read back: the bounds each config's next run starts from."""
+    return watermark.latest_watermarks(watermark_log_append(spark, sf))
 
 
 # --- audit (C4-C10, R2) -----------------------------------------------------
@@ -450,19 +541,17 @@ def audit_retire_latest(spark, sf):
 def audit_set_counts(spark, sf):
     """Per-run counts (all lines read, distinct line numbers written)."""
     header = audit_header_from_orders(read_table(spark, sf, "orders"))
-    lines = read_table(spark, sf, "lineitem")
-    per_line = lines.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("c"))
-    run_counts = per_line.groupBy(F.col("l_orderkey").alias("workflow_run_id")).agg(
-        F.sum("c").cast("long").alias("src_record_count"), F.count(F.lit(1)).alias("target_record_count")
-    )
-    out = audit.set_header_counts(header, run_counts, keys=("workflow_run_id",))
+    # every fifth run's row is retired and keeps its counts
+    header = header.withColumn("latest_record_ind", (F.col("workflow_run_id") % 5 != 0).cast("int"))
+    out = audit.set_header_counts(header, _order_counts(spark, sf), keys=("workflow_run_id",))
     return out.select(F.col("workflow_run_id").alias("run_id"), "src_record_count", "target_record_count")
 
 
 def audit_line_retire(spark, sf):
-    """C8 + C9: retire non-running lines, then add one running line per config."""
+    """C8 + C9: retire the non-running lines of the configs run now (two in
+    three), then add one running line for each of them."""
     lines = audit_lines_from_orders(read_table(spark, sf, "orders"))
-    customer = read_table(spark, sf, "customer")
+    customer = read_table(spark, sf, "customer").where("c_custkey % 3 <> 0")
     runs = customer.select(
         F.col("c_custkey").alias("audit_id"),
         F.col("c_custkey").cast("string").alias("audit_line_job_id"),
@@ -500,12 +589,14 @@ def extract_log_upsert(spark, sf):
 
 
 def restart_gate(spark, sf):
-    """Restart rows from recent events; the newest row decides."""
+    """Every event is a restart row of its user, stamped by the day, so
+    rows tie; the newest one decides, of equal ones that with the largest id."""
     cfg = derived_configs(read_table(spark, sf, "customer")).select("id")
-    recent = read_table(spark, sf, "events").where(F.col("ts") >= ts_lit("2024-01-29 00:00:00"))
-    rows = recent.groupBy(F.col("user_id").alias("audit_id")).agg(
-        F.when(F.bool_or(F.col("event_type") == "error"), "Extract").otherwise("Update").alias("step_name"),
-        F.max("ts").alias("insert_timestamp"),
+    rows = read_table(spark, sf, "events").select(
+        F.col("user_id").alias("audit_id"),
+        F.format_string("%012d", "event_id").alias("step_id"),
+        F.when(F.col("event_type").isin("error", "view"), "Extract").otherwise(F.col("event_type")).alias("step_name"),
+        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("insert_timestamp"),
     )
     return restart.restart_gate(cfg, rows, ["id"], ["audit_id"]).select("id", "exit_flag")
 
@@ -535,6 +626,107 @@ def restart_record(spark, sf):
     return out.select("audit_id", "step_id", "step_name", "description")
 
 
+# --- whole chains (L1-L6, L9) --------------------------------------------------
+
+
+def _chain(spark, sf, table: str, source: DataFrame, columns: str, **config) -> DataFrame:
+    """One run of a strategy end to end, and what it left behind.
+
+    Extract and write with counts observed, reconcile (R1), advance the
+    watermark (W1-W5) from what the run itself observed, log it (W6), merge the
+    extraction log (R2), and read the target back.
+    """
+    path = scratch_path(spark, f"chain_{config['load_strategy'].lower()}")
+    cfg = ExtractionConfig.from_mapping(
+        dict(config, id=table, select_columns=columns, cdc_ts_format=FMT, target_path=path, table_name=table)
+    )
+    result = run_extraction(source, cfg, NOW)
+    run = watermark.advance_watermark(result_row(spark, result, NOW), NOW)
+    log = watermark.append_watermark_log(
+        spark.createDataFrame([], "audit_id string, insert_timestamp timestamp_ntz, cdc_timestamp timestamp_ntz, "
+                                  "cdc_timestamp_fmt string, to_cdc_timestamp timestamp_ntz"),
+        watermark.watermark_log_rows(run, NOW),
+    )
+    old = spark.createDataFrame(
+        [(table, _dt.date(2023, 1, 1), "COMPLETED", NOW)],
+        "table_name string, delta_completion_date date, status string, last_update_timestamp timestamp_ntz",
+    )
+    loaded = run.where(F.col("load_strategy").isin("IO-SNAP-MAX-CDC", "IO-CUSTOM-CDC") & F.col("gate") & F.col("max_value").isNotNull())
+    completed = audit.upsert_extract_log(
+        old, loaded.select(F.lit(table).alias("table_name"), F.col("max_value").alias("delta_completion_date")), ["table_name"], NOW
+    )
+    key = split_names(columns)[0]
+    back = spark.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(key)).cast("long").alias("key_sum"), F.countDistinct(key).alias("n_keys")
+    )
+    return (
+        run.select("id", "load_strategy", "src_record_count", "target_record_count", F.col("gate").alias("counts_match"))
+        .join(log.select(F.col("audit_id").alias("id"), "cdc_timestamp", "to_cdc_timestamp"), "id", "left")
+        .join(completed.select(F.col("table_name").alias("id"), "delta_completion_date"), "id", "left")
+        .join(back.withColumn("id", F.lit(table)), "id")
+    )
+
+
+def chain_io(spark, sf):
+    """L1: a full pull; no watermark moves."""
+    return _chain(spark, sf, "orders", read_table(spark, sf, "orders"), "o_orderkey, o_orderstatus", load_strategy="IO",
+                  query_parameter="o_orderstatus <> 'P'")
+
+
+def chain_io_snap(spark, sf):
+    """L2: one snapshot day."""
+    return _chain(spark, sf, "orders", read_table(spark, sf, "orders"), "o_orderkey, o_orderdate", load_strategy="IO-SNAP",
+                  cdc_column="o_orderdate", cdc_timestamp=dt(1998, 3, 15))
+
+
+def chain_io_cdc(spark, sf):
+    """L3: from the watermark on, overlap applied."""
+    return _chain(spark, sf, "events", read_table(spark, sf, "events"), "event_id, ts", load_strategy="IO-CDC",
+                  cdc_column="ts", cdc_timestamp=dt(2024, 1, 12), overlap_in_min="45")
+
+
+def chain_io_snap_dly(spark, sf):
+    """L4: one day's window, duplicates removed by key."""
+    return _chain(spark, sf, "lineitem", read_table(spark, sf, "lineitem"), "l_orderkey, l_linenumber, l_returnflag",
+                  load_strategy="IO-SNAP-DLY", cdc_column="l_shipdate", cdc_timestamp=dt(1997, 1, 1),
+                  to_cdc_timestamp=dt(1998, 12, 31, 23, 59, 59), primary_keys="l_orderkey, l_linenumber",
+                  target_partition_column="l_returnflag")
+
+
+def chain_io_snap_max_cdc(spark, sf):
+    """Date slices until yesterday; the newest date read moves the watermark."""
+    return _chain(spark, sf, "events", _events_with_date(spark, sf), "event_id, ts, event_date", load_strategy="IO-SNAP-MAX-CDC",
+                  cdc_column="ts", cdc_timestamp=dt(2024, 1, 3), source_partition_column="event_date",
+                  target_partition_column="event_date")
+
+
+def chain_io_custom_cdc(spark, sf):
+    """Until yesterday by key; the gate passes as keys are unique."""
+    return _chain(spark, sf, "events", read_table(spark, sf, "events"), "event_id, ts", load_strategy="IO-CUSTOM-CDC",
+                  cdc_column="ts", cdc_timestamp=dt(2024, 1, 3), primary_keys="event_id")
+
+
+def chain_tl_agg(spark, sf):
+    """The rows at the newest ship date, loaded in place of the target."""
+    return _chain(spark, sf, "lineitem", read_table(spark, sf, "lineitem"), "l_orderkey, l_linenumber, l_shipdate",
+                  load_strategy="TL-AGG", query_parameter="l_returnflag='N'", agg_column="l_shipdate",
+                  agg_column_function="max", agg_operation="=")
+
+
+def sink_file_sizes(spark, sf):
+    """K6: rows per target file, as the config row caps them."""
+    path = scratch_path(spark, "file_sizes")
+    cfg = ExtractionConfig.from_mapping(
+        dict(load_strategy="TL-SRC-TGT", select_columns="event_id, event_type", target_partition_column="event_type",
+             target_path=path, max_records_per_file="300", files_per_partition="1")
+    )
+    run_extraction(read_table(spark, sf, "events"), cfg, NOW)
+    per_file = spark.read.parquet(path).groupBy("event_type", F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("event_type").agg(
+        F.sum("n").cast("long").alias("n_rows"), F.count(F.lit(1)).alias("n_files"), F.max("n").alias("largest")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "delta_full": delta_full,
     "delta_snapshot_eq": delta_snapshot_eq,
@@ -573,4 +765,17 @@ QUERIES: dict[str, Query] = {
     "watermark_log_append": watermark_log_append,
     "restart_record": restart_record,
     "config_normalise": config_normalise,
+    "slices_subset": slices_subset,
+    "quoted_names": quoted_names,
+    "text_watermark_any_case": text_watermark_any_case,
+    "request_verdicts": request_verdicts,
+    "latest_watermarks": latest_watermarks,
+    "sink_file_sizes": sink_file_sizes,
+    "chain_io": chain_io,
+    "chain_io_snap": chain_io_snap,
+    "chain_io_cdc": chain_io_cdc,
+    "chain_io_snap_dly": chain_io_snap_dly,
+    "chain_io_snap_max_cdc": chain_io_snap_max_cdc,
+    "chain_io_custom_cdc": chain_io_custom_cdc,
+    "chain_tl_agg": chain_tl_agg,
 }

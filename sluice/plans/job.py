@@ -16,6 +16,7 @@ be overwritten while it is being read.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, fields
 from typing import Callable
@@ -57,7 +58,7 @@ SCHEMAS = {
 class JobOutcome:
     tables: ControlTables
     runs: DataFrame  # one row per request with verdict, exit flag, counts, gate, next bounds
-    results: dict = field(default_factory=dict)  # config id -> ExtractionResult
+    results: dict = field(default_factory=dict)  # config id -> ExtractionResult, shared by its requests
     errors: dict = field(default_factory=dict)  # config id -> error text
 
 
@@ -89,13 +90,22 @@ def run_requests(
     job_name: str,
     now: _dt.datetime,
     target_path_for: Callable[[ExtractionConfig], str] | None = None,
-    max_parallel: int = 1,
+    max_parallel: int | None = None,
+    persist: Callable[[ControlTables], None] | None = None,
+    journal: str | None = None,
 ) -> JobOutcome:
     """Run every request that matches exactly one active config.
 
-    With ``max_parallel > 1`` the per-config extractions are submitted from
-    that many threads, so independent tables load side by side on the
-    cluster (Spark accepts jobs from several threads of one session).
+    Several requests for one config extract it once and share the outcome.
+
+    The extractions are submitted from ``max_parallel`` threads, so independent
+    tables load side by side on the cluster (Spark accepts jobs from several
+    threads of one session); by default as many as the session has task slots.
+
+    ``persist`` receives the control tables with the audit rows opened and the
+    restart rows cleared, before anything is extracted; each extraction's
+    outcome is then appended under ``journal``.  A run that dies midway so
+    leaves RUNNING rows and the outcomes it had.
 
     ``requests`` columns: ``request_id, manual_flag, schema_name, table_name,
     config_id, cloudwatch_event_name, workflow_run_id, job_run_id``.
@@ -152,7 +162,7 @@ def run_requests(
         runs, tables.restart, ["id", "manual_flag"], ["audit_id", "manual_flag"]
     )
     plan_rows = gated.collect()  # one row per matched config (bounded by the requests)
-    to_extract = [r for r in plan_rows if r["exit_flag"] == "N"]
+    to_extract = list({r["id"]: r for r in plan_rows if r["exit_flag"] == "N"}.values())  # once per config
     restart_tbl = restart.clear_restart(
         tables.restart,
         spark.createDataFrame(
@@ -161,6 +171,9 @@ def run_requests(
         ["audit_id", "manual_flag"],
     )
 
+    if persist is not None:
+        persist(ControlTables(tables.config, spec, header, lines, restart_tbl, tables.watermark_log, tables.extract_log))
+
     # One extraction per config.
     results: dict = {}
     errors: dict = {}
@@ -179,11 +192,15 @@ def run_requests(
         except Exception as exc:  # every failure leaves a restart row (fixes #17)
             return r["id"], None, f"{type(exc).__name__}: {exc}"
 
-    if max_parallel > 1 and len(to_extract) > 1:
-        with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-            outcomes = list(pool.map(extract_one, to_extract))
-    else:
-        outcomes = [extract_one(r) for r in to_extract]
+    def extract_and_note(r):
+        cid, res, err = extract_one(r)
+        if journal is not None:
+            # a folder each: writers of one folder would share its temporary files
+            _outcome_row(spark, cid, res, err).write.parquet(f"{journal.rstrip('/')}/outcome={uuid.uuid4().hex}")
+        return cid, res, err
+
+    with ThreadPoolExecutor(max_workers=max_parallel or spark.sparkContext.defaultParallelism) as pool:
+        outcomes = list(pool.map(extract_and_note, to_extract))
     for cid, res, err in outcomes:
         if err is None:
             results[cid] = res
@@ -208,7 +225,8 @@ def run_requests(
     header = audit.set_header_counts(
         header,
         res.select(F.col("id").alias("audit_id"), "workflow_run_id", "src_record_count", "target_record_count")
-        .where(F.col("src_record_count").isNotNull()),
+        .where(F.col("src_record_count").isNotNull())
+        .distinct(),
     )
     stored = audit.header_counts(header, res.select(F.col("id").alias("audit_id"), "workflow_run_id"))
     res = res.join(
@@ -224,7 +242,7 @@ def run_requests(
     # W1-W5, W6.
     advanced = watermark.advance_watermark(res, now)
     wm_log = watermark.append_watermark_log(
-        tables.watermark_log, watermark.watermark_log_rows(advanced, now, id_column="id")
+        tables.watermark_log, watermark.watermark_log_rows(advanced.dropDuplicates(["id"]), now, id_column="id")
     )
 
     # R2: extraction log for the gated strategies that passed and loaded a date.
@@ -254,6 +272,17 @@ def run_requests(
     return JobOutcome(new_tables, runs_out, results, errors)
 
 
+def _outcome_row(spark: SparkSession, config_id, result: ExtractionResult | None, error: str | None) -> DataFrame:
+    """One extraction's outcome as the journal keeps it."""
+    schema = (
+        "id string, src_record_count long, target_record_count long, is_extracted boolean, read_ts timestamp_ntz, "
+        "max_value date, error string"
+    )
+    r = result
+    row = (r.src_record_count, r.target_record_count, r.is_extracted, r.read_ts, r.max_partition_date) if r else (None,) * 5
+    return spark.createDataFrame([(str(config_id), *row, error)], schema).coalesce(1)
+
+
 def _results_frame(spark: SparkSession, plan_rows, results: dict, errors: dict) -> DataFrame:
     """One row per matched run with its bounds and extraction outcome."""
     out = []

@@ -5,8 +5,7 @@ from sluice.sources.jdbc import (
     jdbc_options,
     read_jdbc_table,
     read_jdbc_slices,
-    slice_predicate,
-    slice_predicates,
+    range_predicates,
 )
 
 __all__ = [
@@ -15,6 +14,5 @@ __all__ = [
     "jdbc_options",
     "read_jdbc_table",
     "read_jdbc_slices",
-    "slice_predicate",
-    "slice_predicates",
+    "range_predicates",
 ]

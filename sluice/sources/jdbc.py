@@ -4,7 +4,9 @@ The source is read as a table (``dbtable``), not as a hand-written query:
 filters and projections of the extraction plan then reach the database
 through Spark's JDBC pushdown (``PushedFilters`` / pruned ``ReadSchema``),
 with typed bounds instead of spliced text.  Slices become parallel JDBC
-partitions through ``predicates=[...]`` instead of a sequential loop.
+partitions through ``predicates=[...]`` instead of a sequential loop: the
+discovered keys are dealt into ranges, and only the ranges' bounds come to the
+driver, however many keys there are.
 
 This is the one place that must write predicate text, so quoting lives in a
 single helper and a null key becomes ``IS NULL``.
@@ -12,15 +14,16 @@ single helper and a null key becomes ``IS NULL``.
 
 from __future__ import annotations
 
-from typing import Iterable
+import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the reference reads sources with this JDBC fetch size.
 FETCH_SIZE = 100000
-# Above this many discovered slices the read falls back to one range-split
-# read: the slice list is collected to the driver and must stay bounded.
-MAX_SLICES = 4096
+# Ranges a sliced read is dealt into unless the caller says otherwise.
+RANGES = 200
 
 
 def jdbc_options(url: str, user: str | None = None, password: str | None = None, driver: str | None = None,
@@ -50,32 +53,40 @@ def quote_literal(value) -> str:
     return "'" + str(value).replace("'", "''") + "'"
 
 
-def slice_predicate(columns: list[str], values: Iterable) -> str:
-    """``"K1" = 'v1' AND "K2" IS NULL`` for one slice.
+def range_bounds(keys: DataFrame, column: str, ranges: int) -> list:
+    """At most ``ranges - 1`` ascending values that deal the distinct values of
+    ``column`` into ranges of about equal count.
 
-    The column stays bare (no cast around it) so the database can use its
-    indexes or partitions for each slice; the text literal is converted to the
-    column's type by the database, as the reference's slices relied on.
+    Range partitioning orders the values; each partition names its least one.
     """
-    terms = []
-    for c, v in zip(columns, values):
-        if v is None:
-            terms.append(f"{quote_identifier(c)} IS NULL")
-        else:
-            terms.append(f"{quote_identifier(c)} = {quote_literal(v)}")
-    return " AND ".join(terms)
+    values = keys.select(column).where(F.col(column).isNotNull()).distinct()
+    least = (
+        values.repartitionByRange(ranges, column)
+        .groupBy(F.spark_partition_id().alias("p"))
+        .agg(F.min(column).alias("v"))
+        .collect()
+    )
+    return sorted({r.v for r in least})[1:]
 
 
-def slice_predicates(keys: DataFrame, columns: list[str], max_slices: int = MAX_SLICES) -> list[str] | None:
-    """One predicate per discovered key, or ``None`` when there are more
-    than ``max_slices`` (the caller then reads unsliced).
+def range_predicates(column: str, bounds: list, ordered: bool = True) -> list[str]:
+    """Predicates of which every value of ``column``, null included, meets exactly one.
 
-    Only ``max_slices + 1`` keys are ever brought to the driver.
+    The column stays bare (no cast around it) so the database can use its
+    indexes; literals are converted by the database.  Text may sort otherwise
+    there: with ``ordered=False`` each range also excludes the ranges before
+    it, which is exact under any order.
     """
-    rows = keys.select(*columns).limit(max_slices + 1).collect()
-    if len(rows) > max_slices:
-        return None
-    return [slice_predicate(columns, [r[c] for c in columns]) for r in rows]
+    name = quote_identifier(column)
+    if not bounds:
+        return [f"{name} IS NOT NULL", f"{name} IS NULL"]
+    out = []
+    for k in range(len(bounds) + 1):
+        before = bounds[max(0, k - 1) : k] if ordered else bounds[:k]
+        terms = [f"{name} >= {quote_literal(b)}" for b in before]
+        terms += [f"{name} < {quote_literal(bounds[k])}"] if k < len(bounds) else []
+        out.append(" AND ".join(terms))
+    return [*out, f"{name} IS NULL"]
 
 
 def read_jdbc_slices(
@@ -110,22 +121,48 @@ def sliced_jdbc_source(
     spark: SparkSession,
     options: dict[str, str],
     table: str,
+    source: DataFrame,
     keys: DataFrame,
     columns: list[str],
-    max_slices: int = MAX_SLICES,
+    ranges: int = RANGES,
+    subset: bool = False,
 ) -> DataFrame:
-    """The source table read as one parallel JDBC partition per slice.
+    """The source table read as parallel JDBC partitions, one per key range.
+
+    ``keys`` are the discovered slices as strings (``discover_slices`` over
+    ``source``, ideally a catalog table, so the ``GROUP BY`` runs in the
+    database).  The ranges are over the first key column, in the type it has
+    in ``source``.  The extraction's own filters are applied on top by Spark
+    and pushed into every range's query.  With ``subset`` the keys are a
+    chosen part of the table's, and only their rows are returned (null-safe).
+    Without any key nothing is read.
+    """
+    if keys.isEmpty():
+        return read_jdbc_table(spark, options, table).where(F.lit(False))
+    first = columns[0]
+    kind = source.schema[first].dataType
+    bounds = range_bounds(keys.select(F.col(first).cast(kind).alias(first)), first, ranges)
+    rows = read_jdbc_slices(spark, options, table, range_predicates(first, bounds, not isinstance(kind, T.StringType)))
+    if not subset:
+        return rows
+    from sluice.operators.partitions import restrict_to_partitions
 
-    ``keys`` are the discovered slices (``plans.extract.discover_slices``,
-    ideally over a catalog table so the ``GROUP BY`` runs in the database).
-    The extraction's own filters are applied on top by Spark and pushed into
-    every slice's query.  With no slices, or more than ``max_slices``, the
-    table is read unsliced; the result is the same rows either way.
+    return restrict_to_partitions(rows, keys, columns)
+
+
+def key_range_partitioning(source: DataFrame, columns: tuple[str, ...]) -> tuple[str, object, object] | None:
+    """``(column, lower, upper)`` for a parallel range read of a whole table.
+
+    The first of ``columns`` that is a whole number, date or timestamp serves;
+    its ``MIN`` and ``MAX`` are pushed into the database by the catalog table.
     """
-    preds = slice_predicates(keys, columns, max_slices)
-    if not preds:
-        return read_jdbc_table(spark, options, table)
-    return read_jdbc_slices(spark, options, table, preds)
+    types = {f.name: f.dataType for f in source.schema.fields}
+    for c in columns:
+        if isinstance(types.get(c), (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            low, high = source.agg(F.min(c), F.max(c)).first()
+            if low is not None and low < high:
+                return c, low, high
+    return None
 
 
 def window_partitioning(cfg, now) -> tuple[str, object, object] | None:
@@ -158,17 +195,20 @@ def window_partitioning(cfg, now) -> tuple[str, object, object] | None:
 def window_read_options(options: dict[str, str], table: str, column: str, lower, upper,
                         num_partitions: int) -> dict[str, str]:
     """JDBC options for ``num_partitions`` parallel range reads of ``table``."""
-    fmt = "%Y-%m-%d %H:%M:%S"
     return dict(
         options,
         dbtable=table,
         partitionColumn=column,
-        lowerBound=lower.strftime(fmt),
-        upperBound=upper.strftime(fmt),
+        lowerBound=_bound(lower),
+        upperBound=_bound(upper),
         numPartitions=str(num_partitions),
     )
 
 
+def _bound(value) -> str:
+    return value.strftime("%Y-%m-%d %H:%M:%S") if isinstance(value, _dt.datetime) else str(value)
+
+
 def read_jdbc_window(spark: SparkSession, options: dict[str, str], table: str, column: str, lower, upper,
                      num_partitions: int) -> DataFrame:
     """S1 in parallel: the table read as ``num_partitions`` ranges of ``column``."""

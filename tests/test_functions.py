@@ -7,7 +7,8 @@ import pytest
 from sluice.functions.keys import split_names, split_sql_list
 from sluice.functions.timefmt import to_spark_format, ts_text, yesterday_end
 from sluice.plans.strategy import ConfigError, DeltaKind, LoadStrategy
-from sluice.sources.jdbc import slice_predicate
+from sluice.functions.dialect import plain_name, spark_sql
+from sluice.sources.jdbc import range_predicates
 
 
 @pytest.mark.parametrize(
@@ -68,10 +69,10 @@ def test_strategy_enum():
     assert len(list(LoadStrategy)) == 9
 
 
-def test_slice_predicate_quotes_and_nulls():
-    p = slice_predicate(["Plant", "Kind"], ["O'Brien", None])
-    assert p == "\"Plant\" = 'O''Brien' AND \"Kind\" IS NULL"
-    assert slice_predicate(["a"], ["None"]) == "\"a\" = 'None'"
+def test_range_predicates_quote_names_and_values():
+    assert range_predicates('Pl"ant', ["O'Brien"]) == [
+        "\"Pl\"\"ant\" < 'O''Brien'", "\"Pl\"\"ant\" >= 'O''Brien'", '"Pl""ant" IS NULL'
+    ]
 
 
 def test_config_bounds_from_text_and_null_text():
@@ -81,3 +82,27 @@ def test_config_bounds_from_text_and_null_text():
                                              to_cdc_timestamp="NULL", overlap_in_min="30"))
     assert cfg.cdc_timestamp == dt.datetime(2024, 1, 10, 5, 30)
     assert cfg.to_cdc_timestamp is None
+
+
+@pytest.mark.parametrize("text, expected", [
+    ('"Event Type"=\'click\'', "`Event Type`='click'"),
+    ("note = 'say \"hi\"' and \"a\"\"b\" > 1", "note = 'say \"hi\"' and `a\"b` > 1"),
+    ("x = 'it''s' -- \"no\"", "x = 'it\\'s' "),
+    ("x = 'a\\b' /* \" */", "x = 'a\\\\b'  "),
+    ("`t` = 1", "`t` = 1"),
+    ("l_returnflag in ('A','R')", "l_returnflag in ('A','R')"),
+])
+def test_dialect_names_become_back_ticks(text, expected):
+    assert spark_sql(text) == expected
+
+
+@pytest.mark.parametrize("text", ["'open", '"open', 'x = "" and 1=1', "/* open"])
+def test_unreadable_config_sql_is_rejected(text):
+    with pytest.raises(ConfigError):
+        spark_sql(text)
+
+
+def test_plain_names():
+    assert [plain_name(x) for x in (" a ", '"B c"', "`d`")] == ["a", "B c", "d"]
+    with pytest.raises(ConfigError):
+        plain_name('"a" b')

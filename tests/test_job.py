@@ -146,3 +146,45 @@ def test_command_line_many_requests(spark, setup, scratch):
     assert set(runs) == {"r-c3", "r-c8", "r-c2"}
     assert all(r["verdict"] == "OK" and r["is_extracted"] for r in runs.values())
     assert sorted(r.audit_id for r in spark.read.parquet(f"{out}/watermark_log").collect()) == ["c2", "c3", "c8"]
+
+
+def test_two_requests_for_one_config_extract_it_once(spark, setup, scratch):
+    config, tables, reqs = setup
+    one = reqs.where("request_id = 'r-c3'")
+    two = one.unionByName(one.withColumns({"request_id": F.lit("again"), "workflow_run_id": F.lit("wf-again")}))
+    root = scratch("twice")
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    out = run_requests(spark, tables, two, lambda cfg: events, "job", NOW, target_path_for=lambda c: f"{root}/{c.id}")
+    runs = {r.request_id: r for r in out.runs.collect()}
+    rows = spark.read.parquet(f"{root}/c3").count()
+    assert runs["r-c3"].target_record_count == runs["again"].target_record_count == rows > 0
+    assert rows == events.where(F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz")).count()
+    assert out.tables.watermark_log.count() == 1
+    stored = {h.workflow_run_id: h.target_record_count for h in out.tables.audit_header.collect()}
+    assert stored == {"wf-c3": rows, "wf-again": rows}
+
+
+def test_a_crash_leaves_running_rows_and_finished_outcomes(spark, setup, scratch):
+    config, tables, reqs = setup
+    root, control_root, journal = scratch("crash"), scratch("crash-control"), scratch("crash-journal")
+    seen = []
+
+    class Killed(BaseException):
+        pass
+
+    def source_for(cfg):
+        seen.append(cfg.id)
+        if len(seen) > 1:
+            raise Killed
+        return spark.read.parquet(f"{SF}/events.parquet")
+
+    with pytest.raises(Killed):
+        run_requests(spark, tables, reqs.where("request_id in ('r-c3', 'r-c8')"), source_for, "job", NOW,
+                     target_path_for=lambda c: f"{root}/{c.id}", max_parallel=1,
+                     persist=lambda t: write_control_tables(t, control_root), journal=journal)
+    stored = read_control_tables(spark, control_root)
+    assert {(r.audit_id, r.workflow_header_status) for r in stored.audit_header.collect()} == {("c3", "RUNNING"), ("c8", "RUNNING")}
+    assert {r.job_status for r in stored.audit_line.collect()} == {"RUNNING"}
+    done = spark.read.parquet(journal).collect()
+    assert [(r.id, r.is_extracted) for r in done] == [(seen[0], True)]
+    assert spark.read.parquet(f"{root}/{seen[0]}").count() == done[0].target_record_count

@@ -4,11 +4,13 @@ import datetime as dt
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.sinks import EXTRACT_DATE, SinkSpec, read_target, write_target
 from sluice.plans.extract import ExtractionConfig, run_extraction
+from sluice.plans.strategy import ConfigError
 
 NOW = dt.datetime(2024, 1, 20, 9, 30)
 FMT = "YYYY-MM-DD HH24:MI:SS"
@@ -155,3 +157,37 @@ def test_counts_of_a_plan_folded_to_empty(spark, scratch):
                                                  query_parameter="1=0", target_path=scratch("folded"), **extra))
         res = run_extraction(events, cfg, NOW)
         assert (res.src_record_count, res.target_record_count, res.is_extracted) == (0, 0, False)
+
+
+def test_a_failed_load_leaves_the_previous_target(spark, scratch):
+    path = scratch("safe")
+    base = dict(load_strategy="TL-SRC-TGT", target_path=path, target_partition_column="k")
+    good = spark.range(100).selectExpr("id", "cast(id % 3 as string) as k")
+    run_extraction(good, ExtractionConfig.from_mapping(base), NOW)
+    bad = good.selectExpr("case when id = 99 then raise_error('broken row') else id end as id", "k")
+    with pytest.raises(Exception, match="broken row"):
+        run_extraction(bad, ExtractionConfig.from_mapping(base), NOW)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(100))
+    run_extraction(good.where("id < 10"), ExtractionConfig.from_mapping(base), NOW)
+    assert spark.read.parquet(path).count() == 10
+    parent = os.path.dirname(_local(path))
+    assert not [n for n in os.listdir(parent) if n.startswith(f"_{os.path.basename(path)}.previous")]
+
+
+def test_file_sizes_come_from_the_config_row(spark, scratch):
+    cfg = ExtractionConfig.from_mapping(dict(load_strategy="TL-SRC-TGT", max_records_per_file="50", files_per_partition=2))
+    assert (cfg.max_records_per_file, cfg.files_per_partition) == (50, 2)
+    assert ExtractionConfig.from_mapping(dict(load_strategy="IO", max_records_per_file=" ")).max_records_per_file == 10000
+    for bad in ("0", "-1", "many", "1.5"):
+        with pytest.raises(ConfigError):
+            ExtractionConfig.from_mapping(dict(load_strategy="IO", max_records_per_file=bad))
+
+
+def test_columns_are_checked_before_anything_is_read(spark, scratch):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    for column in ("event_type", "nope"):
+        cfg = ExtractionConfig.from_mapping(dict(load_strategy="IO-SNAP-MAX-CDC", cdc_column="ts", cdc_timestamp=NOW, cdc_ts_format=FMT,
+                                                 source_partition_column=column, target_path=scratch("never")))
+        with pytest.raises(ConfigError):
+            run_extraction(events, cfg, NOW)
+        assert not os.path.exists(_local(cfg.target_path))
