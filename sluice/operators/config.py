@@ -77,14 +77,11 @@ def lookup_configs(configs: DataFrame, requests: DataFrame) -> DataFrame:
         req.where((F.col("__manual") != "Y") & F.col("__event").isNotNull()), F.col("cloudwatch_event_name") == F.col("__event")
     )
     wild = req.where((F.col("__manual") != "Y") & F.col("__event").isNull())
-    # at most one row: the only active scheduled config
-    only = (
-        _scheduled(active)
-        .agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*[F.col(c) for c in configs.columns])).alias("c"))
-        .where("n = 1")
-        .select("c.*", F.lit("N").alias("__n"))
+    # the only active scheduled config, or null
+    only = _scheduled(active).select(
+        F.when(F.count(F.lit(1)) == 1, F.first(F.struct(*[F.col(c) for c in configs.columns]))).alias("c")
     )
-    lone = only.join(wild, F.col("__n") == F.when(F.col("__manual") != "Y", "N"))
+    lone = wild.select("request_id", only.scalar().alias("__c")).where("__c is not null").select("__c.*", "request_id")
     return manual.select(*cols).unionByName(scheduled.select(*cols)).unionByName(lone.select(*cols))
 
 
