@@ -11,8 +11,8 @@ Texts are tagged in overlapping windows.  Every character takes its tag from
 the window in whose core it lies; spans are then read off the whole text's
 tags, so no window edge cuts one.  A span must hold a digit or an at sign: the
 windows without either cannot hold one and are passed over.  A model span is
-added if its tags beat "outside" clearly, if it can be of its kind and if it
-overlaps no base span; base spans always stay.
+added if its tags are probable, if it can be of its kind and if it overlaps no
+base span; base spans always stay.
 
 Defined results: a null text is empty; a text without personal data has zero
 counts, the digest of the empty string and no spans; a null id is kept; rows
@@ -39,7 +39,8 @@ SNIPPET = 64
 HIDDEN = 16
 SYMBOLS = 130
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside per kind
-MARGIN = 2.0
+#: Mean probability of its tags that a model span needs.
+SURE = 0.9
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -165,18 +166,23 @@ class Tagger:
         h = np.concatenate([forth, back], axis=2)
         return h @ self.params["out"] + self.params["bias"], h, (a, b)
 
+    @staticmethod
+    def _sums(e: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log sums over all paths up to and from each tag, and over all paths."""
+        a, b = np.empty_like(e), np.zeros_like(e)
+        a[0] = e[0] + move[TAGS]
+        for t in range(1, len(e)):
+            a[t] = e[t] + _log_sum(a[t - 1][:, :, None] + move[None, :TAGS], 1)
+        for t in range(len(e) - 2, -1, -1):
+            b[t] = _log_sum(move[None, :TAGS] + (e[t + 1] + b[t + 1])[:, None, :], 2)
+        return a, b, _log_sum(a[-1], 1)
+
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log likelihood of the tags (batch, time) and its gradients."""
         e, h, saved = self.emissions(x, keep=True)
         steps, n = e.shape[:2]
         move = self.params["move"] + allowed_moves()
-        a, b = np.empty_like(e), np.zeros_like(e)
-        a[0] = e[0] + move[TAGS]
-        for t in range(1, steps):
-            a[t] = e[t] + _log_sum(a[t - 1][:, :, None] + move[None, :TAGS], 1)
-        for t in range(steps - 2, -1, -1):
-            b[t] = _log_sum(move[None, :TAGS] + (e[t + 1] + b[t + 1])[:, None, :], 2)
-        z = _log_sum(a[-1], 1)
+        a, b, z = self._sums(e, move)
         d_e = np.exp(a + b - z[None, :, None])
         d_move = np.zeros_like(move)
         d_move[TAGS] = d_e[0].sum(axis=0)
@@ -232,7 +238,7 @@ class Tagger:
         return losses
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best tags (batch, time), and by how much each beats "outside" there."""
+        """Best tags (batch, time), and the probability of each."""
         e, _, _ = self.emissions(x)
         move = self.params["move"] + allowed_moves()
         steps, n = e.shape[:2]
@@ -246,19 +252,20 @@ class Tagger:
         tags[:, -1] = best.argmax(axis=1)
         for t in range(steps - 1, 0, -1):
             tags[:, t - 1] = back[t, rows, tags[:, t]]
-        lead = np.take_along_axis(e, tags.T[:, :, None], axis=2)[:, :, 0] - e[:, :, 0]
-        return tags, lead.T
+        a, b, z = self._sums(e, move)
+        sure = np.take_along_axis(a + b, tags.T[:, :, None], axis=2)[:, :, 0] - z
+        return tags, np.exp(sure).T
 
 
 def _tag_texts(tagger: Tagger, texts: list[str], windows_at_once: int = 512):
-    """Per text its tags and leads, each character from the window in whose core it lies."""
+    """Per text its tags and their probabilities, each character from the window in whose core it lies."""
     jobs: list[tuple[int, int]] = []
-    codes, tags, lead = [], [], []
+    codes, tags, sure = [], [], []
     for k, text in enumerate(texts):
         x = symbols(text)
         codes.append(x)
         tags.append(np.zeros(len(x), np.int64))
-        lead.append(np.zeros(len(x), np.float32))
+        sure.append(np.zeros(len(x), np.float32))
         near = np.zeros(-(-len(x) // CORE), bool)
         spots = np.flatnonzero(((x >= 48) & (x <= 57)) | (x == 64))
         for shift in (-CONTEXT, 0, CONTEXT):
@@ -274,8 +281,8 @@ def _tag_texts(tagger: Tagger, texts: list[str], windows_at_once: int = 512):
         for r, (k, at) in enumerate(part):
             n = min(CORE, len(codes[k]) - at)
             tags[k][at : at + n] = t[r, CONTEXT : CONTEXT + n]
-            lead[k][at : at + n] = m[r, CONTEXT : CONTEXT + n]
-    return zip(tags, lead)
+            sure[k][at : at + n] = m[r, CONTEXT : CONTEXT + n]
+    return zip(tags, sure)
 
 
 def _possible(kind: int, text: str) -> bool:
@@ -288,7 +295,7 @@ def _possible(kind: int, text: str) -> bool:
     return (12 <= digits <= 19) if kind == 2 else (7 <= digits <= 15)
 
 
-def model_spans(text: str, tags: np.ndarray, lead: np.ndarray, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def model_spans(text: str, tags: np.ndarray, sure: np.ndarray, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of the stitched tags that add to the base ones."""
     out = []
     taken = np.zeros(len(text) + 1, bool)
@@ -298,7 +305,7 @@ def model_spans(text: str, tags: np.ndarray, lead: np.ndarray, base: list[tuple[
     edge = np.flatnonzero((kind[1:] != kind[:-1]) | ((tags[1:] % 2 == 1) & (tags[1:] > 0))) + 1
     cuts = np.concatenate([[0], edge, [len(tags)]])
     for s, e in zip(cuts[:-1], cuts[1:]):
-        if s == e or kind[s] < 0 or taken[s:e].any() or lead[s:e].mean() < MARGIN:
+        if s == e or kind[s] < 0 or taken[s:e].any() or sure[s:e].mean() < SURE:
             continue
         while s < e and not (text[s].isalnum() or text[s] in "+("):
             s += 1
@@ -379,8 +386,8 @@ def _find(shared):
             todo = [i for i, t in enumerate(texts) if tagger and _TRIGGER.search(t)]
             for lo in range(0, len(todo), 64):
                 part = todo[lo : lo + 64]
-                for i, (tags, lead) in zip(part, _tag_texts(tagger, [texts[i] for i in part])):
-                    every[i] = sorted(base[i] + model_spans(texts[i], tags, lead, base[i]))
+                for i, (tags, sure) in zip(part, _tag_texts(tagger, [texts[i] for i in part])):
+                    every[i] = sorted(base[i] + model_spans(texts[i], tags, sure, base[i]))
             counts = [[sum(k == kind for _, k, _ in b) for b in base] for kind in range(len(KINDS))]
             yield pa.RecordBatch.from_arrays(
                 [
