@@ -663,7 +663,9 @@ def _chain(spark, sf, table: str, source: DataFrame, columns: str, **config) ->
         run.select("id", "load_strategy", "src_record_count", "target_record_count", F.col("gate").alias("counts_match"))
         .join(log.select(F.col("audit_id").alias("id"), "cdc_timestamp", "to_cdc_timestamp"), "id", "left")
         .join(completed.select(F.col("table_name").alias("id"), "delta_completion_date"), "id", "left")
-        .join(back.withColumn("id", F.lit(table)), "id")
+        .withColumn("__back", back.select(F.struct("*")).scalar())
+        .select("*", "__back.*")
+        .drop("__back")
     )
 
 
