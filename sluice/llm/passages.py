@@ -4,10 +4,10 @@ A suffix of a text is kept only where its first ``anchor`` words are the
 minimum, by hash, among all starts of a stretch: the stretch is such that any
 passage of ``least`` words holds at least one kept start, and the same one
 wherever the passage stands.  Kept suffixes whose first words occur only once
-are left out.  The others are sorted by content, as hashes of ``anchor`` words:
-once by first words, the words that follow and the words before, once with the
-words before ahead of those that follow, so that texts that agree on either
-side of a suffix stand together.  A sort is a range partitioning by the whole
+are left out.  The others are sorted by content, word by word (8 bits of each
+word's hash): once by first words, the words that follow and the words before,
+once with the words before ahead of those that follow, so that texts that agree
+on either side of a suffix stand together.  A sort is a range partitioning by the whole
 key, which ends with text and place, so even a passage that a third of all
 texts share is dealt over many tasks.
 
@@ -15,7 +15,9 @@ Neighbours in that order that agree on their first words are compared: both
 texts are aligned at the shared suffix, and the match is extended to the left
 and to the right word by word.  Every run of at least ``least`` equal words is
 reported in both texts.  Equal texts take part once, and are repeats of each
-other as a whole.
+other as a whole.  Neighbours are compared, not all pairs: where many texts
+share a somewhat shorter passage, two of them that agree on a few words more can
+be kept apart by others and missed.  All reported passages are exact.
 
 Defined results: null and empty texts, and texts shorter than ``least`` words,
 hold no passage; rows with a null id or a null text are not reported; rows that
@@ -36,8 +38,8 @@ from pyspark.sql import functions as F
 from sluice.llm.common import cut, plain_names, small_side, table
 from sluice.llm.words import block_hashes, word_hashes
 
-#: Key columns of a kept suffix, in sort order, besides text and place.
-CONTEXT = ("h", "r1", "r2", "l1", "l2")
+#: A kept suffix: hash of its first words, codes of the words after and (backwards) before these, text and place.
+SUFFIX = "h long, after binary, before binary, t long, pos long"
 
 
 def kept_starts(hashes: np.ndarray, stretch: int) -> np.ndarray:
@@ -53,27 +55,33 @@ def kept_starts(hashes: np.ndarray, stretch: int) -> np.ndarray:
     return at[~again | np.r_[True, nth[1:] != nth[:-1]] | ~np.r_[again[1:], False]]
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(rows.shape[1]), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows))])
+    return flat.cast(pa.binary())
+
+
 def _suffixes(anchor: int, least: int):
+    reach = least - anchor  # as far as a passage can go on either side of its kept start
+
     def run(batches):
         for batch in batches:
             t = batch.column("t").to_numpy()
             for lo, words, bounds in word_hashes(batch.column("text")):
-                out, place = [], []
+                out = []
                 for i in range(len(bounds) - 1):
                     w = words[bounds[i] : bounds[i + 1]]
                     if len(w) < least:
                         continue
                     h = block_hashes(w, anchor)
-                    at = kept_starts(h, least - anchor + 1)
-                    padded = np.zeros(len(h) + 4 * anchor, dtype=np.uint64)
-                    padded[2 * anchor : 2 * anchor + len(h)] = h
-                    at2 = at + 2 * anchor
-                    out.append(np.column_stack([padded[at2 + d * anchor] for d in (0, 1, 2, -1, -2)]).view(np.int64))
-                    place.append(np.column_stack([np.full(len(at), t[lo + i]), at]))
+                    at = kept_starts(h, reach + 1)
+                    codes = np.zeros(len(w) + 2 * reach, dtype=np.uint8)
+                    codes[reach:-reach] = w & np.uint64(255)
+                    around = np.lib.stride_tricks.sliding_window_view(codes, reach)
+                    out.append((h[at].view(np.int64), around[at + reach + anchor], around[at][:, ::-1], np.full(len(at), t[lo + i]), at))
                 if out:
-                    keys, places = np.concatenate(out), np.concatenate(place)
+                    h, after, before, text, pos = (np.concatenate(x) for x in zip(*out))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c) for c in (*keys.T, *places.T)], names=[*CONTEXT, "t", "pos"]
+                        [pa.array(h), _binary(after), _binary(before), pa.array(text), pa.array(pos)], names=["h", "after", "before", "t", "pos"]
                     )
 
     return run
@@ -198,13 +206,12 @@ def repeated_passages(docs: DataFrame, least: int = 50, anchor: int = 16, doc_id
     kind = d.schema["doc_id"].dataType.simpleString()
     sizes = cut(d.mapInArrow(_lengths, f"doc_id {kind}, t long, n_words long").distinct())
     copies = sizes.groupBy("t").agg(F.count(F.lit(1)).alias("copies"), F.first("n_words").alias("n_words"))
-    columns = [*CONTEXT, "t", "pos"]
-    kept = cut(d.select("t", "text").mapInArrow(_suffixes(anchor, least), ", ".join(f"{c} long" for c in columns)))
+    kept = cut(d.select("t", "text").mapInArrow(_suffixes(anchor, least), SUFFIX))
     me = F.struct("t", "pos")
     shared = kept.groupBy("h").agg(F.min(me).alias("lo"), F.max(me).alias("hi")).where("lo.t != hi.t").select("h")
-    suffixes = cut(kept.join(shared, "h").dropDuplicates(["t", "pos"]).select(*columns))
-    pairs = _neighbour_pairs(suffixes, ["h", "r1", "r2", "l1", "l2", "t", "pos"]).unionByName(
-        _neighbour_pairs(suffixes, ["h", "l1", "l2", "r1", "r2", "t", "pos"])
+    suffixes = cut(kept.join(shared, "h").dropDuplicates(["t", "pos"]))
+    pairs = _neighbour_pairs(suffixes, ["h", "after", "before", "t", "pos"]).unionByName(
+        _neighbour_pairs(suffixes, ["h", "before", "after", "t", "pos"])
     )
     turned = F.col("a") > F.col("b")
     shift = F.when(turned, F.col("pos_a") - F.col("pos_b")).otherwise(F.col("pos_b") - F.col("pos_a"))
