@@ -653,7 +653,7 @@ def _chain(spark, sf, table: str, source: DataFrame, columns: str, **config) ->
     )
     loaded = run.where(F.col("load_strategy").isin("IO-SNAP-MAX-CDC", "IO-CUSTOM-CDC") & F.col("gate") & F.col("max_value").isNotNull())
     completed = audit.upsert_extract_log(
-        old, loaded.select(F.lit(table).alias("table_name"), F.col("max_value").alias("delta_completion_date")), ["table_name"], NOW
+        old, loaded.select(F.col("id").alias("table_name"), F.col("max_value").alias("delta_completion_date")), ["table_name"], NOW
     )
     key = split_names(columns)[0]
     back = spark.read.parquet(path).agg(
