@@ -188,16 +188,16 @@ def leaks_of(index: dict, rows: np.ndarray, words: np.ndarray, bounds: np.ndarra
         return
     term, size = place[spot], np.diff(bounds)
     row = np.repeat(np.arange(len(size)), size)[spot]
-    # steps of the longest unit's length, and an empty one that parts a text from the next
+    # steps of the longest unit's length, after an empty one that parts a text from the one before
     first = np.cumsum(np.r_[0, size // index["window"] + 2])
-    step = first[row] + (spot - bounds[row]) // index["window"]
+    step = first[row] + 1 + (spot - bounds[row]) // index["window"]
     cells = likely_cells(index, step, term, int(first[-1]), threshold)
     if not len(cells[0]):
         return
     # the distinct terms of the passages left; a word is in the passage of its step and in the one before
     mask = np.zeros(int(first[-1]) + 1, bool)
     mask[cells[0]] = True
-    own, before = mask[step], mask[step - 1] & (step > 0)
+    own, before = mask[step], mask[step - 1]
     key = np.unique(np.concatenate([step[own], step[before] - 1]) * len(index["terms"]) + np.concatenate([term[own], term[before]]))
     passage, unit, score = retrieve(index, cells, key // len(index["terms"]), key % len(index["terms"]), threshold)
     best: dict[tuple[int, int], float] = {}

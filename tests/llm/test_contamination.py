@@ -89,8 +89,8 @@ def test_retrieval_is_complete(world):
         first = np.cumsum(np.r_[0, np.diff(bounds) // step + 2])
         for r in range(len(bounds) - 1):
             x = w[bounds[r] : bounds[r + 1]]
-            for p in range(len(x) // step + 1):
-                t = np.unique(np.flatnonzero(np.isin(index["terms"], x[p * step : (p + 2) * step])))
+            for p in range(len(x) // step + 2):
+                t = np.flatnonzero(np.isin(index["terms"], x[max(0, p - 1) * step : (p + 1) * step]))
                 for u in np.flatnonzero(impact[t].sum(axis=0) >= threshold - 1e-9):
                     want.add((first[r] + p, u))
         got = set()
