@@ -100,3 +100,27 @@ def test_bounds_reach_the_parquet_scan(spark):
 def test_unknown_strategy_rejected():
     with pytest.raises(ConfigError):
         ExtractionConfig.from_mapping(dict(load_strategy="IO-SNAPSHOT"))
+
+
+@pytest.mark.parametrize("columns, first", [("DT,TM", "yyyy-MM-dd "), ("DT+TM", "yyyy-MM-dd"), ("WM", None), ("Y,M", "split")])
+def test_text_watermark_prunes_without_losing_rows(spark, scratch, columns, first):
+    """The pushed bound on the first column is implied by the exact predicate, however the text is split."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from sluice.plans.extract import ExtractionConfig, plan_extraction
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts")
+    text = {"WM": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "DT": F.date_format("ts", first if first and first != "split" else "yyyy-MM-dd"),
+            "TM": F.date_format("ts", "HH:mm:ss"), "Y": F.date_format("ts", "yyyy-MM"), "M": F.date_format("ts", "-dd HH:mm:ss")}
+    path = scratch("text_wm")
+    events.withColumns(text).write.parquet(path)
+    cfg = ExtractionConfig.from_mapping(dict(load_strategy="IO-CDC", select_columns="event_id", cdc_column=columns,
+                                             cdc_timestamp=dt.datetime(2024, 1, 20, 6), cdc_ts_format="YYYY-MM-DD HH24:MI:SS"))
+    got = plan_extraction(spark.read.parquet(path), cfg, dt.datetime(2024, 1, 26)).selected
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):].split("\n")[0]
+    assert "GreaterThanOrEqual" in pushed
+    want = events.where("date_trunc('second', ts) >= timestamp_ntz'2024-01-20 06:00:00'")
+    assert sorted(r[0] for r in got.collect()) == sorted(r.event_id for r in want.collect())

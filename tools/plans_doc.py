@@ -42,7 +42,7 @@ NOTES = {
     ),
     'extracted_flag': (
         'A6 set-based: orders are aggregated per customer before the join (`partial_count`), so the '
-        'join moves one row per config; the date filter is pushed into the scan.'
+        'join moves one row per config.'
     ),
     'audit_retire_latest': (
         'C5 + C6: the current run per audit id is a partial aggregate. The history (anti-join) and '
@@ -51,11 +51,17 @@ NOTES = {
         'per-id sides after measuring them.'
     ),
     'restart_gate': (
-        'R3: `max_by(step_name, insert_timestamp)` per config (map-side partial), then one left '
-        'join to the configs.'
+        'R3: `max_by(step_name, struct(insert_timestamp, step_id, step_name))` per config (map-side '
+        'partial), then one left join to the configs.'
     ),
 }
 
+TEXT_NOTE = (
+    'P7 over a stored source whose watermark is text in two columns, `DT` and `TM`. The exact '
+    'predicate parses their concatenation; the bound on `DT`, which it implies, is in '
+    '`PushedFilters` and prunes row groups.'
+)
+
 WRITTEN_NOTE = (
     'An IO-SNAP-DLY window over lineitem at sf0.1 with primary-key dedup. The count observation '
     '(`CollectMetrics`) sits above the final aggregate, after the shuffle, in the stage that '
@@ -138,6 +144,20 @@ def main(sf: str) -> None:
     details = _details(lines, ("PushedFilters", "ReadSchema", "Arguments: doc"))
     parts.append(f"## `run_extraction`: the frame that is written\n\n{WRITTEN_NOTE}\n\n```\n{_tree(lines)}\n```"
                  f"\n\n```\n{details}\n```\n")
+    from pyspark.sql import functions as F
+
+    from sluice.plans.scratch import scratch_path
+
+    path = scratch_path(spark, "plans_doc")
+    read_table(spark, sf, "events").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd ").alias("DT"), F.date_format("ts", "HH:mm:ss").alias("TM")
+    ).write.parquet(path)
+    cfg = ExtractionConfig.from_mapping(dict(
+        load_strategy="IO-CDC", select_columns="event_id", cdc_column="DT,TM", cdc_timestamp=dt.datetime(2024, 1, 25, 12),
+        cdc_ts_format="YYYY-MM-DD HH24:MI:SS"))
+    lines = _explain(plan_extraction(spark.read.parquet(path), cfg, dt.datetime(2024, 1, 26)).selected)
+    details = _details(lines, ("PushedFilters", "ReadSchema"))
+    parts.append(f"## Text watermark stored in two columns\n\n{TEXT_NOTE}\n\n```\n{_tree(lines)}\n```\n\n```\n{details}\n```\n")
     with open(os.path.join(ROOT, "docs", "PLANS.md"), "w") as f:
         f.write("\n".join(parts))
     spark.stop()
