@@ -246,3 +246,18 @@ def repeated_passages(docs: DataFrame, least: int = 50, anchor: int = 16, doc_id
 
 def op5_repeated_passages(spark, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLE = """
+with t as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents where doc_id is not null and text is not null),
+s as (
+  select doc_id, len(w) as n_words, generate_subscripts(w, 1) as i, w from t where len(w) >= 50),
+p as (select doc_id, n_words, i - 1 as i, md5(array_to_string(w[i:i+49], ' ')) as x from s where i + 49 <= n_words),
+r as (select x from p group by x having count(distinct doc_id) > 1),
+c as (select doc_id, n_words, i from p where x in (select x from r)),
+o as (select *, coalesce((i > lag(i) over (partition by doc_id order by i) + 50)::int, 1) as opens from c),
+g as (select *, sum(opens) over (partition by doc_id order by i rows unbounded preceding) as nth from o)
+select doc_id, min(i)::bigint as start, (max(i) + 50)::bigint as "end", any_value(n_words)::bigint as n_words from g group by doc_id, nth
+"""

@@ -21,6 +21,8 @@ ORACLE = {
     "op1_pareto_mix": mixing.ORACLE,
     "op2_bm25_decontamination": contamination.ORACLE,
     "op4_minhash_near_dup": neardup.ORACLE,
+    "op5_repeated_passages": passages.ORACLE,
+    "op6_cross_entropy_difference": lm_scoring.ORACLE,
     "op7_embedding_links": embeddings.ORACLE,
     "op9_histogram_shards": sharding.ORACLE,
 }
