@@ -9,6 +9,8 @@ from sluice.plans.scratch import scratch_dir
 
 #: A word: a run of anything but space and the ASCII controls tab to return.
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: Bytes of an Arrow batch between the JVM and Python.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 #: A side of a join is broadcast only up to this many (narrow) rows.
 BROADCAST_ROWS = 100_000
 
@@ -41,6 +43,17 @@ def unit_hash(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / float(1 << 53)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small for the rest of the session, unless they are smaller already.
+
+    The JVM and the Python worker each hold a batch of texts several times
+    over, so the batch, not the operator, would set an executor's memory.
+    """
+    now = (spark.conf.get(BATCH_SETTING, None) or "").lower().rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def plain_names(df: DataFrame, **cols: str) -> DataFrame:
     """The named input columns only, under fixed names, so extra columns cannot clash."""
     return df.select(*[F.col(f"`{src}`").alias(name) for name, src in cols.items()])

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import plain_names, table
+from sluice.llm.common import bound_batches, plain_names, table
 from sluice.llm.words import PUNCTUATION, shingles, word_hashes
 
 K1, B = 1.2, 0.75
@@ -249,6 +249,7 @@ def _clean(shared, text: str, threshold: float, overlap: float):
 def _indexes(items: DataFrame, index_bytes: int, item_id: str, text: str):
     """Broadcast indexes of at most about ``index_bytes`` of item text each."""
     spark = items.sparkSession
+    bound_batches(spark)
     b = plain_names(items, item_id=item_id, text=text).where("text is not null")
     size = b.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     passes = -(-size // index_bytes)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import held_out, plain_names, unit_hash
+from sluice.llm.common import bound_batches, held_out, plain_names, unit_hash
 
 ORDER = 5
 BITS = 12
@@ -41,6 +41,8 @@ SCORE_CHARS = 40
 UNKNOWN = "und"
 #: Share of the way from a language's own cross-entropy to that of foreign texts beyond which a text is in none.
 REJECT_AT = 0.75
+#: Standard errors that a short text may lie beyond the limit, or a language's own documents beyond their mean.
+EASE = 8.0
 
 
 class _Letters:
@@ -305,7 +307,8 @@ def _limits(rows) -> dict[str, tuple[float, float, float]]:
 
     The limit lies three quarters of the way from the language's own documents
     to what its documents score under the other models, so that texts of two
-    known languages stay; it never lies within six deviations of the own mean.
+    known languages stay; it never lies within ``EASE`` deviations of the own
+    mean.
     """
     out = {}
     by: dict[str, list] = {}
@@ -314,8 +317,8 @@ def _limits(rows) -> dict[str, tuple[float, float, float]]:
     for lang, got in by.items():
         entropy, foreign, spread = np.array(got).T
         mean, deviation = np.median(entropy), 1.4826 * np.median(np.abs(entropy - np.median(entropy)))
-        limit = max(mean + REJECT_AT * (np.median(foreign) - mean), mean + 6 * deviation)
-        out[lang] = (float(limit), 6.0, float(np.median(spread)))
+        limit = max(mean + REJECT_AT * (np.median(foreign) - mean), mean + EASE * deviation)
+        out[lang] = (float(limit), EASE, float(np.median(spread)))
     return out
 
 
@@ -327,6 +330,7 @@ def fit(docs: DataFrame, sample: int, calibration: int):
     are not held out.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     n = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n:

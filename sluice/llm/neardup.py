@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import WORD, cut, plain_names, small_side
+from sluice.llm.common import WORD, bound_batches, cut, plain_names, small_side
 from sluice.llm.components import components
 from sluice.llm.words import mix, shingles, word_hashes
 
@@ -243,6 +243,7 @@ def near_duplicates(
     Two texts are linked if the Jaccard similarity of their ``words``-word
     shingle sets is at least ``percent`` / 100, checked in whole numbers.
     """
+    bound_batches(docs.sparkSession)
     d = plain_names(docs, doc_id=doc_id, text=text).withColumn("text_hash", F.xxhash64("text"))
     id_type = d.schema["doc_id"].dataType.simpleString()
     rows, rule = band_rows(percent), least_matches(percent, miss)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import plain_names, table, unit_hash
+from sluice.llm.common import bound_batches, plain_names, table, unit_hash
 
 KINDS = ("email", "ip", "card", "phone")
 CORE, CONTEXT = 96, 32
@@ -414,6 +414,7 @@ def find_personal_data(
     """
     spark = docs.sparkSession
     d = plain_names(docs, doc_id=doc_id, text=text)
+    bound_batches(spark)
     some = d.where(F.col("text").rlike("[0-9@]"))
     n = some.count()
     place = unit_hash(F.col("doc_id"), F.col("text"), F.lit("pii")) * n

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, held_out, plain_names, table, unit_hash
+from sluice.llm.common import bound_batches, cut, held_out, plain_names, table, unit_hash
 
 MIN_LENGTH, MAX_STEM = 4, 9
 #: Fixed word lists of the context windows, lower-case.
@@ -366,6 +366,7 @@ def score_toxicity(
     term is a coincidence is at most ``doubt``.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     d = plain_names(docs, doc_id=doc_id, text=text).withColumn("held_out", held_out(F.col("doc_id")))
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
