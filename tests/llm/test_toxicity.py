@@ -137,3 +137,14 @@ def test_held_out_accuracy(spark):
     got = queries.QUERIES["op10_toxicity"](spark, SF).where("held_out")
     rows = got.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").collect()
     assert sum(r.predicted == r.toxic for r in rows) >= 0.93 * len(rows)
+
+
+def test_long_texts_are_read_to_the_end(monkeypatch):
+    from sluice.llm import toxicity
+
+    matcher = Matcher(["zorkface", "grimling"])
+    text = "plain words here " * 400 + "zorkface " + "more of it " * 300 + "grimlinng"
+    whole = toxicity.features(matcher, [text, None, "", text], 2)
+    monkeypatch.setattr(toxicity, "SLICE_CHARS", 97)
+    assert (toxicity.features(matcher, [text, None, "", text], 2) == whole).all()
+    assert whole[0].tolist()[:4] == [1.0, 0.0, 0.0, 1.0] and not whole[1].any()
