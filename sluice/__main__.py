@@ -50,6 +50,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--requests", help="JSON-lines file of run requests (one object per line, same fields "
                                       "as the single-request options) run in one application")
     p.add_argument("--parallel", type=int, default=None, help="concurrent extractions (default: the session's task slots)")
+    p.add_argument("--input-bytes", type=int, help="size the session for this much input (with --executors, --cores)")
+    p.add_argument("--executors", type=int, default=1)
+    p.add_argument("--cores", type=int, default=1, help="cores per executor")
     p.add_argument("--job-name", default="sluice-extract")
     p.add_argument("--now")
     p.add_argument("--target-root")
@@ -77,6 +80,11 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     spark = spark or (
         SparkSession.builder.appName("sluice").config("spark.ui.enabled", "false").getOrCreate()
     )
+    if args.input_bytes:
+        from sluice.plans.sizing import scale_settings
+
+        for key, value in scale_settings(args.input_bytes, args.executors, args.cores).items():
+            spark.conf.set(key, value)
     now = _dt.datetime.fromisoformat(args.now) if args.now else _dt.datetime.now().replace(microsecond=0)
     if args.requests:
         request = spark.read.schema(REQUEST_SCHEMA).json(args.requests)

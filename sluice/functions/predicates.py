@@ -108,18 +108,20 @@ def delta_predicate(
     to_cdc_timestamp,
     cdc_ts_format: str | None,
     now: _dt.datetime,
+    half_open: bool = False,
 ) -> Column | None:
     """The delta term of ``strategy`` over ``source``, or ``None``.
 
     ``cdc_timestamp`` is already shifted by the overlap (P10, done in C3).
     A multi-column watermark is always a lower bound only (kept from the
-    reference).
+    reference).  With ``half_open`` a window runs to the end of its upper
+    bound's second, so rows within that second are not lost between windows.
     """
     if not delta_applies(strategy, cdc_column, cdc_timestamp, cdc_ts_format):
         return None
     expr, lit, multi = watermark_expression(source, str(cdc_column), cdc_ts_format)
     lower = lit(cdc_timestamp)
-    term = _delta_term(strategy, expr, lit, lower, multi, to_cdc_timestamp, now)
+    term = _delta_term(strategy, expr, lit, lower, multi, to_cdc_timestamp, now, half_open)
     return and_all([leading_text_bound(source, str(cdc_column), cdc_timestamp, cdc_ts_format), term])
 
 
@@ -145,7 +147,14 @@ def leading_text_bound(source: DataFrame, cdc_column: str, lower, fmt: str | Non
     return (column >= F.lit(day)) | column.isin([day[:n] for n in range(1, len(day))])
 
 
-def _delta_term(strategy, expr, lit, lower, multi, to_cdc_timestamp, now) -> Column:
+def _delta_term(strategy, expr, lit, lower, multi, to_cdc_timestamp, now, half_open) -> Column:
+    def window(upper) -> Column:
+        if not half_open:
+            return expr.between(lower, lit(upper))
+        # the whole of the upper bound's last second belongs to this window
+        after = _dt.datetime.fromisoformat(ts_text(upper)) + _dt.timedelta(seconds=1)
+        return (expr >= lower) & (expr < lit(after.replace(microsecond=0)))
+
     if multi:
         return expr >= lower
     kind = strategy.delta
@@ -156,9 +165,9 @@ def _delta_term(strategy, expr, lit, lower, multi, to_cdc_timestamp, now) -> Col
     if kind is DeltaKind.WINDOW:
         if not to_cdc_timestamp:
             raise ConfigError(f"{strategy.value} needs to_cdc_timestamp")
-        return expr.between(lower, lit(to_cdc_timestamp))
+        return window(to_cdc_timestamp)
     if kind is DeltaKind.UNTIL_YESTERDAY:
-        return expr.between(lower, lit(yesterday_end(now)))
+        return window(yesterday_end(now))
     raise AssertionError(kind)
 
 

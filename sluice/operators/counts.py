@@ -40,6 +40,16 @@ def reconcile_gate(src: Column, tgt: Column) -> Column:
     return F.coalesce((src != 0) & (tgt != 0) & (src == tgt), F.lit(False))
 
 
+def gate_reason(src: Column, tgt: Column) -> Column:
+    """Why R1 blocks a run, or null where it passes."""
+    return (
+        F.when(src.isNull() | tgt.isNull(), "not counted")
+        .when(src == 0, "no source rows")
+        .when(tgt == 0, "no target rows")
+        .when(src != tgt, F.concat(F.lit("counts differ by "), F.abs(src - tgt).cast("string")))
+    )
+
+
 def reconcile_counts(counts: DataFrame) -> DataFrame:
     """R1 over a frame of ``src_record_count`` / ``target_record_count``."""
     return counts.withColumn(

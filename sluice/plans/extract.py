@@ -82,6 +82,7 @@ class ExtractionConfig:
     dedup_order: tuple[str, ...] = ()
     max_records_per_file: int = MAX_RECORDS_PER_FILE
     files_per_partition: int | None = None
+    half_open_windows: bool = False
 
     @classmethod
     def from_mapping(cls, raw: Mapping[str, Any]) -> "ExtractionConfig":
@@ -127,6 +128,7 @@ class ExtractionConfig:
             dedup_order=_names(raw.get("dedup_order")),
             max_records_per_file=MAX_RECORDS_PER_FILE if max_records is None else max_records,
             files_per_partition=_whole_number(raw, "files_per_partition"),
+            half_open_windows=str(raw.get("half_open_windows") or "N").strip().upper() in ("Y", "TRUE"),
         )
 
     def with_path(self, path: str) -> "ExtractionConfig":
@@ -248,6 +250,7 @@ def row_predicate(
         cfg.to_cdc_timestamp,
         cfg.cdc_ts_format,
         now,
+        cfg.half_open_windows,
     )
     agg = None
     if cfg.load_strategy.delta is DeltaKind.AGGREGATE:

@@ -234,6 +234,7 @@ def run_requests(
             F.col("audit_id").alias("id"),
             "workflow_run_id",
             counts.reconcile_gate(F.col("src_record_count"), F.col("target_record_count")).alias("gate"),
+            counts.gate_reason(F.col("src_record_count"), F.col("target_record_count")).alias("gate_reason"),
         ),
         ["id", "workflow_run_id"],
         "left",
@@ -264,7 +265,7 @@ def run_requests(
     runs_out = verdicts.join(
         advanced.select(
             "request_id", "id", "load_strategy", "exit_flag", "src_record_count", "target_record_count",
-            "is_extracted", "gate", "next_cdc_ts", "next_to_ts", "error",
+            "is_extracted", "gate", "gate_reason", "next_cdc_ts", "next_to_ts", "error",
         ),
         "request_id",
         "left",

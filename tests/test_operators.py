@@ -269,3 +269,12 @@ def test_set_header_counts_with_duplicate_count_rows(spark):
     c = spark.createDataFrame([("a", "r1", 4, 4), ("a", "r1", 4, 4)], "audit_id string, workflow_run_id string, "
                               "src_record_count long, target_record_count long")
     assert [tuple(r) for r in audit.set_header_counts(hdr, c).collect()] == [("a", "r1", 1, 4, 4)]
+
+
+def test_gate_reasons(spark):
+    from sluice.operators import counts
+
+    rows = [(1, 1, None), (0, 0, "no source rows"), (5, 0, "no target rows"), (5, 3, "counts differ by 2"), (None, 1, "not counted")]
+    df = spark.createDataFrame(rows, "s long, t long, want string")
+    got = df.select(counts.gate_reason(F.col("s"), F.col("t")).alias("r"), counts.reconcile_gate(F.col("s"), F.col("t")).alias("g"), "want").collect()
+    assert all(r.r == r.want and r.g == (r.want is None) for r in got)

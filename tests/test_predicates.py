@@ -124,3 +124,20 @@ def test_text_watermark_prunes_without_losing_rows(spark, scratch, columns, firs
     assert "GreaterThanOrEqual" in pushed
     want = events.where("date_trunc('second', ts) >= timestamp_ntz'2024-01-20 06:00:00'")
     assert sorted(r[0] for r in got.collect()) == sorted(r.event_id for r in want.collect())
+
+
+@pytest.mark.parametrize("strategy, upper", [("IO-SNAP-DLY", "2024-01-19 23:59:59"), ("IO-CUSTOM-CDC", None)])
+def test_half_open_windows_lose_no_fraction(spark, strategy, upper):
+    import datetime as dt
+
+    from sluice.plans.extract import ExtractionConfig, plan_extraction
+
+    rows = ["2024-01-18 00:00:00", "2024-01-19 23:59:59", "2024-01-19 23:59:59.5", "2024-01-19 23:59:59.999999", "2024-01-20 00:00:00"]
+    source = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id int, t string").selectExpr("id", "cast(t as timestamp_ntz) as ts")
+    base = dict(load_strategy=strategy, select_columns="id", cdc_column="ts", cdc_timestamp=dt.datetime(2024, 1, 18),
+                to_cdc_timestamp=upper, cdc_ts_format="YYYY-MM-DD HH24:MI:SS")
+    got = {}
+    for flag in (None, "Y"):
+        cfg = ExtractionConfig.from_mapping(dict(base, half_open_windows=flag))
+        got[flag] = sorted(r.id for r in plan_extraction(source, cfg, dt.datetime(2024, 1, 20, 9, 30)).selected.collect())
+    assert got == {None: [0, 1], "Y": [0, 1, 2, 3]}
