@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, plain_names, small_side, table
+from sluice.llm.common import bound_batches, cut, plain_names, small_side, table
 from sluice.llm.words import block_hashes, word_hashes
 
 #: A kept suffix: hash of its first words, codes of the words after and (backwards) before these, text and place.
@@ -60,7 +60,28 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return flat.cast(pa.binary())
 
 
+def _places(anchor: int, least: int):
+    """Hash of the first words, text and place of every kept suffix."""
+
+    def run(batches):
+        for batch in batches:
+            t = batch.column("t").to_numpy()
+            for lo, words, bounds in word_hashes(batch.column("text")):
+                out = []
+                for i in range(len(bounds) - 1):
+                    w = words[bounds[i] : bounds[i + 1]]
+                    if len(w) >= least:
+                        h = block_hashes(w, anchor)
+                        at = kept_starts(h, least - anchor + 1)
+                        out.append((h[at].view(np.int64), np.full(len(at), t[lo + i]), at))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["h", "t", "pos"])
+
+    return run
+
+
 def _suffixes(anchor: int, least: int):
+    """Every kept suffix as a sort key with its context."""
     reach = least - anchor  # as far as a passage can go on either side of its kept start
 
     def run(batches):
@@ -201,15 +222,19 @@ def repeated_passages(docs: DataFrame, least: int = 50, anchor: int = 16, doc_id
 
     Passages of a document that touch or overlap are one row.
     """
+    bound_batches(docs.sparkSession)
     d = plain_names(docs, doc_id=doc_id, text=text).where("doc_id is not null and text is not null")
     d = d.withColumn("t", F.xxhash64("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
     sizes = cut(d.mapInArrow(_lengths, f"doc_id {kind}, t long, n_words long").distinct())
     copies = sizes.groupBy("t").agg(F.count(F.lit(1)).alias("copies"), F.first("n_words").alias("n_words"))
-    kept = cut(d.select("t", "text").mapInArrow(_suffixes(anchor, least), SUFFIX))
-    me = F.struct("t", "pos")
-    shared = kept.groupBy("h").agg(F.min(me).alias("lo"), F.max(me).alias("hi")).where("lo.t != hi.t").select("h")
-    suffixes = cut(kept.join(shared, "h").dropDuplicates(["t", "pos"]))
+    whole = d.select("t", "text")
+    # first find which first words stand in several texts, then read the texts again for the context of those
+    # suffixes: the far larger table of all suffixes is never stored
+    places = whole.mapInArrow(_places(anchor, least), "h long, t long, pos long")
+    shared = places.groupBy("h").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo != hi").select("h")
+    kept = whole.mapInArrow(_suffixes(anchor, least), SUFFIX)
+    suffixes = cut(kept.join(small_side(cut(shared), 1_000_000), "h", "left_semi").dropDuplicates(["t", "pos"]))
     pairs = _neighbour_pairs(suffixes, ["h", "after", "before", "t", "pos"]).unionByName(
         _neighbour_pairs(suffixes, ["h", "before", "after", "t", "pos"])
     )
@@ -230,8 +255,8 @@ def repeated_passages(docs: DataFrame, least: int = 50, anchor: int = 16, doc_id
         .mapInArrow(_extend(least), "t long, start long, end long")
         .distinct()
     )
-    whole = copies.where(F.col("copies") > 1).where(F.col("n_words") >= least).select("t", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"))
-    every = cut(runs.unionByName(whole))
+    equal = copies.where(F.col("copies") > 1).where(F.col("n_words") >= least).select("t", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"))
+    every = cut(runs.unionByName(equal))
     # overlapping runs of a text become one
     per_text = W.partitionBy("t").orderBy("start", "end")
     ahead = F.max("end").over(per_text.rowsBetween(W.unboundedPreceding, -1))
