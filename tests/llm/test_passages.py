@@ -3,7 +3,6 @@ import random
 import numpy as np
 import pytest
 
-from sluice.llm import passages
 from sluice.llm.passages import equal_runs, kept_starts, repeated_passages
 
 
