@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import WORD, bound_batches, cut, plain_names, small_side
+from sluice.llm.common import bound_batches, cut, plain_names, small_side
 from sluice.llm.components import components
 from sluice.llm.words import mix, shingles, word_hashes
 
@@ -243,6 +243,11 @@ def near_duplicates(
     Two texts are linked if the Jaccard similarity of their ``words``-word
     shingle sets is at least ``percent`` / 100, checked in whole numbers.
     """
+    return _grouped(docs, words, percent, miss, doc_id, text).drop("root")
+
+
+def _grouped(docs: DataFrame, words: int, percent: int, miss: float, doc_id: str, text: str) -> DataFrame:
+    """``near_duplicates`` with the component's own key, ``root``: components that share their smallest id differ in it."""
     bound_batches(docs.sparkSession)
     d = plain_names(docs, doc_id=doc_id, text=text).withColumn("text_hash", F.xxhash64("text"))
     id_type = d.schema["doc_id"].dataType.simpleString()
@@ -306,12 +311,12 @@ def near_duplicates(
     links = links.unionByName(cut(tiles.groupBy("key", "lo", "hi").applyInArrow(_tiles(words, percent, rows, rule), "a long, b long")))
     roots = cut(components(links))
     groups = nodes.join(roots, "node", "left").select("h1", "h2", "least", F.coalesce("root", "node").alias("root"))
-    named = groups.groupBy("root").agg(F.min("least").alias("component_id")).join(groups, "root").select("h1", "h2", "component_id")
+    named = groups.groupBy("root").agg(F.min("least").alias("component_id")).join(groups, "root").select("h1", "h2", "component_id", "root")
     return (
         signed.select("doc_id", "n_shingles", "h1", "h2", "text_hash")
         .join(named, ["h1", "h2"], "left")
         .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")))
-        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_hash")
+        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_hash", "root")
     )
 
 
@@ -320,26 +325,31 @@ def one_of_each_group(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, but of each group of near-duplicates only the one with the smallest id.
 
-    Of rows of one group that share the smallest id, one stays.  Rows with a
-    null id or without words stay all.
+    Of rows of one group that share the smallest id, one stays, of the text
+    with the least hash.  Groups that share their smallest id keep a row each.
+    Rows with a null id or without words stay all.
     """
-    found = cut(near_duplicates(docs, words, percent, miss, doc_id, text))
-    gone = small_side(cut(found.where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__t")).distinct()), 1_000_000)
-    left = docs.join(gone, (docs[doc_id] == gone["__id"]) & (F.xxhash64(docs[text]) == gone["__t"]), "left_anti")
+    found = cut(_grouped(docs, words, percent, miss, doc_id, text))
+    gone = found.where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__t"))
     again = cut(
         found.where("kept and doc_id is not null and n_shingles > 0")
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(F.col("doc_id").alias("__id"), F.col("root").alias("__root"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("text_hash").alias("__least"))
         .where("n > 1")
-        .select("__id")
     )
-    if again.isEmpty():
+    some = not again.isEmpty()
+    if some:
+        # within a group, the other texts of the id that stays go too
+        held = found.where("kept").join(small_side(again, 1_000_000), (F.col("doc_id") == F.col("__id")) & (F.col("root") == F.col("__root")))
+        gone = gone.unionByName(held.where("text_hash != __least").select("__id", F.col("text_hash").alias("__t")))
+    gone = small_side(cut(gone.distinct()), 1_000_000)
+    left = docs.join(gone, (docs[doc_id] == gone["__id"]) & (F.xxhash64(docs[text]) == gone["__t"]), "left_anti")
+    if not some:
         return left
-    side = small_side(again, 1_000_000)
-    worded = F.coalesce(left[text].rlike(WORD), F.lit(False))
-    repeats = left.where(worded).join(side, left[doc_id] == side["__id"], "left_semi").dropDuplicates([doc_id])
-    single = left.join(side, (left[doc_id] == side["__id"]) & worded, "left_anti")
-    return single.unionByName(repeats)
+    side = small_side(cut(again.select("__id", F.col("__least").alias("__t")).distinct()), 1_000_000)
+    same = (left[doc_id] == side["__id"]) & (F.xxhash64(left[text]) == side["__t"])
+    repeats = left.join(side, same).dropDuplicates(["__id", "__t"]).select(*docs.columns)
+    return left.join(side, same, "left_anti").unionByName(repeats)
 
 
 def op4_minhash_near_dup(spark, sf_dir: str) -> DataFrame:

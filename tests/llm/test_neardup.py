@@ -89,6 +89,15 @@ def test_one_of_each_group_keeps_clean_rows(docs, prose):
     )
 
 
+def test_groups_that_share_an_id_keep_a_row_each(docs, prose):
+    a, b, c = (prose(s, 80) for s in ("a", "b", "c"))
+    rows = [(5, a), (5, b), (8, a), (9, b + " tail"), (5, b), (6, c), (6, c + " end"), (7, c), (6, prose("d", 80))]
+    want = [a, b, prose("d", 80)]
+    got = [(r.doc_id, r.text) for r in one_of_each_group(docs(rows).repartition(3)).collect()]
+    assert sorted(x for x in got if x[1] in want) == sorted([(5, a), (5, b), (6, want[2])])
+    assert sum(t.startswith(c) for _, t in got) == 1 and len(got) == 4
+
+
 def test_long_text(docs, prose):
     long = prose(1, 200_000)
     got = near_duplicates(docs([(1, long), (2, long + " end"), (3, "x" * 3_000_000)])).collect()
