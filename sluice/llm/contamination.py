@@ -13,6 +13,12 @@ terms are added up by their largest impact per block, blocks that cannot reach
 the threshold are skipped, and only in the others the units' own postings are
 opened and scored.  All units above the threshold are retrieved.
 
+A copy whose parts stand further apart than a passage is retrieved from the
+document as a whole: its words that stand in a run of five found in some item
+are one more query.  A unit's threshold is then the least share of its weight
+that the words of enough of its shingles can have, so that retrieval leaves out
+nothing that the rule below would find.
+
 A retrieved unit is verified on the document's five-word shingles: the item
 leaks if 80% of its shingles are there, or 80% of its question's.  An item of
 fewer than five words leaks into texts that are nothing else.
@@ -66,7 +72,26 @@ def _shingle_set(words: np.ndarray) -> np.ndarray:
     return np.unique(shingles(words, SHINGLE))
 
 
-def build_index(items: list[tuple[int, str]]) -> dict | None:
+def least_share(words: np.ndarray, terms: np.ndarray, weight: np.ndarray, overlap: float) -> float:
+    """The least weight that the words of ``overlap`` of a unit's shingles can have; ``weight`` is that of its sorted ``terms``.
+
+    A word is only absent if all its shingles are, so each of them carries an
+    equal share of its weight; what is lost is at most the shares of as many
+    shingles as may be absent.
+    """
+    runs = shingles(words, SHINGLE)
+    unique, number = np.unique(runs, return_inverse=True)
+    spare = len(unique) - int(np.ceil(overlap * len(unique) - 1e-9))
+    if spare <= 0:
+        return 1.0
+    place = np.searchsorted(terms, words)
+    pairs = np.unique(np.concatenate([number * len(terms) + place[i : i + len(runs)] for i in range(SHINGLE)]))
+    shingle, term = pairs // len(terms), pairs % len(terms)
+    share = np.bincount(shingle, (weight / np.bincount(term, minlength=len(terms)))[term])
+    return float(1 - np.sort(share)[-spare:].sum())
+
+
+def build_index(items: list[tuple[int, str]], overlap: float = 0.8) -> dict | None:
     """Sorted terms, postings with impacts, and the largest impact per block; None without any word."""
     units, parts = [], []
     for n, (item, text) in enumerate(items):
@@ -94,6 +119,10 @@ def build_index(items: list[tuple[int, str]]) -> dict | None:
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
     impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[unit] / size.mean()))
     impact /= np.bincount(unit, impact, minlength=n)[unit]
+    least = np.full((n // BLOCK + 1) * BLOCK, np.inf)
+    by_unit = np.argsort(unit, kind="stable")
+    for u, own in enumerate(np.split(by_unit, np.cumsum(np.bincount(unit, minlength=n))[:-1])):
+        least[u] = least_share(units[u][1], terms[term[own]], impact[own], overlap)
     key = term * (n // BLOCK + 1) + unit // BLOCK
     blocks, first = np.unique(key, return_index=True)
     width = n // BLOCK + 1
@@ -109,6 +138,8 @@ def build_index(items: list[tuple[int, str]]) -> dict | None:
         "parts": parts,
         "part_of": np.array([p for p, _ in units]),
         "window": int(size.max()),
+        "least": least.reshape(-1, BLOCK),
+        "shingles": np.unique(np.concatenate([x for _, *sets, _ in parts for x in sets[:2]])),
         "terms": terms,
         "unit": unit,
         "impact": impact,
@@ -136,6 +167,11 @@ def retrieve(
 
     ``passage`` (ascending) and ``term`` list the distinct terms of each passage.
     """
+    return _scored(index, cells, passage, term, np.full_like(index["least"], threshold))
+
+
+def _scored(index: dict, cells: tuple[np.ndarray, np.ndarray], passage: np.ndarray, term: np.ndarray, threshold: np.ndarray):
+    """``retrieve`` with a threshold per block and unit."""
     at_passage, at_block = cells
     width = len(index["part_of"]) // BLOCK + 1
     cell, place = _opened(np.searchsorted(passage, at_passage), np.searchsorted(passage, at_passage, side="right"))
@@ -145,7 +181,7 @@ def retrieve(
     cell, k = cell[hit], k[hit]
     o, at = _opened(index["block_first"][k], index["block_first"][k + 1])
     score = np.bincount(cell[o] * BLOCK + index["unit"][at] % BLOCK, index["impact"][at], minlength=len(at_block) * BLOCK)
-    good = np.flatnonzero(score >= threshold - 1e-9)
+    good = np.flatnonzero(score >= threshold[at_block].reshape(-1) - 1e-9)
     return at_passage[good // BLOCK], at_block[good // BLOCK] * BLOCK + good % BLOCK, score[good]
 
 
@@ -153,8 +189,8 @@ def _held(part: np.ndarray, whole: np.ndarray) -> float | None:
     return None if not len(part) else float(np.isin(part, whole, assume_unique=True).sum() / len(part))
 
 
-def likely_cells(index: dict, step: np.ndarray, term: np.ndarray, n_steps: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(passage, block) wherever the block may hold a unit above the threshold.
+def likely_cells(index: dict, step: np.ndarray, term: np.ndarray, n_steps: int, threshold: float | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, block) wherever the block may hold a unit above the threshold (of all blocks, or of each).
 
     Passage p covers steps p and p + 1.  The bound sums a block's largest
     impacts over the words of the passage.  The common terms, found in a good
@@ -180,28 +216,60 @@ def likely_cells(index: dict, step: np.ndarray, term: np.ndarray, n_steps: int,
     return np.concatenate(passages), np.concatenate(blocks)
 
 
-def leaks_of(index: dict, rows: np.ndarray, words: np.ndarray, bounds: np.ndarray, threshold: float, overlap: float):
-    """(row, item, score, overlaps) of the verified items of the texts whose words are given."""
-    place = np.minimum(np.searchsorted(index["terms"], words), len(index["terms"]) - 1)
-    spot = np.flatnonzero(index["terms"][place] == words)
-    if not len(spot):
-        return
-    term, size = place[spot], np.diff(bounds)
-    row = np.repeat(np.arange(len(size)), size)[spot]
+def _from_passages(index: dict, row: np.ndarray, spot: np.ndarray, term: np.ndarray, bounds: np.ndarray, threshold: float):
+    """(row, unit, score) of the units that one passage of the text holds."""
     # steps of the longest unit's length, after an empty one that parts a text from the one before
-    first = np.cumsum(np.r_[0, size // index["window"] + 2])
+    first = np.cumsum(np.r_[0, np.diff(bounds) // index["window"] + 2])
     step = first[row] + 1 + (spot - bounds[row]) // index["window"]
     cells = likely_cells(index, step, term, int(first[-1]), threshold)
     if not len(cells[0]):
-        return
+        return (np.zeros(0, np.int64),) * 3
     # the distinct terms of the passages left; a word is in the passage of its step and in the one before
     mask = np.zeros(int(first[-1]) + 1, bool)
     mask[cells[0]] = True
     own, before = mask[step], mask[step - 1]
     key = np.unique(np.concatenate([step[own], step[before] - 1]) * len(index["terms"]) + np.concatenate([term[own], term[before]]))
     passage, unit, score = retrieve(index, cells, key // len(index["terms"]), key % len(index["terms"]), threshold)
+    return np.searchsorted(first, passage, side="right") - 1, unit, score
+
+
+def _from_whole_texts(index: dict, row: np.ndarray, spot: np.ndarray, term: np.ndarray, words: np.ndarray, bounds: np.ndarray):
+    """(row, unit, score) of the units that the text's words in shared shingles may hold together."""
+    shared = np.zeros(len(words) + SHINGLE, bool)
+    runs = shingles(words, SHINGLE)
+    at = np.minimum(np.searchsorted(index["shingles"], runs), len(index["shingles"]) - 1)
+    begin = np.flatnonzero(index["shingles"][at] == runs)
+    for i in range(SHINGLE):
+        shared[begin + i] = True
+    # a text of fewer words is one shingle
+    stay = shared[spot] | (np.diff(bounds) < SHINGLE)[row]
+    key = np.unique(row[stay] * len(index["terms"]) + term[stay])
+    if not len(key):
+        return (np.zeros(0, np.int64),) * 3
+    rows, number = np.unique(key // len(index["terms"]), return_inverse=True)
+    # a step with an empty one behind it is a passage of its own
+    step, term = 2 * number + 1, key % len(index["terms"])
+    at_passage, at_block = likely_cells(index, step, term, 2 * len(rows) + 1, index["least"].min(axis=1))
+    odd = at_passage % 2 == 1
+    passage, unit, score = _scored(index, (at_passage[odd], at_block[odd]), step, term, index["least"])
+    return rows[passage // 2], unit, score
+
+
+def leaks_of(index: dict, rows: np.ndarray, words: np.ndarray, bounds: np.ndarray, threshold: float, overlap: float):
+    """(row, item, score, overlaps) of the verified items of the texts whose words are given."""
+    place = np.minimum(np.searchsorted(index["terms"], words), len(index["terms"]) - 1)
+    spot = np.flatnonzero(index["terms"][place] == words)
+    if not len(spot):
+        return
+    term, size = place[spot], np.diff(bounds)
+    row = np.repeat(np.arange(len(size)), size)[spot]
+    found = (
+        _from_passages(index, row, spot, term, bounds, threshold),
+        _from_whole_texts(index, row, spot, term, words, bounds),
+    )
+    row, unit, score = (np.concatenate(x) for x in zip(*found))
     best: dict[tuple[int, int], float] = {}
-    for r, p, s in zip(np.searchsorted(first, passage, side="right") - 1, index["part_of"][unit], score):
+    for r, p, s in zip(row, index["part_of"][unit], score):
         best[r, p] = max(best.get((r, p), 0.0), s)
     sets: dict[int, np.ndarray] = {}
     for (r, p), s in sorted(best.items()):
@@ -246,7 +314,7 @@ def _clean(shared, text: str, threshold: float, overlap: float):
     return run
 
 
-def _indexes(items: DataFrame, index_bytes: int, item_id: str, text: str):
+def _indexes(items: DataFrame, index_bytes: int, item_id: str, text: str, overlap: float):
     """Broadcast indexes of at most about ``index_bytes`` of item text each."""
     spark = items.sparkSession
     bound_batches(spark)
@@ -255,7 +323,7 @@ def _indexes(items: DataFrame, index_bytes: int, item_id: str, text: str):
     passes = -(-size // index_bytes)
     for k in range(passes):
         share = b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).collect()
-        index = build_index(sorted(((r.item_id, r.text) for r in share), key=str))
+        index = build_index(sorted(((r.item_id, r.text) for r in share), key=str), overlap)
         if index:
             yield spark.sparkContext.broadcast(index)
 
@@ -271,7 +339,7 @@ def without_leaks(
     item_text: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, all columns, into which no item leaks."""
-    for index in _indexes(items, index_bytes, item_id, item_text):
+    for index in _indexes(items, index_bytes, item_id, item_text, overlap):
         docs = docs.mapInArrow(_clean(index, text, threshold, overlap), docs.schema)
     return docs
 
@@ -290,7 +358,7 @@ def find_leaks(
     d = plain_names(docs, doc_id=doc_id, text=text)
     kind = d.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
-    found = [d.mapInArrow(_find(index, threshold, overlap), schema) for index in _indexes(items, index_bytes, item_id, "text")]
+    found = [d.mapInArrow(_find(index, threshold, overlap), schema) for index in _indexes(items, index_bytes, item_id, "text", overlap)]
     return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 

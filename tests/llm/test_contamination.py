@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +110,36 @@ def test_retrieval_is_complete(world):
         assert got == want and want
 
 
+def test_items_in_parts_far_from_each_other_leak(spark, docs, prose):
+    items = [(i, f"{prose(('q', i), 16 + i % 7)} Q{i} {prose(('r', i), 9)} A{i} {prose(('a', i), 11)}") for i in range(40)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    rows = []
+    for i, text in items:
+        w = text.split()
+        # two halves that overlap by four words lose no shingle; cut in three, some are lost
+        half = len(w) // 2
+        for k, parts in enumerate(([w[: half + 4], w[half:]], [w[half:], w[: half + 4]], [w[: half + 2], w[half - 2 :]], [w[:12], w[8:24], w[20:]], [w[:10], w[10:20], w[20:]])):
+            rows.append((10 * i + k, " ".join(f"{' '.join(p)} {prose((i, k, n), 300)}" for n, p in enumerate(parts))))
+    got = {(r.doc_id, r.item_id) for r in c.find_leaks(docs(rows), b).collect()}
+    assert got == brute(rows, items) and len(got) >= 120
+
+
+def test_least_share_is_a_bound(prose):
+    rng = np.random.default_rng(2)
+    for seed in range(60):
+        w = np.array([zlib.crc32(x.encode()) % 997 for x in prose(seed, 6 + seed % 30).split()], dtype=np.uint64)
+        terms = np.unique(w)
+        weight = rng.random(len(terms))
+        weight /= weight.sum()
+        least = c.least_share(w, terms, weight, 0.8)
+        runs = c.shingles(w, 5)
+        for _ in range(40):
+            unique = np.unique(runs)
+            held = rng.choice(unique, int(np.ceil(0.8 * len(unique) - 1e-9)), replace=False)
+            some = {x for i in np.flatnonzero(np.isin(runs, held)) for x in w[i : i + 5].tolist()}
+            assert weight[np.isin(terms, np.array(sorted(some), np.uint64))].sum() >= least - 1e-9
+
+
 def test_split():
     assert c.split_item("What is it? A thing.") == ("What is it?", "A thing.")
     assert c.split_item("One. Two. Three") == ("One. Two.", "Three")
