@@ -9,9 +9,11 @@ languages, and beside it stand their log probabilities per language and the
 log weights of backing off from them.  A document goes to the language with
 the lowest cross-entropy per character.
 
-Rejection is calibrated on labelled documents outside the fitted sample: their
-cross-entropies under their own and under the other models give each language
-the limit, eased for short texts, beyond which a text is in none of them.
+Rejection is calibrated on labelled documents outside the fitted sample, a
+quarter of each language's but a bounded number: their cross-entropies under
+their own and under the other models give each language the limit, eased for
+short texts, beyond which a text is in none of them.  A language with few such
+documents gets the widest of its own, the others' and the pooled limit.
 
 Defined results: null texts and texts without a letter are ``und``, with score
 0, and rejected; without labelled rows everything is ``und``; ties go to the
@@ -39,6 +41,8 @@ SLICE_CHARS = 1 << 19
 #: Cross-entropies per character count at most for this many characters in the score.
 SCORE_CHARS = 40
 UNKNOWN = "und"
+#: Share of a language's labelled documents set aside to calibrate on, and how many of them make a limit of its own.
+ASIDE, FEW = 0.25, 8
 #: Share of the way from a language's own cross-entropy to that of foreign texts beyond which a text is in none.
 REJECT_AT = 0.75
 #: Standard errors that a short text may lie beyond the limit, or a language's own documents beyond their mean.
@@ -302,42 +306,57 @@ def _calibrate(shared):
     return run
 
 
-def _limits(rows) -> dict[str, tuple[float, float, float]]:
+def _limits(rows, langs: list[str]) -> dict[str, tuple[float, float, float]]:
     """Per language: the cross-entropy limit for long texts, and the deviations and variance that short ones add.
 
     The limit lies three quarters of the way from the language's own documents
     to what its documents score under the other models, so that texts of two
     known languages stay; it never lies within ``EASE`` deviations of the own
-    mean.
+    mean.  A language with fewer than ``FEW`` rows takes the widest limit of
+    any language or of all rows together.
     """
-    out = {}
+    if not rows:
+        return {}
     by: dict[str, list] = {}
     for r in rows:
         by.setdefault(r.lang, []).append((r.entropy, r.foreign, r.spread))
-    for lang, got in by.items():
+
+    def limit(got: list) -> tuple[float, float, float]:
         entropy, foreign, spread = np.array(got).T
         mean, deviation = np.median(entropy), 1.4826 * np.median(np.abs(entropy - np.median(entropy)))
-        limit = max(mean + REJECT_AT * (np.median(foreign) - mean), mean + EASE * deviation)
-        out[lang] = (float(limit), EASE, float(np.median(spread)))
-    return out
+        most = max(mean + REJECT_AT * (np.median(foreign) - mean), mean + EASE * deviation)
+        return float(most), EASE, float(np.median(spread))
+
+    own = {lang: limit(got) for lang, got in by.items()}
+    every = [*own.values(), limit([x for got in by.values() for x in got])]
+    wide = (max(x[0] for x in every), EASE, max(x[2] for x in every))
+    return {lang: own[lang] if len(by.get(lang, ())) >= FEW else wide for lang in langs}
 
 
 def fit(docs: DataFrame, sample: int, calibration: int):
     """Models (broadcast) and limits from the labelled rows of (doc_id, text, lang), or None without any.
 
     ``sample`` and ``calibration`` bound, per language and in expectation, the
-    documents used; they are chosen by a hash of the id among the rows that
-    are not held out.
+    documents used; they are chosen by a hash of id and text among the rows
+    that are not held out.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not n:
+    at = unit_hash(F.col("doc_id"), F.col("text"), F.lit("langid"))
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.max(at).alias("last")).collect()
+    if not sizes:
         return None
-    place = unit_hash(F.col("doc_id"), F.lit("langid")) * F.create_map(*[F.lit(x) for kv in n.items() for x in kv])[F.col("lang")]
+
+    def of_lang(share: dict[str, float]):
+        return F.create_map(*[F.lit(x) for kv in share.items() for x in kv])[F.col("lang")]
+
+    # the first rows by hash are set aside; a language that would have no others is fitted on all of them
+    aside = {r.lang: min(ASIDE, calibration / r.n) for r in sizes}
+    aside = {r.lang: aside[r.lang] if r.last >= aside[r.lang] else 0.0 for r in sizes}
+    fitted = {r.lang: aside[r.lang] + sample / r.n for r in sizes}
     got = (
-        known.where(place < sample)
+        known.where((at >= of_lang(aside)) & (at < of_lang(fitted)))
         .select("lang", "text")
         .mapInArrow(_count, "lang string, code long, n long")
         .groupBy("lang", "code")
@@ -354,10 +373,9 @@ def fit(docs: DataFrame, sample: int, calibration: int):
     if not counts:
         return None
     shared = spark.sparkContext.broadcast(dict(vars(LanguageModels(counts))))
-    checked = known.where((place >= sample) & (place < sample + calibration) & F.col("lang").isin(list(counts)))
-    # where the sample takes every labelled row, nothing is left to calibrate on and nothing is rejected
+    checked = known.where((at < of_lang(aside)) & F.col("lang").isin(list(counts)))
     rows = checked.select("lang", "text").mapInArrow(_calibrate(shared), "lang string, entropy double, foreign double, spread double, n double")
-    return shared, _limits(rows.collect())
+    return shared, _limits(rows.collect(), sorted(counts))
 
 
 def identify_languages(

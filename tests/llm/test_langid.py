@@ -44,6 +44,21 @@ def test_undecidable_and_foreign_texts(docs):
     assert not any(r.rejected for r in got.values() if r.doc_id is None or r.doc_id < 1000)
 
 
+@pytest.mark.parametrize("n", [240, 1200])
+def test_foreign_texts_are_rejected_with_few_labelled_rows(docs, n):
+    foreign = [(5000, "Ж" + " вщхзфц" * 60), (5001, "qjxwvkqz jqwxvzk " * 40)]
+    # a language of which few rows are labelled, least of all enough for a limit of its own
+    rare = [(6000 + i, " ".join(f"hyy{'eiou'[(i + k) % 4]}pp{'aeio'[k % 4]}" for k in range(60)), "rare" if i < 6 else None) for i in range(12)]
+    got = {r.doc_id: r for r in langid.identify_languages(corpus(docs, n, [(i, t, None) for i, t in foreign] + rare)).collect()}
+    assert got[5000].rejected and got[5001].rejected
+    assert sum(r.rejected for r in got.values()) == 2
+
+
+def test_a_language_of_one_labelled_row_is_still_known(docs):
+    got = {r.doc_id: r for r in langid.identify_languages(corpus(docs, 90, [(7001, "éhwyx" * 40, "one"), (7002, "éhwyx" * 30, None)])).collect()}
+    assert got[7002].lang_pred == "one" and not got[7002].rejected
+
+
 def test_mixed_texts_and_short_texts_stay(docs):
     more = [(9000 + i, text("xa", i, 20) + " " + text("yb", i, 20)) for i in range(20)] + [(9100 + i, text("zc", i, 2)) for i in range(20)]
     got = {r.doc_id: r for r in langid.identify_languages(corpus(docs, 2600, more), sample=500).collect()}
