@@ -7,7 +7,11 @@
    (one edit for terms of five letters or more, two from ten) is intersected
    with the trie; that intersection is determinised once into a table of
    states, and all words of a batch run through the table together, character
-   by character, until they fail.
+   by character, until they fail.  There the first letter must be right.  Words
+   without a match run through a second table, loose, that takes edits at the
+   first letter too and one in terms of four letters; a sign before a word may
+   stand for its first letter.  Loose matches are features of their own, so the
+   weights tell chance from disguise.
 3. Context.  A match inside quotation marks or near a word of reporting counts
    less, one near a word of address counts more.
 4. Score.  A logistic regression, fitted on the same sample, weighs the
@@ -45,6 +49,10 @@ def edits_allowed(length: int) -> int:
     return 0 if length < 5 else 1 if length < 10 else 2
 
 
+def loose_edits(length: int) -> int:
+    return 1 if length == MIN_LENGTH else edits_allowed(length)
+
+
 # -- lexicon ---------------------------------------------------------------------------
 
 
@@ -55,7 +63,7 @@ def _candidates(batches):
             seen: Counter = Counter()
             for text, x in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 if x == label:
-                    words = {w for w in map(str, set(_plain_words(text or ""))) if MIN_LENGTH <= len(w) <= 24}
+                    words = {w for w in map(str, set(_plain_words(text or ""))) if len(w) <= 24}
                     seen.update(words)
                     seen.update({w[:n] + "*" for w in words for n in range(MIN_LENGTH, min(len(w), MAX_STEM + 1))})
             if seen:
@@ -100,10 +108,12 @@ class Matcher:
 
     ``step[state, class]`` is the next state (0: none); ``best[state]`` is the
     match a word that ends there makes, as term * 3 + distance, or -1; in
-    ``stem[state]`` the same holds wherever the word goes on.
+    ``stem[state]`` the same holds wherever the word goes on.  If ``loose``,
+    the first letter may be wrong, and terms of four letters take an edit.
     """
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], loose: bool = False):
+        edits = loose_edits if loose else edits_allowed
         letters = sorted({c for t in terms for c in t if c != "*"})
         self.class_of = {c: i + 1 for i, c in enumerate(letters)}  # 0: any other character
         children: list[dict[str, int]] = [{}]
@@ -112,16 +122,16 @@ class Matcher:
         for i, t in enumerate(terms):
             word, at = t.rstrip("*"), 0
             for c in word:
-                limit[at] = max(limit[at], edits_allowed(len(word)))
+                limit[at] = max(limit[at], edits(len(word)))
                 if c not in children[at]:
                     children[at][c] = len(children)
                     children.append({})
                     ends.append([])
                     limit.append(0)
                 at = children[at][c]
-            limit[at] = max(limit[at], edits_allowed(len(word)))
+            limit[at] = max(limit[at], edits(len(word)))
             ends[at].append((i, t.endswith("*")))
-        allowed = [edits_allowed(len(t.rstrip("*"))) for t in terms]
+        allowed = [edits(len(t.rstrip("*"))) for t in terms]
 
         def closed(pairs: dict[int, int]) -> frozenset:
             """Trie nodes reachable by leaving out letters of a term, each with its fewest edits."""
@@ -149,7 +159,6 @@ class Matcher:
                     reach(child, e if letter == c else e + 1)
             return closed(out)
 
-        # the first letter must be right: words rarely hide it, and it keeps chance matches out
         number: dict[frozenset, int] = {}
         rows: list[list[int]] = [[0] * (len(letters) + 1), [0] * (len(letters) + 1)]
         best, stem = [-1, -1], [-1, -1]
@@ -172,10 +181,15 @@ class Matcher:
                 todo.append(state)
             return number[state]
 
-        for c, k in self.class_of.items():
-            if c in children[0]:
-                first = {children[0][c]: 0}
-                rows[1][k] = of(closed(first))
+        if loose:
+            start = closed({0: 0})
+            rows[1] = [of(read(start, None)), *[of(read(start, c)) for c in letters]]
+        else:
+            # the first letter must be right: that keeps chance matches out
+            for c, k in self.class_of.items():
+                if c in children[0]:
+                    first = {children[0][c]: 0}
+                    rows[1][k] = of(closed(first))
         while todo:
             state = todo.popleft()
             row = [of(read(state, None)), *[of(read(state, c)) for c in letters]]
@@ -258,10 +272,26 @@ def _pieces(text: str):
         at = end
 
 
-def features(matcher: Matcher, texts: list[str | None], n_terms: int) -> np.ndarray:
-    """Per text and (term, exact or misspelt): the strongest match; last, the log of the sum of all."""
-    out = np.zeros((len(texts), 2 * n_terms + 1))
-    total = np.zeros(len(texts))
+def loose_matches(matcher: Matcher, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Match of each word, with or without the sign before it, whichever is closer."""
+    classes = matcher.classes[points]
+    found = matcher.run(classes, starts, ends)
+    signed = np.flatnonzero((starts > 0) & (_Letters.kinds()[points[starts - 1]] == 2))
+    other = matcher.run(classes, starts[signed] - 1, ends[signed])
+    better = (other >= 0) & ((found[signed] < 0) | (other % 3 < found[signed] % 3))
+    found[signed[better]] = other[better]
+    return found
+
+
+def features(matcher: Matcher, texts: list[str | None], n_terms: int, loose: Matcher | None = None) -> np.ndarray:
+    """Per text and (term, exact or misspelt): the strongest match; last, the log of the sum of all.
+
+    With ``loose``, per term its strongest loose match and the log of their sum
+    stand before the last; of these only the strongest adds to the sum of all,
+    so that the chance matches of a long text do not add up.
+    """
+    out = np.zeros((len(texts), 2 * n_terms + 1 if loose is None else 3 * n_terms + 2))
+    total, chance, closest = np.zeros((3, len(texts)))
     part: list[tuple[int, int, str]] = []
     held = 0
 
@@ -270,15 +300,23 @@ def features(matcher: Matcher, texts: list[str | None], n_terms: int) -> np.ndar
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         starts, ends = words_of(points)
         found = matcher.run(matcher.classes[points], starts, ends)
+        strict = found >= 0
+        if loose is not None and len(starts):
+            rest = np.flatnonzero(~strict)
+            found[rest] = loose_matches(loose, points, starts[rest], ends[rest])
         hits = np.flatnonzero(found >= 0)
         heads = np.cumsum([0, *[len(p) + 1 for _, _, p in part]])
         for h, k in zip(hits, np.searchsorted(heads, starts[hits], side="right") - 1):
             row, _, piece = part[k]
             term, distance = divmod(int(found[h]), 3)
             value = context_factor(piece, int(starts[h] - heads[k]), int(ends[h] - heads[k]))
-            column = 2 * term + (distance > 0)
+            column = 2 * term + (distance > 0) if strict[h] else 2 * n_terms + term
             out[row, column] = max(out[row, column], value)
-            total[row] += value / (1 + distance)
+            if strict[h]:
+                total[row] += value / (1 + distance)
+            else:
+                chance[row] += value / (1 + distance)
+                closest[row] = max(closest[row], value / (1 + distance))
 
     for row, text in enumerate(texts):
         if not text:
@@ -292,7 +330,9 @@ def features(matcher: Matcher, texts: list[str | None], n_terms: int) -> np.ndar
                 part, held = [], 0
     if part:
         flush()
-    out[:, -1] = np.log1p(total)
+    if loose is not None:
+        out[:, -2] = np.log1p(chance)
+    out[:, -1] = np.log1p(total + closest)
     return out
 
 
@@ -319,9 +359,9 @@ def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int =
 def _train_rows(shared):
     def run(batches):
         model = shared.value
-        matcher = Matcher.of(model["matcher"])
+        matcher, loose = Matcher.of(model["matcher"]), Matcher.of(model["loose"])
         for batch in batches:
-            x = features(matcher, batch.column("text").to_pylist(), model["terms"])
+            x = features(matcher, batch.column("text").to_pylist(), model["terms"], loose)
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(list(x), pa.list_(pa.float64()))], ["toxic", "x"])
 
     return run
@@ -330,9 +370,9 @@ def _train_rows(shared):
 def _score(shared):
     def run(batches):
         model = shared.value
-        matcher, w = Matcher.of(model["matcher"]), model["weights"]
+        matcher, loose, w = Matcher.of(model["matcher"]), Matcher.of(model["loose"]), model["weights"]
         for batch in batches:
-            x = features(matcher, batch.column("text").to_pylist(), model["terms"])
+            x = features(matcher, batch.column("text").to_pylist(), model["terms"], loose)
             score = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -340,7 +380,7 @@ def _score(shared):
                     batch.column("held_out"),
                     pa.array(score),
                     pa.array((score >= 0.5).astype(np.int32)),
-                    pa.array((x[:, :-1] > 0).sum(axis=1)),
+                    pa.array((x[:, : 3 * model["terms"]] > 0).sum(axis=1)),
                 ],
                 names=["doc_id", "held_out", "score", "predicted", "terms_matched"],
             )
@@ -395,7 +435,7 @@ def score_toxicity(
     terms = choose_terms([(r.term, r.a, r.b) for r in passing.collect()])
     if not terms:
         return flat
-    model = {"matcher": dict(vars(Matcher(terms))), "terms": len(terms)}
+    model = {"matcher": dict(vars(Matcher(terms))), "loose": dict(vars(Matcher(terms, loose=True))), "terms": len(terms)}
     rows = train.mapInArrow(_train_rows(spark.sparkContext.broadcast(model)), "toxic int, x array<double>").toArrow()
     x = np.array(rows.column("x").to_pylist())
     y = rows.column("toxic").to_numpy().astype(np.float64)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from sluice.llm import queries
-from sluice.llm.toxicity import Matcher, choose_terms, context_factor, edits_allowed, fit_weights, score_toxicity, words_of
+from sluice.llm.toxicity import Matcher, choose_terms, context_factor, edits_allowed, features, fit_weights, loose_edits, score_toxicity, words_of
 
 SF = "/root/testdata/sf0.01"
 
@@ -23,8 +23,8 @@ def prefix_distance(word, stem):
     return min(distance(word[:n], stem) for n in range(len(word) + 1))
 
 
-def run(terms, words):
-    m = Matcher(terms)
+def run(terms, words, loose=False):
+    m = Matcher(terms, loose)
     text = "\n".join(words)
     points = np.array([ord(c) for c in text])
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
@@ -60,6 +60,50 @@ def test_automaton_equals_edit_distance():
             assert all(d > 0 for d in best.values()), w
 
 
+def test_loose_automaton_equals_edit_distance_everywhere():
+    terms = ["abcde*", "zebras", "quizzically", "trio", "idiot", "abacus", "xy"]
+    rnd = random.Random(7)
+    words = ["1diot", "*diot", "xidiot", "diot", "iidiot", "trip", "rio", "btrio", "xy", "xz", "bcdefgh", "uzically", "cabacus", "q", "id"]
+    for t in terms:
+        for _ in range(300):
+            w = list(t.rstrip("*"))
+            for _ in range(rnd.randint(0, 3)):
+                i = rnd.randrange(len(w) + 1)
+                w[i : i + rnd.randint(0, 1)] = rnd.choice(["", *"abcdeqz", "?"])
+            words.append("".join(w) + rnd.choice(["", "", "ly", "x"]))
+    words = sorted({w for w in words if w})
+    for w, f in zip(words, run(terms, words, loose=True)):
+        best = {}
+        for i, t in enumerate(terms):
+            stem = t.rstrip("*")
+            d = prefix_distance(w, stem) if t.endswith("*") else distance(w, stem)
+            if d <= loose_edits(len(stem)):
+                best[i] = d
+        assert (f < 0) == (not best), w
+        if best:
+            assert best.get(f // 3) == f % 3 == min(best.values()), w
+
+
+def test_a_sign_may_stand_for_the_first_letter():
+    terms = ["stupid", "idiot", "scum"]
+    both = Matcher(terms), Matcher(terms, loose=True)
+    for text, column in (("so $tupid", 6), ("*diot!", 7), ("$$cum", 8), ("a tupid one", 6), ("**idiot**", 2), ("scun", 8), ("@stuped", 1)):
+        got = features(both[0], [text], 3, both[1])[0, :9]
+        assert np.flatnonzero(got).tolist() == [column], text
+    assert not features(both[0], ["no such thing", None], 3, both[1]).any()
+
+
+def test_disguised_and_short_terms_raise_the_score(docs, spark, prose):
+    rows, labels = corpus(docs, spark, prose)
+    # a term of three letters, alone in its documents
+    short = [(2000 + i, f"{prose(('s', i), 20)} zyx {prose(('t', i), 20)}") for i in range(200)]
+    more = [(9000, prose(77, 30)), *[(9001 + i, f"{prose(77, 15)} {w} {prose(78, 15)}") for i, w in enumerate(["zyx", "1grimling", "6rimling", "rimling", "$lunderhead"])]]
+    labels = labels.union(spark.createDataFrame([(i, 1, 1) for i, _ in short], labels.schema))
+    got = {r.doc_id: r for r in score_toxicity(docs(rows + short + more), labels).collect()}
+    assert got[9001].predicted == 1
+    assert all(got[9001 + i].score > got[9000].score and got[9001 + i].terms_matched == 1 for i in range(5))
+
+
 def test_words_keep_signs_inside():
     text = "Id!ot m*ron, $$$ end$ a@b x"
     points = np.array([ord(c) for c in text])
