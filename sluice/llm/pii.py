@@ -24,6 +24,7 @@ result.  Positions are code points, ends exclusive.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 
 import numpy as np
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import bound_batches, plain_names, table, unit_hash
+from sluice.llm.common import bound_batches, cut, plain_names, table, unit_hash
 
 KINDS = ("email", "ip", "card", "phone")
 CORE, CONTEXT = 96, 32
@@ -330,10 +331,10 @@ def varied(kind: int, text: str, pick: int) -> str:
     return text.replace(" ", "-") if kind == 2 else text
 
 
-def snippets(text: str, per_doc: int) -> list[tuple[str, list[int]]]:
-    """Snippets around base matches and around other digits, with their tags."""
+def snippets(text: str, per_doc: int, first: int | None = None) -> list[tuple[str, list[int]]]:
+    """Snippets around base matches (those of kind ``first`` before others) and around other digits, with their tags."""
     spans = base_spans(text)
-    spots = [(s, e) for s, _, e in spans] + [(m.start(), m.end()) for m in re.finditer(r"[0-9]+", text) if not any(s <= m.start() < e for s, _, e in spans)]
+    spots = [(s, e) for s, _, e in sorted(spans, key=lambda x: x[1] != first)] + [(m.start(), m.end()) for m in re.finditer(r"[0-9]+", text) if not any(s <= m.start() < e for s, _, e in spans)]
     out = []
     for s, e in spots[:per_doc]:
         salt = int.from_bytes(hashlib.sha256(text[max(0, s - 20) : e].encode("utf-8", "surrogatepass")).digest()[:4], "big")
@@ -352,13 +353,33 @@ def snippets(text: str, per_doc: int) -> list[tuple[str, list[int]]]:
     return out
 
 
-def _snippets(per_doc: int):
+def _drawn(sample: int, per_doc: int):
+    """Per kind, and for texts without a match, snippets of the ``sample`` texts of a task that come first by hash."""
+
     def run(batches):
+        held: list[dict[float, list]] = [{} for _ in range(len(KINDS) + 1)]
+        last: list[list[float]] = [[] for _ in held]
         for batch in batches:
-            got = [x for t in batch.column("text").to_pylist() for x in snippets(t, per_doc)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _ in got], pa.string()), pa.array([t for _, t in got], pa.list_(pa.int64()))], names=["piece", "tags"]
-            )
+            for text, place in zip(batch.column("text").to_pylist(), batch.column("place").to_pylist()):
+                if all(len(h) == sample and place >= -h[0] for h in last):
+                    continue
+                for kind in {k for _, k, _ in base_spans(text)} or {len(KINDS)}:
+                    if place in held[kind] or (len(last[kind]) == sample and place >= -last[kind][0]):
+                        continue
+                    held[kind][place] = snippets(text, per_doc, kind)
+                    heapq.heappush(last[kind], -place)
+                    if len(last[kind]) > sample:
+                        del held[kind][-heapq.heappop(last[kind])]
+        rows = [(k, p, x) for k, texts in enumerate(held) for p, x in texts.items()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([k for k, _, _ in rows], pa.int32()),
+                pa.array([p for _, p, _ in rows], pa.float64()),
+                pa.array([[p for p, _ in x] for _, _, x in rows], pa.list_(pa.string())),
+                pa.array([[t for _, t in x] for _, _, x in rows], pa.list_(pa.list_(pa.int64()))),
+            ],
+            names=["kind", "place", "pieces", "tags"],
+        )
 
     return run
 
@@ -408,18 +429,27 @@ def find_personal_data(
 ) -> DataFrame:
     """Per row: doc_id, n_email, n_ip, n_card, n_phone (base matches), base_sha256, spans (all), n_added.
 
-    ``sample`` bounds, in expectation, the documents (``per_doc`` snippets of
-    each) from which the model is trained, chosen by a hash among those with a
-    digit or an at sign.
+    ``sample`` bounds the documents (``per_doc`` snippets of each) from which
+    the model is trained.  They are chosen by a hash, in equal shares, among
+    the documents in which the base rules find each kind and among those with
+    a digit or an at sign and no match, so rare kinds are not missed.
     """
     spark = docs.sparkSession
     d = plain_names(docs, doc_id=doc_id, text=text)
     bound_batches(spark)
-    some = d.where(F.col("text").rlike("[0-9@]"))
-    n = some.count()
-    place = unit_hash(F.col("doc_id"), F.col("text"), F.lit("pii")) * n
-    rows = some.where(place < sample).select("text").mapInArrow(_snippets(per_doc), "piece string, tags array<long>").collect()
-    tagger = train([(r.piece, r.tags) for r in rows], steps)
+    some = d.where(F.col("text").rlike("[0-9@]") & F.lit(sample > 0))
+    place = unit_hash(F.col("doc_id"), F.col("text"), F.lit("pii"))
+    drawn = cut(
+        some.select("text", place.alias("place")).mapInArrow(
+            _drawn(sample, per_doc), "kind int, place double, pieces array<string>, tags array<array<long>>"
+        )
+    )
+    kinds = sorted(r.kind for r in drawn.select("kind").distinct().collect())
+    rows = []
+    for kind in kinds:
+        chosen = drawn.where(F.col("kind") == kind).dropDuplicates(["place"]).orderBy("place").limit(max(1, sample // len(kinds)))
+        rows += [x for r in chosen.collect() for x in zip(r.pieces, r.tags)]
+    tagger = train(rows, steps)
     shared = spark.sparkContext.broadcast(tagger.params if tagger else None)
     kind = d.schema["doc_id"].dataType.simpleString()
     return d.mapInArrow(

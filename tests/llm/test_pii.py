@@ -159,3 +159,13 @@ def test_edges(docs, prose):
     assert by[4].n_ip == 1 and "ip:200000:200007" in by[4].spans
     assert pii.find_personal_data(docs([])).count() == 0
     assert pii.find_personal_data(docs([(1, "no data"), (2, "7")])).where("spans != ''").count() == 0
+
+
+def test_rare_kinds_reach_the_model(docs, prose, monkeypatch):
+    rows = [(i, f"{prose(i, 8)} {i} {prose(('t', i), 8)}") for i in range(2000)]
+    rows += [(3000, f"{prose('m', 8)} a.b@c.de"), (3001, " ".join(f"x{i}@y.zz" for i in range(9)) + " 4111 1111 1111 1111")]
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda rows, steps: seen.extend(rows))
+    pii.find_personal_data(docs(rows).repartition(3), sample=30, steps=5)
+    assert {1, 5} <= {t for _, tags in seen for t in tags} and len(seen) <= 30 * 6
+    assert sum(not any(tags) for _, tags in seen) >= 5
