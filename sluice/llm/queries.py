@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sluice.llm import contamination, embeddings, langid, lm_scoring, mixing, neardup, passages, pii, sharding, toxicity
+from sluice.llm import contamination, embeddings, langid, lm_scoring, mixing, neardup, passages, pii, resampling, sharding, toxicity
 
 QUERIES = {
     "op1_pareto_mix": mixing.op1_pareto_mix,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_histogram_shards": sharding.op9_histogram_shards,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_importance_resampling": resampling.op11_importance_resampling,
 }
 
 ORACLE = {
@@ -25,4 +26,5 @@ ORACLE = {
     "op6_cross_entropy_difference": lm_scoring.ORACLE,
     "op7_embedding_links": embeddings.ORACLE,
     "op9_histogram_shards": sharding.ORACLE,
+    "op11_importance_resampling": resampling.ORACLE,
 }
