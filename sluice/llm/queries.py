@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from sluice.llm import contamination, embeddings, langid, lm_scoring, mixing, neardup, passages, pii, resampling, sharding, toxicity
+from sluice.llm import (
+    collocations, contamination, embeddings, langid, lm_scoring, mixing, neardup, passages, pii, resampling, sharding, token_counts, toxicity,
+)
 
 QUERIES = {
     "op1_pareto_mix": mixing.op1_pareto_mix,
@@ -16,6 +18,8 @@ QUERIES = {
     "op9_histogram_shards": sharding.op9_histogram_shards,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_importance_resampling": resampling.op11_importance_resampling,
+    "op12_phrase_collocations": collocations.op12_phrase_collocations,
+    "op13_token_counts": token_counts.op13_token_counts,
 }
 
 ORACLE = {
@@ -27,4 +31,5 @@ ORACLE = {
     "op7_embedding_links": embeddings.ORACLE,
     "op9_histogram_shards": sharding.ORACLE,
     "op11_importance_resampling": resampling.ORACLE,
+    "op12_phrase_collocations": collocations.ORACLE,
 }
