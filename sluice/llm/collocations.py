@@ -49,8 +49,8 @@ GAP = BREAK.copy()
 GAP[[0x20, 0x09]] = True
 #: Bytes of texts whose words are found at once.
 SLICE_BYTES = 1 << 20
-#: Words counted together within a task.
-CHUNK = 1 << 22
+#: Words verified together, and fingerprints counted together, within a task.
+CHUNK, COUNTED = 1 << 18, 1 << 20
 #: Bits of the filter of frequent fingerprints (16 MB), and bits set per fingerprint.
 FILTER_BITS, PROBES = 1 << 27, 2
 #: Rows of a record batch.
@@ -105,8 +105,8 @@ def _slice(data: np.ndarray, bounds: np.ndarray, back: int) -> tuple[np.ndarray,
     return data + upper.astype(np.uint8) * np.uint8(32), hashes, starts, ends, piece, row, starts >= back
 
 
-def chunks(batches, keep: int) -> Iterator[tuple[Chunk, list[str], np.ndarray]]:
-    """Chunks of about ``CHUNK`` words, with the language and its seed of each of their rows."""
+def chunks(batches, keep: int, limit: int) -> Iterator[tuple[Chunk, list[str], np.ndarray]]:
+    """Chunks of about ``limit`` words, whole slices at least, with the language and its seed of each of their rows."""
     held: list[tuple] = []
     langs: list[str] = []
     seeds: list[int] = []
@@ -133,7 +133,7 @@ def chunks(batches, keep: int) -> Iterator[tuple[Chunk, list[str], np.ndarray]]:
                         at += len(low)
                         pieces = int(held[-1][4][-1]) + 1
                         size += len(hashes)
-                if size >= CHUNK:
+                if size >= limit:
                     langs += lang[lo:hi]
                     seeds += seed[lo:hi]
                     yield done()
@@ -192,7 +192,7 @@ def _batches(names, *arrays):
 
 def _language_words(batches):
     total: dict[str, int] = {}
-    for chunk, langs, _ in chunks(batches, 0):
+    for chunk, langs, _ in chunks(batches, 0, 1):
         per_row = np.bincount(chunk.row[chunk.new], minlength=len(langs))
         for lang, n in zip(langs, per_row.tolist()):
             total[lang] = total.get(lang, 0) + n
@@ -202,15 +202,25 @@ def _language_words(batches):
 def _gram_counts(shared, n: int):
     """Counts of the fingerprints of length n whose parts may be frequent."""
 
+    def counted(held):
+        unique, count = np.unique(np.concatenate(held), return_counts=True)
+        return _batches(["fp", "n"], unique.view(np.int64), count)
+
     def run(batches):
-        for chunk, _, seeds in chunks(batches, n - 1):
+        held, size = [], 0
+        for chunk, _, seeds in chunks(batches, n - 1, 1):
             fps = fingerprints(chunk, seeds, n)
             ok = whole(chunk, n) & chunk.new[n - 1 :]
             if shared is not None and len(fps):
                 part = passes(shared.value, fingerprints(chunk, seeds, n - 1)) & whole(chunk, n - 1)
                 ok &= part[: len(ok)] & part[1 : len(ok) + 1]
-            unique, count = np.unique(fps[ok], return_counts=True)
-            yield from _batches(["fp", "n"], unique.view(np.int64), count)
+            held.append(fps[ok])
+            size += len(held[-1])
+            if size >= COUNTED:
+                yield from counted(held)
+                held, size = [], 0
+        if held:
+            yield from counted(held)
 
     return run
 
@@ -223,9 +233,14 @@ def _exact_words(chunk: Chunk, needed: np.ndarray) -> np.ndarray:
     model = at[first[same]]
     size = chunk.ends[at] - chunk.starts[at]
     differs = size != chunk.ends[model] - chunk.starts[model]
-    for k in range(min(SHORT_WORD, int(size.max()) if len(size) else 0)):
-        on = np.flatnonzero(~differs & (size > k))
-        differs[on] = chunk.data[chunk.starts[at[on]] + k] != chunk.data[chunk.starts[model[on]] + k]
+    mine, models, on = chunk.starts[at], chunk.starts[model], np.flatnonzero(~differs)
+    for k in range(SHORT_WORD):
+        on = on[size[on] > k]
+        if not len(on):
+            break
+        other = chunk.data[mine[on] + k] != chunk.data[models[on] + k]
+        differs[on[other]] = True
+        on = on[~other]
     for i in np.flatnonzero(~differs & (size > SHORT_WORD)):
         differs[i] = _word(chunk, at[i]) != _word(chunk, model[i])
     number[at] = same
@@ -265,11 +280,11 @@ def _phrase_counts(shared, max_words: int):
     """(lang, words, phrase, n): the texts of the n-grams that pass the filter, verified and counted per chunk."""
 
     def run(batches):
-        for chunk, langs, seeds in chunks(batches, max_words - 1):
+        for chunk, langs, seeds in chunks(batches, max_words - 1, CHUNK):
             found = surviving(chunk, seeds, shared.value, max_words)
             codes: dict[str, int] = {}
             language_of = np.array([codes.setdefault(x, len(codes)) for x in langs], np.int64)
-            language = list(codes)
+            language, data = list(codes), chunk.data.tobytes()
             # equal words of two languages are two words
             number = _exact_words(chunk, found[0])
             number += language_of[chunk.row] * (int(number.max()) + 1)
@@ -280,7 +295,8 @@ def _phrase_counts(shared, max_words: int):
                 at, count = pointers(number, fingerprints(chunk, seeds, n)[places], places, n)
                 for lo in range(0, len(at), ROWS):
                     some = at[lo : lo + ROWS]
-                    texts = [b" ".join([_word(chunk, i + k) for k in range(n)]).decode() for i in some.tolist()]
+                    bounds = [zip(chunk.starts[some + k].tolist(), chunk.ends[some + k].tolist()) for k in range(n)]
+                    texts = [b" ".join(w).decode() for w in zip(*[[data[a:b] for a, b in x] for x in bounds])]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([language[x] for x in language_of[chunk.row[some]].tolist()], pa.string()),
