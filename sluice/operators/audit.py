@@ -49,7 +49,7 @@ def upsert_audit_spec(spec: DataFrame, runs: DataFrame, job_name: str, now: _dt.
         F.col("table_name"),
         ts_lit(now).alias("insert_timestamp"),
     )
-    return spec.unionByName(new.select(*spec.columns))
+    return spec.unionByName(new.select(*[c for c in spec.columns if c in new.columns]), allowMissingColumns=True)
 
 
 def retire_header(header: DataFrame, current_runs: DataFrame) -> DataFrame:
@@ -189,12 +189,13 @@ def upsert_extract_log(
     # last of the reference's sequential upserts would.
     newest = updates.groupBy(*keys).agg(
         F.max("delta_completion_date").alias("__u_date"),
-        *([F.max_by("cdc_column", "delta_completion_date").alias("__u_cdc")] if has_cdc else []),
+        *([F.max(F.struct("delta_completion_date", "cdc_column")).alias("__u_both")] if has_cdc else []),
     )
     u = newest.select(
         *[F.col(k).alias(f"__u_{k}") for k in keys],
         F.col("__u_date"),
-        *([F.col("__u_cdc")] if has_cdc else []),
+        # dates that tie: the last column name
+        *([F.col("__u_both.cdc_column").alias("__u_cdc")] if has_cdc else []),
         F.lit(True).alias("__u_hit"),
     )
     l = log.withColumn("__l_hit", F.lit(True))

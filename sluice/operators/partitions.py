@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from sluice.functions.keys import null_safe_match, split_names
 from sluice.plans.strategy import ConfigError
 
+#: Rows of a discovered key.
+KEY_ROWS = "__rows"
+
 # Aggregate functions and comparison operators a TL-AGG config
 # may name (``agg_column_function``, ``agg_operation``).
 AGG_FUNCTIONS = {
@@ -53,13 +56,17 @@ def partition_key_columns(columns: str | list[str] | None, agg_column: str | Non
     return cols
 
 
-def discover_partitions(source: DataFrame, columns: list[str], predicate: Column | None = None) -> DataFrame:
+def discover_partitions(
+    source: DataFrame, columns: list[str], predicate: Column | None = None, counted: bool = False
+) -> DataFrame:
     """A1: distinct partition keys, each cast to string, of the rows that
-    satisfy ``predicate``.  Null keys are kept as null."""
+    satisfy ``predicate``.  Null keys are kept as null.  ``counted`` adds the
+    rows of each key as ``__rows``."""
     if not columns:
         raise ConfigError("partition discovery needs at least one column")
     rows = source if predicate is None else source.where(predicate)
-    return rows.select([F.col(c).cast("string").alias(c) for c in columns]).distinct()
+    keys = rows.select([F.col(c).cast("string").alias(c) for c in columns])
+    return keys.groupBy(*columns).agg(F.count(F.lit(1)).alias(KEY_ROWS)) if counted else keys.distinct()
 
 
 def restrict_to_partitions(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:

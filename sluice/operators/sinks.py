@@ -1,22 +1,22 @@
 """Target writes (K1-K6) and pinned-schema read-back.
 
 Every load is one ``DataFrameWriter`` call.  Truncate-and-load (``TL-*``)
-writes all slices to a new folder beside the target and takes the target's
-place only after the write has succeeded, so a failed load leaves the previous
-target as it was.
+writes its files beside those of the load before; a marker makes them count
+once all are there (``operators.loads``).  No file is renamed, and a load that
+dies at any point leaves one whole load to be read.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.timefmt import stamp_text
+from sluice.operators import loads
 
 # The stamp column's name and the reference's cap of 10000 rows
 # per output file.
@@ -35,6 +35,21 @@ class SinkSpec:
     # the write needs no shuffle and is skew-free, at the price of up to one
     # file per task and partition value.
     files_per_partition: int | None = None
+    # Optional, instead: shuffle so that files hold about as many bytes each.
+    # AQE splits a large target partition value over tasks and joins small
+    # ones, by the sizes it measures (``advisoryPartitionSizeInBytes``).
+    rebalance: bool = False
+    # Run that appends; a rerun under the same id replaces what the run wrote.
+    run_id: str | None = None
+
+
+def arrange_for_write(rows: DataFrame, spec: SinkSpec) -> DataFrame:
+    """The shuffle ahead of the write that the spec asks for, if any."""
+    if spec.rebalance:
+        return rows.hint("rebalance", *[F.col(f"`{c}`") for c in spec.partition_by])
+    if spec.files_per_partition and spec.partition_by:
+        return cluster_for_write(rows, spec.partition_by, spec.files_per_partition)
+    return rows
 
 
 def cluster_for_write(rows: DataFrame, partition_by: list[str], files_per_partition: int) -> DataFrame:
@@ -60,48 +75,29 @@ def stamp_extract_date(rows: DataFrame, when: _dt.datetime) -> DataFrame:
     return rows.withColumn(EXTRACT_DATE, F.lit(stamp_text(when)))
 
 
-def _beside(path: str, what: str) -> str:
-    """A hidden sibling of ``path`` (readers of the parent folder skip it)."""
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/_{name}.{what}-{uuid.uuid4().hex}"
-
-
-def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the finished folder ``fresh`` in the place of ``path``.
+def write_target(rows: DataFrame, spec: SinkSpec) -> None:
+    """K2-K6: one write, in place; ``overwrite`` counts from its commit on (``operators.loads``).
 
-    The previous folder is set aside first and deleted last; if the new one
-    cannot be moved in, the previous one comes back.
+    An append with a ``run_id`` first removes what an earlier try of the same
+    run left, so a rerun adds nothing twice.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    here, new, aside = (hadoop.Path(p) for p in (path, fresh, _beside(path, "previous")))
-    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    had_one = fs.exists(here)
-    if had_one and not fs.rename(here, aside):
-        raise OSError(f"cannot set aside {path}")
-    if not fs.rename(new, here):
-        if had_one:
-            fs.rename(aside, here)
-        raise OSError(f"cannot move the new load to {path}")
-    if had_one:
-        fs.delete(aside, True)
-
-
-def write_target(rows: DataFrame, spec: SinkSpec) -> None:
-    """K2-K6: one write.  ``overwrite`` replaces the whole target path once it is complete."""
-    if spec.mode == "overwrite":
-        fresh = _beside(spec.path, "loading")
-        write_target(rows, replace(spec, path=fresh, mode="errorifexists"))
-        swap_in(rows.sparkSession, fresh, spec.path)
-        return
-    if spec.files_per_partition and spec.partition_by:
-        rows = cluster_for_write(rows, spec.partition_by, spec.files_per_partition)
-    writer = (
-        rows.write.mode(spec.mode)
-        .option("maxRecordsPerFile", spec.max_records_per_file)
-    )
+    spark = rows.sparkSession
+    rows = arrange_for_write(rows, spec)
+    replaces = spec.mode == "overwrite"
+    if replaces:
+        load = loads.new_load()
+    else:
+        load = loads.current_load(spark, spec.path)
+        if spec.run_id:
+            loads.remove_run(spark, spec.path, spec.run_id)
+    writer = loads.named(rows.write.mode("append"), load, None if replaces else spec.run_id)
+    writer = writer.option("maxRecordsPerFile", spec.max_records_per_file)
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
     writer.parquet(spec.path)
+    if replaces:
+        loads.commit_load(spark, spec.path, load)
+        loads.remove_superseded(spark, spec.path)
 
 
 def read_target(
@@ -110,7 +106,7 @@ def read_target(
     schema: T.StructType,
     timestamp_partitions: tuple[str, ...] = (EXTRACT_DATE,),
 ) -> DataFrame:
-    """Read a target back with its schema pinned.
+    """Read a target's current load back with its schema pinned.
 
     Partition columns come back from directory names as written text;
     ``EXTRACT_DATE`` (and any column named in ``timestamp_partitions``) is
@@ -123,7 +119,7 @@ def read_target(
             for f in schema.fields
         ]
     )
-    df = spark.read.schema(as_text).parquet(path)
+    df = spark.read.schema(as_text).option("pathGlobFilter", loads.current_files(spark, path)).parquet(path)
     for name in timestamp_partitions:
         if name in df.columns:
             df = df.withColumn(name, F.col(name).cast("timestamp_ntz"))

@@ -85,8 +85,10 @@ def append_watermark_log(log: DataFrame, new_rows: DataFrame) -> DataFrame:
 def latest_watermarks(log: DataFrame) -> DataFrame:
     """The newest log row per ``audit_id`` (what a next run would start from).
 
-    ``max_by`` is a partial aggregate, so a config with a long history is
-    folded map-side rather than sorted in one task.
+    Of rows with one time stamp the one with the later bounds counts.  The
+    maximum is a partial aggregate, so a config with a long history is folded
+    map-side rather than sorted in one task.
     """
-    latest = F.max_by(F.struct("cdc_timestamp", "to_cdc_timestamp", "cdc_timestamp_fmt"), "insert_timestamp")
-    return log.groupBy("audit_id").agg(latest.alias("w")).select("audit_id", "w.*")
+    bounds = ["cdc_timestamp", "to_cdc_timestamp", "cdc_timestamp_fmt"]
+    latest = F.max(F.struct("insert_timestamp", *bounds))
+    return log.groupBy("audit_id").agg(latest.alias("w")).select("audit_id", *[f"w.{c}" for c in bounds])
