@@ -126,6 +126,7 @@ def sliced_jdbc_source(
     columns: list[str],
     ranges: int = RANGES,
     subset: bool = False,
+    primary_keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """The source table read as parallel JDBC partitions, one per key range.
 
@@ -136,18 +137,26 @@ def sliced_jdbc_source(
     and pushed into every range's query.  With ``subset`` the keys are a
     chosen part of the table's, and only their rows are returned (null-safe).
     Without any key nothing is read.
+
+    Keys that come with their row counts (``discover_slices(...,
+    counted=True)``) are dealt by rows over all key columns, and a hot key is
+    cut further by ``primary_keys`` (``sources.slices``).
     """
     if keys.isEmpty():
         return read_jdbc_table(spark, options, table).where(F.lit(False))
+    from sluice.operators.partitions import KEY_ROWS, restrict_to_partitions
+
+    if KEY_ROWS in keys.columns:
+        from sluice.sources.slices import slice_ranges
+
+        dealt = slice_ranges(keys, columns, source, ranges, list(primary_keys))
+        rows = read_jdbc_slices(spark, options, table, dealt.predicates)
+        return restrict_to_partitions(rows, keys, columns) if subset else rows
     first = columns[0]
     kind = source.schema[first].dataType
     bounds = range_bounds(keys.select(F.col(first).cast(kind).alias(first)), first, ranges)
     rows = read_jdbc_slices(spark, options, table, range_predicates(first, bounds, not isinstance(kind, T.StringType)))
-    if not subset:
-        return rows
-    from sluice.operators.partitions import restrict_to_partitions
-
-    return restrict_to_partitions(rows, keys, columns)
+    return restrict_to_partitions(rows, keys, columns) if subset else rows
 
 
 def key_range_partitioning(source: DataFrame, columns: tuple[str, ...]) -> tuple[str, object, object] | None:
