@@ -1,11 +1,13 @@
 """Command line: run extraction requests against versioned control tables.
 
-    python -m sluice --control ROOT --out NEW_ROOT --source-root DIR \\
+    python -m sluice (--log ROOT | --control ROOT --out NEW_ROOT) --source-root DIR \\
         (--schema S --table T [--id ID] | --event NAME) \\
         --workflow-run-id W --job-run-id J [--job-name N] [--now ISO] [--target-root DIR]
 
-The run request takes the place of the reference's job arguments; control
-tables are read from ``ROOT`` and their new versions written to ``NEW_ROOT``.
+The run request takes the place of the reference's job arguments.  Control
+tables are logs below ``ROOT`` that the run appends to, or are read from
+``ROOT`` and written whole to ``NEW_ROOT``.  The same command run again after a
+crash takes up where the first one died.
 Sources are Parquet at ``{source-root}/{table}.parquet`` or
 ``{source-root}/{schema}/{table}``, or, with ``--jdbc-url``, the table
 ``schema.table`` of a JDBC database (password from the environment variable
@@ -32,8 +34,11 @@ REQUEST_SCHEMA = (
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sluice", description=__doc__.splitlines()[0])
-    p.add_argument("--control", required=True)
-    p.add_argument("--out", required=True)
+    p.add_argument("--control", help="root of the control tables to read")
+    p.add_argument("--out", help="new root for the control tables this run leaves")
+    p.add_argument("--log", help="root of a control log, read and appended to in place: the config table in "
+                                 "<root>/config, the other tables as logs")
+    p.add_argument("--share-scans", action="store_true", help="read a table once for all its configs")
     p.add_argument("--source-root")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-user")
@@ -70,6 +75,8 @@ def jdbc_options_from_args(args) -> dict[str, str] | None:
 
 def main(argv: list[str] | None = None, spark=None) -> dict:
     args = _parser().parse_args(argv)
+    if not args.log and not (args.control and args.out):
+        raise SystemExit("either --log or both --control and --out are required")
     if not args.source_root and not args.jdbc_url:
         raise SystemExit("one of --source-root or --jdbc-url is required")
     from pyspark.errors import AnalysisException
@@ -108,26 +115,35 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         if jdbc is not None:
             from sluice.plans.extract import Source, discover_slices
             from sluice.sources.jdbc import (
-                key_range_partitioning,
+                read_jdbc_slices,
                 read_jdbc_table,
                 read_jdbc_window,
                 sliced_jdbc_source,
                 window_partitioning,
             )
+            from sluice.sources.slices import table_ranges
 
             table = f"{cfg.schema_name}.{cfg.table_name}"
             # The catalog table pushes GROUP BY and MAX into the database:
             # discovery and TL-AGG's aggregate never stream the table.
             catalog_table = spark.table(f"{JDBC_CATALOG}.{table}")
             if not cfg.source_partition_column:
+                if args.jdbc_partitions <= 1:
+                    return Source(read_jdbc_table(spark, jdbc, table), catalog_table)
                 window = window_partitioning(cfg, now)
-                if args.jdbc_partitions > 1 and window is None:
-                    window = key_range_partitioning(catalog_table, cfg.primary_keys)
-                if args.jdbc_partitions <= 1 or window is None:
+                if window is not None:
+                    return Source(read_jdbc_window(spark, jdbc, table, *window, args.jdbc_partitions), catalog_table)
+                keys = [c for c in cfg.primary_keys if c in catalog_table.columns]
+                if not keys:
                     return Source(read_jdbc_table(spark, jdbc, table), catalog_table)
-                return Source(read_jdbc_window(spark, jdbc, table, *window, args.jdbc_partitions), catalog_table)
-            keys = discover_slices(catalog_table, cfg, now)
-            rows = sliced_jdbc_source(spark, jdbc, table, catalog_table, keys, list(cfg.source_partition_column))
+                # a full pull: quantiles of the key, of any type and number of columns
+                predicates = table_ranges(catalog_table, keys, args.jdbc_partitions)
+                return Source(read_jdbc_slices(spark, jdbc, table, predicates), catalog_table)
+            keys = discover_slices(catalog_table, cfg, now, counted=True)
+            rows = sliced_jdbc_source(
+                spark, jdbc, table, catalog_table, keys, list(cfg.source_partition_column),
+                primary_keys=tuple(c for c in cfg.primary_keys if c in catalog_table.columns),
+            )
             return Source(rows, catalog_table)
         flat = f"{args.source_root.rstrip('/')}/{cfg.table_name}.parquet"
         try:
@@ -138,19 +154,26 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         return spark.read.parquet(f"{args.source_root.rstrip('/')}/{cfg.schema_name}/{cfg.table_name}")
 
     target_for = (lambda c: f"{args.target_root.rstrip('/')}/{c.id}") if args.target_root else None
-    outcome = run_requests(
-        spark,
-        read_control_tables(spark, args.control),
-        request,
-        source_for,
-        args.job_name,
-        now,
-        target_for,
-        max_parallel=args.parallel,
-        persist=lambda tables: write_control_tables(tables, f"{args.out.rstrip('/')}/opened"),
-        journal=f"{args.out.rstrip('/')}/outcomes",
-    )
-    write_control_tables(outcome.tables, args.out)
+    options = dict(target_path_for=target_for, max_parallel=args.parallel, share_scans=args.share_scans)
+    if args.log:
+        from sluice.plans.logged import run_logged
+        from sluice.sources.control import CONFIG
+
+        config = spark.read.schema(CONFIG).parquet(f"{args.log.rstrip('/')}/config")
+        outcome = run_logged(spark, args.log, config, request, source_for, args.job_name, now, **options)
+    else:
+        outcome = run_requests(
+            spark,
+            read_control_tables(spark, args.control),
+            request,
+            source_for,
+            args.job_name,
+            now,
+            persist=lambda tables: write_control_tables(tables, f"{args.out.rstrip('/')}/opened"),
+            journal=f"{args.out.rstrip('/')}/outcomes",
+            **options,
+        )
+        write_control_tables(outcome.tables, args.out)
     summaries = []
     for row in outcome.runs.collect():  # one row per request
         d = row.asDict()

@@ -32,8 +32,12 @@ from sluice.plans.fixtures import (
     audit_lines_from_orders,
     derived_configs,
 )
+from sluice.functions.dialect import spark_sql
 from sluice.plans.scratch import scratch_path
+from sluice.plans.shared import run_shared
+from sluice.sources.control_log import ROW, LogTable, append_changes, compact_log, read_log
 from sluice.sources.parquet import read_table
+from sluice.sources.slices import slice_ranges, table_ranges
 
 dt = _dt.datetime
 Query = Callable[[SparkSession, str], DataFrame]
@@ -493,7 +497,9 @@ def watermark_log_append(spark, sf):
         "to_cdc_timestamp",
     )
     new = watermark.watermark_log_rows(watermark.advance_watermark(cfg, NOW), NOW)
-    return watermark.append_watermark_log(log, new)
+    kept = _control_log(spark, "watermark_log", log, ("audit_id",), ("audit_id", "insert_timestamp"))
+    append_changes(spark, kept, None, watermark.append_watermark_log(log.where(F.lit(False)), new))
+    return read_log(spark, kept).drop(ROW)
 
 
 def latest_watermarks(spark, sf):
@@ -501,6 +507,13 @@ def latest_watermarks(spark, sf):
     return watermark.latest_watermarks(watermark_log_append(spark, sf))
 
 
+def _control_log(spark, name: str, rows: DataFrame, key: tuple, identity: tuple) -> LogTable:
+    """``rows`` as the history of a control log of their own."""
+    log = LogTable(scratch_path(spark, name), rows.schema, key, identity, buckets=16)
+    append_changes(spark, log, None, rows)
+    return log
+
+
 # --- audit (C4-C10, R2) -----------------------------------------------------
 
 
@@ -529,8 +542,10 @@ def audit_retire_latest(spark, sf):
     current = header.groupBy("audit_id").agg(F.max("workflow_run_id").alias("workflow_run_id"))
     history = header.join(current, ["audit_id", "workflow_run_id"], "left_anti")
     runs = header.join(current, ["audit_id", "workflow_run_id"], "left_semi")
-    out = audit.append_header(audit.retire_header(history, current), runs, NOW)
-    return out.select(
+    log = _control_log(spark, "audit_header", history, ("audit_id",), ("audit_id", "workflow_run_id"))
+    before = read_log(spark, log, current)
+    append_changes(spark, log, before, audit.append_header(audit.retire_header(before, current), runs, NOW))
+    return read_log(spark, log).select(
         "audit_id",
         F.col("workflow_run_id").alias("run_id"),
         F.col("workflow_header_status").alias("status"),
@@ -543,8 +558,10 @@ def audit_set_counts(spark, sf):
     header = audit_header_from_orders(read_table(spark, sf, "orders"))
     # every fifth run's row is retired and keeps its counts
     header = header.withColumn("latest_record_ind", (F.col("workflow_run_id") % 5 != 0).cast("int"))
-    out = audit.set_header_counts(header, _order_counts(spark, sf), keys=("workflow_run_id",))
-    return out.select(F.col("workflow_run_id").alias("run_id"), "src_record_count", "target_record_count")
+    log = _control_log(spark, "audit_header", header, ("audit_id",), ("workflow_run_id",))
+    before = read_log(spark, log)
+    append_changes(spark, log, before, audit.set_header_counts(before, _order_counts(spark, sf), keys=("workflow_run_id",)))
+    return read_log(spark, log).select(F.col("workflow_run_id").alias("run_id"), "src_record_count", "target_record_count")
 
 
 def audit_line_retire(spark, sf):
@@ -559,8 +576,10 @@ def audit_line_retire(spark, sf):
         F.lit(-1).cast("long").alias("job_run_id"),
         F.lit("RUNNING").alias("job_status"),
     )
-    out = audit.append_lines(audit.retire_lines(lines, runs), runs, NOW)
-    return out.select(
+    log = _control_log(spark, "audit_line", lines, ("audit_id",), ("audit_id", "job_run_id"))
+    before = read_log(spark, log)
+    append_changes(spark, log, before, audit.append_lines(audit.retire_lines(before, runs), runs, NOW))
+    return read_log(spark, log).select(
         "audit_id",
         F.col("job_run_id").alias("run_id"),
         F.col("job_status").alias("status"),
@@ -569,7 +588,8 @@ def audit_line_retire(spark, sf):
 
 
 def extract_log_upsert(spark, sf):
-    """R2: newest loaded date per key merged into the log (INSERT/UPDATE/KEEP)."""
+    """S3 + R2: newest loaded date per key merged into the log (INSERT/UPDATE/KEEP);
+    the log is read by the runs' keys, all other rows stay where they are."""
     customer = read_table(spark, sf, "customer")
     log = customer.where(F.col("c_custkey") % 2 == 0).select(
         F.col("c_custkey").alias("k"),
@@ -582,7 +602,33 @@ def extract_log_upsert(spark, sf):
         .groupBy(F.col("user_id").alias("k"))
         .agg(F.max(F.to_date("ts")).alias("delta_completion_date"))
     )
-    return audit.upsert_extract_log(log, updates, ["k"], NOW).select("k", "delta_completion_date", "action")
+    kept = _control_log(spark, "extract_log", log, ("k",), ("k",))
+    before = read_log(spark, kept, updates)
+    merged = audit.upsert_extract_log(before, updates, ["k"], NOW)
+    append_changes(spark, kept, before, merged.drop("action"))
+    action = F.coalesce("action", F.lit("KEEP")).alias("action")
+    return read_log(spark, kept).join(merged.select("k", "action"), "k", "left").select("k", "delta_completion_date", action)
+
+
+def log_compaction(spark, sf):
+    """C6 + C7: header rows logged year by year as runs open and close, the full
+    buckets rewritten, then one more run; read back, newest state per run."""
+    orders = read_table(spark, sf, "orders")
+    header = audit_header_from_orders(orders)
+    year = F.year("insert_timestamp")
+    log = LogTable(scratch_path(spark, "log_compaction"), header.schema, ("audit_id",), ("workflow_run_id",), 8)
+    for y in range(1995, 2002):
+        started = header.where(year == y).withColumn("workflow_header_status", F.lit("RUNNING"))
+        append_changes(spark, log, None, started)
+        compact_log(spark, log, at_least=3)
+    closed = header.where("workflow_header_status <> 'RUNNING' and workflow_run_id % 2 = 0")
+    before = read_log(spark, log, closed.select("audit_id"))
+    status = closed.select("workflow_run_id", F.col("workflow_header_status").alias("__now"))
+    after = before.join(status, "workflow_run_id", "left").withColumn(
+        "workflow_header_status", F.coalesce("__now", "workflow_header_status")
+    )
+    append_changes(spark, log, before, after)
+    return read_log(spark, log).select("audit_id", F.col("workflow_run_id").alias("run_id"), F.col("workflow_header_status").alias("status"))
 
 
 # --- restart (R3-R5) --------------------------------------------------------
@@ -622,25 +668,29 @@ def restart_record(spark, sf):
     earlier = events.where(F.col("event_type") == "error").select(F.col("user_id").alias("audit_id")).distinct()
     existing = restart.record_restart(empty, earlier, "job", dt(2024, 1, 1))
     failed = cfg.where(F.col("c_nationkey") == 3).select(F.col("id").alias("audit_id"))
-    out = restart.record_restart(existing, failed, "job", NOW)
-    return out.select("audit_id", "step_id", "step_name", "description")
+    log = _control_log(spark, "restart", existing, ("audit_id",), ("audit_id", "insert_timestamp"))
+    append_changes(spark, log, None, restart.record_restart(empty, failed, "job", NOW))
+    return read_log(spark, log).select("audit_id", "step_id", "step_name", "description")
 
 
 # --- whole chains (L1-L6, L9) --------------------------------------------------
 
 
-def _chain(spark, sf, table: str, source: DataFrame, columns: str, **config) -> DataFrame:
+def _chain(spark, sf, table: str, source: DataFrame, columns: str, tries: int = 1, **config) -> DataFrame:
     """One run of a strategy end to end, and what it left behind.
 
     Extract and write with counts observed, reconcile (R1), advance the
     watermark (W1-W5) from what the run itself observed, log it (W6), merge the
-    extraction log (R2), and read the target back.
+    extraction log (R2), and read the target back.  With several ``tries`` the
+    run dies after each write but the last and starts again under its run id.
     """
     path = scratch_path(spark, f"chain_{config['load_strategy'].lower()}")
     cfg = ExtractionConfig.from_mapping(
         dict(config, id=table, select_columns=columns, cdc_ts_format=FMT, target_path=path, table_name=table)
     )
-    result = run_extraction(source, cfg, NOW)
+    again = {"run_id": f"{table}/wf-1"} if tries > 1 else {}
+    for _ in range(tries):
+        result = run_extraction(source, cfg, NOW, **again)
     run = watermark.advance_watermark(result_row(spark, result, NOW), NOW)
     log = watermark.append_watermark_log(
         spark.createDataFrame([], "audit_id string, insert_timestamp timestamp_ntz, cdc_timestamp timestamp_ntz, "
@@ -715,6 +765,119 @@ def chain_tl_agg(spark, sf):
                   agg_column_function="max", agg_operation="=")
 
 
+def chain_restarted(spark, sf):
+    """L4 with R3 and R4: a run that wrote its rows and died before they were
+    noted runs again under its run id; nothing is there twice."""
+    columns, source = "event_id, ts, event_type", read_table(spark, sf, "events")
+    config = dict(load_strategy="IO-SNAP-DLY", cdc_column="ts", cdc_timestamp=dt(2024, 1, 4),
+                  to_cdc_timestamp=dt(2024, 1, 9, 23, 59, 59), target_partition_column="event_type")
+    return _chain(spark, sf, "events", source, columns, tries=2, **config)
+
+
+def shared_scan(spark, sf):
+    """L1-L6 on one table: four configs of ``events`` over one scan, a target each."""
+    base = scratch_path(spark, "shared_targets")
+    own = {
+        "full": dict(load_strategy="IO", select_columns="event_id, value"),
+        "late": dict(load_strategy="IO-CDC", select_columns="event_id, ts", cdc_column="ts", cdc_timestamp=dt(2024, 1, 20)),
+        "day": dict(load_strategy="IO-SNAP-DLY", select_columns="event_id, event_type", cdc_column="ts",
+                    cdc_timestamp=dt(2024, 1, 10), to_cdc_timestamp=dt(2024, 1, 10, 23, 59, 59), target_partition_column="event_type"),
+        "errors": dict(load_strategy="TL-SRC-TGT", select_columns="event_id", query_parameter="event_type = 'error'"),
+    }
+    configs = [ExtractionConfig.from_mapping(dict(c, id=k, cdc_ts_format=FMT, target_path=f"{base}/{k}")) for k, c in own.items()]
+    results = run_shared(read_table(spark, sf, "events"), configs, NOW)
+    out = None
+    for cfg, res in zip(configs, results):
+        back = spark.read.parquet(cfg.target_path).agg(
+            F.lit(cfg.id).alias("id"), F.lit(res.src_record_count).cast("long").alias("src_record_count"),
+            F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").cast("long").alias("key_sum"),
+        )
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+def _met(rows: DataFrame, predicates: list[str], key: list[str]) -> DataFrame:
+    """Per key its rows, and how many predicates they meet in all; and whether no
+    predicate holds more than two shares of the rows."""
+    hits = F.filter(
+        F.array(*[F.when(F.expr(spark_sql(p)), F.lit(i)) for i, p in enumerate(predicates)]), lambda x: x.isNotNull()
+    )
+    tagged = rows.select(*key, hits.alias("hits"))
+    per_range = tagged.select(F.explode("hits").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    return tagged.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("hits")).cast("long").alias("n_met"), F.max(F.size("hits")).alias("most")
+    ).withColumn("largest", per_range.agg(F.max("n")).scalar())
+
+
+def hot_slices(spark, sf):
+    """Slices dealt by rows over two key columns; a third of the rows have one
+    key, which is cut by primary key, and some keys are null."""
+    lines = read_table(spark, sf, "lineitem")
+    hot = F.col("l_partkey") % 3 == 0
+    rows = lines.select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_suppkey",
+        F.when(hot, "HOT").when(F.col("l_quantity") > 48, None).otherwise(F.col("l_returnflag")).alias("flag"),
+        F.when(hot, 0).otherwise(F.col("l_suppkey")).alias("supplier"),
+    )
+    key = ["flag", "supplier"]
+    parts = 24
+    counted = partitions.discover_partitions(rows, key, counted=True)
+    dealt = slice_ranges(counted, key, rows, parts, ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"])
+    met = _met(rows, dealt.predicates, key)
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    return met.select(*key, "n_rows", "n_met", (F.col("largest") <= 2 * F.ceil(total / parts)).alias("within_two_shares"))
+
+
+def full_pull_ranges(spark, sf):
+    """A full pull in ranges of a skewed text key and a number, met once each."""
+    rows = read_table(spark, sf, "orders").select(
+        F.when(F.col("o_custkey") % 3 == 0, "same").otherwise(F.md5(F.col("o_custkey").cast("string"))).alias("name"),
+        F.nullif(F.col("o_orderkey"), F.lit(3)).alias("o_orderkey"),
+        "o_orderstatus",
+    )
+    predicates = table_ranges(rows, ["name", "o_orderkey"], 16)
+    met = _met(rows, predicates, ["o_orderstatus"])
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    return met.select("o_orderstatus", "n_rows", "n_met", (F.col("largest") <= 2 * F.ceil(total / 16)).alias("within_two_shares"))
+
+
+def delta_empty_column(spark, sf):
+    """A windowed strategy without a watermark column pulls everything."""
+    cfg = ExtractionConfig.from_mapping(
+        dict(load_strategy="IO-CDC", select_columns="o_orderkey, o_orderstatus", cdc_column="",
+             cdc_timestamp=dt(1998, 1, 1), cdc_ts_format=FMT, query_parameter="o_orderstatus = 'F'")
+    )
+    return plan_extraction(read_table(spark, sf, "orders"), cfg, NOW).selected
+
+
+def delta_missing_format(spark, sf):
+    """A watermark column without a format gives no delta term."""
+    cfg = ExtractionConfig.from_mapping(
+        dict(load_strategy="IO-CUSTOM-CDC", select_columns="event_id, event_type", cdc_column="ts",
+             cdc_timestamp=dt(2024, 1, 15), query_parameter="event_type <> 'view'")
+    )
+    return plan_extraction(read_table(spark, sf, "events"), cfg, NOW).selected
+
+
+def sink_rebalanced_files(spark, sf):
+    """K4 + K6: files sized by bytes ahead of the write, with a value that holds
+    a third of the rows; rows per value, and counts observed in the writing stage."""
+    path = scratch_path(spark, "rebalanced")
+    events = read_table(spark, sf, "events")
+    kind = F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("event_type"))
+    cfg = ExtractionConfig.from_mapping(
+        dict(load_strategy="IO-SNAP-DLY", select_columns="event_id, ts, kind", target_partition_column="kind", target_path=path,
+             cdc_column="ts", cdc_timestamp=dt(2024, 1, 1), to_cdc_timestamp=dt(2024, 2, 28), cdc_ts_format=FMT,
+             max_records_per_file="1000", rebalance_files="Y")
+    )
+    result = run_extraction(events.withColumn("kind", kind), cfg, NOW)
+    per_file = spark.read.parquet(path).groupBy("kind", F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("kind").agg(
+        F.sum("n").cast("long").alias("n_rows"), (F.max("n") <= 1000).alias("capped"),
+        F.lit(result.target_record_count).cast("long").alias("target_record_count"),
+    )
+
+
 def sink_file_sizes(spark, sf):
     """K6: rows per target file, as the config row caps them."""
     path = scratch_path(spark, "file_sizes")
@@ -780,4 +943,12 @@ QUERIES: dict[str, Query] = {
     "chain_io_snap_max_cdc": chain_io_snap_max_cdc,
     "chain_io_custom_cdc": chain_io_custom_cdc,
     "chain_tl_agg": chain_tl_agg,
+    "sink_rebalanced_files": sink_rebalanced_files,
+    "delta_missing_format": delta_missing_format,
+    "delta_empty_column": delta_empty_column,
+    "full_pull_ranges": full_pull_ranges,
+    "hot_slices": hot_slices,
+    "shared_scan": shared_scan,
+    "chain_restarted": chain_restarted,
+    "log_compaction": log_compaction,
 }

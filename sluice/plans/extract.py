@@ -50,7 +50,7 @@ from sluice.operators.sinks import (
     EXTRACT_DATE,
     MAX_RECORDS_PER_FILE,
     SinkSpec,
-    cluster_for_write,
+    arrange_for_write,
     stamp_extract_date,
     write_target,
 )
@@ -82,6 +82,7 @@ class ExtractionConfig:
     dedup_order: tuple[str, ...] = ()
     max_records_per_file: int = MAX_RECORDS_PER_FILE
     files_per_partition: int | None = None
+    rebalance_files: bool = False
     half_open_windows: bool = False
 
     @classmethod
@@ -100,11 +101,9 @@ class ExtractionConfig:
         overlap = raw.get("overlap_in_min")
         if ts is not None and overlap is not None and str(overlap).strip():
             try:
-                minutes = int(str(overlap).strip())
+                ts = ts - _dt.timedelta(minutes=int(str(overlap).strip()))
             except ValueError:
-                minutes = None
-            if minutes is not None:
-                ts = ts - _dt.timedelta(minutes=minutes)
+                raise ConfigError(f"overlap_in_min must be a whole number, not {overlap!r}") from None
         max_records = _whole_number(raw, "max_records_per_file")
         path = raw.get("target_path") or target_path_text(raw.get("curate_bucket"), raw.get("curate_prefix"))
         return cls(
@@ -128,7 +127,8 @@ class ExtractionConfig:
             dedup_order=_names(raw.get("dedup_order")),
             max_records_per_file=MAX_RECORDS_PER_FILE if max_records is None else max_records,
             files_per_partition=_whole_number(raw, "files_per_partition"),
-            half_open_windows=str(raw.get("half_open_windows") or "N").strip().upper() in ("Y", "TRUE"),
+            rebalance_files=_yes(raw, "rebalance_files"),
+            half_open_windows=_yes(raw, "half_open_windows"),
         )
 
     def with_path(self, path: str) -> "ExtractionConfig":
@@ -139,6 +139,10 @@ def _names(value) -> tuple[str, ...]:
     return tuple(plain_name(n) for n in split_names(value))
 
 
+def _yes(raw: Mapping[str, Any], name: str) -> bool:
+    return str(raw.get(name) or "N").strip().upper() in ("Y", "TRUE")
+
+
 def _whole_number(raw: Mapping[str, Any], name: str) -> int | None:
     """A positive whole number of a config row, or ``None`` where it is not set."""
     value = raw.get(name)
@@ -214,6 +218,7 @@ class ExtractionResult:
     upper_bound: _dt.datetime | None
     max_partition_date: _dt.date | None = None
     wrote: bool = True
+    resumed: bool = False  # taken from the journal of an earlier try, not run again
     extra: dict = field(default_factory=dict)
 
     @property
@@ -273,6 +278,7 @@ def plan_extraction(
     slices: DataFrame | None = None,
     agg_source: DataFrame | None = None,
     materialize_aggregate: bool = False,
+    prefiltered: bool = False,
 ) -> ExtractionPlan:
     """Compose the lazy plan.  With ``observe_partition_date`` an
     ``IO-SNAP-MAX-CDC`` partitioned run also observes its newest partition
@@ -285,7 +291,7 @@ def plan_extraction(
     """
     validate(cfg)
     validate_source(source, cfg)
-    pred = row_predicate(source, cfg, now, agg_source, materialize_aggregate)
+    pred = None if prefiltered else row_predicate(source, cfg, now, agg_source, materialize_aggregate)
     filtered = source if pred is None else source.where(pred)
     if slices is not None:
         if not cfg.source_partition_column:
@@ -326,6 +332,7 @@ def plan_extraction(
             partition_by=partition_by,
             max_records_per_file=cfg.max_records_per_file,
             files_per_partition=cfg.files_per_partition,
+            rebalance=cfg.rebalance_files,
         )
     return ExtractionPlan(cfg, pred, filtered, selected, output, sink, stamp, date_col, date_obs)
 
@@ -337,11 +344,17 @@ def run_extraction(
     read_ts: _dt.datetime | None = None,
     slices: DataFrame | None = None,
     agg_source: DataFrame | None = None,
+    run_id: str | None = None,
+    prefiltered: bool = False,
 ) -> ExtractionResult:
     """Plan, write once, and report counts observed in the same pass.
 
     ``read_ts`` (W3's next lower bound) is fixed before the read is defined,
     so rows committed during the read are picked up by the next run.
+
+    With a ``run_id`` the run can be repeated: what an earlier try under the
+    same id appended is removed first.  ``prefiltered`` says that ``source``
+    holds just the rows the config selects (``plans.shared``).
     """
     read_ts = read_ts or now
     strategy = cfg.load_strategy
@@ -357,6 +370,7 @@ def run_extraction(
         slices=slices,
         agg_source=agg_source,
         materialize_aggregate=two_actions and strategy is LoadStrategy.TL_AGG,
+        prefiltered=prefiltered,
     )
     if plan.sink is None:
         raise ConfigError("config has no target path")
@@ -367,11 +381,10 @@ def run_extraction(
         # slices writes nothing, so the previous target stays.
         return ExtractionResult(cfg, 0, 0, False, read_ts, upper, None, wrote=False)
 
-    output, sink = plan.output, plan.sink
-    if sink.files_per_partition and sink.partition_by:
-        # Cluster before observing so the counts stay in the writing stage.
-        output = cluster_for_write(output, sink.partition_by, sink.files_per_partition)
-        sink = replace(sink, files_per_partition=None)
+    output, sink = plan.output, replace(plan.sink, run_id=run_id)
+    # Arranged before observing so the counts stay in the writing stage.
+    output = arrange_for_write(output, sink)
+    sink = replace(sink, files_per_partition=None, rebalance=False)
     output, obs = observe_counts(output, f"counts_{uuid.uuid4().hex}")
     write_target(output, sink)
     metrics = obs.get
@@ -411,9 +424,9 @@ def result_row(spark: SparkSession, result: ExtractionResult, now: _dt.datetime)
 
 
 def discover_slices(
-    source: DataFrame, cfg: ExtractionConfig, now: _dt.datetime, agg_source: DataFrame | None = None
+    source: DataFrame, cfg: ExtractionConfig, now: _dt.datetime, agg_source: DataFrame | None = None, counted: bool = False
 ) -> DataFrame:
-    """A1/A4: the distinct partition keys (as strings) the extraction covers.
+    """A1/A4: the distinct partition keys (as strings) the extraction covers, with their rows if ``counted``.
 
     Same predicate as the extraction (``TL-SRC-TGT`` has no delta term;
     ``TL-AGG`` adds its aggregate filter and its column to the keys).
@@ -422,4 +435,4 @@ def discover_slices(
 
     agg = cfg.agg_column if cfg.load_strategy is LoadStrategy.TL_AGG else None
     cols = partition_key_columns(list(cfg.source_partition_column), agg)
-    return discover_partitions(source, cols, row_predicate(source, cfg, now, agg_source))
+    return discover_partitions(source, cols, row_predicate(source, cfg, now, agg_source), counted)

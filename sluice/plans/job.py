@@ -21,13 +21,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, fields
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.predicates import upper_bound_used
 from sluice.functions.timefmt import ts_lit
 from sluice.operators import audit, config as cfgops, counts, restart, watermark
 from sluice.plans.extract import ExtractionConfig, ExtractionResult, Source, run_extraction
 from sluice.plans.scratch import scratch_dir
+from sluice.plans.shared import shareable, shared_scan
 from sluice.operators.audit import RUNNING
 from sluice.sources import control
 
@@ -93,6 +96,8 @@ def run_requests(
     max_parallel: int | None = None,
     persist: Callable[[ControlTables], None] | None = None,
     journal: str | None = None,
+    resume: bool = False,
+    share_scans: bool = False,
 ) -> JobOutcome:
     """Run every request that matches exactly one active config.
 
@@ -105,7 +110,13 @@ def run_requests(
     ``persist`` receives the control tables with the audit rows opened and the
     restart rows cleared, before anything is extracted; each extraction's
     outcome is then appended under ``journal``.  A run that dies midway so
-    leaves RUNNING rows and the outcomes it had.
+    leaves RUNNING rows and the outcomes it had.  The same requests run again
+    (same config and ``workflow_run_id``) take these outcomes from the journal
+    instead of extracting once more, and an extraction that had written but
+    not been noted replaces what it wrote.  With ``resume`` the audit rows the
+    earlier try opened are used again rather than opened twice.
+
+    ``share_scans`` reads a table once for all its configs (``plans.shared``).
 
     ``requests`` columns: ``request_id, manual_flag, schema_name, table_name,
     config_id, cloudwatch_event_name, workflow_run_id, job_run_id``.
@@ -139,9 +150,15 @@ def run_requests(
     # Header.
     current = runs.select(F.col("id").alias("audit_id"), "workflow_run_id")
     header = audit.retire_header(tables.audit_header, current)
+    opened = current
+    if resume:
+        still_open = tables.audit_header.where(
+            (F.col("latest_record_ind") == 1) & (F.col("workflow_header_status") == RUNNING)
+        )
+        opened = current.join(still_open.select("audit_id", "workflow_run_id").distinct(), ["audit_id", "workflow_run_id"], "left_anti")
     header = audit.append_header(
         header,
-        current.withColumn("workflow_header_status", F.lit(RUNNING)).withColumn(
+        opened.withColumn("workflow_header_status", F.lit(RUNNING)).withColumn(
             "workflow_start_ts", ts_lit(now)
         ),
         now,
@@ -155,7 +172,12 @@ def run_requests(
         "job_run_id",
         F.lit(RUNNING).alias("job_status"),
     )
-    lines = audit.append_lines(audit.retire_lines(tables.audit_line, line_runs), line_runs, now)
+    new_lines = line_runs
+    if resume:
+        still_open = tables.audit_line.where((F.col("latest_record_ind") == 1) & (F.col("job_status") == RUNNING))
+        same_run = ["audit_id", "audit_line_job_id", "job_run_id"]
+        new_lines = line_runs.join(still_open.select(*same_run).distinct(), same_run, "left_anti")
+    lines = audit.append_lines(audit.retire_lines(tables.audit_line, line_runs), new_lines, now)
 
     # Restart gate; R4: clear the rows of the configs that will extract.
     gated = restart.restart_gate(
@@ -177,17 +199,27 @@ def run_requests(
     # One extraction per config.
     results: dict = {}
     errors: dict = {}
+    run_ids = _run_ids(plan_rows)
+    done = _noted(spark, journal, run_ids, to_extract, now) if journal is not None else {}
+    results.update(done)
+    to_run = [r for r in to_extract if r["id"] not in done]
+
+    def config_of(r) -> ExtractionConfig:
+        cfg = ExtractionConfig.from_mapping(r.asDict())
+        return cfg.with_path(target_path_for(cfg)) if target_path_for is not None else cfg
+
+    staged = _shared_sources(to_run, config_of, source_for, now) if share_scans else {}
 
     def extract_one(r):
         try:
-            cfg = ExtractionConfig.from_mapping(r.asDict())
-            if target_path_for is not None:
-                cfg = cfg.with_path(target_path_for(cfg))
-            src = source_for(cfg)
-            if isinstance(src, Source):
-                res = run_extraction(src.rows, cfg, now, agg_source=src.aggregates)
-            else:
-                res = run_extraction(src, cfg, now)
+            cfg = config_of(r)
+            src = staged.get(r["id"])
+            prefiltered = src is not None
+            src = source_for(cfg) if src is None else src
+            pair = src if isinstance(src, Source) else Source(src)
+            res = run_extraction(
+                pair.rows, cfg, now, agg_source=pair.aggregates, run_id=run_ids.get(r["id"]), prefiltered=prefiltered
+            )
             return r["id"], res, None
         except Exception as exc:  # every failure leaves a restart row (fixes #17)
             return r["id"], None, f"{type(exc).__name__}: {exc}"
@@ -196,11 +228,12 @@ def run_requests(
         cid, res, err = extract_one(r)
         if journal is not None:
             # a folder each: writers of one folder would share its temporary files
-            _outcome_row(spark, cid, res, err).write.parquet(f"{journal.rstrip('/')}/outcome={uuid.uuid4().hex}")
+            row = _outcome_row(spark, cid, run_ids.get(cid), res, err)
+            row.write.parquet(f"{journal.rstrip('/')}/outcome={uuid.uuid4().hex}")
         return cid, res, err
 
     with ThreadPoolExecutor(max_workers=max_parallel or spark.sparkContext.defaultParallelism) as pool:
-        outcomes = list(pool.map(extract_and_note, to_extract))
+        outcomes = list(pool.map(extract_and_note, to_run))
     for cid, res, err in outcomes:
         if err is None:
             results[cid] = res
@@ -273,15 +306,74 @@ def run_requests(
     return JobOutcome(new_tables, runs_out, results, errors)
 
 
-def _outcome_row(spark: SparkSession, config_id, result: ExtractionResult | None, error: str | None) -> DataFrame:
+OUTCOME = (
+    "id string, run_id string, src_record_count long, target_record_count long, is_extracted boolean, "
+    "read_ts timestamp_ntz, max_value date, wrote boolean, error string"
+)
+
+
+def _run_ids(plan_rows) -> dict:
+    """What tells one run of a config from the next: its id with the first of its workflow runs."""
+    first: dict = {}
+    for r in plan_rows:
+        if r["workflow_run_id"] is not None:
+            wf = str(r["workflow_run_id"])
+            first[r["id"]] = min(wf, first.get(r["id"], wf))
+    return {cid: f"{cid}/{wf}" for cid, wf in first.items()}
+
+
+def _outcome_row(spark: SparkSession, config_id, run_id: str | None, result: ExtractionResult | None, error: str | None) -> DataFrame:
     """One extraction's outcome as the journal keeps it."""
-    schema = (
-        "id string, src_record_count long, target_record_count long, is_extracted boolean, read_ts timestamp_ntz, "
-        "max_value date, error string"
-    )
     r = result
-    row = (r.src_record_count, r.target_record_count, r.is_extracted, r.read_ts, r.max_partition_date) if r else (None,) * 5
-    return spark.createDataFrame([(str(config_id), *row, error)], schema).coalesce(1)
+    row = (r.src_record_count, r.target_record_count, r.is_extracted, r.read_ts, r.max_partition_date, r.wrote) if r else (None,) * 6
+    return spark.createDataFrame([(str(config_id), run_id, *row, error)], OUTCOME).coalesce(1)
+
+
+def _noted(spark: SparkSession, journal: str, run_ids: dict, rows, now: _dt.datetime) -> dict:
+    """Results of these runs that an earlier try noted in the journal, by config id."""
+    wanted = {run_ids[r["id"]]: r for r in rows if r["id"] in run_ids}
+    if not wanted:
+        return {}
+    try:
+        noted = spark.read.schema(OUTCOME).parquet(journal)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    keys = spark.createDataFrame([(k,) for k in wanted], "run_id string")
+    found = noted.where("error is null").join(keys, "run_id", "left_semi").dropDuplicates(["run_id"]).collect()
+    out = {}
+    for n in found:  # at most one row per run asked for
+        row = wanted[n["run_id"]]
+        cfg = ExtractionConfig.from_mapping(row.asDict())
+        upper = upper_bound_used(cfg.load_strategy, cfg.to_cdc_timestamp, now)
+        out[row["id"]] = ExtractionResult(
+            cfg, n["src_record_count"], n["target_record_count"], n["is_extracted"], n["read_ts"], upper, n["max_value"], n["wrote"], resumed=True
+        )
+    return out
+
+
+def _shared_sources(rows, config_of, source_for, now: _dt.datetime) -> dict:
+    """Staged rows by config id, for tables that several of the configs read."""
+    groups: dict = {}
+    for r in rows:
+        try:
+            cfg = config_of(r)
+        except ValueError:
+            continue  # reported by the config's own run
+        if shareable(cfg):
+            groups.setdefault((cfg.schema_name, cfg.table_name), []).append((r["id"], cfg))
+    staged = {}
+    for own in groups.values():
+        if len(own) < 2:
+            continue
+        try:
+            src = source_for(own[0][1])
+            src = src.rows if isinstance(src, Source) else src
+            staged.update(zip([cid for cid, _ in own], shared_scan(src, [c for _, c in own], now)))
+        except Exception:
+            continue  # one config's fault must not stop the others: each runs, and reports, on its own
+    return staged
 
 
 def _results_frame(spark: SparkSession, plan_rows, results: dict, errors: dict) -> DataFrame:

@@ -258,6 +258,33 @@ select request_id, n_configs, case when n_configs = 0 then 'MISSING' when n_conf
         "lineitem", "TL-AGG", "l_orderkey",
         "l_returnflag = 'N' and l_shipdate = (select max(l_shipdate) from lineitem where l_returnflag = 'N')",
     ),
+    "chain_restarted": _chain_sql(
+        "events", "IO-SNAP-DLY", "event_id", "ts between timestamp '2024-01-04' and timestamp '2024-01-09 23:59:59'",
+        lower="timestamp '2024-01-10'", upper="timestamp '2024-01-10 23:59:59'",
+    ),
+    "log_compaction": _HDR
+    + """ select audit_id, run_id, case when run_id % 2 = 0 then status else 'RUNNING' end as status from hdr""",
+    "shared_scan": (
+        "select id, count(*) as src_record_count, count(*) as n_rows, sum(event_id)::bigint as key_sum from ("
+        "select 'full' as id, event_id from events union all "
+        "select 'late', event_id from events where ts >= timestamp '2024-01-20' union all "
+        "select 'day', event_id from events where ts between timestamp '2024-01-10' and timestamp '2024-01-10 23:59:59' union all "
+        "select 'errors', event_id from events where event_type = 'error') group by id"
+    ),
+    "hot_slices": (
+        "select case when l_partkey % 3 = 0 then 'HOT' when l_quantity > 48 then null else l_returnflag end as flag, "
+        "case when l_partkey % 3 = 0 then 0 else l_suppkey end as supplier, count(*) as n_rows, count(*) as n_met, "
+        "true as within_two_shares from lineitem group by 1, 2"
+    ),
+    "full_pull_ranges": (
+        "select o_orderstatus, count(*) as n_rows, count(*) as n_met, true as within_two_shares from orders group by 1"
+    ),
+    "delta_empty_column": "select o_orderkey, o_orderstatus from orders where o_orderstatus = 'F'",
+    "delta_missing_format": "select event_id, event_type from events where event_type <> 'view'",
+    "sink_rebalanced_files": (
+        "select case when event_id % 3 = 0 then 'hot' else event_type end as kind, count(*) as n_rows, true as capped, "
+        "(select count(*) from events) as target_record_count from events group by 1"
+    ),
     "restart_record": _CFG
     + "select id as audit_id, '1' as step_id, 'Extract' as step_name, 'Failed at extraction' as description "
     "from cfg where c_nationkey = 3 union all select user_id, '1', 'Extract', 'Failed at extraction' "

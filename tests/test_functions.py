@@ -82,6 +82,8 @@ def test_config_bounds_from_text_and_null_text():
                                              to_cdc_timestamp="NULL", overlap_in_min="30"))
     assert cfg.cdc_timestamp == dt.datetime(2024, 1, 10, 5, 30)
     assert cfg.to_cdc_timestamp is None
+    with pytest.raises(ConfigError):
+        ExtractionConfig.from_mapping(dict(load_strategy="IO-CDC", cdc_timestamp="2024-01-10", overlap_in_min="1.5"))
 
 
 @pytest.mark.parametrize("text, expected", [

@@ -19,7 +19,7 @@ def con():
 
 def test_every_query_has_oracle():
     assert set(NAMES) <= set(entry_mod.queries()) and set(NAMES) <= set(entry_mod.oracle_sql())
-    assert len(NAMES) == 50
+    assert len(NAMES) == 58
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -139,7 +139,7 @@ def test_chain_rows_see_a_lost_row(spark, con, monkeypatch, name):
     from sluice.plans import catalog
 
     real = catalog.run_extraction
-    monkeypatch.setattr(catalog, "run_extraction", lambda source, cfg, now: real(source.where("hash(*) % 2 = 0"), cfg, now))
+    monkeypatch.setattr(catalog, "run_extraction", lambda source, cfg, now, **k: real(source.where("hash(*) % 2 = 0"), cfg, now, **k))
     assert compare(QUERIES[name](spark, SF), con, entry_mod.oracle_sql()[name])[0]
 
 
