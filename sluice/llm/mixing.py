@@ -15,10 +15,11 @@ sorting a source: words are summed per rank bucket (map-side combined), only
 the bucket in which the remainder ends is ordered.
 
 Defined results: a null text has size 0; null sources are a source of their
-own, after all others; documents of size 0 take 0 words; rows that share id and
-size tie and share their fate, so repeats of a row are taken alike; an empty
-table gives an empty result; the added columns replace input columns of the
-same name.
+own, after all others; documents of size 0 take 0 words; the random number comes
+from id, size and text, so rows equal in these tie and share their fate; texts
+of any length are counted whole; an empty table gives an empty result.
+``with_copies`` adds columns that replace input columns of the same name;
+``taken_rows`` keeps every input column as it is.
 """
 
 from __future__ import annotations
@@ -41,9 +42,10 @@ def length_level(size: Column) -> Column:
     return F.when(size > 0, F.length(F.bin(size))).otherwise(0).cast("long")
 
 
-def random_number(doc_id: Column, size: Column, seed: str) -> Column:
-    """Uniform in (0, 1), from id and size alone, so reruns agree."""
-    name = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), size.cast("string"))
+def random_number(doc_id: Column, size: Column, text: Column, seed: str) -> Column:
+    """Uniform in (0, 1), from id, size and text alone, so reruns agree."""
+    digest = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), size.cast("string"), F.lit(":"), digest)
     digits = F.substring(F.md5(name.cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
@@ -78,9 +80,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], max_times: int)
     )
 
 
-def _draw(size: Column, doc_id: Column, seed: str, k: Column) -> Column:
+def _draw(size: Column, u: Column, k: Column) -> Column:
     """Place in the ranking: random odds over inclusion odds; null for a document that cannot be drawn."""
-    u = random_number(doc_id, size, seed)
     chance = F.least(F.lit(1.0), k * length_level(size))
     return F.when(chance >= 1, 0.0).when(chance > 0, (u / (1 - u)) / (chance / (1 - chance)))
 
@@ -89,10 +90,10 @@ def _bucket(q: Column) -> Column:
     return F.floor(q / (1 + q) * RANK_BUCKETS)
 
 
-def mix_plan(docs: DataFrame, weights: tuple[float, ...], max_times: int, seed: str) -> DataFrame:
+def mix_plan(docs: DataFrame, weights: tuple[float, ...], max_times: int) -> DataFrame:
     """One row per source: its sizes, and where its ranking ends.
 
-    ``docs`` has (doc_id, source, size).  Columns: source, source_size, target,
+    ``docs`` has (source, size, u), u being the random number.  Columns: source, source_size, target,
     whole (certain copies), k (inclusion probability per weight level, at most
     1), last (the last place drawn) and best (the rounding document), both as
     (q, size), null where nothing is drawn.
@@ -126,7 +127,7 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...], max_times: int, seed:
     ranked = (
         d.alias("d")
         .join(small_side(plan).alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
-        .select("d.source", "size", "rest", _draw(F.col("size"), F.col("doc_id"), seed, F.col("k")).alias("q"))
+        .select("d.source", "size", "rest", _draw(F.col("size"), F.col("u"), F.col("k")).alias("q"))
         .where("q is not null")
         .withColumn("bucket", _bucket(F.col("q")))
     )
@@ -178,6 +179,29 @@ def _drawn(bucket: Column, place: Column, ends_in: Column, last: Column) -> Colu
     return F.when(ends_in.isNull(), F.lit(True)).otherwise((bucket < ends_in) | ((bucket == ends_in) & (place <= last)))
 
 
+def _mixed(
+    docs: DataFrame, weights: tuple[float, ...], max_times: int, seed: str, doc_id: str, text: str, source: str
+) -> DataFrame:
+    """Every input row whole in ``__row``, beside ``__size``, ``__plan`` (its source's) and ``__copies``."""
+    size = word_count(F.col(f"`{text}`"))
+    u = random_number(F.col(f"`{doc_id}`"), size, F.col(f"`{text}`"), seed)
+    named = [size.alias("size"), F.col(f"`{source}`").alias("source"), u.alias("u")]
+    plan = small_side(mix_plan(docs.select(*named), weights, max_times))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    row = docs.select(whole.alias("__row"), *[c.alias(f"__{n}") for c, n in zip((size, F.col(f"`{source}`"), u), ("size", "source", "u"))])
+    p = plan.select(F.col("source").alias("__of"), F.struct("source_size", "target", "whole", "k", "ends_in", "last", "best").alias("__plan"))
+    place = F.struct(F.col("__q").alias("q"), F.col("__size").alias("size"))
+    extra = F.col("__q").isNotNull() & (
+        _drawn(_bucket(F.col("__q")), place, F.col("__plan.ends_in"), F.col("__plan.last"))
+        | F.coalesce(place == F.col("__plan.best"), F.lit(False))
+    )
+    return (
+        row.join(p, F.col("__source").eqNullSafe(F.col("__of")))
+        .withColumn("__q", _draw(F.col("__size"), F.col("__u"), F.col("__plan.k")))
+        .withColumn("__copies", (F.col("__plan.whole") + F.when(extra, 1).otherwise(0)).cast("long"))
+    )
+
+
 def with_copies(
     docs: DataFrame,
     weights: tuple[float, ...] = (5, 2, 1),
@@ -191,31 +215,31 @@ def with_copies(
 
     These columns replace input columns of the same name.
     """
-    size = word_count(F.col(f"`{text}`"))
-    d = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), size.alias("size"))
-    plan = small_side(mix_plan(d, weights, max_times, seed))
-    row = docs.withColumns({"__size": size, "__source": F.col(f"`{source}`")}).drop("size", "source_size", "target", "copies")
-    p = plan.select(F.col("source").alias("__of"), F.struct("source_size", "target", "whole", "k", "ends_in", "last", "best").alias("__plan"))
-    q = _draw(F.col("__size"), F.col(f"`{doc_id}`"), seed, F.col("__plan.k"))
-    place = F.struct(F.col("__q").alias("q"), F.col("__size").alias("size"))
-    extra = F.col("__q").isNotNull() & (
-        _drawn(_bucket(F.col("__q")), place, F.col("__plan.ends_in"), F.col("__plan.last"))
-        | F.coalesce(place == F.col("__plan.best"), F.lit(False))
-    )
     names = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    return (
-        row.join(p, F.col("__source").eqNullSafe(F.col("__of")))
-        .withColumn("__q", q)
-        .select(
-            *[F.col(f"`{c}`") for c in names],
-            F.col("__size").alias("size"),
-            "__plan.source_size",
-            "__plan.target",
-            (F.col("__plan.whole") + F.when(extra, 1).otherwise(0)).cast("long").alias("copies"),
-        )
+    return _mixed(docs, weights, max_times, seed, doc_id, text, source).select(
+        *[F.col(f"__row.`{c}`") for c in names],
+        F.col("__size").alias("size"),
+        "__plan.source_size",
+        "__plan.target",
+        F.col("__copies").alias("copies"),
     )
 
 
+def taken_rows(
+    docs: DataFrame,
+    weights: tuple[float, ...] = (5, 2, 1),
+    max_times: int = 3,
+    seed: str = "mix",
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with just its own columns and values."""
+    mixed = _mixed(docs, weights, max_times, seed, doc_id, text, source).where("__copies > 0")
+    each = mixed.select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__n"))
+    return each.select(*[F.col(f"__row.`{c}`") for c in docs.columns])
+
+
 def op1_pareto_mix(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     mixed = with_copies(docs.select("doc_id", "text", "source"))
@@ -224,9 +248,9 @@ def op1_pareto_mix(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 with d as (
-  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size
+  select doc_id, source, coalesce(text, '') as text, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size
   from documents),
-d1 as (select *, (('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '') || ':' || size), 1, 13))::bigint::double + 0.5) / 4503599627370496.0 as u from d),
+d1 as (select *, (('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '') || ':' || size || ':' || md5(text)), 1, 13))::bigint::double + 0.5) / 4503599627370496.0 as u from d),
 d2 as (select *, case when size > 0 then length(bin(size)) else 0 end as lv from d1),
 s0 as (select source, sum(size)::bigint as source_size from d group by source),
 s1 as (select *, [5, 2, 1][((row_number() over (order by source collate "binary" nulls last) - 1) % 3 + 1)::int] as weight, source_size * 3 as cap from s0),

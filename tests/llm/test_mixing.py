@@ -1,6 +1,6 @@
 import pytest
 
-from sluice.llm.mixing import source_targets, with_copies
+from sluice.llm.mixing import source_targets, taken_rows, with_copies
 
 
 def waterfill(sizes, weights, times):
@@ -94,3 +94,23 @@ def test_empty_table(docs):
 def test_plan_has_no_python(docs, prose, capsys):
     with_copies(make(docs, prose, 20)).explain()
     assert "Python" not in (out := capsys.readouterr().out) and "Arrow" not in out
+
+
+def test_equal_sizes_without_ids_still_meet_the_targets(docs, prose):
+    d = docs([(None, f"{prose(i, 9)} t{i}", None, f"s{i % 2}") for i in range(400)])
+    rows = with_copies(d).collect()
+    for s in ("s0", "s1"):
+        got = [r for r in rows if r.source == s]
+        assert abs(sum(r.copies * r.size for r in got) - got[0].target) <= 0.05 * got[0].target
+
+
+def test_the_mix_keeps_every_column_as_it_was(docs, prose):
+    names = ["size", "source_size", "target", "copies", "copy", "__size", "__copies", "__q", "u"]
+    d = docs([(i, prose(i, 5 + i % 40), None, "ab"[i % 3 == 0]) for i in range(200)], **{n: f"my {n}" for n in names})
+    taken = taken_rows(d)
+    assert taken.columns == d.columns
+    copies = {r.doc_id: r.copies for r in with_copies(d).collect()}
+    rows = taken.collect()
+    assert all(r[n] == f"my {n}" for r in rows for n in names)
+    for i, n in copies.items():
+        assert sum(r.doc_id == i for r in rows) == n
