@@ -2,7 +2,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from sluice.llm.sharding import byte_size, find_splitters, shard_documents, sort_key
+from sluice.llm.sharding import byte_size, find_splitters, shard_documents, sort_key, splitters_below
 
 
 def rows_of(df):
@@ -68,3 +68,35 @@ def test_plan_has_no_python_and_one_exchange(docs, prose, capsys):
     shard_documents(docs([(i, prose(i, 5)) for i in range(20)])).explain()
     out = capsys.readouterr().out
     assert "Python" not in out and "Arrow" not in out and out.count("Exchange hashpartitioning") == 1
+
+
+def test_equal_rows_are_split_over_shards(docs, prose):
+    d = docs([(7, "one row again and again") if i < 400 else (i, prose(i, 1 + i % 12)) for i in range(1000)])
+    rows = rows_of(shard_documents(d, shards=40))
+    assert len(rows) == 1000
+    check(rows, 40, max(r.size for r in rows))
+    # the same cut into pieces: same sizes, same numbers per shard, gapless slots
+    small = rows_of(shard_documents(d.repartition(7), shards=40, rows_per_piece=3))
+    assert sorted((r.doc_id, r.size, r.shard) for r in rows) == sorted((r.doc_id, r.size, r.shard) for r in small)
+    check(small, 40, max(r.size for r in rows))
+
+
+def test_only_equal_rows(docs):
+    rows = rows_of(shard_documents(docs([(None, None)] * 100, lang="x"), shards=7))
+    check(rows, 7, 16)
+    assert all(r.lang == "x" and r.doc_id is None for r in rows)
+
+
+def test_pieces_follow_the_bytes(docs, prose):
+    d = docs([(i, prose(i, 40 + i % 60)) for i in range(400)])
+    whole = {r.doc_id: (r.shard, r.slot) for r in shard_documents(d, shards=5).collect()}
+    assert {r.doc_id: (r.shard, r.slot) for r in shard_documents(d, shards=5, bytes_per_piece=900).collect()} == whole
+
+
+def test_splitters_are_looked_up_by_prefix(spark):
+    import hashlib
+
+    keys = [hashlib.md5(str(i).encode()).hexdigest() for i in range(2000)]
+    bounds = sorted(keys[::3] + ["0" * 32, "f" * 32])
+    got = spark.createDataFrame([(k,) for k in keys + bounds], "k string").select("k", splitters_below(bounds, F.col("k")).alias("n")).collect()
+    assert all(r.n == sum(b < r.k for b in bounds) for r in got)
