@@ -24,13 +24,15 @@ leaks if 80% of its shingles are there, or 80% of its question's.  An item of
 fewer than five words leaks into texts that are nothing else.
 
 An index holds at most ``index_bytes`` of item text; more items make several
-indexes, each asked in a pass of its own.
+indexes, each asked in a pass of its own whose result is stored before the next
+index is broadcast.
 
 Defined results: null and empty texts leak nothing; items without a word are
-ignored; items that repeat are items of their own; words are runs of letters
+ignored; items that repeat are items of their own; item ids are of any atomic
+type and may be null; words are runs of letters
 and digits, upper and lower case alike (A-Z); rows that repeat are reported
 each; an empty table on either side gives an empty result; extra input columns
-are ignored.
+are ignored; texts of any length are read whole, in slices.
 """
 
 from __future__ import annotations
@@ -42,8 +44,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from sluice.llm.common import bound_batches, plain_names, table
+from sluice.llm.common import bound_batches, cut, plain_names, table
 from sluice.llm.words import PUNCTUATION, shingles, word_hashes
 
 K1, B = 1.2, 0.75
@@ -281,7 +284,7 @@ def leaks_of(index: dict, rows: np.ndarray, words: np.ndarray, bounds: np.ndarra
             yield rows[r], item, s, *got
 
 
-def _find(shared, threshold: float, overlap: float):
+def _find(shared, threshold: float, overlap: float, id_type: pa.DataType):
     def run(batches):
         index = shared.value
         for batch in batches:
@@ -292,7 +295,7 @@ def _find(shared, threshold: float, overlap: float):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(row, pa.int64())),
-                    pa.array(item, pa.int64()),
+                    pa.array(item, id_type),
                     *[pa.array(x, pa.float64()) for x in (score, whole, question, answer)],
                 ],
                 names=["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"],
@@ -314,18 +317,34 @@ def _clean(shared, text: str, threshold: float, overlap: float):
     return run
 
 
-def _indexes(items: DataFrame, index_bytes: int, item_id: str, text: str, overlap: float):
-    """Broadcast indexes of at most about ``index_bytes`` of item text each."""
-    spark = items.sparkSession
-    bound_batches(spark)
+def _passes(items: DataFrame, index_bytes: int, item_id: str, text: str) -> list[DataFrame]:
+    """The items in shares of at most about ``index_bytes`` of text, one share a pass."""
+    bound_batches(items.sparkSession)
     b = plain_names(items, item_id=item_id, text=text).where("text is not null")
     size = b.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     passes = -(-size // index_bytes)
-    for k in range(passes):
-        share = b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).collect()
-        index = build_index(sorted(((r.item_id, r.text) for r in share), key=str), overlap)
-        if index:
-            yield spark.sparkContext.broadcast(index)
+    return [b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) for k in range(passes)]
+
+
+def _index(share: DataFrame, overlap: float):
+    """The share's index as a broadcast, or ``None`` if no item has words."""
+    rows = share.collect()
+    index = build_index(sorted(((r.item_id, r.text) for r in rows), key=str), overlap)
+    return share.sparkSession.sparkContext.broadcast(index) if index else None
+
+
+def _in_turn(shares: list[DataFrame], overlap: float, apply):
+    """``apply(index)`` for every share's index; with several shares each result is
+    stored, and its index released, before the next one is built."""
+    for share in shares:
+        index = _index(share, overlap)
+        if index is None:
+            continue
+        result = apply(index)
+        if len(shares) > 1:
+            result = cut(result)
+            index.destroy()
+        yield result
 
 
 def without_leaks(
@@ -339,9 +358,14 @@ def without_leaks(
     item_text: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, all columns, into which no item leaks."""
-    for index in _indexes(items, index_bytes, item_id, item_text, overlap):
-        docs = docs.mapInArrow(_clean(index, text, threshold, overlap), docs.schema)
-    return docs
+    left = [docs]
+
+    def clean(index):
+        return left[-1].mapInArrow(_clean(index, text, threshold, overlap), docs.schema)
+
+    for result in _in_turn(_passes(items, index_bytes, item_id, item_text), overlap, clean):
+        left.append(result)
+    return left[-1]
 
 
 def find_leaks(
@@ -356,9 +380,15 @@ def find_leaks(
 ) -> DataFrame:
     """One row per document and leaked item: doc_id, item_id, score, overlap, question_overlap, answer_overlap."""
     d = plain_names(docs, doc_id=doc_id, text=text)
-    kind = d.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
-    found = [d.mapInArrow(_find(index, threshold, overlap), schema) for index in _indexes(items, index_bytes, item_id, "text", overlap)]
+    kind, item_kind = (df.schema[c].dataType for df, c in ((d, "doc_id"), (items, item_id)))
+    schema = f"doc_id {kind.simpleString()}, item_id {item_kind.simpleString()}, " + ", ".join(
+        f"{c} double" for c in ("score", "overlap", "question_overlap", "answer_overlap")
+    )
+
+    def find(index):
+        return d.mapInArrow(_find(index, threshold, overlap, to_arrow_type(item_kind)), schema)
+
+    found = list(_in_turn(_passes(items, index_bytes, item_id, "text"), overlap, find))
     return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 

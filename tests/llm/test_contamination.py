@@ -158,3 +158,36 @@ def test_long_text(spark, docs, prose):
     b = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = c.find_leaks(docs([(1, prose(1, 300_000) + " " + item + " " + prose(2, 1000)), (2, prose(1, 300_000))]), b)
     assert [r.doc_id for r in got.collect()] == [1]
+
+
+def test_item_ids_of_other_types_and_null(spark, docs, prose):
+    item = prose("item", 30)
+    for kind, ids in (("string", ["a/1", None]), ("int", [4, None]), ("date", [None])):
+        rows = [(None if i is None else i, item) for i in ids]
+        b = spark.createDataFrame(rows, f"item_id {kind}, text string")
+        d = docs([(1, f"{prose(1, 50)} {item}"), (2, prose(2, 50))])
+        for index_bytes in (32 << 20, 10):
+            got = c.find_leaks(d, b, index_bytes=index_bytes)
+            assert dict(got.dtypes)["item_id"] == kind
+            assert sorted(((r.doc_id, r.item_id) for r in got.collect()), key=repr) == sorted(((1, i) for i in ids), key=repr)
+        assert [r.doc_id for r in c.without_leaks(d, b).collect()] == [2]
+
+
+def test_one_index_is_held_at_a_time(spark, docs, world, monkeypatch):
+    rows, items = world
+    b = spark.createDataFrame(items, "item_id long, text string")
+    held, most = set(), []
+    real = c._index
+
+    def counted(share, overlap):
+        index = real(share, overlap)
+        if index is not None:
+            held.add(id(index))
+            most.append(len(held))
+            destroy = index.destroy
+            monkeypatch.setattr(index, "destroy", lambda *a: (held.discard(id(index)), destroy(*a)), raising=False)
+        return index
+
+    monkeypatch.setattr(c, "_index", counted)
+    assert c.find_leaks(docs(rows), b, index_bytes=2000).count()
+    assert len(most) > 3 and max(most) == 1 and not held
