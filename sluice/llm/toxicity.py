@@ -5,9 +5,9 @@
    become terms.  A stem stands for every word that begins with it.
 2. Matching.  The terms form a trie.  For every word the Levenshtein automaton
    (one edit for terms of five letters or more, two from ten) is intersected
-   with the trie; that intersection is determinised once into a table of
-   states, and all words of a batch run through the table together, character
-   by character, until they fail.  There the first letter must be right.  Words
+   with the trie; that intersection is determinised into a table of states as
+   words first take its steps, and all words of a batch run through the table
+   together, character by character, until they fail.  There the first letter must be right.  Words
    without a match run through a second table, loose, that takes edits at the
    first letter too and one in terms of four letters; a sign before a word may
    stand for its first letter.  Loose matches are features of their own, so the
@@ -21,7 +21,9 @@ Defined results: null and empty texts have no match and get the score of a
 text without any; documents without a label are scored alike; a null label or
 id trains nothing; without both labels in the training rows every score is
 the share of toxic ones (0 if there are none); rows that repeat get the same
-score each; an empty table gives an empty result.
+score each; an empty table gives an empty result; words and texts may be of any
+length; the letters of the lexicon may be any number; of terms at one distance
+the first counts; extra input columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ QUOTES = '"“”„«»'
 WINDOW = 40
 QUOTED, ADDRESSED = 0.35, 1.25
 SLICE_CHARS = 1 << 18
+#: States a task's table may hold before it is started anew.
+STATES = 50_000
 
 
 def edits_allowed(length: int) -> int:
@@ -63,7 +67,7 @@ def _candidates(batches):
             seen: Counter = Counter()
             for text, x in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 if x == label:
-                    words = {w for w in map(str, set(_plain_words(text or ""))) if len(w) <= 24}
+                    words = set(_plain_words(text or ""))
                     seen.update(words)
                     seen.update({w[:n] + "*" for w in words for n in range(MIN_LENGTH, min(len(w), MAX_STEM + 1))})
             if seen:
@@ -104,114 +108,143 @@ def choose_terms(found: list[tuple[str, int, int]]) -> list[str]:
 
 
 class Matcher:
-    """The Levenshtein automata of all terms, intersected with their trie, as one table.
-
-    ``step[state, class]`` is the next state (0: none); ``best[state]`` is the
-    match a word that ends there makes, as term * 3 + distance, or -1; in
-    ``stem[state]`` the same holds wherever the word goes on.  If ``loose``,
-    the first letter may be wrong, and terms of four letters take an edit.
+    """The Levenshtein automata of all terms, intersected with their trie, determinised as words ask for it.
+
+    ``step[state, class]`` is the next state (0: none, negative: not asked for
+    yet); ``best[state]`` is the match a word that ends there makes, as
+    term * 3 + distance, or -1; in ``stem[state]`` the same holds wherever the
+    word goes on.  A state is a set of trie nodes with the fewest edits to each.
+    Only the trie is built beforehand; a state's steps are worked out when a
+    word first takes them, so the work follows the text, not the lexicon.  Each
+    task keeps its own table, which is started anew beyond ``STATES`` states.
+    If ``loose``, the first letter may be wrong, and terms of four letters take
+    an edit.
     """
 
     def __init__(self, terms: list[str], loose: bool = False):
         edits = loose_edits if loose else edits_allowed
+        self.loose = loose
         letters = sorted({c for t in terms for c in t if c != "*"})
-        self.class_of = {c: i + 1 for i, c in enumerate(letters)}  # 0: any other character
-        children: list[dict[str, int]] = [{}]
-        ends: list[list[tuple[int, bool]]] = [[]]
-        limit: list[int] = [0]
+        self.letters = [None, *letters]  # class 0: any other character
+        self.children: list[dict[int, int]] = [{}]
+        self.ends: list[list[tuple[int, bool]]] = [[]]
+        self.limit: list[int] = [0]
+        self.allowed = [edits(len(t.rstrip("*"))) for t in terms]
+        class_of = {c: i + 1 for i, c in enumerate(letters)}
         for i, t in enumerate(terms):
-            word, at = t.rstrip("*"), 0
-            for c in word:
-                limit[at] = max(limit[at], edits(len(word)))
-                if c not in children[at]:
-                    children[at][c] = len(children)
-                    children.append({})
-                    ends.append([])
-                    limit.append(0)
-                at = children[at][c]
-            limit[at] = max(limit[at], edits(len(word)))
-            ends[at].append((i, t.endswith("*")))
-        allowed = [edits(len(t.rstrip("*"))) for t in terms]
-
-        def closed(pairs: dict[int, int]) -> frozenset:
-            """Trie nodes reachable by leaving out letters of a term, each with its fewest edits."""
-            todo = deque(pairs.items())
-            while todo:
-                node, e = todo.popleft()
-                if e > pairs.get(node, 9):
-                    continue
-                for child in children[node].values():
-                    if e + 1 <= limit[child] and e + 1 < pairs.get(child, 9):
-                        pairs[child] = e + 1
-                        todo.append((child, e + 1))
-            return frozenset(pairs.items())
-
-        def read(state: frozenset, c: str | None) -> frozenset:
-            out: dict[int, int] = {}
-
-            def reach(node: int, e: int) -> None:
-                if e <= limit[node] and e < out.get(node, 9):
-                    out[node] = e
-
-            for node, e in state:
-                reach(node, e + 1)  # the character is too many
-                for letter, child in children[node].items():
-                    reach(child, e if letter == c else e + 1)
-            return closed(out)
-
-        number: dict[frozenset, int] = {}
-        rows: list[list[int]] = [[0] * (len(letters) + 1), [0] * (len(letters) + 1)]
-        best, stem = [-1, -1], [-1, -1]
-
-        def match(state: frozenset, stems: bool) -> int:
-            got = [(e, i) for node, e in state for i, is_stem in ends[node] if e <= allowed[i] and (is_stem or not stems)]
-            e, i = min(got, default=(-1, 0))
-            return i * 3 + e
-
-        todo: deque[frozenset] = deque()
-
-        def of(state: frozenset) -> int:
-            if not state:
-                return 0
-            if state not in number:
-                number[state] = len(rows)
-                rows.append([0] * (len(letters) + 1))
-                best.append(match(state, False))
-                stem.append(match(state, True))
-                todo.append(state)
-            return number[state]
-
-        if loose:
-            start = closed({0: 0})
-            rows[1] = [of(read(start, None)), *[of(read(start, c)) for c in letters]]
-        else:
-            # the first letter must be right: that keeps chance matches out
-            for c, k in self.class_of.items():
-                if c in children[0]:
-                    first = {children[0][c]: 0}
-                    rows[1][k] = of(closed(first))
-        while todo:
-            state = todo.popleft()
-            row = [of(read(state, None)), *[of(read(state, c)) for c in letters]]
-            rows[number[state]] = row
-        self.step = np.array(rows, dtype=np.int32)
-        self.best, self.stem = np.array(best, dtype=np.int32), np.array(stem, dtype=np.int32)
-        self.classes = np.zeros(0x110000, dtype=np.uint8)
-        for c, k in self.class_of.items():
-            self.classes[ord(c)] = k
+            at = 0
+            for c in t.rstrip("*"):
+                self.limit[at] = max(self.limit[at], self.allowed[i])
+                if class_of[c] not in self.children[at]:
+                    self.children[at][class_of[c]] = len(self.children)
+                    self.children.append({})
+                    self.ends.append([])
+                    self.limit.append(0)
+                at = self.children[at][class_of[c]]
+            self.limit[at] = max(self.limit[at], self.allowed[i])
+            self.ends[at].append((i, t.endswith("*")))
+        self.codes = np.array([ord(c) for c in letters], dtype=np.int64)
+        self._start()
 
     @classmethod
     def of(cls, state: dict) -> Matcher:
-        m = cls.__new__(cls)
-        m.__dict__.update(state)
-        return m
+        """The matcher of a broadcast state; one for all tasks of a worker, which so share its table."""
+        if "live" not in state:
+            m = cls.__new__(cls)
+            m.__dict__.update(state)
+            m._start()
+            state["live"] = m
+        return state["live"]
+
+    def _start(self) -> None:
+        """The table with no state but the dead one and the start."""
+        self.number: dict[frozenset, int] = {}
+        self.states: list[frozenset] = [frozenset(), self._closed({0: 0})]
+        self.step = np.full((64, len(self.letters)), -1, dtype=np.int32)
+        self.best, self.stem = (np.full(64, -1, dtype=np.int32) for _ in range(2))
+        self.step[0] = 0
+        if not self.loose:
+            # the first letter must be right: that keeps chance matches out
+            self.step[1] = 0
+            for k, child in self.children[0].items():
+                self.step[1, k] = self._of(self._closed({child: 0}))
+
+    def classes(self, points: np.ndarray) -> np.ndarray:
+        """The class of each character."""
+        if not len(self.codes):
+            return np.zeros(len(points), np.int32)
+        at = np.minimum(np.searchsorted(self.codes, points), len(self.codes) - 1)
+        return np.where(self.codes[at] == points, at + 1, 0).astype(np.int32)
+
+    def _closed(self, pairs: dict[int, int]) -> frozenset:
+        """Trie nodes reachable by leaving out letters of a term, each with its fewest edits."""
+        todo = deque(pairs.items())
+        while todo:
+            node, e = todo.popleft()
+            if e > pairs.get(node, 9):
+                continue
+            for child in self.children[node].values():
+                if e + 1 <= self.limit[child] and e + 1 < pairs.get(child, 9):
+                    pairs[child] = e + 1
+                    todo.append((child, e + 1))
+        return frozenset(pairs.items())
+
+    def _read(self, state: frozenset, k: int) -> frozenset:
+        """The state after one more character of class ``k``."""
+        out: dict[int, int] = {}
+        limit = self.limit
+        for node, e in state:
+            if e + 1 <= limit[node] and e + 1 < out.get(node, 9):
+                out[node] = e + 1  # the character is too many
+            if e + 1 <= limit[node]:
+                for letter, child in self.children[node].items():
+                    cost = e if letter == k else e + 1
+                    if cost <= limit[child] and cost < out.get(child, 9):
+                        out[child] = cost
+            elif k in self.children[node]:
+                child = self.children[node][k]
+                if e <= limit[child] and e < out.get(child, 9):
+                    out[child] = e
+        return self._closed(out)
+
+    def _of(self, state: frozenset) -> int:
+        """The number of a state, new ones at the end of the table."""
+        if not state:
+            return 0
+        n = self.number.get(state)
+        if n is None:
+            n = self.number[state] = len(self.states)
+            self.states.append(state)
+            if n >= len(self.step):
+                more = len(self.step)
+                self.step = np.concatenate([self.step, np.full((more, self.step.shape[1]), -1, dtype=np.int32)])
+                self.best, self.stem = (np.concatenate([x, np.full(more, -1, dtype=np.int32)]) for x in (self.best, self.stem))
+            for table, stems in ((self.best, False), (self.stem, True)):
+                got = [(e, i) for node, e in state for i, is_stem in self.ends[node] if e <= self.allowed[i] and (is_stem or not stems)]
+                e, i = min(got, default=(-1, 0))
+                table[n] = i * 3 + e
+        return n
+
+    def _next(self, state: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """The states after these characters; steps taken for the first time are worked out here."""
+        after = self.step[state, classes]
+        unknown = np.flatnonzero(after < 0)
+        if len(unknown):
+            width = len(self.letters)
+            for pair in np.unique(state[unknown].astype(np.int64) * width + classes[unknown]).tolist():
+                s, k = divmod(pair, width)
+                self.step[s, k] = self._of(self._read(self.states[s], k))
+            after = self.step[state, classes]
+        return after
 
     def run(self, classes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Match of each word, as term * 3 + distance, or -1; all words take one step at a time."""
+        if len(self.states) > STATES:
+            self._start()
         found = np.full(len(starts), -1, dtype=np.int32)
         word, at, state = np.arange(len(starts)), starts.copy(), np.ones(len(starts), dtype=np.int32)
         while len(word):
-            state = self.step[state, classes[at]]
+            state = self._next(state, classes[at])
             at += 1
             live = state > 0
             word, at, state = word[live], at[live], state[live]
@@ -274,7 +307,7 @@ def _pieces(text: str):
 
 def loose_matches(matcher: Matcher, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Match of each word, with or without the sign before it, whichever is closer."""
-    classes = matcher.classes[points]
+    classes = matcher.classes(points)
     found = matcher.run(classes, starts, ends)
     signed = np.flatnonzero((starts > 0) & (_Letters.kinds()[points[starts - 1]] == 2))
     other = matcher.run(classes, starts[signed] - 1, ends[signed])
@@ -299,7 +332,7 @@ def features(matcher: Matcher, texts: list[str | None], n_terms: int, loose: Mat
         joined = "\n".join(p for _, _, p in part)
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         starts, ends = words_of(points)
-        found = matcher.run(matcher.classes[points], starts, ends)
+        found = matcher.run(matcher.classes(points), starts, ends)
         strict = found >= 0
         if loose is not None and len(starts):
             rest = np.flatnonzero(~strict)

@@ -29,7 +29,7 @@ def run(terms, words, loose=False):
     points = np.array([ord(c) for c in text])
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = ends - [len(w) for w in words]
-    return m.run(m.classes[points], starts, ends)
+    return m.run(m.classes(points), starts, ends)
 
 
 def test_automaton_equals_edit_distance():
@@ -192,3 +192,46 @@ def test_long_texts_are_read_to_the_end(monkeypatch):
     monkeypatch.setattr(toxicity, "SLICE_CHARS", 97)
     assert (toxicity.features(matcher, [text, None, "", text], 2) == whole).all()
     assert whole[0].tolist()[:4] == [1.0, 0.0, 0.0, 1.0] and not whole[1].any()
+
+
+def test_any_number_of_letters_and_a_large_lexicon():
+    import time
+
+    letters = [chr(0x4E00 + i) for i in range(300)]
+    terms = [a + b for a, b in zip(letters[::2], letters[1::2])]
+    assert run(terms, [*terms, letters[0] * 2]).tolist() == [3 * i for i in range(150)] + [-1]
+    rnd = random.Random(4)
+    terms = sorted({"".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(4, 12))) for _ in range(2000)})
+    for loose in (False, True):
+        t = time.perf_counter()
+        Matcher(terms, loose)
+        assert time.perf_counter() - t < 5
+    words = sorted({w[:i] + rnd.choice("abcxyz") + w[i + rnd.randint(0, 1) :] for w in rnd.sample(terms, 60) for i in range(1, len(w))})
+    for w, f in zip(words, run(terms, words)):
+        best = min((distance(w, t), i) for i, t in enumerate(terms) if t[0] == w[0] and abs(len(t) - len(w)) <= 2 and distance(w, t) <= edits_allowed(len(t))) if any(
+            t[0] == w[0] and distance(w, t) <= edits_allowed(len(t)) for t in terms) else None
+        assert (f < 0 and (best is None or best[0] > 0)) or f % 3 == best[0], w
+
+
+def test_a_full_table_is_started_anew(monkeypatch):
+    from sluice.llm import toxicity
+
+    terms = ["abcde*", "zebras", "quizzically"]
+    words = ["abxde", "zebrass", "quizically", "abcd", "zebra"] * 3
+    want = run(terms, words).tolist()
+    monkeypatch.setattr(toxicity, "STATES", 1)
+    m = Matcher(terms)
+    state = dict(vars(m))
+    for _ in range(3):
+        again = Matcher.of(state)
+        points = np.array([ord(c) for c in "\n".join(words)])
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        assert again.run(again.classes(points), ends - [len(w) for w in words], ends).tolist() == want
+
+
+def test_long_words_become_terms(docs, spark, prose):
+    long = "zork" * 12
+    rows = [(i, f"{prose(i, 20)} {long if i % 4 == 0 else ''} {prose((i, 2), 20)}") for i in range(600)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    got = score_toxicity(docs(rows), labels).where("held_out").collect()
+    assert got and all(r.predicted == int(r.doc_id % 4 == 0) and r.terms_matched == r.predicted for r in got)
