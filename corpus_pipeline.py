@@ -12,14 +12,19 @@ Five stages, each over all rows its predecessor kept:
    times becomes n equal rows, one taken 0 times goes;
 5. sharding: rows are ordered by key and cut into shards of nearly equal bytes.
 
-Stages 1 to 4 return the columns of ``documents``; the last adds size,
-text_crc32, shard and slot.
+Stages 1 to 4 return the columns of ``documents`` with the values they came
+with, further columns included, whatever their names; the last adds size,
+text_crc32, shard and slot, which replace input columns of these names.
+
+Defined results: null and empty texts have no letter and go in stage 1; a null
+id or source is a value like any other; rows that repeat are one document in
+stage 2, which keeps one of them; an empty table gives an empty result; texts
+of any length are read whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sluice.llm import contamination, langid, mixing, neardup, sharding
 from sluice.llm.common import table
@@ -38,8 +43,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    taken = mixing.with_copies(docs).where("copies > 0")
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    return mixing.taken_rows(docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
