@@ -92,9 +92,14 @@ def test_edge_rows_pass_through_all_stages(spark, docs, stages):
         [(None, "the and of to", "en", None, None), (900001, None, None, "src1", None), (900002, "", "en", None, 0), (900003, "x", "en", "new", 1)] + [(900004, "twice the same row", "en", "src2", 1)] * 3,
         base.schema,
     )
-    d = base.unionByName(extra).selectExpr("*", "1 as size", "2 as copies", "3 as shard")
-    for _, stage in pipeline.STAGES:
+    own = {"size": 1, "copies": 2, "shard": 3, "copy": 4, "target": 5, "source_size": 6, "__size": 7, "slot": 8}
+    d = base.unionByName(extra).selectExpr("*", *[f"{v} as {k}" for k, v in own.items()])
+    for n, (_, stage) in enumerate(pipeline.STAGES):
         d = pipeline.stored(stage(spark, d, SF))
+        if n < 4:
+            # every stage but the last keeps the columns and the values they came with
+            assert d.columns == [*base.columns, *own]
+            assert all(r[k] == v for r in d.collect() for k, v in own.items())
     got = ids(d)
     assert 900001 not in got and 900002 not in got  # no letter: in no language
     empty = stages[0].limit(0)
