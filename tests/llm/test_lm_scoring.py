@@ -12,17 +12,14 @@ def words(text):
     return re.findall(r"(?:[0-9a-z]|[^\x00-\x7F])+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
-def brute(rows, target, word_floor, bigram_floor):
+def brute(rows, target, min_pair):
     texts = [(i, words(t)) for i, t in rows]
-    total = Counter(x for _, w in texts for x in w)
-    n_all = sum(total.values())
-    vocabulary = {w for w, n in total.items() if n >= word_floor * n_all}
-    texts = [(i, [x if x in vocabulary else None for x in w]) for i, w in texts]
+    vocabulary = {x for _, w in texts for x in w}
 
     def pairs(w):
         return list(zip(["<s>", *w[:-1]], w))
 
-    kept = {b for b, n in Counter(b for _, w in texts for b in pairs(w)).items() if n >= bigram_floor * n_all}
+    kept = {b for b, n in Counter(b for _, w in texts for b in pairs(w)).items() if n >= min_pair}
 
     def model(some):
         single, double = Counter(x for w in some for x in w), Counter(b for w in some for b in pairs(w))
@@ -48,15 +45,16 @@ def rows(prose):
     return [*texts, (200, None), (201, ""), (202, "?!"), (None, prose(5, 12)), (3, prose(3, 8)), (203, "Éa éa ÉA, U-boot 7")]
 
 
-@pytest.mark.parametrize("floors", [(2e-6, 1e-6), (2e-3, 1e-3)])
-def test_losses_equal_brute_force(spark, docs, rows, floors, monkeypatch):
+@pytest.mark.parametrize("min_pair, hot_words, hot_pairs", [(2, 1 << 20, 1 << 20), (2, 40, 30), (3, 0, 0), (1, 90, 5)])
+def test_losses_equal_brute_force(spark, docs, rows, min_pair, hot_words, hot_pairs, monkeypatch):
     monkeypatch.setattr(lm_scoring, "CHUNK", 300)
-    monkeypatch.setattr(lm_scoring, "CANDIDATES", 150)
+    monkeypatch.setattr(lm_scoring, "HOT_WORDS", hot_words)
+    monkeypatch.setattr(lm_scoring, "HOT_PAIRS", hot_pairs)
     target = set(range(0, 120, 3))
     ids = spark.createDataFrame([(i,) for i in [*target, 0, 9999]] + [(None,)], "doc_id long")
     d = docs(rows, target="x", n=1, code=2).repartition(5)
-    got = cross_entropy_difference(d, ids, *floors).collect()
-    want = brute(rows, target, *floors)
+    got = cross_entropy_difference(d, ids, min_pair).collect()
+    want = brute(rows, target, min_pair)
 
     def order(r):
         return (r[0] is None, r[0] or 0, r[1])
@@ -82,3 +80,32 @@ def test_no_target_and_no_documents(spark, docs):
     assert {r.doc_id: (r.n_words, r.loss_target and round(r.loss_target, 6)) for r in got} == {1: (3, round(math.log(3), 6)), 2: (0, None)}
     assert cross_entropy_difference(docs([]), none).count() == 0
     assert cross_entropy_difference(docs([(1, " ")]), none).collect()[0].score is None
+
+
+def test_what_is_gathered_grows_with_the_corpus(spark, docs, prose, monkeypatch):
+    """Ten times the documents: ten times the words of their own, and bigrams that occur twice stay kept."""
+    got = []
+    real = lm_scoring._stored
+
+    def stored(df, name):
+        out = real(df, name)
+        if name in ("lm_words", "lm_pairs"):
+            got.append(out.count())
+        return out
+
+    monkeypatch.setattr(lm_scoring, "_stored", stored)
+    none = spark.createDataFrame([], "doc_id long")
+    for n in (20, 200):
+        rows = [(i, f"{prose(i, 10)} own{i // 2} word{i // 2}") for i in range(n)]
+        out = {r.doc_id: r.loss_background for r in cross_entropy_difference(docs(rows), none).collect()}
+        assert len(out) == n
+    assert got[2] > got[0] + 150 and got[3] > 5 * got[1] > 0
+
+
+def test_documents_that_occur_twice_are_told_apart(spark, docs, prose):
+    rows = [(i, prose(i, 30)) for i in range(300)]
+    twice = [" ".join(f"rare{i}x{k}" for k in range(30)) for i in range(4)]
+    once = [" ".join(f"single{i}x{k}" for k in range(30)) for i in range(4)]
+    rows += [(1000 + i, t) for i, t in enumerate(twice + twice)] + [(2000 + i, t) for i, t in enumerate(once)]
+    got = {r.doc_id: r.loss_background for r in cross_entropy_difference(docs(rows), spark.createDataFrame([(1,)], "doc_id long")).collect()}
+    assert max(got[1000 + i] for i in range(8)) < min(got[2000 + i] for i in range(4)) - 1
