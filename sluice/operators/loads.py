@@ -95,7 +95,8 @@ def _files(spark: SparkSession, path: str) -> Iterator:
     while found.hasNext():
         p = found.next().getPath()
         below = str(p.toUri().getPath())[len(root) + 1 :]
-        if not any(x.startswith(("_", ".")) for x in below.split("/")):
+        # as Spark's readers have it: partition folders may begin with an underscore
+        if not any(x.startswith(".") or (x.startswith("_") and "=" not in x) for x in below.split("/")):
             yield fs, p, str(p.getName())
 
 
