@@ -23,7 +23,8 @@ Defined results: a null, empty or zero vector, and one with a null or
 non-finite component, links with nothing (n_links 0, its own component, kept);
 vectors of different lengths do not link; rows with a null id count as links of
 others and keep a null component; rows that repeat an id are rows of their own;
-an empty table gives an empty result; extra input columns are ignored.
+an empty table gives an empty result; extra input columns are ignored; vectors
+may have any length.
 """
 
 from __future__ import annotations

@@ -18,7 +18,10 @@ documents gets the widest of its own, the others' and the pooled limit.
 Defined results: null texts and texts without a letter are ``und``, with score
 0, and rejected; without labelled rows everything is ``und``; ties go to the
 language that sorts first; a null id is not held out; rows that repeat get the
-same answer each; an empty table gives an empty result.
+same answer each; an empty table gives an empty result; extra input columns are
+ignored (``filter_known`` returns them as they are); texts of any length are
+read whole, in slices.  Letters from U+0800 on share 2,048 codes, so two of them
+can count as one letter.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ Defined results: null and empty texts, and texts shorter than ``least`` words,
 hold no passage; rows with a null id or a null text are not reported; rows that
 repeat a text under one id are one document, under several ids they are copies;
 a passage that repeats only within one text is no repeat across documents; an
-empty table gives an empty result; extra input columns are ignored.  Places are
+empty table gives an empty result; extra input columns are ignored; texts of any
+length are read whole.  Places are
 word numbers from 0, ends exclusive.
 """
 

@@ -18,7 +18,8 @@ Defined results: a null text is empty; a text without personal data has zero
 counts, the digest of the empty string and no spans; a null id is kept; rows
 that repeat get the same answer each; without any base match in the sample no
 model is trained and only the rules speak; an empty table gives an empty
-result.  Positions are code points, ends exclusive.
+result; extra input columns are ignored; texts of any length are read whole, in
+windows.  Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
