@@ -189,7 +189,9 @@ def shard_documents(
     names = [s.key for s in splitters]
     runs = cut_runs(splitters, pieces, head.total)
     # at most one run per boundary
-    table = F.broadcast(spark.createDataFrame([(r.key, r.piece, r.cuts) for r in runs], "__key string, __from int, __cuts array<long>"))
+    rows = json.dumps([{"__key": r.key, "__from": r.piece, "__cuts": r.cuts} for r in runs])
+    kind = "array<struct<__key: string, __from: int, __cuts: array<bigint>>>"
+    table = F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(rows), kind))))
 
     before = F.lit(0)
     if per_shard > 1:
