@@ -42,8 +42,8 @@ from sluice.llm.words import PUNCTUATION, mix, word_hashes
 from sluice.plans.scratch import scratch_path
 
 DISCOUNT, ADD = 0.75, 0.5
-#: Words or bigrams counted together within a task.
-CHUNK = 1 << 20
+#: Words or bigrams counted together within a task, and rows of a batch they leave it in.
+CHUNK, ROWS = 1 << 18, 1 << 16
 #: The most frequent words and bigrams that are broadcast.
 HOT_WORDS, HOT_PAIRS = 1 << 19, 1 << 20
 #: Counts up to here have a bin each in the histogram that finds the most frequent; larger ones share bins.
@@ -54,12 +54,17 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 WORD_ROW, OWN_ROW = -2, -1
 
 
+def _batches(**columns):
+    """The columns in batches of ``ROWS`` rows."""
+    for lo in range(0, len(next(iter(columns.values()))), ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + ROWS]) for x in columns.values()], names=list(columns))
+
+
 def _word_counts(batches):
     def tally(held):
         codes, flags = (np.concatenate(x) for x in zip(*held))
         unique, place, n = np.unique(codes, return_inverse=True, return_counts=True)
-        in_target = np.bincount(place, flags, len(unique)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(unique), pa.array(n), pa.array(in_target)], names=["code", "n", "in_target"])
+        return _batches(code=unique, n=n, in_target=np.bincount(place, flags, len(unique)).astype(np.int64))
 
     held, size = [], 0
     for batch in batches:
@@ -68,10 +73,10 @@ def _word_counts(batches):
             held.append(((words | SIGN).view(np.int64), np.repeat(target[lo : lo + len(bounds) - 1], np.diff(bounds))))
             size += len(words)
             if size >= CHUNK:
-                yield tally(held)
+                yield from tally(held)
                 held, size = [], 0
     if held:
-        yield tally(held)
+        yield from tally(held)
 
 
 def coded(hot: np.ndarray, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,9 +100,7 @@ def _pair_counts(shared):
     def tally(held):
         h, w, flags = (np.concatenate(x) for x in zip(*held))
         _, first, place, n = np.unique(pair_print(h, w), return_index=True, return_inverse=True, return_counts=True)
-        in_target = np.bincount(place, flags, len(first)).astype(np.int64)
-        arrays = [pa.array(x) for x in (h[first], w[first], n, in_target)]
-        return pa.RecordBatch.from_arrays(arrays, names=["h", "w", "n", "in_target"])
+        return _batches(h=h[first], w=w[first], n=n, in_target=np.bincount(place, flags, len(first)).astype(np.int64))
 
     def run(batches):
         held, size = [], 0
@@ -108,10 +111,10 @@ def _pair_counts(shared):
                 held.append((*coded(shared.value, words, bounds), flags))
                 size += len(words)
                 if size >= CHUNK:
-                    yield tally(held)
+                    yield from tally(held)
                     held, size = [], 0
         if held:
-            yield tally(held)
+            yield from tally(held)
 
     return run
 
@@ -157,15 +160,15 @@ def pair_change(n, history, rest, word, log=np.log, exp=np.exp, larger=np.maximu
 
 
 def _hot_changes(shared):
-    """(h, w, n, d_target, d_background) of kept bigrams of hot words."""
+    """(h, w, d_target, d_background) of kept bigrams of hot words."""
 
     def run(batches):
         hot = shared.value
         for batch in batches:
             h, w, n, t = (batch.column(c).to_numpy() for c in ("h", "w", "n", "in_target"))
             out = [pair_change(x, hot["count"][m][h], hot["rest"][m][h], hot["word"][m][w]) for m, x in ((0, t), (1, n))]
-            arrays = [batch.column("h"), batch.column("w"), batch.column("n"), *[pa.array(x) for x in out]]
-            yield pa.RecordBatch.from_arrays(arrays, names=["h", "w", "n", "d_target", "d_background"])
+            arrays = [batch.column("h"), batch.column("w"), *[pa.array(x) for x in out]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["h", "w", "d_target", "d_background"])
 
     return run
 
@@ -318,11 +321,13 @@ def cross_entropy_difference(
     )
 
     # bigrams of hot words, the most frequent of them broadcast
-    of_hot = _stored(
-        pairs.where("h >= 0 and w >= 0").mapInArrow(_hot_changes(stats), "h long, w long, n long, d_target double, d_background double"), "lm_hot"
-    )
+    of_hot = pairs.where("h >= 0 and w >= 0")
     least_pair = most_frequent(of_hot, HOT_PAIRS)
-    ph, pw, dt, db = _arrays(of_hot.where(F.col("n") >= least_pair), "h", "w", "d_target", "d_background")
+
+    def with_changes(df: DataFrame) -> DataFrame:
+        return df.mapInArrow(_hot_changes(stats), "h long, w long, d_target double, d_background double")
+
+    ph, pw, dt, db = _arrays(with_changes(of_hot.where(F.col("n") >= least_pair)), "h", "w", "d_target", "d_background")
     packed = ph * (len(code) + 1) + pw
     order = np.argsort(packed)
 
@@ -350,7 +355,7 @@ def cross_entropy_difference(
         )
     ]
     changed = _stored(
-        of_hot.where(F.col("n") < least_pair).select("h", "w", "d_target", "d_background").unionByName(mixed.select("h", "w", *changes)), "lm_changes"
+        with_changes(of_hot.where(F.col("n") < least_pair)).unionByName(mixed.select("h", "w", *changes)), "lm_changes"
     )
     zero = F.lit(0.0)
     looked_up = changed.select("h", "w", "d_target", "d_background", zero.alias("rt"), zero.alias("rb")).unionByName(
