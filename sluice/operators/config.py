@@ -6,7 +6,7 @@ config table once, with equi-join keys so the plan is a hash join, not a
 nested loop:
 
 * a manual request matches on ``(schema_name, table_name)``, and on ``id``
-  when it names one;
+  when it names one, which then is a key of the join too;
 * a scheduled request matches on ``cloudwatch_event_name``;
 * a scheduled request without an event name matches every active scheduled
   config; it can only run if there is exactly one, so the configs are counted,
@@ -27,6 +27,8 @@ PLUS_REWRITE = "||' '||"
 # Fixed value: the scheme the reference puts in front of a bare bucket name.
 BUCKET_SCHEME = "s3://"
 _HAS_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+#: Configs of a lookup key that a request meets.
+CONFIGS = "__configs"
 
 
 def target_path_text(bucket: str | None, prefix: str | None) -> str | None:
@@ -50,7 +52,7 @@ def target_path_column(bucket: Column, prefix: Column) -> Column:
     )
 
 
-def lookup_configs(configs: DataFrame, requests: DataFrame) -> DataFrame:
+def lookup_configs(configs: DataFrame, requests: DataFrame, counted: bool = False) -> DataFrame:
     """Configs matched by run requests.
 
     ``requests`` columns: ``request_id, manual_flag, schema_name, table_name,
@@ -58,6 +60,11 @@ def lookup_configs(configs: DataFrame, requests: DataFrame) -> DataFrame:
     Returns the matched config columns plus ``request_id``.  A scheduled
     request without an event name has a row only if exactly one active
     scheduled config exists; ``check_requests`` tells how many there are.
+
+    With ``counted`` the configs of a lookup key stay together: a request has
+    one row per key it meets, with the number of its configs in ``__configs``
+    and the config columns where there is only one, else null.  These rows
+    grow as the requests do; one per match grow with requests times configs.
     """
     active = configs.where(F.col("active_flag") == "Y")
     req = requests.select(
@@ -68,13 +75,15 @@ def lookup_configs(configs: DataFrame, requests: DataFrame) -> DataFrame:
         F.col("config_id").alias("__id"),
         F.col("cloudwatch_event_name").alias("__event"),
     )
-    cols = [*configs.columns, "request_id"]
-    manual = active.where(F.col("manual_flag") == "Y").join(
-        req.where(F.col("__manual") == "Y"),
-        (F.col("schema_name") == F.col("__schema")) & (F.col("table_name") == F.col("__table")),
-    ).where(F.col("__id").isNull() | (F.col("id") == F.col("__id")))
-    scheduled = _scheduled(active).join(
-        req.where((F.col("__manual") != "Y") & F.col("__event").isNotNull()), F.col("cloudwatch_event_name") == F.col("__event")
+    cols = [*configs.columns, *([CONFIGS] if counted else []), "request_id"]
+    manual = active.where(F.col("manual_flag") == "Y")
+    by_name = req.where(F.col("__manual") == "Y")
+    same_name = (F.col("__key_schema_name") == F.col("__schema")) & (F.col("__key_table_name") == F.col("__table"))
+    named = _keyed(manual, ["schema_name", "table_name"], counted).join(by_name.where(F.col("__id").isNull()), same_name)
+    # joined on the id too: many configs may share a name
+    with_id = _keyed(manual, ["schema_name", "table_name", "id"], counted).join(by_name, same_name & (F.col("__key_id") == F.col("__id")))
+    scheduled = _keyed(_scheduled(active), ["cloudwatch_event_name"], counted).join(
+        req.where((F.col("__manual") != "Y") & F.col("__event").isNotNull()), F.col("__key_cloudwatch_event_name") == F.col("__event")
     )
     wild = req.where((F.col("__manual") != "Y") & F.col("__event").isNull())
     # the only active scheduled config, or null
@@ -82,7 +91,24 @@ def lookup_configs(configs: DataFrame, requests: DataFrame) -> DataFrame:
         F.when(F.count(F.lit(1)) == 1, F.first(F.struct(*[F.col(c) for c in configs.columns]))).alias("c")
     )
     lone = wild.select("request_id", only.scalar().alias("__c")).where("__c is not null").select("__c.*", "request_id")
-    return manual.select(*cols).unionByName(scheduled.select(*cols)).unionByName(lone.select(*cols))
+    if counted:
+        lone = lone.withColumn(CONFIGS, F.lit(1).cast("long"))
+    out = lone.select(*cols)
+    for part in (scheduled, with_id, named):
+        out = part.select(*cols).unionByName(out)
+    return out
+
+
+def _keyed(configs: DataFrame, columns: list[str], counted: bool) -> DataFrame:
+    """``configs`` with their lookup columns as ``__key_*``; ``counted``: one row per key, as ``lookup_configs`` has it."""
+    keys = [F.col(c).alias(f"__key_{c}") for c in columns]
+    if not counted:
+        return configs.select("*", *keys)
+    per_key = configs.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(CONFIGS), F.first(F.struct(*[F.col(c) for c in configs.columns])).alias("__config")
+    )
+    one = [F.when(F.col(CONFIGS) == 1, F.col("__config").getField(c)).alias(c) for c in configs.columns]
+    return per_key.select(*[f"__key_{c}" for c in columns], CONFIGS, *one)
 
 
 def _scheduled(active: DataFrame) -> DataFrame:
@@ -103,9 +129,11 @@ def check_requests(requests: DataFrame, matches: DataFrame, configs: DataFrame)
     """C2 per request: ``MISSING`` (0), ``OK`` (1) or ``AMBIGUOUS`` (>1).
 
     The reference raises on anything but one match; here every request gets
-    its verdict and the caller decides which to run.
+    its verdict and the caller decides which to run.  ``matches`` may be those
+    ``lookup_configs`` returns, ``counted`` or one by one.
     """
-    counts = matches.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_configs"))
+    found = F.sum(CONFIGS) if CONFIGS in matches.columns else F.count(F.lit(1))
+    counts = matches.groupBy("request_id").agg(found.alias("n_configs"))
     everything = _scheduled(configs.where(F.col("active_flag") == "Y")).select(F.count(F.lit(1)).alias("n")).scalar()
     wild = (F.col("manual_flag") != "Y") & F.col("cloudwatch_event_name").isNull()
     n = F.when(wild, everything).otherwise(F.coalesce(F.col("n_configs"), F.lit(0))).cast("long")

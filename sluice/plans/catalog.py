@@ -461,7 +461,7 @@ def request_verdicts(spark, sf):
             (F.col(event) if isinstance(event, str) else event).alias("cloudwatch_event_name"),
         )
         requests = part if requests is None else requests.unionByName(part)
-    checked = cfgops.check_requests(requests, cfgops.lookup_configs(cfg, requests), cfg)
+    checked = cfgops.check_requests(requests, cfgops.lookup_configs(cfg, requests, counted=True), cfg)
     return checked.select("request_id", "n_configs", "verdict")
 
 

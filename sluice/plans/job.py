@@ -124,10 +124,11 @@ def run_requests(
     JDBC table whose filters Spark pushes down), or a ``Source`` pairing the
     rows with a frame for TL-AGG's aggregate.
     """
-    matches = cfgops.lookup_configs(tables.config, requests.drop("workflow_run_id", "job_run_id"))
+    matches = cfgops.lookup_configs(tables.config, requests.drop("workflow_run_id", "job_run_id"), counted=True)
     verdicts = cfgops.check_requests(requests, matches, tables.config)  # C2
     ok = verdicts.where(F.col("verdict") == "OK").select("request_id", "workflow_run_id", "job_run_id")
-    runs = matches.join(ok, "request_id", "inner")
+    # the one config of each
+    runs = matches.drop(cfgops.CONFIGS).join(ok, "request_id", "inner")
 
     # C4: audit spec; each run learns its line id.
     spec = audit.upsert_audit_spec(

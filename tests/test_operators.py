@@ -100,6 +100,34 @@ def test_lookup_manual_with_id_and_scheduled_wildcard(spark):
     assert verdicts["m"] == "OK" and verdicts["none"] == "MISSING"
 
 
+def test_counted_lookups_have_a_row_per_request_not_per_match(spark):
+    cfg = spark.range(400).select(
+        "id", F.lit("Y").alias("active_flag"), F.when(F.col("id") % 2 == 0, "Y").otherwise("N").alias("manual_flag"),
+        F.when(F.col("id") % 10 != 0, "s").alias("schema_name"), F.lit("t").alias("table_name"),
+        F.concat(F.lit("e"), F.when(F.col("id") == 7, 7).otherwise(0)).alias("cloudwatch_event_name"))
+    cfg = cfg.union(cfg.where("id in (2, 4)")).union(cfg.where("id = 4"))  # ids come twice, thrice
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("long")
+    shape = lambda name, flag, s, t, i, e: cfg.select(
+        F.concat(F.lit(name), F.col("id") % 390).alias("request_id"), F.lit(flag).alias("manual_flag"), s.alias("schema_name"),
+        t.alias("table_name"), i.alias("config_id"), e.alias("cloudwatch_event_name"))
+    s, t, i, e = F.col("schema_name"), F.col("table_name"), F.col("id"), F.col("cloudwatch_event_name")
+    reqs = shape("n", "Y", s, t, number, text).union(shape("i", "Y", s, t, i, text)).union(shape("e", "N", text, text, number, e))
+    reqs = reqs.union(shape("w", "N", text, text, number, text)).union(shape("x", None, s, t, i, e)).union(
+        shape("m", "Y", s, t, number, text).withColumn("request_id", text))
+    rows, counted = cfgops.lookup_configs(cfg, reqs), cfgops.lookup_configs(cfg, reqs, counted=True)
+    n_reqs, n_rows = reqs.count(), rows.count()
+    assert counted.count() <= n_reqs and n_rows > 50 * n_reqs
+    assert counted.agg(F.sum("__configs")).first()[0] == n_rows
+    want = cfgops.check_requests(reqs, rows, cfg)
+    got = cfgops.check_requests(reqs, counted, cfg)
+    assert got.schema == want.schema and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    # a request of one config has it whole
+    ok = want.where("verdict = 'OK'").select("request_id")
+    lone, all_of = counted.join(ok, "request_id").drop("__configs"), rows.join(ok, "request_id")
+    assert lone.count() > 100 and lone.exceptAll(all_of).count() == all_of.exceptAll(lone).count() == 0
+    assert counted.where("__configs > 1 and id is not null").count() == 0
+
+
 def test_retire_header_leaves_null_status_and_running(spark):
     hdr = spark.createDataFrame(
         [("a", 1, "r1", "COMPLETED"), ("a", 1, "r2", None), ("a", 1, "r3", "RUNNING"), ("a", 1, "cur", "RUNNING"),
