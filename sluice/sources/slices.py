@@ -56,25 +56,41 @@ def equal(columns: list[str], key: tuple) -> str:
     return " AND ".join(terms)
 
 
+def implies(a: tuple, b: tuple) -> bool:
+    """Whether what lies below ``a`` lies below ``b`` whatever order the database has for text."""
+    for x, y in zip(a, b):
+        if x is None and y is None or x is not None and y is not None and x == y:
+            continue
+        if x is None or y is None:
+            return x is None
+        return not isinstance(x, str) and not isinstance(y, str) and bool(x < y)
+    return True
+
+
 def ranges(columns: list[str], bounds: list[tuple], ordered: bool) -> list[str]:
     """Predicates of which each row meets exactly one.
 
     ``ordered`` says that the database orders the key as Spark does, which
-    spares each range all but the nearest of the ends before it.  A range of
-    one column with a lower end leaves the column bare, for the database's
-    indexes.
+    spares each range all but the nearest of the ends before it.  Otherwise
+    the ends before it that a later one implies are spared: of ends of one
+    text, the last is asked.  The nearest ends stand first, where nearly all
+    rows of other ranges fail.  A range of one column with a lower end leaves
+    the column bare, for the database's indexes.
     """
-    out = []
+    out: list[str] = []
+    before: list[tuple] = []  # ends to be asked, the nearest last
     for k in range(len(bounds) + 1):
-        before = bounds[max(0, k - 1) : k] if ordered else bounds[:k]
+        upper = bounds[k] if k < len(bounds) else None
         if len(columns) == 1 and before:
             name = quote_identifier(columns[0])
-            terms = [f"{name} >= {quote_literal(b)}" for (b,) in before]
-            terms += [f"{name} < {quote_literal(bounds[k][0])}"] if k < len(bounds) else []
+            terms = [f"{name} >= {quote_literal(b)}" for (b,) in reversed(before)]
+            own = [f"{name} < {quote_literal(upper[0])}"] if upper is not None else []
         else:
-            terms = [f"NOT {below(columns, b)}" for b in before]
-            terms += [below(columns, bounds[k])] if k < len(bounds) else []
-        out.append(" AND ".join(terms) or "1 = 1")
+            terms = [f"NOT {below(columns, b)}" for b in reversed(before)]
+            own = [below(columns, upper)] if upper is not None else []
+        out.append(" AND ".join([*terms[:1], *own, *terms[1:]]) or "1 = 1")
+        if upper is not None:
+            before = [upper] if ordered else [*(b for b in before if not implies(b, upper)), upper]
     return out
 
 

@@ -84,6 +84,35 @@ def test_ranges_are_exact_under_another_order():
     assert _met(table, slices.ranges(["a", "b"], bounds, ordered=False))[0] == 0
 
 
+def test_ends_of_one_text_are_asked_once():
+    """Of ends with one text only the last is asked, exact under any order of the texts."""
+    texts = [None, "D", "b", "É", ""]  # no order at all
+    bounds = [(t, n) for t in texts for n in (None, 1, 2.5, 30)][1:]
+    table = pa.table({"a": [t for t in [*texts, "zz", "A"] for _ in range(6)], "n": [None, 0.0, 1.0, 2.0, 2.5, 99.0] * 7})
+    predicates = slices.ranges(["a", "n"], bounds, ordered=False)
+    assert _met(table, predicates)[0] == 0
+    assert max(p.count("NOT (") for p in predicates) == len(texts) - 1
+    assert max(p.count("NOT (") for p in slices.ranges(["n", "a"], [(n, t) for t, n in bounds[4:8]], ordered=False)) == 2
+
+
+def test_predicates_are_asked_once_and_compiled(spark, monkeypatch):
+    from sluice.plans import catalog
+
+    df = spark.createDataFrame([("x", i % 7 if i % 9 else None) for i in range(500)] + [(None, 3), ("y", 8)], "k string, n int")
+    asked = spark.sparkContext.accumulator(0)
+    marked = df.rdd.map(lambda r: asked.add(1) or r)
+    rows = spark.createDataFrame(marked, df.schema)
+    met = catalog._met(rows, ['"n" < 3', '"n" >= 3 AND "n" < 8', '"n" IS NULL', '"n" = 3', "1 = 0"], ["k"])
+    plan = met._jdf.queryExecution().analyzed().toString()
+    assert "lambda" not in plan
+    got = {r.k: tuple(r)[1:] for r in met.collect()}
+    sevens = [i % 7 for i in range(500) if i % 9]
+    threes = sevens.count(3)
+    largest = sum(n >= 3 for n in sevens) + 1
+    assert got == {"x": (500, 500 + threes, 2, largest), None: (1, 2, 2, largest), "y": (1, 0, 0, largest)}
+    assert asked.value == 502
+
+
 def test_empty_sources_read_nothing_wrong(spark):
     df = spark.createDataFrame([], "k string, id long")
     dealt = slices.slice_ranges(discover_partitions(df, ["k"], counted=True), ["k"], df, 5, ["id"])
