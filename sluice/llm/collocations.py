@@ -53,8 +53,8 @@ SLICE_BYTES = 1 << 20
 CHUNK, COUNTED = 1 << 18, 1 << 20
 #: Bits of the filter of frequent fingerprints (16 MB), and bits set per fingerprint.
 FILTER_BITS, PROBES = 1 << 27, 2
-#: Rows of a record batch.
-ROWS = 1 << 17
+#: Rows of a record batch; phrases of several chunks, and their bytes, that a task holds to sum them.
+ROWS, SUMMED, SUMMED_BYTES = 1 << 17, 1 << 19, 1 << 25
 #: Longest word that is compared in numpy, byte by byte.
 SHORT_WORD = 64
 #: Groups per language of the narrowing steps of a language's head.
@@ -276,10 +276,32 @@ def pointers(number: np.ndarray, fps: np.ndarray, places: np.ndarray, n: int) ->
     return np.concatenate([places[first], more[:, 0]]), np.concatenate([count, more[:, 1]])
 
 
+def _summed(batches) -> Iterator[pa.RecordBatch]:
+    """Counts with the rows of equal phrases summed, as many as a task holds at once."""
+    held: list[pa.RecordBatch] = []
+
+    def merged() -> pa.Table:
+        t = pa.Table.from_batches(held).group_by(["lang", "words", "phrase"]).aggregate([("n", "sum")])
+        return t.select(["lang", "words", "phrase", "n_sum"]).rename_columns(["lang", "words", "phrase", "n"])
+
+    size = weight = 0
+    for batch in batches:
+        held.append(batch)
+        size, weight = size + len(batch), weight + batch.nbytes
+        if size >= SUMMED or weight >= SUMMED_BYTES:
+            t = merged()
+            held, size, weight = t.to_batches(), len(t), t.nbytes
+            if size > SUMMED // 2 or weight > SUMMED_BYTES // 2:
+                yield from t.to_batches(ROWS)
+                held, size, weight = [], 0, 0
+    if held:
+        yield from merged().to_batches(ROWS)
+
+
 def _phrase_counts(shared, max_words: int):
-    """(lang, words, phrase, n): the texts of the n-grams that pass the filter, verified and counted per chunk."""
+    """(lang, words, phrase, n): the texts of the n-grams that pass the filter, verified per chunk and counted over chunks."""
 
-    def run(batches):
+    def verified(batches):
         for chunk, langs, seeds in chunks(batches, max_words - 1, CHUNK):
             found = surviving(chunk, seeds, shared.value, max_words)
             codes: dict[str, int] = {}
@@ -307,6 +329,9 @@ def _phrase_counts(shared, max_words: int):
                         names=["lang", "words", "phrase", "n"],
                     )
 
+    def run(batches):
+        yield from _summed(verified(batches))
+
     return run
 
 

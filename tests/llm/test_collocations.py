@@ -132,6 +132,22 @@ def test_long_texts_in_slices_and_small_chunks(rows, prose, monkeypatch, slice_b
     assert +words == +n
 
 
+def test_phrases_of_several_chunks_are_one_row(rows, monkeypatch):
+    class Shared:
+        value = np.full(8, 255, np.uint8)
+
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 50, "seed": [1] * 50, "text": ["a b c a b d"] * 50})
+    monkeypatch.setattr(co, "CHUNK", 12)
+    for held, most in ((1 << 19, 1), (8, 60)):
+        monkeypatch.setattr(co, "SUMMED", held)
+        out = [r for b in co._phrase_counts(Shared, 2)(iter([batch])) for r in b.to_pylist()]
+        total = Counter()
+        for r in out:
+            total[r["lang"], tuple(r["phrase"].split(" "))] += r["n"]
+        assert total == all_runs([("a b c a b d", "en")] * 50, 2)[0]
+        assert max(Counter(r["phrase"] for r in out).values()) <= most
+
+
 def test_products_beyond_64_bits(spark):
     counts = spark.createDataFrame(
         [("en", 1, "a", 9 * 10**11), ("en", 1, "b", 7 * 10**11), ("en", 2, "a b", 5 * 10**11)], "lang string, words int, phrase string, n long"
