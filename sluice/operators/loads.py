@@ -63,6 +63,12 @@ def current_files(spark: SparkSession, path: str) -> str:
     return NO_LOAD if load is None else f"{LOAD}{load}-*"
 
 
+def is_new(spark: SparkSession, path: str) -> bool:
+    """Whether nothing was ever written to the target, so that no load can be superseded."""
+    fs, here, _ = _folder(spark, path)
+    return not fs.exists(here)
+
+
 def new_load() -> str:
     return uuid.uuid4().hex
 

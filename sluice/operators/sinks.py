@@ -59,7 +59,9 @@ def cluster_for_write(rows: DataFrame, partition_by: list[str], files_per_partit
     A plain ``repartition(*partition_by)`` would send a value holding a third
     of all rows to one task; the salt splits every value over up to
     ``files_per_partition`` tasks.  The salt is a hash of the row's own
-    hashable columns, so a retried task reproduces the same placement.
+    hashable columns, so a retried task reproduces the same placement.  A
+    given number of parts keeps AQE from joining parts that are small in bytes
+    but many files.
     """
     hashable = [
         F.col(f.name)
@@ -67,7 +69,8 @@ def cluster_for_write(rows: DataFrame, partition_by: list[str], files_per_partit
         if not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
     salt = F.pmod(F.xxhash64(*hashable), F.lit(files_per_partition))
-    return rows.repartition(*[F.col(c) for c in partition_by], salt)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *[F.col(c) for c in partition_by], salt)
 
 
 def stamp_extract_date(rows: DataFrame, when: _dt.datetime) -> DataFrame:
@@ -84,6 +87,7 @@ def write_target(rows: DataFrame, spec: SinkSpec) -> None:
     spark = rows.sparkSession
     rows = arrange_for_write(rows, spec)
     replaces = spec.mode == "overwrite"
+    first = replaces and loads.is_new(spark, spec.path)
     if replaces:
         load = loads.new_load()
     else:
@@ -97,7 +101,8 @@ def write_target(rows: DataFrame, spec: SinkSpec) -> None:
     writer.parquet(spec.path)
     if replaces:
         loads.commit_load(spark, spec.path, load)
-        loads.remove_superseded(spark, spec.path)
+        if not first:  # lists every file
+            loads.remove_superseded(spark, spec.path)
 
 
 def read_target(

@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,22 @@ def test_max_records_per_file(spark, scratch):
     assert spark.read.parquet(path).count() == 1000
 
 
+def test_values_with_many_files_are_written_side_by_side(spark, scratch, monkeypatch):
+    from sluice.operators import loads, sinks
+
+    path, spec = scratch("side"), SinkSpec("", "overwrite", ["k"], max_records_per_file=10, files_per_partition=1)
+    df = spark.range(400).selectExpr("id", "concat('v', id % 4) as k")
+    placed = sinks.arrange_for_write(df, spec).rdd.getNumPartitions()
+    assert placed == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = []
+    monkeypatch.setattr(loads, "remove_superseded", lambda *a: listed.append(a))
+    write_target(df, replace(spec, path=path))
+    assert not listed and spark.read.parquet(path).groupBy("k").count().where("count = 100").count() == 4
+    assert len(glob.glob(os.path.join(_local(path), "k=*", "*.parquet"))) == 40
+    write_target(df, replace(spec, path=path))
+    assert len(listed) == 1
+
+
 def test_truncate_load_rerun_is_idempotent(spark, scratch):
     events = spark.read.parquet(f"{SF}/events.parquet")
     path = scratch("tl")
