@@ -20,7 +20,9 @@ that pass the filter, points at the first occurrence of every fingerprint,
 compares all its other occurrences with that place word by word (and the words
 byte by byte), and materialises one phrase text per pointer; occurrences that
 differ from it in spite of an equal fingerprint get a pointer of their own.
-The texts are then summed as texts, so no collision reaches a count.
+The texts are then summed as texts, so no collision reaches a count.  That
+reading has a task per core, not per split of the input, so that a phrase is
+handed on once per core as long as a task can hold all its phrases.
 
 Defined results: null texts are empty; a null language is ``und``; rows that
 repeat count each; an empty table gives an empty result; extra input columns are
@@ -35,6 +37,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -55,6 +58,8 @@ CHUNK, COUNTED = 1 << 18, 1 << 20
 FILTER_BITS, PROBES = 1 << 27, 2
 #: Rows of a record batch; phrases of several chunks, and their bytes, that a task holds to sum them.
 ROWS, SUMMED, SUMMED_BYTES = 1 << 17, 1 << 19, 1 << 25
+#: Bytes of a held row besides its phrase.
+ROW_BYTES = 32
 #: Longest word that is compared in numpy, byte by byte.
 SHORT_WORD = 64
 #: Groups per language of the narrowing steps of a language's head.
@@ -277,7 +282,10 @@ def pointers(number: np.ndarray, fps: np.ndarray, places: np.ndarray, n: int) ->
 
 
 def _summed(batches) -> Iterator[pa.RecordBatch]:
-    """Counts with the rows of equal phrases summed, as many as a task holds at once."""
+    """Counts with the rows of equal phrases summed, as many as a task holds at once.
+
+    When they are too many the rarer ones are handed on; the frequent ones, which come again most, are held on.
+    """
     held: list[pa.RecordBatch] = []
 
     def merged() -> pa.Table:
@@ -292,8 +300,13 @@ def _summed(batches) -> Iterator[pa.RecordBatch]:
             t = merged()
             held, size, weight = t.to_batches(), len(t), t.nbytes
             if size > SUMMED // 2 or weight > SUMMED_BYTES // 2:
-                yield from t.to_batches(ROWS)
-                held, size, weight = [], 0, 0
+                t = t.take(np.argsort(-t.column("n").to_numpy(), kind="stable"))
+                cost = np.cumsum(pc.binary_length(t.column("phrase")).to_numpy().astype(np.int64) + ROW_BYTES)
+                keep = min(SUMMED // 2, int(np.searchsorted(cost, SUMMED_BYTES // 2)))
+                yield from t.slice(keep).to_batches(ROWS)
+                # a copy, so that what was handed on is freed
+                t = t.take(np.arange(keep))
+                held, size, weight = t.to_batches(), keep, t.nbytes
     if held:
         yield from merged().to_batches(ROWS)
 
@@ -355,6 +368,16 @@ def fingerprint_filter(fps: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def few_tasks(texts: DataFrame) -> DataFrame:
+    """``texts`` in as many partitions as there are cores, at most.
+
+    Every task hands on each phrase it meets, and a frequent one is met by
+    nearly all: with tasks that grow with the input, as its phrases do, the rows
+    would grow with its square.
+    """
+    return texts.coalesce(texts.sparkSession.sparkContext.defaultParallelism)
+
+
 def phrase_counts(texts: DataFrame, max_words: int, min_count: int) -> DataFrame:
     """(lang, words, phrase, n): all runs of 1 to ``max_words`` words that occur ``min_count`` times or more.
 
@@ -368,7 +391,7 @@ def phrase_counts(texts: DataFrame, max_words: int, min_count: int) -> DataFrame
         shared = spark.sparkContext.broadcast(fingerprint_filter(level))
         frequent = level if frequent is None else frequent.union(level)
     shared = spark.sparkContext.broadcast(fingerprint_filter(frequent))
-    verified = texts.mapInArrow(_phrase_counts(shared, max_words), "lang string, words int, phrase string, n long")
+    verified = few_tasks(texts).mapInArrow(_phrase_counts(shared, max_words), "lang string, words int, phrase string, n long")
     # the words are a function of the phrase
     return verified.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 

@@ -148,6 +148,44 @@ def test_phrases_of_several_chunks_are_one_row(rows, monkeypatch):
         assert max(Counter(r["phrase"] for r in out).values()) <= most
 
 
+def test_rows_handed_on_do_not_grow_with_the_partitions(spark, monkeypatch):
+    handed, real = spark.sparkContext.accumulator(0), co._phrase_counts
+
+    def spied(shared, max_words):
+        run = real(shared, max_words)
+
+        def spy(batches):
+            for batch in run(batches):
+                handed.add(len(batch))
+                yield batch
+
+        return spy
+
+    monkeypatch.setattr(co, "_phrase_counts", spied)
+    rows = [("a b c, d e", "en")] * 400
+    parts = spark.createDataFrame(rows, "text string, lang string").repartition(40)
+    got = {(r.words, r.phrase): r.n for r in co.phrase_counts(parts.selectExpr("lang", "1L seed", "text"), 3, 3).collect()}
+    assert got == {(len(w), " ".join(w)): n for (_, w), n in all_runs(rows, 3)[0].items()}
+    assert len(got) <= handed.value <= len(got) * spark.sparkContext.defaultParallelism
+
+
+def test_frequent_phrases_are_held_when_rare_ones_are_handed_on(monkeypatch):
+    monkeypatch.setattr(co, "SUMMED", 16)
+
+    def batch(phrases):
+        columns = {"lang": ["en"] * len(phrases), "words": [1] * len(phrases), "phrase": phrases, "n": [2 if p == "hot" else 1 for p in phrases]}
+        return pa.RecordBatch.from_pydict(columns)
+
+    batches = [batch(["hot"] + [f"r{i}_{k}" for k in range(8)]) for i in range(50)]
+    out = [r for b in co._summed(iter(batches)) for r in b.to_pylist()]
+    assert [r["n"] for r in out if r["phrase"] == "hot"] == [100]
+    assert len(out) == 401 and sum(r["n"] for r in out) == 500
+    # a phrase too long to be held is handed on
+    monkeypatch.setattr(co, "SUMMED_BYTES", 200)
+    out = [r for b in co._summed(iter([batch(["x" * 300, "hot"])] * 5)) for r in b.to_pylist()]
+    assert Counter(r["phrase"] for r in out)["x" * 300] == 5 and sum(r["n"] for r in out) == 15
+
+
 def test_products_beyond_64_bits(spark):
     counts = spark.createDataFrame(
         [("en", 1, "a", 9 * 10**11), ("en", 1, "b", 7 * 10**11), ("en", 2, "a b", 5 * 10**11)], "lang string, words int, phrase string, n long"
